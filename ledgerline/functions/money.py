@@ -33,10 +33,20 @@ def div_round_half_away(num: Column, den) -> Column:
     return F.when(n < 0, -q).otherwise(q)
 
 
-def cents(numerator: Column, denominator: int = 1, scale: int = DEFAULT_SCALE) -> Column:
-    """Whole cents of ``numerator / denominator``; ``numerator`` has at most ``scale`` decimals."""
+def ratio_round(numerator: Column, denominator, places: int = 2,
+                scale: int = DEFAULT_SCALE) -> Column:
+    """``round(numerator / denominator, places)`` as an integer count of ``10^-places`` units.
+
+    Both operands are exact decimals with at most ``scale`` decimals (or integers).
+    """
     k = 10 ** scale
-    return div_round_half_away(_dec0(numerator * F.lit(100 * k)), denominator * k)
+    den = denominator * k if isinstance(denominator, int) else denominator * F.lit(k)
+    return div_round_half_away(_dec0(numerator * F.lit(10 ** places * k)), den)
+
+
+def cents(numerator: Column, denominator=1, scale: int = DEFAULT_SCALE) -> Column:
+    """Whole cents of ``numerator / denominator``; operands have at most ``scale`` decimals."""
+    return ratio_round(numerator, denominator, 2, scale)
 
 
 def net_cents(gross_sum: Column) -> Column:
@@ -76,10 +86,16 @@ def sql_div_round_half_away(num: str, den: str) -> str:
             f"((2 * abs({n}) + CAST({den} AS HUGEINT)) // (2 * CAST({den} AS HUGEINT))))")
 
 
-def sql_cents(numerator: str, denominator: int | str = 1, scale: int = DEFAULT_SCALE) -> str:
+def sql_ratio_round(numerator: str, denominator: int | str, places: int = 2,
+                    scale: int = DEFAULT_SCALE) -> str:
     k = 10 ** scale
     den = f"({denominator}) * {k}" if isinstance(denominator, str) else str(denominator * k)
-    return f"CAST({sql_div_round_half_away(f'({numerator}) * {100 * k}', den)} AS BIGINT)"
+    num = f"({numerator}) * {10 ** places * k}"
+    return f"CAST({sql_div_round_half_away(num, den)} AS BIGINT)"
+
+
+def sql_cents(numerator: str, denominator: int | str = 1, scale: int = DEFAULT_SCALE) -> str:
+    return sql_ratio_round(numerator, denominator, 2, scale)
 
 
 def sql_net_cents(gross_sum: str) -> str:
