@@ -76,7 +76,8 @@ def order_level_values(cat: Catalog, params: ReportParams) -> DataFrame:
         "id", "tanggal", F.col("id_marketplace").alias("id_mp"), "mp", "nama_cust", "gudang",
         "platform", toko.alias("toko"),
         "omni_num", cogs_numerator().alias("hpp_num"),
-        R.tier_cost(F.col("total_qty"), R.PACKING_TIERS_ORDER_LEVEL).alias("packing"),
+        F.when(F.col("total_qty").isNotNull(),   # no SKU line: no packing row (NULL)
+               R.tier_cost(F.col("total_qty"), R.PACKING_TIERS_ORDER_LEVEL)).alias("packing"),
         C.shipping_value(F.col("ongkir_text")).alias("ongkir"))
 
 
