@@ -116,8 +116,11 @@ def order_counts(cat: Catalog, params: ReportParams) -> DataFrame:
 
 
 def funnel_ratios(totals: DataFrame, orders: DataFrame) -> DataFrame:
-    """Conversion percents (hundredths): interest and desire over awareness; action over desire."""
-    j = totals.crossJoin(orders)   # both sides are global aggregates: exactly one row each
+    """Conversion percents (hundredths): interest and desire over awareness; action over desire.
+
+    ``orders`` is a one-row global aggregate; its delta enters as a scalar subquery.
+    """
+    j = totals.withColumn("total_orders", orders.select("total_orders").scalar())
     cols = []
     for _, p in FUNNEL_GROUPS:
         cols.append(_pct(F.col(f"{p}_in"), F.col(f"{p}_aw")).alias(f"{p}_in_pct"))
@@ -239,7 +242,8 @@ def budget_use(cat: Catalog, params: ReportParams) -> DataFrame:
         F.sum(z("total")).alias("total")).select(
         F.lit("TOTAL SEMUA").alias("pengeluaran"), "shopee", "tiktok", "total",
         F.lit(True).alias("is_total"))
-    rows = detail.unionByName(total).crossJoin(budget)   # budget: one-row global aggregate
+    # the budget is a one-row global aggregate: a scalar subquery, not a join
+    rows = detail.unionByName(total).withColumn("total_budget_marketing", budget.scalar())
     b = F.col("total_budget_marketing")
     tenths = ratio_round(F.col("total") * 100, b, 1)
     return rows.select("*", F.when(b.isNotNull() & (b != 0), tenths).alias("pct_tenths"))

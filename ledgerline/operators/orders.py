@@ -16,6 +16,7 @@ Scale notes
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -162,3 +163,63 @@ def cross_posted_ids(cat: Catalog) -> DataFrame:
 def valid_orders_since(cat: Catalog, start: dt.date, end: dt.date | None = None) -> DataFrame:
     p = orders_with_fields(cat)
     return p.where(in_window(F.col("created_at"), start, end) & valid_status())
+
+
+# --- one pass over the SKU lines per report ----------------------------------------------------
+
+@dataclass(frozen=True)
+class TiktokRevenueRule:
+    """How a report values TikTok orders (see ``revenue.tiktok_order_revenue``)."""
+
+    fee_fallback: str | None = R.TIKTOK_FEE_FALLBACK
+    settlement_distinct: bool = False
+    settlement_factor: int = 100          # 100: settlement net of VAT; 111: kept gross
+    keep_total_amount: bool = False       # the monthly report also groups by total_amount
+    per_order: str = "sum"                # "sum" over price rows, or "min" (one row is shown)
+
+
+def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
+               tiktok: TiktokRevenueRule | None = None, tiktok_eligible: Column | None = None,
+               how: str = "inner") -> DataFrame:
+    """Orders joined 1:1 to everything the reports compute from SKU lines and price rows.
+
+    ``orders`` needs ``id, id_marketplace`` (and whatever the caller groups by).  Adds the SKU
+    vector (``total_qty, cogs_*, careos_qty, nutrimom_qty, fee_*``) and, with ``tiktok``, the
+    TikTok revenue numerators ``tt_omni_num`` / ``tt_fat_num`` (value = N / 111) for rows where
+    ``tiktok_eligible`` holds.  One pass over the SKU table serves revenue, cost of goods and
+    packing, and every join is one row per order, so nothing fans out.
+
+    The settlement is joined on the marketplace id.  Rows that cannot match (not eligible, or
+    no marketplace id) get a unique negative key instead of NULL, so the NULL id -- one group
+    that may hold a large share of all orders -- is spread over all partitions instead of
+    landing in one task.
+    """
+    from .revenue import settlement_per_order, tiktok_price_per_order
+    fee_fallback = tiktok.fee_fallback if tiktok else None
+    vec = sku_order_vector(cat, variant, fee_fallback, lines=sku_lines(cat, orders))
+    f = orders.join(vec, orders["id"] == vec["pesanan_id"], how)
+    if tiktok is None:
+        return f
+    elig = F.lit(True) if tiktok_eligible is None else tiktok_eligible
+    price = tiktok_price_per_order(cat, tiktok.keep_total_amount)
+    f = f.join(price, f["id"] == price["price_order_id"], "left")
+    settle = settlement_per_order(cat, tiktok.settlement_distinct)
+    can_match = elig & F.col("id_marketplace").isNotNull()
+    key = F.when(can_match, F.col("id_marketplace")).otherwise(-F.col("id") - 1)
+    f = f.withColumn("settle_key", key)
+    f = f.join(settle, (f["settle_key"] == settle["order_id"]) & can_match, "left")
+    fmax, fmin = F.col("fee_max"), F.col("fee_min")
+    if tiktok.per_order == "min":
+        a = F.col("p_min_pos") * fmax
+        b = F.col("p_min_neg") * fmin
+        best = F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.least(a, b))
+        settled = F.col("settlement") * tiktok.settlement_factor
+    else:
+        a = F.col("p_pos") * fmax
+        b = F.col("p_neg") * fmin
+        best = F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
+            F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
+        settled = F.col("settlement") * tiktok.settlement_factor * F.col("n_price_rows")
+    has_price = elig & F.col("n_price_rows").isNotNull() & F.col("pesanan_id").isNotNull()
+    return f.select("*", F.when(has_price, F.coalesce(settled, best)).alias("tt_omni_num"),
+                    F.when(has_price, F.col("p_sum") * 100).alias("tt_fat_num"))

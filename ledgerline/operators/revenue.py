@@ -60,3 +60,26 @@ def tiktok_order_revenue(cat: Catalog, orders: DataFrame, fee_fallback: str | No
         else best
     return j.select(*orders.columns, *[c for c in keys if c != "pesanan_id"],
                     omni.alias("omni_num"), (price * 100).alias("fat_num"))
+
+
+def tiktok_price_per_order(cat: Catalog, keep_total_amount: bool = False) -> DataFrame:
+    """TikTok price rows reduced to one row per order (distinct price rows first, as the source
+    groups by them).  ``price = original price - seller discount``; sums and minima are split by
+    sign so that "best fee-adjusted amount per price row" aggregates exactly without the rows.
+
+    The table is hash-partitioned by order id once; both the distinct and the per-order
+    aggregate reuse that partitioning (one shuffle).
+    """
+    keys = ["pesanan_id", "original_total_product_price", "seller_discount"]
+    if keep_total_amount:
+        keys.append("total_amount")
+    ph = cat["pesanan_pembentuk_harga_tiktok_shop"].select(*keys)
+    rows = ph.repartition("pesanan_id").distinct()
+    price = F.col("original_total_product_price") - F.col("seller_discount")
+    return rows.groupBy(F.col("pesanan_id").alias("price_order_id")).agg(
+        F.count(F.lit(1)).alias("n_price_rows"),
+        F.sum(F.when(price >= 0, price)).alias("p_pos"),
+        F.sum(F.when(price < 0, price)).alias("p_neg"),
+        F.min(F.when(price >= 0, price)).alias("p_min_pos"),
+        F.min(F.when(price < 0, price)).alias("p_min_neg"),
+        F.sum(price).alias("p_sum"))

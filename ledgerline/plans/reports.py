@@ -20,9 +20,9 @@ from ..operators import costs as C
 from ..operators import marketing as M
 from ..operators import present as P
 from ..operators import rules as R
-from ..operators.orders import (clean_orders, cogs_numerator, orders_with_fields, sku_lines,
-                                sku_order_vector)
-from ..operators.predicates import in_window, not_name_at, valid_status
+from ..operators.orders import (TiktokRevenueRule, clean_orders, cogs_numerator, order_fact,
+                                orders_with_fields, sku_lines, sku_order_vector)
+from ..operators.predicates import channel_valid, in_window, not_name_at, valid_status
 from ..operators.revenue import (settlement_per_order, shopee_parts_per_order,
                                  tiktok_order_revenue)
 from ..params import ReportParams
@@ -45,37 +45,33 @@ def order_level_values(cat: Catalog, params: ReportParams) -> DataFrame:
     """One row per de-duplicated order with revenue, cost of goods, packing and shipping.
 
     The source joins revenue rows (one per Shopee price row) and keeps the first row per order
-    without a deciding order; here the smallest revenue row wins (``omni_num`` minimum).
-    Revenue, cost and packing vectors are each one row per order, so every join is 1:1.
+    without a deciding order; here the smallest revenue row wins.  Every input is reduced to one
+    row per order before it is joined (SKU vector, price rows, Shopee parts, settlement), so the
+    plan is one pass over the SKU lines and only 1:1 joins.
     """
     codes = params.codes
     pb = clean_orders(cat, params, "order_level")
-    parts = shopee_parts_per_order(cat)
-    shp = pb.where(F.col("mp") == R.SHOPEE).select("id")
-    shp = shp.join(parts, shp["id"] == parts["pesanan_id"]) \
-        .select("id", (F.col("escrow_min") * 100).alias("omni_num"))
-    tt = tiktok_order_revenue(cat, pb.where(F.col("mp") == R.TIKTOK).select("id", "id_marketplace"),
-                              R.TIKTOK_FEE_FALLBACK, settlement_per_order(cat, distinct=True),
-                              settlement_factor=R.VAT_DIVISOR).select("id", "omni_num")
-    u = cat["users_omni"].select(F.col("id").alias("u_id"), "name")
-    man = pb.where(F.col("mp") == R.MANUAL)
-    man = man.join(u, man["atur_by"] == u["u_id"]).where(
-        ~F.col("name").isin(*codes.denied_users)
-        & not_name_at(F.col("nama_cust"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE,
-                      F.col("toko_id") == F.lit(codes.warehouse_shop))
-    ).select("id", (F.col("harga") * 100).alias("omni_num"))
-    omni = shp.unionByName(tt).unionByName(man).groupBy(F.col("id").alias("o_id")) \
-        .agg(F.min("omni_num").alias("omni_num"))
-    vec = sku_order_vector(cat, R.COGS_ORDER_LEVEL, lines=sku_lines(cat, pb)) \
-        .select(F.col("pesanan_id").alias("v_id"), "total_qty", "cogs_net_num", "cogs_gross")
-    j = (pb.join(omni, pb["id"] == omni["o_id"], "left")
-         .join(vec, F.col("id") == F.col("v_id"), "left"))
+    u = cat["users_omni"].select(F.col("id").alias("u_id"), F.col("name").alias("user_name"))
+    pb = pb.join(u, pb["atur_by"] == u["u_id"], "left")
+    f = order_fact(cat, pb.withColumn("marketplace", F.col("mp")), R.COGS_ORDER_LEVEL,
+                   TiktokRevenueRule(settlement_distinct=True, settlement_factor=R.VAT_DIVISOR,
+                                     per_order="min"),
+                   tiktok_eligible=F.col("mp") == R.TIKTOK, how="left")
+    parts = shopee_parts_per_order(cat).select(F.col("pesanan_id").alias("s_id"), "escrow_min")
+    f = f.join(parts, (f["id"] == parts["s_id"]) & (f["mp"] == R.SHOPEE), "left")
+    manual_ok = ((F.col("mp") == R.MANUAL) & F.col("u_id").isNotNull()
+                 & ~F.col("user_name").isin(*codes.denied_users)
+                 & not_name_at(F.col("nama_cust"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE,
+                               F.col("toko_id") == F.lit(codes.warehouse_shop)))
+    omni = (F.when(F.col("mp") == R.SHOPEE, F.col("escrow_min") * 100)
+            .when(F.col("mp") == R.TIKTOK, F.col("tt_omni_num"))
+            .when(manual_ok, F.col("harga") * 100))
     toko = F.when(F.col("nama_toko") == F.lit(codes.warehouse_shop_name), F.col("nama_toko2")) \
         .otherwise(F.col("nama_toko"))
-    return j.select(
+    return f.select(
         "id", "tanggal", F.col("id_marketplace").alias("id_mp"), "mp", "nama_cust", "gudang",
         "platform", toko.alias("toko"),
-        "omni_num", cogs_numerator().alias("hpp_num"),
+        omni.alias("omni_num"), cogs_numerator().alias("hpp_num"),
         F.when(F.col("total_qty").isNotNull(),   # no SKU line: no packing row (NULL)
                R.tier_cost(F.col("total_qty"), R.PACKING_TIERS_ORDER_LEVEL)).alias("packing"),
         C.shipping_value(F.col("ongkir_text")).alias("ongkir"))
@@ -156,46 +152,84 @@ def manual_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
                     .alias("fat_c"))
 
 
-def revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
-    """All channels per month: omni (exact numerators of Shopee and manual plus TikTok cents)."""
-    dec = "decimal(38,2)"
-    s = shopee_revenue_by_period(cat, params).select(
-        "periode", F.col("omni_n").cast(dec).alias("omni_n"), F.lit(None).cast("bigint").alias("omni_c"),
-        "fat_c")
-    t = tiktok_revenue_by_period(cat, params).select(
-        "periode", F.lit(None).cast(dec).alias("omni_n"), "omni_c", "fat_c")
-    m = manual_revenue_by_period(cat, params).select(
-        "periode", F.col("omni_n").cast(dec).alias("omni_n"),
-        F.lit(None).cast("bigint").alias("omni_c"), "fat_c")
-    u = s.unionByName(t).unionByName(m)
-    g = u.groupBy("periode").agg(F.sum("omni_n").alias("omni_n"), F.sum("omni_c").alias("omni_c"),
-                                 F.sum("fat_c").alias("fat_c"))
-    return g.select("periode",
-                    _add_nullable(cents(F.col("omni_n"), R.VAT_DIVISOR), F.col("omni_c"))
-                    .alias("omni_c"), "fat_c")
+def order_costs_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
+    """TikTok revenue, cost of goods and packing per month in one pass over the SKU lines.
+
+    Each measure keeps the order filter of its source query as a flag; ``n_tiktok`` counts the
+    TikTok orders that have revenue (a month only gets a TikTok revenue row when it has some).
+    """
+    codes = params.codes
+    p = orders_with_fields(cat).where(
+        (F.col("created_at") >= F.lit(params.history_start)) & valid_status())
+    t = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("t_nama"))
+    p = p.join(t, p["toko_id"] == t["t_id"], "left")
+    at_wh = F.col("toko_id") == F.lit(codes.warehouse_shop)
+    excluded_day = (F.col("created_at").cast("date") == F.lit(R.EXCLUDED_MANUAL_DAY)) & \
+        F.upper(F.col("platform")).isin(*R.MANUAL_PLATFORMS)
+    cogs_ok = (~F.col("toko_id").isin(*codes.test_shops)
+               & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS, at_wh) & ~excluded_day)
+    at_riva = F.col("t_nama") == F.lit(codes.warehouse_shop_name)
+    pack_ok = F.col("t_id").isNotNull() & channel_valid(
+        F.col("marketplace"), (R.MANUAL,),
+        not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS, at_riva))
+    o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id",
+                 cogs_ok.alias("cogs_ok"), pack_ok.alias("pack_ok"))
+    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED,
+                   TiktokRevenueRule(settlement_distinct=True, keep_total_amount=True),
+                   tiktok_eligible=F.col("marketplace") == R.TIKTOK)
+    pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
+                          R.PACKING_TIERS_MONTHLY_OLD, R.PACKING_TIERS_MONTHLY_NEW)
+    return f.groupBy(period(F.col("created_at")).alias("periode")).agg(
+        F.count(F.col("tt_omni_num")).alias("n_tiktok"),
+        cents(F.sum("tt_omni_num"), R.VAT_DIVISOR).alias("tt_omni_c"),
+        cents(F.sum("tt_fat_num"), R.VAT_DIVISOR).alias("tt_fat_c"),
+        F.sum(F.when(F.col("cogs_ok"), C.cogs_num_dated(codes.funnel_shopee_shop))).alias("hpp_num"),
+        F.sum(F.when(F.col("pack_ok"), pack)).alias("total_packing"))
 
 
 def monthly_pnl(cat: Catalog, params: ReportParams) -> DataFrame:
-    rev = revenue_by_period(cat, params)
-    hpp = C.cogs_by_period(cat, params).select(
-        F.col("periode").alias("h_p"), cents(F.col("hpp_num"), R.VAT_DIVISOR).alias("hpp_c"))
+    """Monthly profit and loss: months with revenue, each cost zero-filled.
+
+    Revenue of the three channels and the SKU-based costs are one union re-aggregated by
+    month (Shopee revenue: exact numerator; manual: numerator per customer type; TikTok and the
+    costs: from the one-pass order fact).  The other costs are one row per month each.
+    """
+    dec = "decimal(38,2)"
+    nb, nd = F.lit(None).cast("bigint"), F.lit(None).cast(dec)
+    s = shopee_revenue_by_period(cat, params).select(
+        "periode", F.col("omni_n").cast(dec).alias("omni_n"), nb.alias("omni_c"), "fat_c",
+        nd.alias("hpp_num"), nb.alias("total_packing"), F.lit(1).alias("rev"))
+    m = manual_revenue_by_period(cat, params).select(
+        "periode", F.col("omni_n").cast(dec).alias("omni_n"), nb.alias("omni_c"), "fat_c",
+        nd.alias("hpp_num"), nb.alias("total_packing"), F.lit(1).alias("rev"))
+    c = order_costs_by_period(cat, params).select(
+        "periode", nd.alias("omni_n"), F.col("tt_omni_c").alias("omni_c"),
+        F.col("tt_fat_c").alias("fat_c"), F.col("hpp_num").cast(dec).alias("hpp_num"),
+        F.col("total_packing").cast("bigint").alias("total_packing"),
+        F.when(F.col("n_tiktok") > 0, 1).otherwise(0).alias("rev"))
+    u = s.unionByName(m).unionByName(c)
+    rev = u.groupBy("periode").agg(
+        F.sum("omni_n").alias("omni_n"), F.sum("omni_c").alias("omni_c"),
+        F.sum("fat_c").alias("fat_c"), F.sum("hpp_num").alias("hpp_num"),
+        F.sum("total_packing").alias("total_packing"), F.sum("rev").alias("rev")
+    ).where(F.col("rev") > 0)
     ads = C.ad_spend_by_period(cat).select(F.col("periode").alias("i_p"), "total_iklan")
-    pk = C.packing_by_period(cat, params).select(F.col("periode").alias("k_p"), "total_packing")
     bb = C.overhead_by_period(cat, params.as_of).select(
         F.col("periode").alias("b_p"), cents(F.col("beban_num"), F.col("beban_den")).alias("beban_c"))
     sh = C.shipping_by_period(cat, params).select(F.col("periode").alias("o_p"), "total_ongkir")
     rc = C.ratecard_by_period(cat, params.as_of).select(
         F.col("periode").alias("r_p"), cents(F.col("rc_num"), F.col("rc_den")).alias("rc_c"))
     j = rev
-    for df, key in ((hpp, "h_p"), (ads, "i_p"), (pk, "k_p"), (bb, "b_p"), (sh, "o_p"), (rc, "r_p")):
+    for df, key in ((ads, "i_p"), (bb, "b_p"), (sh, "o_p"), (rc, "r_p")):
         j = j.join(df, j["periode"] == df[key], "left")
     z = lambda c: F.coalesce(c, F.lit(0))
+    omni = _add_nullable(cents(F.col("omni_n"), R.VAT_DIVISOR), F.col("omni_c"))
     return j.select(
         "periode",
-        _money(F.col("omni_c")).alias("total_omni"),
+        _money(omni).alias("total_omni"),
         _money(F.col("fat_c")).alias("total_fat"),
         z(F.col("total_ongkir")).cast("double").alias("total_ongkir"),
-        _money(z(F.col("hpp_c"))).alias("total_hpp"),
+        _money(z(cents(F.col("hpp_num"), R.VAT_DIVISOR))).alias("total_hpp"),
         _money(z(F.col("beban_c"))).alias("total_beban"),
         z(F.col("total_iklan")).cast("double").alias("total_iklan"),
         z(F.col("total_packing")).cast("bigint").alias("total_packing"),
@@ -214,18 +248,38 @@ def shopee_revenue_by_shop_day(cat: Catalog) -> DataFrame:
         (F.sum("escrow_sum") * 100).alias("omni_n"), (F.sum("fat_sum") * 100).alias("fat_n"))
 
 
+def shopee_costs_by_shop_day(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Packing and cost of goods per (shop, day) in one pass over the SKU lines (valid orders;
+    packing leaves out manual orders of warehouse / consignment customers)."""
+    p = orders_with_fields(cat).where(valid_status())
+    pack_ok = channel_valid(F.col("marketplace"), (R.MANUAL,),
+                            not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS))
+    o = p.select("id", "id_marketplace", "toko_id", "created_at", pack_ok.alias("pack_ok"))
+    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED)
+    pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
+                          R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW)
+    return f.groupBy(F.col("toko_id").alias("toko"),
+                     F.col("created_at").cast("date").alias("tanggal")).agg(
+        F.sum(F.when(F.col("pack_ok"), pack)).alias("total_packing"),
+        F.sum(C.cogs_num_dated(params.codes.funnel_shopee_shop)).alias("hpp_num"))
+
+
 def shop_day_shopee(cat: Catalog, params: ReportParams) -> DataFrame:
     """Shopee shop-day facts for days with turnover; the three overhead columns stay NULL when a
-    shop has no allocation that month, every other measure is zero-filled."""
-    om = shopee_revenue_by_shop_day(cat).where(F.col("omni_n") > 0)
+    shop has no allocation that month, every other measure is zero-filled.
+
+    The source unions the keys of all measures and then keeps days with Shopee turnover, so the
+    turnover drives and everything else is a left join (one row per key on every side).
+    """
+    om = shopee_revenue_by_shop_day(cat).where(
+        (F.col("omni_n") > 0) & F.col("toko").isNotNull() & F.col("tanggal").isNotNull())
     parts = shopee_parts_per_order(cat)
     ads = C.shopee_ads_and_affiliate(cat, parts)
-    pk = C.packing_by_shop_day(cat, shop_test=False)
-    hp = C.cogs_by_shop_day(cat, params)
+    costs = shopee_costs_by_shop_day(cat, params)
     bb = C.overhead_allocation(cat)
     toko = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("nama_toko"))
     keys = ["toko", "tanggal"]
-    j = (om.join(ads, keys, "left").join(pk, keys, "left").join(hp, keys, "left")
+    j = (om.join(ads, keys, "left").join(costs, keys, "left")
          .withColumn("tahun", F.year("tanggal")).withColumn("bulan", F.month("tanggal"))
          .join(bb, ["toko", "tahun", "bulan"], "left")
          .join(toko, F.col("toko") == F.col("t_id")))
@@ -256,15 +310,51 @@ def tiktok_revenue_by_shop_day(cat: Catalog) -> DataFrame:
         cents(F.sum("fat_num"), R.VAT_DIVISOR).alias("fat_c"))
 
 
+def tiktok_facts_by_shop_day(cat: Catalog, params: ReportParams) -> DataFrame:
+    """TikTok revenue, packing and cost of goods per (day, shop) in one pass over the SKU lines.
+
+    The source builds the three measures separately and full-joins them; their keys nest (every
+    day with TikTok revenue has valid orders with SKU lines), so one aggregate over valid orders
+    gives the same rows.  A NULL day or shop would have stayed three separate rows there (NULL
+    keys never join); such groups are split back into one row per measure.
+    """
+    p = cat["pesanan"].where(valid_status())
+    o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id")
+    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED, TiktokRevenueRule(settlement_distinct=False),
+                   tiktok_eligible=F.col("marketplace") == R.TIKTOK)
+    pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
+                          R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW)
+    g = f.groupBy(F.col("created_at").cast("date").alias("tanggal"),
+                  F.col("toko_id").alias("toko")).agg(
+        F.count(F.col("tt_omni_num")).alias("n_tiktok"),
+        cents(F.sum("tt_omni_num"), R.VAT_DIVISOR).alias("omni_c"),
+        cents(F.sum("tt_fat_num"), R.VAT_DIVISOR).alias("fat_c"),
+        F.sum(pack).alias("total_packing"),
+        F.sum(C.cogs_num_dated(params.codes.funnel_shopee_shop)).alias("hpp_num"))
+    null_key = F.col("tanggal").isNull() | F.col("toko").isNull()
+    nb, nd = F.lit(None).cast("bigint"), F.lit(None).cast("decimal(38,0)")
+    whole = F.struct(F.col("omni_c").alias("omni_c"), F.col("fat_c").alias("fat_c"),
+                     F.col("total_packing").cast("bigint").alias("total_packing"),
+                     F.col("hpp_num").cast("decimal(38,0)").alias("hpp_num"))
+    parts = F.filter(F.array(
+        F.when(F.col("n_tiktok") > 0, F.struct(F.col("omni_c").alias("omni_c"),
+                                               F.col("fat_c").alias("fat_c"),
+                                               nb.alias("total_packing"), nd.alias("hpp_num"))),
+        F.struct(nb.alias("omni_c"), nb.alias("fat_c"),
+                 F.col("total_packing").cast("bigint").alias("total_packing"), nd.alias("hpp_num")),
+        F.struct(nb.alias("omni_c"), nb.alias("fat_c"), nb.alias("total_packing"),
+                 F.col("hpp_num").cast("decimal(38,0)").alias("hpp_num"))), lambda x: x.isNotNull())
+    rows = F.when(null_key, parts).otherwise(F.array(whole))
+    return g.select("tanggal", "toko", F.explode(rows).alias("m")).select("tanggal", "toko", "m.*")
+
+
 def shop_day_tiktok(cat: Catalog, params: ReportParams) -> DataFrame:
-    o = tiktok_revenue_by_shop_day(cat)
+    o = tiktok_facts_by_shop_day(cat, params)
     i = C.tiktok_ads_by_day(cat).withColumnRenamed("toko_id", "toko")
-    pk = C.packing_by_shop_day(cat, shop_test=True)
-    hp = C.cogs_by_shop_day(cat, params)
     rc = C.ratecard_daily(cat).select(F.col("toko").alias("r_toko"), F.col("bulan").alias("r_bulan"),
                                       cents(F.col("total_bulanan"), F.col("days")).alias("rc_c"))
     keys = ["tanggal", "toko"]
-    j = o.join(i, keys, "full").join(pk, keys, "full").join(hp, keys, "full")
+    j = o.join(i, keys, "full")
     j = j.join(rc, (F.col("toko") == F.col("r_toko"))
                & (period(F.col("tanggal")) == F.col("r_bulan")), "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
