@@ -54,89 +54,132 @@ def _ad_rows(cat: Catalog, table: str, date_col: str, amount_col: str,
     return t.select(F.col("toko_id"), F.col(date_col).alias("d"), F.col(amount_col).alias("amt"))
 
 
-def _source_total(rows: DataFrame, keys: list[Column], table: str) -> DataFrame:
-    s = F.sum("amt")
+def _ad_source(cat: Catalog, table: str, date_col: str, amount_col: str, keys: list[Column],
+               since: dt.date | None = None) -> DataFrame:
+    """Rows of one ad source as ``keys + cost``: credits negated per row; a source whose sum is
+    rounded to whole rupiah is aggregated (and rounded) per key first, the others stay raw and
+    are summed once, after the union, by the caller's single aggregate."""
+    rows = _ad_rows(cat, table, date_col, amount_col, since)
+    money = "decimal(38,2)"
     if table in ROUNDED_SOURCES:
-        s = F.round(s, 0)
-    if table in CREDIT_SOURCES:
-        s = -s
-    return rows.groupBy(*keys).agg(s.cast("decimal(38,2)").alias("cost"))
+        return rows.groupBy(*keys).agg(F.round(F.sum("amt"), 0).cast(money).alias("cost"))
+    sign = -1 if table in CREDIT_SOURCES else 1
+    return rows.select(*keys, (F.col("amt") * sign).cast(money).alias("cost"))
 
 
 def ad_spend_by_period(cat: Catalog) -> DataFrame:
-    """All 11 ad sources per month; credits negative, TikTok credit only from its cutoff date."""
+    """All 11 ad sources per month; credits negative, TikTok credit only from its cutoff date.
+    One union and one aggregate (map-side partial sums) instead of one aggregate per source."""
     parts = []
     for table, date_col, amount_col in AD_SOURCES:
         since = R.TIKTOK_ROAS_CREDIT_FROM if table == "tiktok_proteksi_roas" else None
-        rows = _ad_rows(cat, table, date_col, amount_col, since)
-        parts.append(_source_total(rows, [period(F.col("d")).alias("periode")], table))
+        parts.append(_ad_source(cat, table, date_col, amount_col,
+                                [period(F.col("d")).alias("periode")], since))
     allp = reduce(DataFrame.unionByName, parts)
     return allp.groupBy("periode").agg(F.sum("cost").alias("total_iklan"))
 
 
+def _shopee_ad_parts(cat: Catalog) -> list[DataFrame]:
+    keys = [F.col("toko_id").alias("toko"), F.col("d").cast("date").alias("tanggal")]
+    return [_ad_source(cat, t, dc, ac, keys) for t, dc, ac in SHOPEE_AD_SOURCES]
+
+
 def shopee_ad_spend_by_day(cat: Catalog) -> DataFrame:
-    """The 7 Shopee ad sources per shop and day (each pre-aggregated, then summed)."""
-    parts = []
-    for table, date_col, amount_col in SHOPEE_AD_SOURCES:
-        rows = _ad_rows(cat, table, date_col, amount_col)
-        parts.append(_source_total(
-            rows, [F.col("toko_id").alias("toko"), F.col("d").cast("date").alias("tanggal")], table))
-    allp = reduce(DataFrame.unionByName, parts)
+    """The 7 Shopee ad sources per shop and day."""
+    allp = reduce(DataFrame.unionByName, _shopee_ad_parts(cat))
     return allp.groupBy("toko", "tanggal").agg(F.sum("cost").alias("total_iklan"))
 
 
-def shopee_affiliate_by_day(cat: Catalog, parts: DataFrame) -> DataFrame:
-    """Shopee affiliate commission per shop and order day (every order, no status filter)."""
+def shopee_affiliate_rows(cat: Catalog, parts: DataFrame) -> DataFrame:
+    """Shopee affiliate commission per order (every order, no status filter), keyed by
+    (shop, order day); ``parts`` is the per-order price-part aggregate."""
     p = cat["pesanan"].select("id", "toko_id", "created_at")
     j = parts.join(p, parts["pesanan_id"] == p["id"])
-    return j.groupBy(F.col("toko_id").alias("toko"), F.col("created_at").cast("date")
-                     .alias("tanggal")).agg(F.sum("commission_sum").alias("total_aff"))
+    return j.select(F.col("toko_id").alias("toko"), F.col("created_at").cast("date")
+                    .alias("tanggal"), F.col("commission_sum").alias("aff"))
+
+
+def shopee_affiliate_by_day(cat: Catalog, parts: DataFrame) -> DataFrame:
+    return shopee_affiliate_rows(cat, parts).groupBy("toko", "tanggal") \
+        .agg(F.sum("aff").alias("total_aff"))
 
 
 def shopee_ads_and_affiliate(cat: Catalog, parts: DataFrame) -> DataFrame:
-    """Full outer join of ad spend and affiliate cost on (shop, day), zero-filled."""
-    ads = shopee_ad_spend_by_day(cat)
-    aff = shopee_affiliate_by_day(cat, parts)
-    j = ads.join(aff, ["toko", "tanggal"], "full")
-    return j.select("toko", "tanggal", F.coalesce("total_iklan", F.lit(0)).alias("total_iklan"),
-                    F.coalesce("total_aff", F.lit(0)).alias("total_aff"))
+    """Ad spend and affiliate cost per (shop, day), zero-filled.
+
+    The source full-joins the two aggregates; here both are one union and one aggregate, with
+    NULL keys kept apart per side (``null_key_tag``) as the full join does.
+    """
+    ads = [a.withColumn("tag", null_key_tag(1, "toko", "tanggal"))
+           .select("toko", "tanggal", "tag", "cost", F.lit(None).cast("decimal(38,2)").alias("aff"))
+           for a in _shopee_ad_parts(cat)]
+    aff = shopee_affiliate_rows(cat, parts).withColumn("tag", null_key_tag(2, "toko", "tanggal")) \
+        .select("toko", "tanggal", "tag", F.lit(None).cast("decimal(38,2)").alias("cost"),
+                F.col("aff").cast("decimal(38,2)").alias("aff"))
+    u = reduce(DataFrame.unionByName, ads + [aff])
+    g = u.groupBy("toko", "tanggal", "tag").agg(
+        F.coalesce(F.sum("cost"), F.lit(0)).alias("total_iklan"),
+        F.coalesce(F.sum("aff"), F.lit(0)).alias("total_aff"))
+    return g.drop("tag")
+
+
+def null_key_tag(tag: int, *keys: str) -> Column:
+    """Grouping tag that keeps rows with a NULL key apart per source (NULL otherwise).
+
+    Used where the source merges sides with full outer joins: a NULL key never joins there, so
+    each side keeps its own row; grouping by (keys, tag) reproduces that, and for non-NULL keys
+    the tag is NULL so all sides merge into one row.
+    """
+    cond = None
+    for k in keys:
+        c = F.col(k).isNull()
+        cond = c if cond is None else (cond | c)
+    return F.when(cond, F.lit(tag))
 
 
-def tiktok_ads_by_day(cat: Catalog) -> DataFrame:
-    """TikTok ad sources, affiliate commission and ROAS credit per (day, shop).
+TIKTOK_AD_SIDES = (("tiktok_ads_manager", "tanggal", "cost", "am"),
+                   ("tiktok_iklan_gmv_max", "tanggal", "biaya_iklan", "gm"),
+                   ("tiktok_iklan_booster", "tanggal", "biaya_iklan", "bo"),
+                   ("tiktok_proteksi_roas", "tanggal", "biaya_iklan", "tpr"))
+
 
-    A chain of full outer joins on the coalesced (day, shop) key, so rows whose key is NULL stay
-    separate, as in the source.  Every side is an aggregate (one row per key), so the joins are
-    small; the one large join (settlement x order by marketplace id) is pre-aggregated per order
-    id on the settlement side first.
+def tiktok_ad_rows(cat: Catalog) -> DataFrame:
+    """Raw rows of the TikTok ad sources and of the affiliate commission, keyed by (day, shop).
+
+    The affiliate commission comes from settlements joined to orders by marketplace id; the
+    settlements are summed per (order id, shop) first so only one row per order crosses the join.
     """
-    def side(table, date_col, amount_col, name, negate=False):
-        t = cat[table]
-        s = F.sum(amount_col)
-        return t.groupBy(F.col(date_col).cast("date").alias("tanggal"),
-                         F.col("toko_id").alias("toko")).agg((-s if negate else s).alias(name))
-
-    am = side("tiktok_ads_manager", "tanggal", "cost", "am")
-    gm = side("tiktok_iklan_gmv_max", "tanggal", "biaya_iklan", "gm")
-    bo = side("tiktok_iklan_booster", "tanggal", "biaya_iklan", "bo")
-    tpr = side("tiktok_proteksi_roas", "tanggal", "biaya_iklan", "tpr", negate=True)
+    parts = []
+    for i, (table, date_col, amount_col, name) in enumerate(TIKTOK_AD_SIDES):
+        t = cat[table].select(F.col(date_col).cast("date").alias("tanggal"),
+                              F.col("toko_id"), F.col(amount_col).alias(name))
+        parts.append(t.withColumn("tag", null_key_tag(10 + i, "tanggal", "toko_id")))
     tp = cat["tiktok_pencairan"].groupBy("order_id", "toko_id").agg(
-        F.sum("affiliate_commission").alias("sa"),
-        F.sum("affiliate_shop_ads_commission").alias("sb"))
+        F.sum("affiliate_commission").alias("aff_a"),
+        F.sum("affiliate_shop_ads_commission").alias("aff_b"))
     p = cat["pesanan"].select("id_marketplace", "created_at")
-    af = (tp.join(p, tp["order_id"] == p["id_marketplace"])
-          .groupBy(F.col("created_at").cast("date").alias("tanggal"), F.col("toko_id").alias("toko"))
-          .agg(((-F.sum("sa")) + (-F.sum("sb"))).alias("af")))
-    keys = ["tanggal", "toko"]
-    j = am.join(gm, keys, "full").join(bo, keys, "full").join(af, keys, "full") \
-        .join(tpr, keys, "full")
-    z = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return j.select(
-        "tanggal", F.col("toko").alias("toko_id"),
-        z("gm").alias("iklan_gmv"),
-        (z("am") + z("gm") + z("bo") + z("tpr")).alias("total_iklan"),
-        z("af").alias("total_affiliator"),
-        z("tpr").alias("proteksi_roas"))
+    af = tp.join(p, tp["order_id"] == p["id_marketplace"]).select(
+        F.col("created_at").cast("date").alias("tanggal"), "toko_id", "aff_a", "aff_b")
+    parts.append(af.withColumn("tag", null_key_tag(20, "tanggal", "toko_id")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def tiktok_ad_measures() -> list[Column]:
+    """Aggregates over ``tiktok_ad_rows``: GMV ads, total ads (ROAS credit negative), affiliate
+    commission ``-sum(a) - sum(b)`` (NULL if either is NULL), and the credit itself."""
+    z = lambda c: F.coalesce(c, F.lit(0))
+    am, gm, bo = F.sum("am"), F.sum("gm"), F.sum("bo")
+    tpr = -F.sum("tpr")
+    return [z(gm).alias("iklan_gmv"), (z(am) + z(gm) + z(bo) + z(tpr)).alias("total_iklan"),
+            z((-F.sum("aff_a")) + (-F.sum("aff_b"))).alias("total_affiliator"),
+            z(tpr).alias("proteksi_roas")]
+
+
+def tiktok_ads_by_day(cat: Catalog) -> DataFrame:
+    """TikTok ad sources, affiliate commission and ROAS credit per (day, shop): one aggregate
+    over the union of the sources (the source's five-way full outer join, same rows)."""
+    g = tiktok_ad_rows(cat).groupBy("tanggal", "toko_id", "tag").agg(*tiktok_ad_measures())
+    return g.drop("tag")
 
 
 # --- overhead ----------------------------------------------------------------------------------

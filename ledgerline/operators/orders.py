@@ -180,7 +180,7 @@ class TiktokRevenueRule:
 
 def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
                tiktok: TiktokRevenueRule | None = None, tiktok_eligible: Column | None = None,
-               how: str = "inner") -> DataFrame:
+               how: str = "inner", selective: bool = False) -> DataFrame:
     """Orders joined 1:1 to everything the reports compute from SKU lines and price rows.
 
     ``orders`` needs ``id, id_marketplace`` (and whatever the caller groups by).  Adds the SKU
@@ -193,10 +193,15 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     no marketplace id) get a unique negative key instead of NULL, so the NULL id -- one group
     that may hold a large share of all orders -- is spread over all partitions instead of
     landing in one task.
+
+    ``selective``: the order set is a small part of all orders (a report window); the detail
+    table is then semi-joined to it before the SKU lines are read.  For whole-history reports
+    that filter removes little and would read the order header a second time, so it is off.
     """
     from .revenue import settlement_per_order, tiktok_price_per_order
     fee_fallback = tiktok.fee_fallback if tiktok else None
-    vec = sku_order_vector(cat, variant, fee_fallback, lines=sku_lines(cat, orders))
+    lines = sku_lines(cat, orders if selective else None)
+    vec = sku_order_vector(cat, variant, fee_fallback, lines=lines)
     f = orders.join(vec, orders["id"] == vec["pesanan_id"], how)
     if tiktok is None:
         return f

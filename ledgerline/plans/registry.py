@@ -26,8 +26,20 @@ from . import reports as RP
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_CATALOGS: dict[tuple[int, str], Catalog] = {}
+
+
+def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
+    """One catalog per (session, data directory): source DataFrames are defined once and
+    reused by every query of the session."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _CATALOGS:
+        _CATALOGS[key] = Catalog.from_driver_tables(spark, sf_dir)
+    return _CATALOGS[key]
+
+
 def _ctx(spark: SparkSession, sf_dir: str, window: str = "funnel"):
-    return Catalog.from_driver_tables(spark, sf_dir), ReportParams.for_fixture(window)
+    return catalog_for(spark, sf_dir), ReportParams.for_fixture(window)
 
 
 def _money(c):

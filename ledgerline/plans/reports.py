@@ -56,7 +56,7 @@ def order_level_values(cat: Catalog, params: ReportParams) -> DataFrame:
     f = order_fact(cat, pb.withColumn("marketplace", F.col("mp")), R.COGS_ORDER_LEVEL,
                    TiktokRevenueRule(settlement_distinct=True, settlement_factor=R.VAT_DIVISOR,
                                      per_order="min"),
-                   tiktok_eligible=F.col("mp") == R.TIKTOK, how="left")
+                   tiktok_eligible=F.col("mp") == R.TIKTOK, how="left", selective=True)
     parts = shopee_parts_per_order(cat).select(F.col("pesanan_id").alias("s_id"), "escrow_min")
     f = f.join(parts, (f["id"] == parts["s_id"]) & (f["mp"] == R.SHOPEE), "left")
     manual_ok = ((F.col("mp") == R.MANUAL) & F.col("u_id").isNotNull()
@@ -310,52 +310,57 @@ def tiktok_revenue_by_shop_day(cat: Catalog) -> DataFrame:
         cents(F.sum("fat_num"), R.VAT_DIVISOR).alias("fat_c"))
 
 
-def tiktok_facts_by_shop_day(cat: Catalog, params: ReportParams) -> DataFrame:
-    """TikTok revenue, packing and cost of goods per (day, shop) in one pass over the SKU lines.
+def tiktok_fact_rows(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Per valid order: TikTok revenue numerators, packing and cost of goods, keyed by
+    (day, shop), from one pass over the SKU lines.
 
-    The source builds the three measures separately and full-joins them; their keys nest (every
-    day with TikTok revenue has valid orders with SKU lines), so one aggregate over valid orders
-    gives the same rows.  A NULL day or shop would have stayed three separate rows there (NULL
-    keys never join); such groups are split back into one row per measure.
+    The source builds the three measures separately and full-joins them on (day, shop).  With a
+    NULL day or shop its rows never join, so each measure keeps a row of its own; here such an
+    order is split into one row per measure, each with its own ``tag`` (NULL for normal keys).
     """
     p = cat["pesanan"].where(valid_status())
     o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id")
     f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED, TiktokRevenueRule(settlement_distinct=False),
                    tiktok_eligible=F.col("marketplace") == R.TIKTOK)
     pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
-                          R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW)
-    g = f.groupBy(F.col("created_at").cast("date").alias("tanggal"),
-                  F.col("toko_id").alias("toko")).agg(
-        F.count(F.col("tt_omni_num")).alias("n_tiktok"),
-        cents(F.sum("tt_omni_num"), R.VAT_DIVISOR).alias("omni_c"),
-        cents(F.sum("tt_fat_num"), R.VAT_DIVISOR).alias("fat_c"),
-        F.sum(pack).alias("total_packing"),
-        F.sum(C.cogs_num_dated(params.codes.funnel_shopee_shop)).alias("hpp_num"))
-    null_key = F.col("tanggal").isNull() | F.col("toko").isNull()
-    nb, nd = F.lit(None).cast("bigint"), F.lit(None).cast("decimal(38,0)")
-    whole = F.struct(F.col("omni_c").alias("omni_c"), F.col("fat_c").alias("fat_c"),
-                     F.col("total_packing").cast("bigint").alias("total_packing"),
-                     F.col("hpp_num").cast("decimal(38,0)").alias("hpp_num"))
-    parts = F.filter(F.array(
-        F.when(F.col("n_tiktok") > 0, F.struct(F.col("omni_c").alias("omni_c"),
-                                               F.col("fat_c").alias("fat_c"),
-                                               nb.alias("total_packing"), nd.alias("hpp_num"))),
-        F.struct(nb.alias("omni_c"), nb.alias("fat_c"),
-                 F.col("total_packing").cast("bigint").alias("total_packing"), nd.alias("hpp_num")),
-        F.struct(nb.alias("omni_c"), nb.alias("fat_c"), nb.alias("total_packing"),
-                 F.col("hpp_num").cast("decimal(38,0)").alias("hpp_num"))), lambda x: x.isNotNull())
-    rows = F.when(null_key, parts).otherwise(F.array(whole))
-    return g.select("tanggal", "toko", F.explode(rows).alias("m")).select("tanggal", "toko", "m.*")
+                          R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW).cast("bigint")
+    hpp = C.cogs_num_dated(params.codes.funnel_shopee_shop).cast("decimal(38,0)")
+    omni, fat = F.col("tt_omni_num").cast("decimal(38,4)"), F.col("tt_fat_num").cast("decimal(38,4)")
+    nb, nd, n4 = (F.lit(None).cast(t) for t in ("bigint", "decimal(38,0)", "decimal(38,4)"))
+
+    def part(tag, o_, f_, k_, h_):
+        return F.struct(tag.alias("tag"), o_.alias("omni_num"), f_.alias("fat_num"),
+                        k_.alias("total_packing"), h_.alias("hpp_num"))
+    null_key = F.col("created_at").isNull() | F.col("toko_id").isNull()
+    split = F.filter(F.array(
+        F.when(omni.isNotNull(), part(F.lit(1), omni, fat, nb, nd)),
+        part(F.lit(2), n4, n4, pack, nd), part(F.lit(3), n4, n4, nb, hpp)),
+        lambda x: x.isNotNull())
+    rows = F.when(null_key, split).otherwise(F.array(part(F.lit(None).cast("int"), omni, fat,
+                                                          pack, hpp)))
+    return f.select(F.col("created_at").cast("date").alias("tanggal"),
+                    F.col("toko_id").alias("toko"), F.explode(rows).alias("m")) \
+        .select("tanggal", "toko", "m.*")
 
 
 def shop_day_tiktok(cat: Catalog, params: ReportParams) -> DataFrame:
-    o = tiktok_facts_by_shop_day(cat, params)
-    i = C.tiktok_ads_by_day(cat).withColumnRenamed("toko_id", "toko")
+    """TikTok shop-day facts: order measures and the five ad sources merged by (day, shop).
+
+    One union and one aggregate replace the source's chain of full outer joins (same rows: every
+    side is one row per key, and NULL keys stay apart through ``tag``).
+    """
+    facts = tiktok_fact_rows(cat, params)
+    ads = C.tiktok_ad_rows(cat).withColumnRenamed("toko_id", "toko")
+    u = facts.unionByName(ads, allowMissingColumns=True)
+    g = u.groupBy("tanggal", "toko", "tag").agg(
+        cents(F.sum("omni_num"), R.VAT_DIVISOR).alias("omni_c"),
+        cents(F.sum("fat_num"), R.VAT_DIVISOR).alias("fat_c"),
+        F.sum("total_packing").alias("total_packing"),
+        F.sum("hpp_num").alias("hpp_num"),
+        *C.tiktok_ad_measures())
     rc = C.ratecard_daily(cat).select(F.col("toko").alias("r_toko"), F.col("bulan").alias("r_bulan"),
                                       cents(F.col("total_bulanan"), F.col("days")).alias("rc_c"))
-    keys = ["tanggal", "toko"]
-    j = o.join(i, keys, "full")
-    j = j.join(rc, (F.col("toko") == F.col("r_toko"))
+    j = g.join(rc, (F.col("toko") == F.col("r_toko"))
                & (period(F.col("tanggal")) == F.col("r_bulan")), "left")
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     return j.select(

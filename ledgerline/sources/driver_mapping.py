@@ -47,9 +47,13 @@ class DriverMapping:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """Driver table, read once per mapping (file listing and footers are not repeated)."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     def table(self, name: str) -> DataFrame:
         ad_index = {t: i for i, (t, _, _) in enumerate(AD_SOURCES)}
