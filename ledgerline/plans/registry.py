@@ -32,7 +32,7 @@ _CATALOGS: dict[tuple[int, str], Catalog] = {}
 def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
     """One catalog per (session, data directory): source DataFrames are defined once and
     reused by every query of the session."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark._jsparkSession.sessionUUID(), sf_dir)
     if key not in _CATALOGS:
         _CATALOGS[key] = Catalog.from_driver_tables(spark, sf_dir)
     return _CATALOGS[key]
@@ -272,11 +272,11 @@ def q_key_spine_union(spark, sf_dir):
 def q_orders_in_window(spark, sf_dir):
     """Valid orders per channel in a report window given as named SQL parameters."""
     cat, params = _ctx(spark, sf_dir)
-    cat["pesanan"].createOrReplaceTempView("pesanan")
+    cat["pesanan"].createOrReplaceTempView("ledgerline_pesanan")
     start, end = params.bounds()
     return spark.sql(
         """SELECT marketplace, count(*) AS n_orders, CAST(sum(harga) AS DOUBLE) AS gross
-           FROM pesanan
+           FROM ledgerline_pesanan
            WHERE created_at >= :start_date AND created_at < :end_date
              AND status NOT IN ('BARU', 'DIBATALKAN', 'GAGAL_KIRIM', 'DIKEMBALIKAN')
            GROUP BY marketplace""",
