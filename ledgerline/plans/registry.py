@@ -269,7 +269,7 @@ def q_key_spine_union(spark, sf_dir):
     return spine.select(F.col("toko").cast("bigint").alias("toko"), "tanggal")
 
 
-def q_orders_in_window(spark, sf_dir):
+def q_date_window_param(spark, sf_dir):
     """Valid orders per channel in a report window given as named SQL parameters."""
     cat, params = _ctx(spark, sf_dir)
     cat["pesanan"].createOrReplaceTempView("ledgerline_pesanan")
@@ -321,7 +321,7 @@ QUERIES: dict[str, Query] = {
     "budget_matrix_with_total": q_budget_matrix_with_total,
     "budget_use_by_category": q_budget_use_by_category,
     "key_spine_union": q_key_spine_union,
-    "orders_in_window": q_orders_in_window,
+    "date_window_param": q_date_window_param,
     "distinct_on_first": _report(RP.order_level_numeric, "order_level"),
     "report_order_level": _report(RP.order_level_report, "order_level"),
     "report_monthly_pnl": _report(RP.monthly_pnl),
