@@ -67,14 +67,15 @@ def tiktok_price_per_order(cat: Catalog, keep_total_amount: bool = False) -> Dat
     groups by them).  ``price = original price - seller discount``; sums and minima are split by
     sign so that "best fee-adjusted amount per price row" aggregates exactly without the rows.
 
-    The table is hash-partitioned by order id once; both the distinct and the per-order
-    aggregate reuse that partitioning (one shuffle).
+    Both steps are hash aggregates with map-side partial aggregation: the distinct shuffles by
+    the whole price row, so even an order with a very large share of all price rows is spread
+    over many tasks, and the per-order sums then combine partial results.
     """
     keys = ["pesanan_id", "original_total_product_price", "seller_discount"]
     if keep_total_amount:
         keys.append("total_amount")
     ph = cat["pesanan_pembentuk_harga_tiktok_shop"].select(*keys)
-    rows = ph.repartition("pesanan_id").distinct()
+    rows = ph.distinct()
     price = F.col("original_total_product_price") - F.col("seller_discount")
     return rows.groupBy(F.col("pesanan_id").alias("price_order_id")).agg(
         F.count(F.lit(1)).alias("n_price_rows"),
