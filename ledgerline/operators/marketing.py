@@ -237,7 +237,9 @@ def budget_use(cat: Catalog, params: ReportParams) -> DataFrame:
     detail = cats.join(g, "pengeluaran", "left").select(
         "pengeluaran", z("shopee").alias("shopee"), z("tiktok").alias("tiktok"),
         z("total").alias("total"), F.lit(False).alias("is_total"))
-    total = g.join(cats, "pengeluaran", "left_semi").agg(
+    # the category relation is a fixed list: membership is a literal IN filter (a semi join
+    # against constant rows would be planned as a nested loop once pushed through the union)
+    total = g.where(F.col("pengeluaran").isin(*R.SPEND_CATEGORIES)).agg(
         F.sum(z("shopee")).alias("shopee"), F.sum(z("tiktok")).alias("tiktok"),
         F.sum(z("total")).alias("total")).select(
         F.lit("TOTAL SEMUA").alias("pengeluaran"), "shopee", "tiktok", "total",

@@ -164,3 +164,22 @@ def test_daily_ratecard_month_lengths(frames):
     cat = frames({"kelontong": rows})
     got = {r.bulan: r.days for r in C.ratecard_daily(cat).collect()}
     assert got == {"2025-02": 28, "2025-04": 30, "2025-05": 31, "2024-02": 29}
+
+
+def test_tiktok_shop_day_null_shop_keeps_measures_apart(frames):
+    """An order without a shop: revenue, packing and cost of goods stay three rows (the source
+    full-joins them on the shop, and NULL never joins); a normal order gives one row."""
+    rows = [order(1, "TIKTOK_SHOP", 1000, id_mp=5, toko=None),
+            order(2, "TIKTOK_SHOP", 1000, id_mp=6, toko=1)]
+    cat = frames({"pesanan": rows,
+                  "pesanan_pembentuk_harga_tiktok_shop": [(1, D("111"), D("111"), D("0")),
+                                                          (2, D("111"), D("111"), D("0"))],
+                  "pesanan_detail": [(10, 1), (20, 2)],
+                  "pesanan_detail_sku": [(10, "Cessa", 2), (20, "Cessa", 2)]})
+    out = RP.shop_day_tiktok(cat, PARAMS).collect()
+    null_rows = sorted((r.total_omni, r.total_packing, r.total_hpp) for r in out if r.toko_id is None)
+    normal = [(r.total_omni, r.total_packing, r.total_hpp) for r in out if r.toko_id == 1]
+    # 111 * (1 - 0.1425) * 100 / 111 = 85.75; packing 2000 (qty 2, before the switch);
+    # cost 2 * 1000 * 100 / 111 = 1801.80
+    assert null_rows == [(0.0, 0, 1801.8), (0.0, 2000, 0.0), (85.75, 0, 0.0)]
+    assert normal == [(85.75, 2000, 1801.8)]
