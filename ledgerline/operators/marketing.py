@@ -94,15 +94,19 @@ def order_counts(cat: Catalog, params: ReportParams) -> DataFrame:
         (F.col("marketplace") == R.MANUAL) & (F.col("toko_id") == codes.funnel_manual_shop)
         & ~F.col("toko_id").isin(*codes.test_shops)
         & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE, at_riva))
-    parts = cat["pesanan_pembentuk_harga_shopee"].groupBy("pesanan_id") \
-        .agg(F.count(F.lit(1)).alias("n"))
     shopee_like = shp.select("id", "created_at").unionByName(man.select("id", "created_at"))
+    ph = cat["pesanan_pembentuk_harga_shopee"]
+    ph = ph.join(shopee_like.select(F.col("id").alias("_o")), ph["pesanan_id"] == F.col("_o"),
+                 "left_semi")          # a few shops in two windows: filter the parts first
+    parts = ph.groupBy("pesanan_id").agg(F.count(F.lit(1)).alias("n"))
     a = shopee_like.join(parts, shopee_like["id"] == parts["pesanan_id"]) \
         .select("created_at", F.col("n").cast("bigint").alias("n"))
 
     tt = base.where((F.col("marketplace") == R.TIKTOK)
                     & (F.col("toko_id") == codes.funnel_tiktok_shop)).select("id", "created_at")
-    price_rows = cat["pesanan_pembentuk_harga_tiktok_shop"] \
+    pt = cat["pesanan_pembentuk_harga_tiktok_shop"]
+    price_rows = pt.join(tt.select(F.col("id").alias("_t")), pt["pesanan_id"] == F.col("_t"),
+                         "left_semi") \
         .select("pesanan_id", "original_total_product_price", "seller_discount").distinct()
     with_lines = sku_lines(cat, tt).select(F.col("pesanan_id").alias("l_id")).distinct()
     b = (tt.join(price_rows, tt["id"] == price_rows["pesanan_id"])

@@ -195,8 +195,9 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     landing in one task.
 
     ``selective``: the order set is a small part of all orders (a report window); the detail
-    table is then semi-joined to it before the SKU lines are read.  For whole-history reports
-    that filter removes little and would read the order header a second time, so it is off.
+    table, the price rows and the settlements are then semi-joined to it before they are read on.
+    For whole-history reports that filter removes little and would read the order header a
+    second time, so it is off.
     """
     from .revenue import settlement_per_order, tiktok_price_per_order
     fee_fallback = tiktok.fee_fallback if tiktok else None
@@ -206,9 +207,10 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     if tiktok is None:
         return f
     elig = F.lit(True) if tiktok_eligible is None else tiktok_eligible
-    price = tiktok_price_per_order(cat, tiktok.keep_total_amount)
+    subset = orders.where(elig) if selective else None
+    price = tiktok_price_per_order(cat, tiktok.keep_total_amount, orders=subset)
     f = f.join(price, f["id"] == price["price_order_id"], "left")
-    settle = settlement_per_order(cat, tiktok.settlement_distinct)
+    settle = settlement_per_order(cat, tiktok.settlement_distinct, orders=subset)
     can_match = elig & F.col("id_marketplace").isNotNull()
     key = F.when(can_match, F.col("id_marketplace")).otherwise(-F.col("id") - 1)
     f = f.withColumn("settle_key", key)

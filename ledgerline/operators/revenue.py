@@ -14,16 +14,27 @@ from . import rules as R
 from .orders import sku_lines, sku_order_vector
 
 
-def settlement_per_order(cat: Catalog, distinct: bool) -> DataFrame:
-    """Settled amount per marketplace order: ``SUM(DISTINCT)`` or plain ``SUM`` (per report)."""
-    tp = cat["tiktok_pencairan"]
+def _only_for(df: DataFrame, key: str, orders: DataFrame | None, order_key: str) -> DataFrame:
+    """Semi-join ``df`` to a (selective) order set before aggregating it; AQE broadcasts a small
+    order set, so the large table is filtered map-side without a shuffle."""
+    if orders is None:
+        return df
+    ids = orders.select(F.col(order_key).alias("_only_id"))
+    return df.join(ids, df[key] == ids["_only_id"], "left_semi")
+
+
+def settlement_per_order(cat: Catalog, distinct: bool, orders: DataFrame | None = None) -> DataFrame:
+    """Settled amount per marketplace order: ``SUM(DISTINCT)`` or plain ``SUM`` (per report).
+    With ``orders`` only their marketplace ids are aggregated."""
+    tp = _only_for(cat["tiktok_pencairan"], "order_id", orders, "id_marketplace")
     agg = F.sum_distinct if distinct else F.sum
     return tp.groupBy("order_id").agg(agg("total_settlement_amount").alias("settlement"))
 
 
-def shopee_parts_per_order(cat: Catalog) -> DataFrame:
-    """Shopee price parts reduced to one row per order before any join (parts may repeat)."""
-    ph = cat["pesanan_pembentuk_harga_shopee"]
+def shopee_parts_per_order(cat: Catalog, orders: DataFrame | None = None) -> DataFrame:
+    """Shopee price parts reduced to one row per order before any join (parts may repeat).
+    With ``orders`` (a selective set with ``id``) only their parts are read on."""
+    ph = _only_for(cat["pesanan_pembentuk_harga_shopee"], "pesanan_id", orders, "id")
     return ph.groupBy("pesanan_id").agg(
         F.count(F.lit(1)).alias("n_parts"),
         F.sum("escrow_amount").alias("escrow_sum"),
@@ -62,7 +73,8 @@ def tiktok_order_revenue(cat: Catalog, orders: DataFrame, fee_fallback: str | No
                     omni.alias("omni_num"), (price * 100).alias("fat_num"))
 
 
-def tiktok_price_per_order(cat: Catalog, keep_total_amount: bool = False) -> DataFrame:
+def tiktok_price_per_order(cat: Catalog, keep_total_amount: bool = False,
+                           orders: DataFrame | None = None) -> DataFrame:
     """TikTok price rows reduced to one row per order (distinct price rows first, as the source
     groups by them).  ``price = original price - seller discount``; sums and minima are split by
     sign so that "best fee-adjusted amount per price row" aggregates exactly without the rows.
@@ -74,8 +86,8 @@ def tiktok_price_per_order(cat: Catalog, keep_total_amount: bool = False) -> Dat
     keys = ["pesanan_id", "original_total_product_price", "seller_discount"]
     if keep_total_amount:
         keys.append("total_amount")
-    ph = cat["pesanan_pembentuk_harga_tiktok_shop"].select(*keys)
-    rows = ph.distinct()
+    ph = _only_for(cat["pesanan_pembentuk_harga_tiktok_shop"], "pesanan_id", orders, "id")
+    rows = ph.select(*keys).distinct()
     price = F.col("original_total_product_price") - F.col("seller_discount")
     return rows.groupBy(F.col("pesanan_id").alias("price_order_id")).agg(
         F.count(F.lit(1)).alias("n_price_rows"),

@@ -57,7 +57,8 @@ def order_level_values(cat: Catalog, params: ReportParams) -> DataFrame:
                    TiktokRevenueRule(settlement_distinct=True, settlement_factor=R.VAT_DIVISOR,
                                      per_order="min"),
                    tiktok_eligible=F.col("mp") == R.TIKTOK, how="left", selective=True)
-    parts = shopee_parts_per_order(cat).select(F.col("pesanan_id").alias("s_id"), "escrow_min")
+    parts = shopee_parts_per_order(cat, orders=pb.where(F.col("mp") == R.SHOPEE)) \
+        .select(F.col("pesanan_id").alias("s_id"), "escrow_min")
     f = f.join(parts, (f["id"] == parts["s_id"]) & (f["mp"] == R.SHOPEE), "left")
     manual_ok = ((F.col("mp") == R.MANUAL) & F.col("u_id").isNotNull()
                  & ~F.col("user_name").isin(*codes.denied_users)
