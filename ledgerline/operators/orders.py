@@ -180,7 +180,7 @@ class TiktokRevenueRule:
 
 def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
                tiktok: TiktokRevenueRule | None = None, tiktok_eligible: Column | None = None,
-               how: str = "inner", selective: bool = False) -> DataFrame:
+               how: str = "inner", prefilter: DataFrame | None = None) -> DataFrame:
     """Orders joined 1:1 to everything the reports compute from SKU lines and price rows.
 
     ``orders`` needs ``id, id_marketplace`` (and whatever the caller groups by).  Adds the SKU
@@ -194,20 +194,21 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     that may hold a large share of all orders -- is spread over all partitions instead of
     landing in one task.
 
-    ``selective``: the order set is a small part of all orders (a report window); the detail
-    table, the price rows and the settlements are then semi-joined to it before they are read on.
-    For whole-history reports that filter removes little and would read the order header a
-    second time, so it is off.
+    ``prefilter``: for a report window, a cheap superset of the orders (``id, id_marketplace,
+    marketplace``; a filtered scan of the order header, no shuffle).  The detail table, the price
+    rows and the settlements are semi-joined to it before they are read on.  A superset is
+    enough because the joins with ``orders`` decide; it avoids recomputing an expensive order
+    set (e.g. after de-duplication) once per semi join.  Whole-history reports leave it off.
     """
     from .revenue import settlement_per_order, tiktok_price_per_order
     fee_fallback = tiktok.fee_fallback if tiktok else None
-    lines = sku_lines(cat, orders if selective else None)
+    lines = sku_lines(cat, prefilter)
     vec = sku_order_vector(cat, variant, fee_fallback, lines=lines)
     f = orders.join(vec, orders["id"] == vec["pesanan_id"], how)
     if tiktok is None:
         return f
     elig = F.lit(True) if tiktok_eligible is None else tiktok_eligible
-    subset = orders.where(elig) if selective else None
+    subset = None if prefilter is None else prefilter.where(F.col("marketplace") == R.TIKTOK)
     price = tiktok_price_per_order(cat, tiktok.keep_total_amount, orders=subset)
     f = f.join(price, f["id"] == price["price_order_id"], "left")
     settle = settlement_per_order(cat, tiktok.settlement_distinct, orders=subset)

@@ -51,13 +51,16 @@ def order_level_values(cat: Catalog, params: ReportParams) -> DataFrame:
     """
     codes = params.codes
     pb = clean_orders(cat, params, "order_level")
+    start, end = params.bounds()
+    window = cat["pesanan"].where(in_window(F.col("created_at"), start, end) & valid_status()) \
+        .select("id", "id_marketplace", "marketplace")    # cheap superset of the survivors
     u = cat["users_omni"].select(F.col("id").alias("u_id"), F.col("name").alias("user_name"))
     pb = pb.join(u, pb["atur_by"] == u["u_id"], "left")
     f = order_fact(cat, pb.withColumn("marketplace", F.col("mp")), R.COGS_ORDER_LEVEL,
                    TiktokRevenueRule(settlement_distinct=True, settlement_factor=R.VAT_DIVISOR,
                                      per_order="min"),
-                   tiktok_eligible=F.col("mp") == R.TIKTOK, how="left", selective=True)
-    parts = shopee_parts_per_order(cat, orders=pb.where(F.col("mp") == R.SHOPEE)) \
+                   tiktok_eligible=F.col("mp") == R.TIKTOK, how="left", prefilter=window)
+    parts = shopee_parts_per_order(cat, orders=window.where(F.col("marketplace") == R.SHOPEE)) \
         .select(F.col("pesanan_id").alias("s_id"), "escrow_min")
     f = f.join(parts, (f["id"] == parts["s_id"]) & (f["mp"] == R.SHOPEE), "left")
     manual_ok = ((F.col("mp") == R.MANUAL) & F.col("u_id").isNotNull()
