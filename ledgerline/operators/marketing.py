@@ -163,14 +163,28 @@ def budget_by_product_month(cat: Catalog, params: ReportParams) -> DataFrame:
 
 
 def budget_matrix(cat: Catalog, params: ReportParams) -> DataFrame:
-    """Product x month matrix plus a total row (always present, NULL sums when empty)."""
-    r = budget_by_product_month(cat, params)
-    cols = [F.sum(F.when(F.col("bulan") == m, F.col("total_biaya")).otherwise(0)).alias(label)
+    """Product x month matrix plus a total row (always present, NULL sums when empty).
+
+    Detail rows and the total come from one aggregate with grouping sets ((product), ()), so
+    the SKU lines are read once.  Grouping sets give no total row on empty input, so one marker
+    row is added that contributes NULL to every sum (its own product group is dropped).
+    """
+    r = budget_by_product_month(cat, params).select(
+        "produk", "bulan", "total_biaya", F.lit(False).alias("marker"))
+    marker = cat.spark.range(1).select(
+        F.lit(None).cast("string").alias("produk"), F.lit(None).cast("int").alias("bulan"),
+        F.lit(None).cast(r.schema["total_biaya"].dataType).alias("total_biaya"),
+        F.lit(True).alias("marker"))
+    u = r.unionByName(marker)
+    cols = [F.sum(F.when(F.col("marker"), F.lit(None))
+                  .when(F.col("bulan") == m, F.col("total_biaya")).otherwise(0)).alias(label)
             for m, label in R.BUDGET_MONTH_LABELS]
-    detail = r.groupBy(F.col("produk").alias("PRODUK")).agg(*cols) \
-        .withColumn("is_total", F.lit(False))
-    total = r.agg(*cols).withColumn("PRODUK", F.lit("TOTAL")).withColumn("is_total", F.lit(True))
-    return detail.unionByName(total)
+    g = u.groupingSets([["produk"], []], "produk").agg(*cols, F.grouping_id().alias("gid"))
+    is_total = F.col("gid") == 1
+    # products are never NULL here (the keyword filter drops them): a NULL detail key is the marker
+    g = g.where(is_total | F.col("produk").isNotNull())
+    return g.select(F.when(is_total, F.lit("TOTAL")).otherwise(F.col("produk")).alias("PRODUK"),
+                    *[label for _, label in R.BUDGET_MONTH_LABELS], is_total.alias("is_total"))
 
 
 def budget_previous_month(cat: Catalog, params: ReportParams) -> DataFrame:
@@ -194,7 +208,8 @@ def budget_previous_month(cat: Catalog, params: ReportParams) -> DataFrame:
 
 
 def spend_by_category(cat: Catalog, params: ReportParams) -> DataFrame:
-    """Spend rows (category, shopee, tiktok, total): marketing table, samples, Facebook ads."""
+    """Spend rows (category, shopee, tiktok, total, src): marketing table per category, samples,
+    Facebook ads; ``src`` tells the three apart (a category may come from more than one)."""
     codes = params.codes
     start, end = params.bounds()
     m = cat["marketing"].where(in_window(F.col("tanggal"), start, end))
@@ -202,7 +217,7 @@ def spend_by_category(cat: Catalog, params: ReportParams) -> DataFrame:
     mk = m.groupBy(F.col("jenis_pengeluaran").alias("pengeluaran")).agg(
         F.sum(F.when(F.col("platform") == R.SHOPEE, F.col("nominal"))).cast(money).alias("shopee"),
         F.sum(F.when(F.col("platform") == R.TIKTOK, F.col("nominal"))).cast(money).alias("tiktok"),
-        F.sum("nominal").cast(money).alias("total"))
+        F.sum("nominal").cast(money).alias("total")).withColumn("src", F.lit("marketing"))
 
     p = orders_with_fields(cat).where(in_window(F.col("created_at"), start, end) & valid_status())
     wh = F.col("toko_id") == F.lit(codes.warehouse_shop)
@@ -218,7 +233,8 @@ def spend_by_category(cat: Catalog, params: ReportParams) -> DataFrame:
     t_amt = F.coalesce(F.sum(F.when(F.col("is_t"), v)), F.lit(0))
     sample = j.agg(s_amt.alias("s"), t_amt.alias("t")).select(
         F.lit("SAMPEL").alias("pengeluaran"), F.col("s").cast(money).alias("shopee"),
-        F.col("t").cast(money).alias("tiktok"), (F.col("s") + F.col("t")).cast(money).alias("total"))
+        F.col("t").cast(money).alias("tiktok"), (F.col("s") + F.col("t")).cast(money).alias("total"),
+        F.lit("sample").alias("src"))
 
     fb = cat["facebook_iklan"].where(
         in_window(F.col("awal_pelaporan"), start, end)
@@ -226,30 +242,34 @@ def spend_by_category(cat: Catalog, params: ReportParams) -> DataFrame:
         & (F.col("toko_id") == codes.funnel_manual_shop))
     s = F.sum("jumlah_yang_dibelanjakan").cast(money)
     face = fb.agg(s.alias("shopee"), F.lit(0).cast(money).alias("tiktok"), s.alias("total")) \
-        .select(F.lit("IKLAN FACEBOOK").alias("pengeluaran"), "shopee", "tiktok", "total")
+        .select(F.lit("IKLAN FACEBOOK").alias("pengeluaran"), "shopee", "tiktok", "total",
+                F.lit("facebook").alias("src"))
     return mk.unionByName(sample).unionByName(face)
 
 
 def budget_use(cat: Catalog, params: ReportParams) -> DataFrame:
     """Spend per category of the fixed list (empty categories kept) plus the total row,
-    with the percent of the previous month's accrued budget in tenths."""
+    with the percent of the previous month's accrued budget in tenths.
+
+    Detail rows (one per category and spend source) and the total are one aggregate with
+    grouping sets, so the spend sources are read once; the budget is a scalar subquery.
+    """
     spark = cat.spark
     cats = spark.createDataFrame([(c,) for c in R.SPEND_CATEGORIES], "pengeluaran STRING")
     g = spend_by_category(cat, params)
     budget = budget_previous_month(cat, params)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     detail = cats.join(g, "pengeluaran", "left").select(
-        "pengeluaran", z("shopee").alias("shopee"), z("tiktok").alias("tiktok"),
-        z("total").alias("total"), F.lit(False).alias("is_total"))
-    # the category relation is a fixed list: membership is a literal IN filter (a semi join
-    # against constant rows would be planned as a nested loop once pushed through the union)
-    total = g.where(F.col("pengeluaran").isin(*R.SPEND_CATEGORIES)).agg(
-        F.sum(z("shopee")).alias("shopee"), F.sum(z("tiktok")).alias("tiktok"),
-        F.sum(z("total")).alias("total")).select(
-        F.lit("TOTAL SEMUA").alias("pengeluaran"), "shopee", "tiktok", "total",
-        F.lit(True).alias("is_total"))
-    # the budget is a one-row global aggregate: a scalar subquery, not a join
-    rows = detail.unionByName(total).withColumn("total_budget_marketing", budget.scalar())
+        "pengeluaran", "src", z("shopee").alias("shopee"), z("tiktok").alias("tiktok"),
+        z("total").alias("total"))
+    a = detail.groupingSets([["pengeluaran", "src"], []], "pengeluaran", "src").agg(
+        F.sum("shopee").alias("shopee"), F.sum("tiktok").alias("tiktok"),
+        F.sum("total").alias("total"), F.grouping_id().alias("gid"))
+    is_total = F.col("gid") != 0
+    rows = a.select(F.when(is_total, F.lit("TOTAL SEMUA")).otherwise(F.col("pengeluaran"))
+                    .alias("pengeluaran"), "shopee", "tiktok", "total",
+                    is_total.alias("is_total"))
+    rows = rows.withColumn("total_budget_marketing", budget.scalar())
     b = F.col("total_budget_marketing")
     tenths = ratio_round(F.col("total") * 100, b, 1)
     return rows.select("*", F.when(b.isNotNull() & (b != 0), tenths).alias("pct_tenths"))
