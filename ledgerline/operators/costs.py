@@ -79,14 +79,15 @@ def ad_spend_by_period(cat: Catalog) -> DataFrame:
     return allp.groupBy("periode").agg(F.sum("cost").alias("total_iklan"))
 
 
-def _shopee_ad_parts(cat: Catalog) -> list[DataFrame]:
+def shopee_ad_parts(cat: Catalog) -> list[DataFrame]:
+    """The 7 Shopee ad sources as rows ``toko, tanggal, cost`` (see ``_ad_source``)."""
     keys = [F.col("toko_id").alias("toko"), F.col("d").cast("date").alias("tanggal")]
     return [_ad_source(cat, t, dc, ac, keys) for t, dc, ac in SHOPEE_AD_SOURCES]
 
 
 def shopee_ad_spend_by_day(cat: Catalog) -> DataFrame:
     """The 7 Shopee ad sources per shop and day."""
-    allp = reduce(DataFrame.unionByName, _shopee_ad_parts(cat))
+    allp = reduce(DataFrame.unionByName, shopee_ad_parts(cat))
     return allp.groupBy("toko", "tanggal").agg(F.sum("cost").alias("total_iklan"))
 
 
@@ -112,7 +113,7 @@ def shopee_ads_and_affiliate(cat: Catalog, parts: DataFrame) -> DataFrame:
     """
     ads = [a.withColumn("tag", null_key_tag(1, "toko", "tanggal"))
            .select("toko", "tanggal", "tag", "cost", F.lit(None).cast("decimal(38,2)").alias("aff"))
-           for a in _shopee_ad_parts(cat)]
+           for a in shopee_ad_parts(cat)]
     aff = shopee_affiliate_rows(cat, parts).withColumn("tag", null_key_tag(2, "toko", "tanggal")) \
         .select("toko", "tanggal", "tag", F.lit(None).cast("decimal(38,2)").alias("cost"),
                 F.col("aff").cast("decimal(38,2)").alias("aff"))

@@ -11,6 +11,8 @@ R7 ``shop_day_tiktok``   TikTok shop x day facts
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -272,18 +274,36 @@ def shop_day_shopee(cat: Catalog, params: ReportParams) -> DataFrame:
     """Shopee shop-day facts for days with turnover; the three overhead columns stay NULL when a
     shop has no allocation that month, every other measure is zero-filled.
 
-    The source unions the keys of all measures and then keeps days with Shopee turnover, so the
-    turnover drives and everything else is a left join (one row per key on every side).
+    The source unions the keys of all measures and then keeps days with Shopee turnover.  Here
+    the price parts are read once for both turnover (Shopee, valid orders) and affiliate
+    commission (every order), merged with the seven ad sources in one aggregate per (shop, day);
+    turnover > 0 then drives, and the SKU-based costs and overhead are left joins.
     """
-    om = shopee_revenue_by_shop_day(cat).where(
-        (F.col("omni_n") > 0) & F.col("toko").isNotNull() & F.col("tanggal").isNotNull())
     parts = shopee_parts_per_order(cat)
-    ads = C.shopee_ads_and_affiliate(cat, parts)
+    p = cat["pesanan"].select("id", "toko_id", "created_at", "marketplace", "status")
+    j = parts.join(p, parts["pesanan_id"] == p["id"])
+    counted = (F.col("marketplace") == R.SHOPEE) & valid_status()
+    dec = "decimal(38,2)"
+    part_rows = j.select(F.col("toko_id").alias("toko"),
+                         F.col("created_at").cast("date").alias("tanggal"),
+                         F.when(counted, F.col("escrow_sum")).cast(dec).alias("escrow"),
+                         F.when(counted, F.col("fat_sum")).cast(dec).alias("fat"),
+                         F.col("commission_sum").cast(dec).alias("aff"),
+                         F.lit(None).cast(dec).alias("cost"))
+    ad_rows = [a.select("toko", "tanggal", F.lit(None).cast(dec).alias("escrow"),
+                        F.lit(None).cast(dec).alias("fat"), F.lit(None).cast(dec).alias("aff"),
+                        "cost") for a in C.shopee_ad_parts(cat)]
+    u = reduce(DataFrame.unionByName, [part_rows] + ad_rows)
+    om = u.groupBy("toko", "tanggal").agg(
+        (F.sum("escrow") * 100).alias("omni_n"), (F.sum("fat") * 100).alias("fat_n"),
+        F.coalesce(F.sum("cost"), F.lit(0)).alias("total_iklan"),
+        F.coalesce(F.sum("aff"), F.lit(0)).alias("total_aff"))
+    om = om.where((F.col("omni_n") > 0) & F.col("toko").isNotNull() & F.col("tanggal").isNotNull())
     costs = shopee_costs_by_shop_day(cat, params)
     bb = C.overhead_allocation(cat)
     toko = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("nama_toko"))
     keys = ["toko", "tanggal"]
-    j = (om.join(ads, keys, "left").join(costs, keys, "left")
+    j = (om.join(costs, keys, "left")
          .withColumn("tahun", F.year("tanggal")).withColumn("bulan", F.month("tanggal"))
          .join(bb, ["toko", "tahun", "bulan"], "left")
          .join(toko, F.col("toko") == F.col("t_id")))
@@ -386,27 +406,35 @@ def funnel_numeric(cat: Catalog, params: ReportParams) -> DataFrame:
 
 
 def funnel_report(cat: Catalog, params: ReportParams) -> DataFrame:
-    """Two rows of dashboard HTML: absolute numbers, then percentages."""
+    """Two rows of dashboard HTML: absolute numbers, then percentages.
+
+    Both rows come from one pass over the one-row aggregate (``inline`` of two structs); a
+    union of two projections would compute the whole funnel twice.
+    """
     f = funnel_numeric(cat, params)
-    groups = (("KOL", "kol"), ("AM", "am"), ("INTERNAL", "int"))
 
     def whole(c: Column) -> Column:   # ROUND(x)::text of a decimal with up to 4 places
         return div_round_half_away((c * 10000).cast("decimal(38,0)"), 10000).cast("string")
 
-    row1, row2 = [], []
-    for label, p in groups:
-        row1 += [P.span(F.col(f"{p}_aw").cast("string"), label, 500).alias(f"{label} A"),
-                 P.span(F.col(f"{p}_in").cast("string"), label, 500).alias(f"{label} I"),
-                 P.span(whole(F.col(f"{p}_de")), label, 500).alias(f"{label} D")]
-        row2 += [F.lit(None).cast("string").alias(f"{label} A"),
-                 P.span(F.concat(fixed_text(F.col(f"{p}_in_pct"), 2), F.lit("%")), label, 400)
-                 .alias(f"{label} I"),
-                 P.span(F.concat(fixed_text(F.col(f"{p}_de_pct"), 2), F.lit("%")), label, 400)
-                 .alias(f"{label} D")]
-    row1.append(P.span(F.col("total_orders").cast("string"), "ACTION", 500).alias("ACTION"))
-    row2.append(P.span(F.concat(fixed_text(F.col("action_pct"), 2), F.lit("%")), "ACTION", 400)
-                .alias("ACTION"))
-    return f.select(*row1).unionByName(f.select(*row2))
+    def pct(c: str) -> Column:
+        return F.concat(fixed_text(F.col(c), 2), F.lit("%"))
+
+    labels, row1, row2 = [], [], []
+    for label, p in (("KOL", "kol"), ("AM", "am"), ("INTERNAL", "int")):
+        labels += [f"{label} A", f"{label} I", f"{label} D"]
+        row1 += [P.span(F.col(f"{p}_aw").cast("string"), label, 500),
+                 P.span(F.col(f"{p}_in").cast("string"), label, 500),
+                 P.span(whole(F.col(f"{p}_de")), label, 500)]
+        row2 += [F.lit(None).cast("string"),
+                 P.span(pct(f"{p}_in_pct"), label, 400),
+                 P.span(pct(f"{p}_de_pct"), label, 400)]
+    labels.append("ACTION")
+    row1.append(P.span(F.col("total_orders").cast("string"), "ACTION", 500))
+    row2.append(P.span(pct("action_pct"), "ACTION", 400))
+
+    def as_row(cols):
+        return F.struct(*[c.alias(n) for c, n in zip(cols, labels)])
+    return f.select(F.inline(F.array(as_row(row1), as_row(row2))))
 
 
 # --- R2 budget matrix ----------------------------------------------------------------------------
