@@ -26,18 +26,29 @@ from . import reports as RP
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_CATALOGS: dict[tuple[int, str], Catalog] = {}
+_CATALOGS: dict[tuple[str, str], Catalog] = {}
+STAGING_SUBDIR = "ledgerline-sources"      # folder under spark.checkpoint.dir
 
 
 def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
-    """One catalog per (session, data directory): source DataFrames are defined once and
-    reused by every query of the session."""
+    """One catalog per (session, data directory).  The source tables derived from the driver
+    tables are staged once as Parquet in the session's checkpoint folder, so every query reads
+    stored source tables like a deployment does instead of re-deriving them in its plan."""
     key = (spark._jsparkSession.sessionUUID(), sf_dir)
     if key not in _CATALOGS:
-        _CATALOGS[key] = Catalog.from_driver_tables(spark, sf_dir)
+        _CATALOGS[key] = Catalog.from_driver_tables(spark, sf_dir, staged=True,
+                                                    subdir=STAGING_SUBDIR)
     return _CATALOGS[key]
 
 
+def stage_sources(spark: SparkSession, sf_dir: str) -> None:
+    """Stage all derived source tables now (otherwise each is staged on first use)."""
+    from ..sources import SCHEMAS
+    cat = catalog_for(spark, sf_dir)
+    for name in SCHEMAS:
+        cat[name]
+
+
 def _ctx(spark: SparkSession, sf_dir: str, window: str = "funnel"):
     return catalog_for(spark, sf_dir), ReportParams.for_fixture(window)
 

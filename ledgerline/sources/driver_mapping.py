@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .schemas import AD_SOURCES
+from .schemas import AD_SOURCES, SCHEMAS
 
 # fixed values of the fixture mapping
 PRIORITY_CHANNEL = (("2-HIGH", "TIKTOK_SHOP"), ("3-MEDIUM", "MANUAL"),
@@ -43,6 +43,13 @@ def _money(c: Column) -> Column:
     return c.cast("decimal(18,2)")
 
 
+def conform(df: DataFrame, name: str) -> DataFrame:
+    """Select the declared columns of ``name`` in order, cast to their declared types."""
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(SCHEMAS[name])
+    return df.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 class DriverMapping:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -56,12 +63,15 @@ class DriverMapping:
         return self._raw[name]
 
     def table(self, name: str) -> DataFrame:
+        """The derived table, cast to the declared schema of the source table."""
         ad_index = {t: i for i, (t, _, _) in enumerate(AD_SOURCES)}
         if name in ad_index:
-            return self._ad_table(ad_index[name])
-        if name.startswith("sheet2_"):
-            return self._sheet(name)
-        return getattr(self, "_" + name)()
+            df = self._ad_table(ad_index[name])
+        elif name.startswith("sheet2_"):
+            df = self._sheet(name)
+        else:
+            df = getattr(self, "_" + name)()
+        return conform(df, name)
 
     # --- orders ------------------------------------------------------------------------------
     def _orders_customer(self) -> DataFrame:
