@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import cents, div_round_half_away, ratio_round
@@ -187,55 +187,63 @@ def budget_matrix(cat: Catalog, params: ReportParams) -> DataFrame:
                     *[label for _, label in R.BUDGET_MONTH_LABELS], is_total.alias("is_total"))
 
 
-def budget_previous_month(cat: Catalog, params: ReportParams) -> DataFrame:
-    """Accrued budget of the calendar month before the window (one row, NULL when nothing)."""
+def budget_and_samples(cat: Catalog, params: ReportParams) -> DataFrame:
+    """One row from one pass over the SKU lines: the accrued budget of the calendar month before
+    the window (``total_budget_marketing``, NULL when nothing) and the sample costs of the
+    window for Shopee (``s``) and TikTok (``t``)."""
     codes = params.codes
-    start, end = params.previous_calendar_month()
+    prev_s, prev_e = params.previous_calendar_month()
+    start, end = params.bounds()
     p = orders_with_fields(cat)
     mp = F.col("marketplace")
-    at_wh = F.col("toko_id") == F.lit(codes.warehouse_shop)
+    wh = F.col("toko_id") == F.lit(codes.warehouse_shop)
     manual_ok = ((F.col("cust_tipe") != R.ENDORSE) & ~F.col("toko_id").isin(*codes.test_shops)
                  & (F.col("harga") > 0)
-                 & not_name_at(F.col("cust_nama"), (*R.WAREHOUSE_NAME_KEYWORDS_LOOSE, R.NAKAMA),
-                               at_wh))
-    keep = (in_window(F.col("created_at"), start, end) & valid_status()
-            & mp.isin(R.SHOPEE, R.TIKTOK, R.MANUAL) & ((mp != R.MANUAL) | manual_ok))
-    o = p.where(keep).select("id")
-    lines = sku_lines(cat, o).where(R.matches_any(F.col("nama"), R.BUDGET_PRODUCT_KEYWORDS))
-    j = lines.join(o, lines["pesanan_id"] == o["id"], "left_semi")
-    return j.agg(F.sum(F.col("qty") * R.rate_per_unit(F.col("nama"), R.BUDGET_RATES))
-                 .alias("total_budget_marketing"))
+                 & not_name_at(F.col("cust_nama"), (*R.WAREHOUSE_NAME_KEYWORDS_LOOSE, R.NAKAMA), wh))
+    in_budget = (in_window(F.col("created_at"), prev_s, prev_e) & valid_status()
+                 & mp.isin(R.SHOPEE, R.TIKTOK, R.MANUAL) & ((mp != R.MANUAL) | manual_ok))
+    in_win = in_window(F.col("created_at"), start, end) & valid_status()
+    is_s = in_win & (F.col("cust_tipe") == R.ENDORSE) & wh \
+        & F.col("cust_nama_toko").ilike(f"%{R.SAMPLE_SHOPEE_STORE}%")
+    is_t = in_win & ((F.col("toko_id") == F.lit(codes.sample_tiktok_shop))
+                     | (wh & F.col("cust_nama_toko").ilike(f"%{R.SAMPLE_TIKTOK_STORE}%")))
+    o = p.where(in_budget | is_s | is_t).select(
+        "id", in_budget.alias("in_budget"), is_s.alias("is_s"), is_t.alias("is_t"))
+    lines = sku_lines(cat, o)
+    j = lines.join(o, lines["pesanan_id"] == o["id"])
+    budget_line = F.col("in_budget") & R.matches_any(F.col("nama"), R.BUDGET_PRODUCT_KEYWORDS)
+    b = F.col("qty") * R.rate_per_unit(F.col("nama"), R.BUDGET_RATES)
+    v = F.col("qty") * R.rate_per_unit(F.col("nama"), R.SAMPLE_RATES)
+    return j.agg(F.sum(F.when(budget_line, b)).alias("total_budget_marketing"),
+                 F.coalesce(F.sum(F.when(F.col("is_s"), v)), F.lit(0)).alias("s"),
+                 F.coalesce(F.sum(F.when(F.col("is_t"), v)), F.lit(0)).alias("t"))
+
+
+def budget_previous_month(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Accrued budget of the calendar month before the window (one row, NULL when nothing)."""
+    return budget_and_samples(cat, params).select("total_budget_marketing")
 
 
 def spend_by_category(cat: Catalog, params: ReportParams) -> DataFrame:
     """Spend rows (category, shopee, tiktok, total, src): marketing table per category, samples,
-    Facebook ads; ``src`` tells the three apart (a category may come from more than one)."""
+    Facebook ads; ``src`` tells the three apart (a category may come from more than one).  The
+    sample row also carries the accrued budget (``total_budget_marketing``, NULL elsewhere):
+    both come from the same pass over the SKU lines."""
     codes = params.codes
     start, end = params.bounds()
-    m = cat["marketing"].where(in_window(F.col("tanggal"), start, end))
     money = "decimal(38,2)"
+    nb = F.lit(None).cast("bigint").alias("total_budget_marketing")
+    m = cat["marketing"].where(in_window(F.col("tanggal"), start, end))
     mk = m.groupBy(F.col("jenis_pengeluaran").alias("pengeluaran")).agg(
         F.sum(F.when(F.col("platform") == R.SHOPEE, F.col("nominal"))).cast(money).alias("shopee"),
         F.sum(F.when(F.col("platform") == R.TIKTOK, F.col("nominal"))).cast(money).alias("tiktok"),
-        F.sum("nominal").cast(money).alias("total")).withColumn("src", F.lit("marketing"))
-
-    p = orders_with_fields(cat).where(in_window(F.col("created_at"), start, end) & valid_status())
-    wh = F.col("toko_id") == F.lit(codes.warehouse_shop)
-    is_s = ((F.col("cust_tipe") == R.ENDORSE) & wh
-            & F.col("cust_nama_toko").ilike(f"%{R.SAMPLE_SHOPEE_STORE}%"))
-    is_t = (F.col("toko_id") == F.lit(codes.sample_tiktok_shop)) | (
-        wh & F.col("cust_nama_toko").ilike(f"%{R.SAMPLE_TIKTOK_STORE}%"))
-    o = p.where(is_s | is_t).select("id", is_s.alias("is_s"), is_t.alias("is_t"))
-    lines = sku_lines(cat, o)
-    j = lines.join(o, lines["pesanan_id"] == o["id"])
-    v = F.col("qty") * R.rate_per_unit(F.col("nama"), R.SAMPLE_RATES)
-    s_amt = F.coalesce(F.sum(F.when(F.col("is_s"), v)), F.lit(0))
-    t_amt = F.coalesce(F.sum(F.when(F.col("is_t"), v)), F.lit(0))
-    sample = j.agg(s_amt.alias("s"), t_amt.alias("t")).select(
+        F.sum("nominal").cast(money).alias("total")).select("*", F.lit("marketing").alias("src"), nb)
+    bs = budget_and_samples(cat, params)
+    sample = bs.select(
         F.lit("SAMPEL").alias("pengeluaran"), F.col("s").cast(money).alias("shopee"),
         F.col("t").cast(money).alias("tiktok"), (F.col("s") + F.col("t")).cast(money).alias("total"),
-        F.lit("sample").alias("src"))
-
+        F.lit("sample").alias("src"),
+        F.col("total_budget_marketing").cast("bigint").alias("total_budget_marketing"))
     fb = cat["facebook_iklan"].where(
         in_window(F.col("awal_pelaporan"), start, end)
         & (F.col("imported_by") == codes.facebook_importer)
@@ -243,7 +251,7 @@ def spend_by_category(cat: Catalog, params: ReportParams) -> DataFrame:
     s = F.sum("jumlah_yang_dibelanjakan").cast(money)
     face = fb.agg(s.alias("shopee"), F.lit(0).cast(money).alias("tiktok"), s.alias("total")) \
         .select(F.lit("IKLAN FACEBOOK").alias("pengeluaran"), "shopee", "tiktok", "total",
-                F.lit("facebook").alias("src"))
+                F.lit("facebook").alias("src"), nb)
     return mk.unionByName(sample).unionByName(face)
 
 
@@ -252,29 +260,32 @@ def budget_use(cat: Catalog, params: ReportParams) -> DataFrame:
     with the percent of the previous month's accrued budget in tenths.
 
     Detail rows (one per category and spend source) and the total are one aggregate with
-    grouping sets, so the spend sources are read once; the budget is a scalar subquery.
+    grouping sets; the SKU lines are read once for samples and budget together.  The budget
+    rides on the sample row and is spread over the result rows with a window over that small,
+    already aggregated result (one row per spend category, plus the total).
     """
     spark = cat.spark
     cats = spark.createDataFrame([(c,) for c in R.SPEND_CATEGORIES], "pengeluaran STRING")
     g = spend_by_category(cat, params)
-    budget = budget_previous_month(cat, params)
     z = lambda c: F.coalesce(F.col(c), F.lit(0))
     detail = cats.join(g, "pengeluaran", "left").select(
         "pengeluaran", "src", z("shopee").alias("shopee"), z("tiktok").alias("tiktok"),
-        z("total").alias("total"))
+        z("total").alias("total"), "total_budget_marketing")
     a = detail.groupingSets([["pengeluaran", "src"], []], "pengeluaran", "src").agg(
         F.sum("shopee").alias("shopee"), F.sum("tiktok").alias("tiktok"),
-        F.sum("total").alias("total"), F.grouping_id().alias("gid"))
+        F.sum("total").alias("total"), F.max("total_budget_marketing").alias("b"),
+        F.grouping_id().alias("gid"))
     is_total = F.col("gid") != 0
+    everything = Window.partitionBy(F.lit(0))   # the handful of report rows
     rows = a.select(F.when(is_total, F.lit("TOTAL SEMUA")).otherwise(F.col("pengeluaran"))
                     .alias("pengeluaran"), "shopee", "tiktok", "total",
-                    is_total.alias("is_total"))
-    rows = rows.withColumn("total_budget_marketing", budget.scalar())
+                    is_total.alias("is_total"),
+                    F.max("b").over(everything).alias("total_budget_marketing"))
     b = F.col("total_budget_marketing")
     tenths = ratio_round(F.col("total") * 100, b, 1)
     return rows.select("*", F.when(b.isNotNull() & (b != 0), tenths).alias("pct_tenths"))
 
 
 __all__ = ["funnel_stages", "funnel_totals", "order_counts", "funnel_ratios",
-           "budget_by_product_month", "budget_matrix", "budget_previous_month",
+           "budget_by_product_month", "budget_matrix", "budget_and_samples", "budget_previous_month",
            "spend_by_category", "budget_use", "cents", "div_round_half_away"]
