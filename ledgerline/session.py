@@ -35,10 +35,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only when it is unset (local tests) make one."""
-    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    """The shared folder for checkpoints and written intermediate tables.
+
+    Uses the cluster's ``spark.checkpoint.dir`` (or a directory already registered on the
+    context); only when neither is set (local runs, tests) a directory is created.  The setting
+    is a core config that cannot be changed at runtime, so it is registered on the context.
+    """
+    sc = spark.sparkContext
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d if "://" in d else os.path.abspath(d))
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d if "://" in d else os.path.abspath(d))
     return d
