@@ -9,6 +9,7 @@ filters into each scan.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,8 +63,12 @@ class Catalog:
         return Catalog(spark, StagedTables(spark, mapping, subdir).table)
 
 
+_STAGE_LOCK = threading.Lock()
+
+
 class StagedTables:
-    """Write-once Parquet copies of derived tables in the shared checkpoint folder."""
+    """Write-once Parquet copies of derived tables in the session's checkpoint folder
+    (a per-session folder, so concurrent sessions never write the same path)."""
 
     def __init__(self, spark: SparkSession, mapping, subdir: str = "ledgerline-sources"):
         from ..session import ensure_checkpoint_dir
@@ -97,8 +102,9 @@ class StagedTables:
         return bool(fs.exists(p))
 
     def stage(self, name: str) -> None:
-        if not self.is_staged(name):
-            self.mapping.table(name).write.mode("overwrite").parquet(self.path(name))
+        with _STAGE_LOCK:              # queries of one session may be built from several threads
+            if not self.is_staged(name):
+                self.mapping.table(name).write.mode("overwrite").parquet(self.path(name))
 
     def table(self, name: str) -> DataFrame:
         self.stage(name)
