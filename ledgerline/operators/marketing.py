@@ -53,17 +53,19 @@ def funnel_stages(cat: Catalog, params: ReportParams) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-FUNNEL_GROUPS = (("KOL", "kol"), ("AM", "am"), ("INTERNAL", "int"))
+FUNNEL_GROUPS = (("KOL", "kol"), ("AM", "am"), ("INTERNAL", "internal"))
+FUNNEL_STAGES = ("awareness", "interest", "desire")
 
 
 def funnel_totals(cat: Catalog, params: ReportParams) -> DataFrame:
-    """One row: ``<g>_aw, <g>_in, <g>_de`` for g in kol, am, int; empty groups give 0."""
+    """One row: ``<group>_<stage>`` for groups kol, am, internal and stages awareness,
+    interest, desire; an empty group gives 0."""
     s = funnel_stages(cat, params)
     aggs = []
     for grp, p in FUNNEL_GROUPS:
-        for stage, suffix in (("awareness", "aw"), ("interest", "in"), ("desire", "de")):
+        for stage in FUNNEL_STAGES:
             aggs.append(F.coalesce(F.sum(F.when(F.col("grp") == grp, F.col(stage))),
-                                   F.lit(0)).alias(f"{p}_{suffix}"))
+                                   F.lit(0)).alias(f"{p}_{stage}"))
     return s.agg(*aggs)
 
 
@@ -127,9 +129,10 @@ def funnel_ratios(totals: DataFrame, orders: DataFrame) -> DataFrame:
     j = totals.withColumn("total_orders", orders.select("total_orders").scalar())
     cols = []
     for _, p in FUNNEL_GROUPS:
-        cols.append(_pct(F.col(f"{p}_in"), F.col(f"{p}_aw")).alias(f"{p}_in_pct"))
-        cols.append(_pct(F.col(f"{p}_de"), F.col(f"{p}_aw")).alias(f"{p}_de_pct"))
-    desire = F.col("kol_de") + F.col("am_de") + F.col("int_de")
+        cols.append(_pct(F.col(f"{p}_interest"), F.col(f"{p}_awareness"))
+                    .alias(f"{p}_interest_pct"))
+        cols.append(_pct(F.col(f"{p}_desire"), F.col(f"{p}_awareness")).alias(f"{p}_desire_pct"))
+    desire = F.col("kol_desire") + F.col("am_desire") + F.col("internal_desire")
     cols.append(_pct(F.col("total_orders"), desire).alias("action_pct"))
     return j.select(*totals.columns, "total_orders", *cols)
 

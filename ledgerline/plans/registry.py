@@ -240,7 +240,7 @@ def q_shipping_json_month(spark, sf_dir):
 def q_funnel_totals(spark, sf_dir):
     cat, params = _ctx(spark, sf_dir)
     t = M.funnel_totals(cat, params)
-    return t.select(*[F.col(c).cast("double" if c.endswith("_de") else "bigint").alias(c)
+    return t.select(*[F.col(c).cast("double" if c.endswith("_desire") else "bigint").alias(c)
                       for c in t.columns])
 
 

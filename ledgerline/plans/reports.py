@@ -420,14 +420,14 @@ def funnel_report(cat: Catalog, params: ReportParams) -> DataFrame:
         return F.concat(fixed_text(F.col(c), 2), F.lit("%"))
 
     labels, row1, row2 = [], [], []
-    for label, p in (("KOL", "kol"), ("AM", "am"), ("INTERNAL", "int")):
+    for label, p in M.FUNNEL_GROUPS:
         labels += [f"{label} A", f"{label} I", f"{label} D"]
-        row1 += [P.span(F.col(f"{p}_aw").cast("string"), label, 500),
-                 P.span(F.col(f"{p}_in").cast("string"), label, 500),
-                 P.span(whole(F.col(f"{p}_de")), label, 500)]
+        row1 += [P.span(F.col(f"{p}_awareness").cast("string"), label, 500),
+                 P.span(F.col(f"{p}_interest").cast("string"), label, 500),
+                 P.span(whole(F.col(f"{p}_desire")), label, 500)]
         row2 += [F.lit(None).cast("string"),
-                 P.span(pct(f"{p}_in_pct"), label, 400),
-                 P.span(pct(f"{p}_de_pct"), label, 400)]
+                 P.span(pct(f"{p}_interest_pct"), label, 400),
+                 P.span(pct(f"{p}_desire_pct"), label, 400)]
     labels.append("ACTION")
     row1.append(P.span(F.col("total_orders").cast("string"), "ACTION", 500))
     row2.append(P.span(pct("action_pct"), "ACTION", 400))

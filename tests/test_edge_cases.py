@@ -137,9 +137,9 @@ def test_funnel_null_propagation(frames):
     cat = frames({"sheet2_kol_ig": [(d, 10, 1, None, 1, 2), (d, 20, 1, 1, 1, 3)],
                   "sheet2_internal": [(d, 5, None, 1, None, None, None, None, None, None)]})
     t = M.funnel_totals(cat, PARAMS).collect()[0]
-    assert (t.kol_aw, t.kol_in, t.kol_de) == (30, 3, 5)      # NULL like drops that row's interest
-    assert (t.int_aw, t.int_in, t.int_de) == (5, 1, 0)        # internal: missing counts are 0
-    assert (t.am_aw, t.am_in, t.am_de) == (0, 0, 0)           # empty group gives 0
+    assert (t.kol_awareness, t.kol_interest, t.kol_desire) == (30, 3, 5)   # NULL like: no interest
+    assert (t.internal_awareness, t.internal_interest, t.internal_desire) == (5, 1, 0)  # NULL as 0
+    assert (t.am_awareness, t.am_interest, t.am_desire) == (0, 0, 0)       # empty group gives 0
 
 
 def test_budget_without_previous_month_orders(frames):
