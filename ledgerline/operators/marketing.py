@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.money import cents, div_round_half_away, ratio_round
+from ..functions.money import ratio_round
 from ..params import ReportParams
 from ..sources import Catalog
 from . import rules as R
@@ -291,4 +291,4 @@ def budget_use(cat: Catalog, params: ReportParams) -> DataFrame:
 
 __all__ = ["funnel_stages", "funnel_totals", "order_counts", "funnel_ratios",
            "budget_by_product_month", "budget_matrix", "budget_and_samples", "budget_previous_month",
-           "spend_by_category", "budget_use", "cents", "div_round_half_away"]
+           "spend_by_category", "budget_use"]

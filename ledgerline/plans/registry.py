@@ -16,7 +16,7 @@ from ..functions.money import cents, from_cents
 from ..operators import costs as C
 from ..operators import marketing as M
 from ..operators import rules as R
-from ..operators.orders import clean_orders, cross_posted_ids, sku_lines, sku_order_vector
+from ..operators.orders import clean_orders, cross_posted_ids
 from ..operators.predicates import in_window, valid_status
 from ..operators.revenue import settlement_per_order, tiktok_order_revenue
 from ..params import ReportParams
@@ -343,4 +343,3 @@ QUERIES: dict[str, Query] = {
     "report_funnel": _report(RP.funnel_report),
 }
 
-_unused = (sku_lines, sku_order_vector)

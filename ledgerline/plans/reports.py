@@ -23,7 +23,7 @@ from ..operators import marketing as M
 from ..operators import present as P
 from ..operators import rules as R
 from ..operators.orders import (TiktokRevenueRule, clean_orders, cogs_numerator, order_fact,
-                                orders_with_fields, sku_lines, sku_order_vector)
+                                orders_with_fields)
 from ..operators.predicates import channel_valid, in_window, not_name_at, valid_status
 from ..operators.revenue import (settlement_per_order, shopee_parts_per_order,
                                  tiktok_order_revenue)
@@ -485,4 +485,3 @@ def budget_use_report(cat: Catalog, params: ReportParams) -> DataFrame:
 
 
 __all__ = [n for n in dir() if not n.startswith("_")]
-_unused = (in_window, ratio_round)

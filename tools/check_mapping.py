@@ -7,7 +7,7 @@ import duckdb
 sys.path.insert(0, ".")
 from ledgerline.session import get_session  # noqa: E402
 from ledgerline.sources import SCHEMAS, Catalog  # noqa: E402
-from ledgerline.sources.driver_mapping import SQL_VIEWS, sql_with_views  # noqa: E402
+from ledgerline.sources.driver_mapping import sql_with_views  # noqa: E402
 
 DRIVER = "region nation customer supplier part orders lineitem events".split()
 
