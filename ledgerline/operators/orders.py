@@ -186,7 +186,8 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     ``orders`` needs ``id, id_marketplace`` (and whatever the caller groups by).  Adds the SKU
     vector (``total_qty, cogs_*, careos_qty, nutrimom_qty, fee_*``) and, with ``tiktok``, the
     TikTok revenue numerators ``tt_omni_num`` / ``tt_fat_num`` (value = N / 111) for rows where
-    ``tiktok_eligible`` holds.  One pass over the SKU table serves revenue, cost of goods and
+    ``tiktok_eligible`` holds, and ``tt_has``: the order has a TikTok revenue row (price rows and
+    SKU lines), even when its amounts are NULL.  One pass over the SKU table serves revenue, cost of goods and
     packing, and every join is one row per order, so nothing fans out.
 
     The settlement is joined on the marketplace id.  Rows that cannot match (not eligible, or
@@ -229,5 +230,6 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
             F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
         settled = F.col("settlement") * tiktok.settlement_factor * F.col("n_price_rows")
     has_price = elig & F.col("n_price_rows").isNotNull() & F.col("pesanan_id").isNotNull()
-    return f.select("*", F.when(has_price, F.coalesce(settled, best)).alias("tt_omni_num"),
+    return f.select("*", has_price.alias("tt_has"),
+                    F.when(has_price, F.coalesce(settled, best)).alias("tt_omni_num"),
                     F.when(has_price, F.col("p_sum") * 100).alias("tt_fat_num"))

@@ -116,6 +116,7 @@ def shopee_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
     parts = shopee_parts_per_order(cat)
     j = pb.join(parts, pb["id"] == parts["pesanan_id"])
     return j.groupBy(period(F.col("created_at")).alias("periode")).agg(
+        F.count(F.lit(1)).alias("n_rows"),
         (F.sum("escrow_sum") * 100).alias("omni_n"),
         cents(F.sum("fat_sum") * 100, R.VAT_DIVISOR).alias("fat_c"))
 
@@ -158,82 +159,104 @@ def manual_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
                     .alias("fat_c"))
 
 
-def order_costs_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
-    """TikTok revenue, cost of goods and packing per month in one pass over the SKU lines.
+def monthly_order_measures(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Everything the monthly report takes from valid orders since the history start, in one
+    pass over the order header and one over the SKU lines: TikTok revenue, manual revenue (per
+    customer type, ENDORSE counting 0), cost of goods, packing and shipping.
 
-    Each measure keeps the order filter of its source query as a flag; ``n_tiktok`` counts the
-    TikTok orders that have revenue (a month only gets a TikTok revenue row when it has some).
+    Each measure keeps the order filter of its source query as a flag.  Orders without SKU
+    lines stay in (shipping and manual revenue do not need lines).  The first aggregate is per
+    (month, customer type) because manual revenue is rounded per type; the second sums the
+    types of a month, carrying exact numerators for the month-level rounding.
     """
     codes = params.codes
     p = orders_with_fields(cat).where(
         (F.col("created_at") >= F.lit(params.history_start)) & valid_status())
     t = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("t_nama"))
-    p = p.join(t, p["toko_id"] == t["t_id"], "left")
+    u = cat["users_omni"].select(F.col("id").alias("u_id"), F.col("name").alias("user_name"))
+    p = p.join(t, p["toko_id"] == t["t_id"], "left").join(u, p["atur_by"] == u["u_id"], "left")
     at_wh = F.col("toko_id") == F.lit(codes.warehouse_shop)
+    at_riva = F.col("t_nama") == F.lit(codes.warehouse_shop_name)
     excluded_day = (F.col("created_at").cast("date") == F.lit(R.EXCLUDED_MANUAL_DAY)) & \
         F.upper(F.col("platform")).isin(*R.MANUAL_PLATFORMS)
     cogs_ok = (~F.col("toko_id").isin(*codes.test_shops)
                & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS, at_wh) & ~excluded_day)
-    at_riva = F.col("t_nama") == F.lit(codes.warehouse_shop_name)
     pack_ok = F.col("t_id").isNotNull() & channel_valid(
         F.col("marketplace"), (R.MANUAL,),
         not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS, at_riva))
-    o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id",
-                 cogs_ok.alias("cogs_ok"), pack_ok.alias("pack_ok"))
+    manual_ok = (F.col("marketplace").isin(R.MANUAL, R.KIRIMINAJA) & F.col("t_id").isNotNull()
+                 & F.col("u_id").isNotNull() & ~F.col("user_name").isin(*codes.denied_users)
+                 & ~F.col("platform").isin(*R.MANUAL_PLATFORMS)
+                 & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE, at_riva))
+    o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id", "harga",
+                 F.col("cust_tipe").alias("tipe"), C.shipping_value(F.col("ongkir_text")).alias("ongkir"),
+                 cogs_ok.alias("cogs_ok"), pack_ok.alias("pack_ok"), manual_ok.alias("manual_ok"))
     f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED,
                    TiktokRevenueRule(settlement_distinct=True, keep_total_amount=True),
-                   tiktok_eligible=F.col("marketplace") == R.TIKTOK)
+                   tiktok_eligible=F.col("marketplace") == R.TIKTOK, how="left")
+    has_lines = F.col("pesanan_id").isNotNull()
     pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
                           R.PACKING_TIERS_MONTHLY_OLD, R.PACKING_TIERS_MONTHLY_NEW)
-    return f.groupBy(period(F.col("created_at")).alias("periode")).agg(
-        F.count(F.col("tt_omni_num")).alias("n_tiktok"),
+    by_type = f.groupBy(period(F.col("created_at")).alias("periode"), "tipe").agg(
+        F.count(F.when(F.col("tt_has"), 1)).alias("n_tiktok"),
+        F.sum("tt_omni_num").alias("tt_omni_num"), F.sum("tt_fat_num").alias("tt_fat_num"),
+        F.sum(F.when(F.col("cogs_ok") & has_lines, C.cogs_num_dated(codes.funnel_shopee_shop)))
+        .alias("hpp_num"),
+        F.sum(F.when(F.col("pack_ok") & has_lines, pack)).alias("total_packing"),
+        F.count(F.when(F.col("manual_ok"), 1)).alias("n_manual"),
+        F.sum(F.when(F.col("manual_ok"), F.col("harga"))).alias("manual_harga"),
+        F.sum("ongkir").alias("total_ongkir"))
+    endorse = F.col("tipe") == R.ENDORSE
+    has_manual = F.col("n_manual") > 0
+    manual_omni = F.when(endorse, F.lit(0)).otherwise(F.col("manual_harga") * 100)
+    manual_fat = F.when(endorse, F.lit(0)).otherwise(cents(F.col("manual_harga") * 100, R.VAT_DIVISOR))
+    return by_type.groupBy("periode").agg(
+        F.sum("n_tiktok").alias("n_tiktok"),
         cents(F.sum("tt_omni_num"), R.VAT_DIVISOR).alias("tt_omni_c"),
         cents(F.sum("tt_fat_num"), R.VAT_DIVISOR).alias("tt_fat_c"),
-        F.sum(F.when(F.col("cogs_ok"), C.cogs_num_dated(codes.funnel_shopee_shop))).alias("hpp_num"),
-        F.sum(F.when(F.col("pack_ok"), pack)).alias("total_packing"))
+        F.sum(F.when(has_manual, 1).otherwise(0)).alias("n_manual_groups"),
+        F.sum(F.when(has_manual, manual_omni)).alias("manual_omni_n"),
+        F.sum(F.when(has_manual, manual_fat)).alias("manual_fat_c"),
+        F.sum("hpp_num").alias("hpp_num"), F.sum("total_packing").alias("total_packing"),
+        F.sum("total_ongkir").alias("total_ongkir"))
 
 
 def monthly_pnl(cat: Catalog, params: ReportParams) -> DataFrame:
     """Monthly profit and loss: months with revenue, each cost zero-filled.
 
-    Revenue of the three channels and the SKU-based costs are one union re-aggregated by
-    month (Shopee revenue: exact numerator; manual: numerator per customer type; TikTok and the
-    costs: from the one-pass order fact).  The other costs are one row per month each.
+    Two passes over the order header: the de-duplicated Shopee revenue (a window over order
+    copies) and ``monthly_order_measures`` (everything else taken from orders, with one pass
+    over the SKU lines).  The other costs are one row per month each.
     """
     dec = "decimal(38,2)"
-    nb, nd = F.lit(None).cast("bigint"), F.lit(None).cast(dec)
     s = shopee_revenue_by_period(cat, params).select(
-        "periode", F.col("omni_n").cast(dec).alias("omni_n"), nb.alias("omni_c"), "fat_c",
-        nd.alias("hpp_num"), nb.alias("total_packing"), F.lit(1).alias("rev"))
-    m = manual_revenue_by_period(cat, params).select(
-        "periode", F.col("omni_n").cast(dec).alias("omni_n"), nb.alias("omni_c"), "fat_c",
-        nd.alias("hpp_num"), nb.alias("total_packing"), F.lit(1).alias("rev"))
-    c = order_costs_by_period(cat, params).select(
-        "periode", nd.alias("omni_n"), F.col("tt_omni_c").alias("omni_c"),
-        F.col("tt_fat_c").alias("fat_c"), F.col("hpp_num").cast(dec).alias("hpp_num"),
-        F.col("total_packing").cast("bigint").alias("total_packing"),
-        F.when(F.col("n_tiktok") > 0, 1).otherwise(0).alias("rev"))
-    u = s.unionByName(m).unionByName(c)
-    rev = u.groupBy("periode").agg(
-        F.sum("omni_n").alias("omni_n"), F.sum("omni_c").alias("omni_c"),
-        F.sum("fat_c").alias("fat_c"), F.sum("hpp_num").alias("hpp_num"),
-        F.sum("total_packing").alias("total_packing"), F.sum("rev").alias("rev")
-    ).where(F.col("rev") > 0)
+        F.col("periode").alias("s_p"), F.col("n_rows").alias("n_shopee"),
+        F.col("omni_n").cast(dec).alias("shopee_omni_n"), F.col("fat_c").alias("shopee_fat_c"))
+    mo = monthly_order_measures(cat, params)
+    j = mo.join(s, mo["periode"] == s["s_p"], "full")
+    j = j.select(F.coalesce(mo["periode"], s["s_p"]).alias("periode"),
+                 *[c for c in j.columns if c not in ("periode", "s_p")])
+    # a month is reported when any revenue source has a row for it
+    has_revenue = ((F.coalesce(F.col("n_shopee"), F.lit(0)) > 0)
+                   | (F.coalesce(F.col("n_tiktok"), F.lit(0)) > 0)
+                   | (F.coalesce(F.col("n_manual_groups"), F.lit(0)) > 0))
+    j = j.where(has_revenue)
     ads = C.ad_spend_by_period(cat).select(F.col("periode").alias("i_p"), "total_iklan")
     bb = C.overhead_by_period(cat, params.as_of).select(
         F.col("periode").alias("b_p"), cents(F.col("beban_num"), F.col("beban_den")).alias("beban_c"))
-    sh = C.shipping_by_period(cat, params).select(F.col("periode").alias("o_p"), "total_ongkir")
     rc = C.ratecard_by_period(cat, params.as_of).select(
         F.col("periode").alias("r_p"), cents(F.col("rc_num"), F.col("rc_den")).alias("rc_c"))
-    j = rev
-    for df, key in ((ads, "i_p"), (bb, "b_p"), (sh, "o_p"), (rc, "r_p")):
+    for df, key in ((ads, "i_p"), (bb, "b_p"), (rc, "r_p")):
         j = j.join(df, j["periode"] == df[key], "left")
     z = lambda c: F.coalesce(c, F.lit(0))
-    omni = _add_nullable(cents(F.col("omni_n"), R.VAT_DIVISOR), F.col("omni_c"))
+    omni_n = _add_nullable(F.col("shopee_omni_n"), F.col("manual_omni_n").cast(dec))
+    omni = _add_nullable(cents(omni_n, R.VAT_DIVISOR), F.col("tt_omni_c"))
+    fat = _add_nullable(_add_nullable(F.col("shopee_fat_c"), F.col("tt_fat_c")),
+                        F.col("manual_fat_c"))
     return j.select(
         "periode",
         _money(omni).alias("total_omni"),
-        _money(F.col("fat_c")).alias("total_fat"),
+        _money(fat).alias("total_fat"),
         z(F.col("total_ongkir")).cast("double").alias("total_ongkir"),
         _money(z(cents(F.col("hpp_num"), R.VAT_DIVISOR))).alias("total_hpp"),
         _money(z(F.col("beban_c"))).alias("total_beban"),
@@ -357,7 +380,7 @@ def tiktok_fact_rows(cat: Catalog, params: ReportParams) -> DataFrame:
                         k_.alias("total_packing"), h_.alias("hpp_num"))
     null_key = F.col("created_at").isNull() | F.col("toko_id").isNull()
     split = F.filter(F.array(
-        F.when(omni.isNotNull(), part(F.lit(1), omni, fat, nb, nd)),
+        F.when(F.col("tt_has"), part(F.lit(1), omni, fat, nb, nd)),
         part(F.lit(2), n4, n4, pack, nd), part(F.lit(3), n4, n4, nb, hpp)),
         lambda x: x.isNotNull())
     rows = F.when(null_key, split).otherwise(F.array(part(F.lit(None).cast("int"), omni, fat,

@@ -183,3 +183,16 @@ def test_tiktok_shop_day_null_shop_keeps_measures_apart(frames):
     # cost 2 * 1000 * 100 / 111 = 1801.80
     assert null_rows == [(0.0, 0, 1801.8), (0.0, 2000, 0.0), (85.75, 0, 0.0)]
     assert normal == [(85.75, 2000, 1801.8)]
+
+
+def test_monthly_pnl_months_from_revenue_rows(frames):
+    """A month is reported when any revenue source has a row, even one worth 0 (only ENDORSE
+    manual orders) or NULL (a TikTok order whose price is unknown and not settled)."""
+    p = ReportParams(as_of=dt.date(2026, 2, 15), codes=ShopCodes())
+    rows = [order(1, "MANUAL", 500, id_mp=1, tipe="ENDORSE", ts=dt.datetime(2025, 7, 3)),
+            order(2, "TIKTOK_SHOP", 100, id_mp=2, ts=dt.datetime(2025, 8, 3))]
+    cat = frames({**DIMS, "pesanan": rows,
+                  "pesanan_pembentuk_harga_tiktok_shop": [(2, D("1"), None, D("0"))],
+                  "pesanan_detail": [(20, 2)], "pesanan_detail_sku": [(20, "Cessa", 1)]})
+    got = {r.periode: (r.total_omni, r.total_fat) for r in RP.monthly_pnl(cat, p).collect()}
+    assert got == {"2025-07": (0.0, 0.0), "2025-08": (None, None)}
