@@ -77,48 +77,54 @@ def _pct(num: Column, den: Column) -> Column:
 def order_counts(cat: Catalog, params: ReportParams) -> DataFrame:
     """Orders of the three funnel shops in the window and in the same window a month earlier.
 
-    Shopee and manual orders count one per Shopee price row (the join rows), TikTok orders one
-    per order and price row that has SKU lines.  Both windows in one pass.
+    Shopee and manual orders count one per Shopee price row (the join rows of the source), TikTok
+    orders one per distinct price row when the order has SKU lines.  One flagged pass over the
+    orders of both windows; price parts, TikTok price rows and line existence are each reduced
+    to one row per order (after a semi join to a cheap, filter-only superset of the orders) and
+    joined 1:1.
     """
     codes = params.codes
     cur_s, cur_e = params.bounds()
     pre_s, pre_e = params.prior_month_bounds()
-    p = orders_with_fields(cat)
-    t = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("t_nama"))
     ts = F.col("created_at")
     in_cur, in_pre = in_window(ts, cur_s, cur_e), in_window(ts, pre_s, pre_e)
-    base = p.where((in_cur | in_pre) & valid_status())
+    shops = (codes.funnel_shopee_shop, codes.funnel_manual_shop, codes.funnel_tiktok_shop)
+    scope = (in_cur | in_pre) & valid_status() & F.col("toko_id").isin(*shops)
+    candidates = cat["pesanan"].where(scope).select("id", "marketplace")
 
-    shp = base.where((F.col("marketplace") == R.SHOPEE)
-                     & (F.col("toko_id") == codes.funnel_shopee_shop))
+    p = orders_with_fields(cat).where(scope)
+    t = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("t_nama"))
+    p = p.join(t, p["toko_id"] == t["t_id"], "left")
+    mp, shop = F.col("marketplace"), F.col("toko_id")
     at_riva = F.col("t_nama") == F.lit(codes.warehouse_shop_name)
-    man = base.join(t, base["toko_id"] == t["t_id"]).where(
-        (F.col("marketplace") == R.MANUAL) & (F.col("toko_id") == codes.funnel_manual_shop)
-        & ~F.col("toko_id").isin(*codes.test_shops)
-        & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE, at_riva))
-    shopee_like = shp.select("id", "created_at").unionByName(man.select("id", "created_at"))
-    ph = cat["pesanan_pembentuk_harga_shopee"]
-    ph = ph.join(shopee_like.select(F.col("id").alias("_o")), ph["pesanan_id"] == F.col("_o"),
-                 "left_semi")          # a few shops in two windows: filter the parts first
-    parts = ph.groupBy("pesanan_id").agg(F.count(F.lit(1)).alias("n"))
-    a = shopee_like.join(parts, shopee_like["id"] == parts["pesanan_id"]) \
-        .select("created_at", F.col("n").cast("bigint").alias("n"))
-
-    tt = base.where((F.col("marketplace") == R.TIKTOK)
-                    & (F.col("toko_id") == codes.funnel_tiktok_shop)).select("id", "created_at")
-    pt = cat["pesanan_pembentuk_harga_tiktok_shop"]
-    price_rows = pt.join(tt.select(F.col("id").alias("_t")), pt["pesanan_id"] == F.col("_t"),
-                         "left_semi") \
-        .select("pesanan_id", "original_total_product_price", "seller_discount").distinct()
-    with_lines = sku_lines(cat, tt).select(F.col("pesanan_id").alias("l_id")).distinct()
-    b = (tt.join(price_rows, tt["id"] == price_rows["pesanan_id"])
-         .join(with_lines, F.col("id") == F.col("l_id"), "left_semi")
-         .select("created_at", F.lit(1).cast("bigint").alias("n")))
-    rows = a.unionByName(b)
-    cur = F.coalesce(F.sum(F.when(in_cur, F.col("n"))), F.lit(0))
-    pre = F.coalesce(F.sum(F.when(in_pre, F.col("n"))), F.lit(0))
-    return rows.agg(cur.alias("orders_current"), pre.alias("orders_prior"),
-                    (cur - pre).alias("total_orders"))
+    by_parts = (((mp == R.SHOPEE) & (shop == codes.funnel_shopee_shop))
+                | ((mp == R.MANUAL) & (shop == codes.funnel_manual_shop) & F.col("t_id").isNotNull()
+                   & ~shop.isin(*codes.test_shops)
+                   & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE, at_riva)))
+    by_rows = (mp == R.TIKTOK) & (shop == codes.funnel_tiktok_shop)
+    o = p.select("id", in_cur.alias("in_cur"), in_pre.alias("in_pre"),
+                 by_parts.alias("by_parts"), by_rows.alias("by_rows"))
+
+    def only(df, key, channels):
+        ids = candidates.where(F.col("marketplace").isin(*channels)).select(F.col("id").alias("_c"))
+        return df.join(ids, df[key] == ids["_c"], "left_semi")
+
+    parts = only(cat["pesanan_pembentuk_harga_shopee"], "pesanan_id", (R.SHOPEE, R.MANUAL)) \
+        .groupBy(F.col("pesanan_id").alias("parts_id")).agg(F.count(F.lit(1)).alias("n_parts"))
+    rows = only(cat["pesanan_pembentuk_harga_tiktok_shop"], "pesanan_id", (R.TIKTOK,)) \
+        .select("pesanan_id", "original_total_product_price", "seller_discount").distinct() \
+        .groupBy(F.col("pesanan_id").alias("rows_id")).agg(F.count(F.lit(1)).alias("n_rows"))
+    lined = sku_lines(cat, candidates.where(F.col("marketplace") == R.TIKTOK)) \
+        .select(F.col("pesanan_id").alias("lines_id")).distinct()
+    j = (o.join(parts, o["id"] == parts["parts_id"], "left")
+         .join(rows, F.col("id") == F.col("rows_id"), "left")
+         .join(lined, F.col("id") == F.col("lines_id"), "left"))
+    n = (F.when(F.col("by_parts"), F.col("n_parts"))
+         .when(F.col("by_rows") & F.col("lines_id").isNotNull(), F.col("n_rows"))).cast("bigint")
+    cur = F.coalesce(F.sum(F.when(F.col("in_cur"), n)), F.lit(0))
+    pre = F.coalesce(F.sum(F.when(F.col("in_pre"), n)), F.lit(0))
+    return j.agg(cur.alias("orders_current"), pre.alias("orders_prior"),
+                 (cur - pre).alias("total_orders"))
 
 
 def funnel_ratios(totals: DataFrame, orders: DataFrame) -> DataFrame:
