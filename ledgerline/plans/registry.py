@@ -34,7 +34,10 @@ def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
     """One catalog per (session, data directory).  The source tables derived from the driver
     tables are staged once as Parquet in the session's checkpoint folder, so every query reads
     stored source tables like a deployment does instead of re-deriving them in its plan."""
-    key = (spark._jsparkSession.sessionUUID(), sf_dir)
+    jsession = getattr(spark, "_jsparkSession", None)
+    if jsession is None:       # a remote (Connect) session: derive the tables inside each plan
+        return Catalog.from_driver_tables(spark, sf_dir)
+    key = (jsession.sessionUUID(), sf_dir)
     if key not in _CATALOGS:
         _CATALOGS[key] = Catalog.from_driver_tables(spark, sf_dir, staged=True,
                                                     subdir=STAGING_SUBDIR)
@@ -57,6 +60,20 @@ def _money(c):
     return from_cents(c)
 
 
+def q_rupiah_format(spark, sf_dir):
+    """Gross and net revenue per month and channel after de-duplication, as rupiah text."""
+    from ..functions.money import ratio_round
+    from ..operators import present as P
+    cat, params = _ctx(spark, sf_dir)
+    pb = clean_orders(cat, params, "monthly")
+    g = pb.groupBy(period(F.col("created_at")).alias("periode"), F.col("mp").alias("marketplace")) \
+        .agg(F.sum("harga").alias("gross"))
+    net = F.translate(F.format_number(ratio_round(F.col("gross") * 100, R.VAT_DIVISOR, 0), 0),
+                      ",", ".")
+    return g.select("periode", "marketplace", P.rp(F.col("gross")).alias("gross_text"),
+                    F.concat(F.lit("Rp "), net).alias("net_text"))
+
+
 def q_clean_orders_dedup(spark, sf_dir):
     cat, params = _ctx(spark, sf_dir, "order_level")
     return clean_orders(cat, params, "order_level").select(
@@ -304,6 +321,7 @@ def _report(fn, window="funnel"):
 QUERIES: dict[str, Query] = {
     "net_revenue_month": q_net_revenue_month,
     "clean_orders_dedup": q_clean_orders_dedup,
+    "rupiah_format": q_rupiah_format,
     "clean_orders_dedup_monthly": q_clean_orders_dedup_monthly,
     "cross_posted_ids": q_cross_posted_ids,
     "shopee_revenue_day": q_shopee_revenue_day,

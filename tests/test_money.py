@@ -1,6 +1,7 @@
 """Exact rounding helpers agree with PostgreSQL numeric rounding and with their SQL twins."""
 
 from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal as D
 
 import duckdb
 import pytest
@@ -51,3 +52,21 @@ def test_rupiah_text(spark):
 def test_net_cents_removes_vat(spark):
     df = spark.createDataFrame([(Decimal("111.00"),), (Decimal("100.00"),)], "x DECIMAL(18,2)")
     assert [r[0] for r in df.select(net_cents(F.col("x"))).collect()] == [10000, 9009]
+
+
+try:
+    from hypothesis import given, settings, strategies as st
+except ImportError:  # pragma: no cover
+    given = None
+
+if given is not None:
+    @settings(max_examples=60, deadline=None)
+    @given(st.lists(st.tuples(st.integers(-10**12, 10**12), st.integers(1, 10**6)),
+                    min_size=1, max_size=40))
+    def test_div_round_half_away_matches_decimal(spark, pairs):
+        from ledgerline.functions.money import div_round_half_away
+        df = spark.createDataFrame([(D(n), d) for n, d in pairs], "n DECIMAL(38,0), d BIGINT")
+        got = [r[0] for r in df.select(div_round_half_away(F.col("n"), F.col("d"))).collect()]
+        want = [int((D(n) / D(d)).copy_abs().quantize(D(1), rounding=ROUND_HALF_UP)
+                    .copy_sign(D(n))) if n else 0 for n, d in pairs]
+        assert got == want
