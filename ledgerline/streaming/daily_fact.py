@@ -14,17 +14,20 @@ from ..sources import Catalog
 PARTITIONS = ("tahun", "bulan")
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols=PARTITIONS) -> None:
+def write_partitioned(df: DataFrame, path: str, partition_cols=PARTITIONS,
+                      spread_by: tuple[str, ...] = ("toko",)) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
 
-    Rows are clustered by the partition columns first, so each task writes few files per
-    partition instead of one file per (task, partition) pair.
+    Rows are hash-partitioned by the partition columns and ``spread_by`` (the shop), so a
+    month is written by several tasks (no single task holds a whole month) and each task
+    writes few files.
     """
     spark = df.sparkSession
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        (df.repartition(*partition_cols).write.mode("overwrite")
+        keys = [*partition_cols, *[c for c in spread_by if c in df.columns]]
+        (df.repartition(*keys).write.mode("overwrite")
          .partitionBy(*partition_cols).parquet(path))
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
