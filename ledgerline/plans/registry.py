@@ -44,12 +44,15 @@ def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
     return _CATALOGS[key]
 
 
-def stage_sources(spark: SparkSession, sf_dir: str) -> None:
-    """Stage all derived source tables now (otherwise each is staged on first use)."""
+def stage_sources(spark: SparkSession, sf_dir: str, threads: int = 4) -> None:
+    """Stage all derived source tables now (otherwise each is staged on first use).  The
+    tables are independent Spark jobs, submitted from a few threads at once."""
+    from concurrent.futures import ThreadPoolExecutor
+
     from ..sources import SCHEMAS
     cat = catalog_for(spark, sf_dir)
-    for name in SCHEMAS:
-        cat[name]
+    with ThreadPoolExecutor(max_workers=threads) as pool:
+        list(pool.map(cat.table, SCHEMAS))
 
 
 def _ctx(spark: SparkSession, sf_dir: str, window: str = "funnel"):

@@ -63,7 +63,14 @@ class Catalog:
         return Catalog(spark, StagedTables(spark, mapping, subdir).table)
 
 
-_STAGE_LOCK = threading.Lock()
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock_for(path: str) -> threading.Lock:
+    """One lock per staged path: tables stage concurrently, one table never twice at once."""
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(path, threading.Lock())
 
 
 class StagedTables:
@@ -102,7 +109,7 @@ class StagedTables:
         return bool(fs.exists(p))
 
     def stage(self, name: str) -> None:
-        with _STAGE_LOCK:              # queries of one session may be built from several threads
+        with _lock_for(self.path(name)):   # queries may be built from several threads
             if not self.is_staged(name):
                 self.mapping.table(name).write.mode("overwrite").parquet(self.path(name))
 
