@@ -217,19 +217,24 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     key = F.when(can_match, F.col("id_marketplace")).otherwise(-F.col("id") - 1)
     f = f.withColumn("settle_key", key)
     f = f.join(settle, (f["settle_key"] == settle["order_id"]) & can_match, "left")
+    # money numerators keep 6 decimals explicitly: left to type coercion, a COALESCE of a
+    # wide decimal(38,2) and a (.., 6) operand can come out as (38, 2) and round every order
+    num = "decimal(38,6)"
     fmax, fmin = F.col("fee_max"), F.col("fee_min")
     if tiktok.per_order == "min":
         a = F.col("p_min_pos") * fmax
         b = F.col("p_min_neg") * fmin
         best = F.when(a.isNull(), b).when(b.isNull(), a).otherwise(F.least(a, b))
-        settled = F.col("settlement") * tiktok.settlement_factor
+        settled = F.col("settlement").cast(num) * tiktok.settlement_factor
     else:
         a = F.col("p_pos") * fmax
         b = F.col("p_neg") * fmin
         best = F.when(a.isNull() & b.isNull(), F.lit(None)).otherwise(
             F.coalesce(a, F.lit(0)) + F.coalesce(b, F.lit(0)))
-        settled = F.col("settlement") * tiktok.settlement_factor * F.col("n_price_rows")
+        settled = (F.col("settlement").cast(num) * tiktok.settlement_factor
+                   * F.col("n_price_rows").cast("int"))
     has_price = elig & F.col("n_price_rows").isNotNull() & F.col("pesanan_id").isNotNull()
     return f.select("*", has_price.alias("tt_has"),
-                    F.when(has_price, F.coalesce(settled, best)).alias("tt_omni_num"),
-                    F.when(has_price, F.col("p_sum") * 100).alias("tt_fat_num"))
+                    F.when(has_price, F.coalesce(settled.cast(num), best.cast(num)))
+                    .alias("tt_omni_num"),
+                    F.when(has_price, (F.col("p_sum") * 100).cast(num)).alias("tt_fat_num"))

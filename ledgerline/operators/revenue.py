@@ -67,8 +67,9 @@ def tiktok_order_revenue(cat: Catalog, orders: DataFrame, fee_fallback: str | No
         j = j.join(settlement, j["id_marketplace"] == settlement["order_id"], "left")
     price = F.col("original_total_product_price") - F.col("seller_discount")
     best = F.when(price >= 0, price * F.col("fee_max")).otherwise(price * F.col("fee_min"))
-    omni = F.coalesce(F.col("settlement") * settlement_factor, best) if settlement is not None \
-        else best
+    num = "decimal(38,6)"       # explicit: type coercion could drop decimals in the COALESCE
+    omni = F.coalesce((F.col("settlement") * settlement_factor).cast(num), best.cast(num)) \
+        if settlement is not None else best.cast(num)
     return j.select(*orders.columns, *[c for c in keys if c != "pesanan_id"],
                     omni.alias("omni_num"), (price * 100).alias("fat_num"))
 

@@ -69,9 +69,10 @@ def order_level_values(cat: Catalog, params: ReportParams) -> DataFrame:
                  & ~F.col("user_name").isin(*codes.denied_users)
                  & not_name_at(F.col("nama_cust"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE,
                                F.col("toko_id") == F.lit(codes.warehouse_shop)))
-    omni = (F.when(F.col("mp") == R.SHOPEE, F.col("escrow_min") * 100)
-            .when(F.col("mp") == R.TIKTOK, F.col("tt_omni_num"))
-            .when(manual_ok, F.col("harga") * 100))
+    num = "decimal(38,6)"       # one explicit type for the three channels' numerators
+    omni = (F.when(F.col("mp") == R.SHOPEE, (F.col("escrow_min") * 100).cast(num))
+            .when(F.col("mp") == R.TIKTOK, F.col("tt_omni_num").cast(num))
+            .when(manual_ok, (F.col("harga") * 100).cast(num)))
     toko = F.when(F.col("nama_toko") == F.lit(codes.warehouse_shop_name), F.col("nama_toko2")) \
         .otherwise(F.col("nama_toko"))
     return f.select(

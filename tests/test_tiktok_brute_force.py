@@ -23,9 +23,10 @@ PRICE_ROWS = [  # pesanan_id, total_amount, original price, seller discount
     (4, D("70"), D("70"), D("0")), (4, D("70"), D("70"), D("0")),         # duplicate row
     (5, D("10"), D("10"), D("0")),                                        # no SKU lines
     (6, D("5"), D("5"), D("7")), (6, D("9"), D("9"), D("1")),             # P = -2 and 8
+    (7, D("10.01"), D("10.01"), D("0")),                                  # 858.3575: 4 decimals
 ]
 SKUS = {1: ["Habbie x", "Cessa y"], 2: ["Protabumin z"], 3: ["Cessa"], 4: ["nothing"],
-        6: ["Habbie", "Protabumin"]}
+        6: ["Habbie", "Protabumin"], 7: ["Cessa"]}
 SETTLE = {2: [D("10")], 6: [D("3"), D("3")]}   # by marketplace id (= order id here)
 
 
@@ -59,7 +60,7 @@ def expected(mode, settle_mult, distinct_settlement):
                                                 ("min", 111, True)])
 def test_order_fact_matches_row_by_row(frames, mode, mult, distinct):
     orders = [(i, 1, "TIKTOK_SHOP", TS, 1, i, D("1"), 1, "SELESAI", json.dumps({}), json.dumps({}))
-              for i in range(1, 7)]
+              for i in range(1, 8)]
     detail = [(i * 10 + k, i) for i, names in SKUS.items() for k in range(len(names))]
     sku = [(i * 10 + k, n, 1) for i, names in SKUS.items() for k, n in enumerate(names)]
     settle = [(oid, a, 1, None, None) for oid, amounts in SETTLE.items() for a in amounts]
@@ -69,6 +70,7 @@ def test_order_fact_matches_row_by_row(frames, mode, mult, distinct):
     rule = TiktokRevenueRule(fee_fallback=R.TIKTOK_FEE_FALLBACK, settlement_distinct=distinct,
                              settlement_factor=mult, per_order=mode)
     f = order_fact(cat, o, R.COGS_ORDER_LEVEL, rule, F.col("marketplace") == R.TIKTOK)
+    assert f.schema["tt_omni_num"].dataType.scale >= 4     # no rounding of order amounts
     got = {r.id: r.tt_omni_num for r in f.select("id", "tt_omni_num").collect()}
     want = expected(mode, mult, distinct)
     assert set(got) == set(want)          # order 5 (no SKU lines) drops out, as in the source
