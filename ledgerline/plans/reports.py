@@ -373,8 +373,8 @@ def tiktok_fact_rows(cat: Catalog, params: ReportParams) -> DataFrame:
     pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
                           R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW).cast("bigint")
     hpp = C.cogs_num_dated(params.codes.funnel_shopee_shop).cast("decimal(38,0)")
-    omni, fat = F.col("tt_omni_num").cast("decimal(38,4)"), F.col("tt_fat_num").cast("decimal(38,4)")
-    nb, nd, n4 = (F.lit(None).cast(t) for t in ("bigint", "decimal(38,0)", "decimal(38,4)"))
+    omni, fat = F.col("tt_omni_num").cast("decimal(38,6)"), F.col("tt_fat_num").cast("decimal(38,6)")
+    nb, nd, n4 = (F.lit(None).cast(t) for t in ("bigint", "decimal(38,0)", "decimal(38,6)"))
 
     def part(tag, o_, f_, k_, h_):
         return F.struct(tag.alias("tag"), o_.alias("omni_num"), f_.alias("fat_num"),

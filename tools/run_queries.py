@@ -9,7 +9,7 @@ from ledgerline.session import get_session  # noqa: E402
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 only = sys.argv[2:] or list(QUERIES)
-spark = get_session("local[8]", 8)
+spark = get_session("local[8]", 8, extra={"spark.driver.memory": "8g"})
 for name in only:
     t = time.time()
     try:
