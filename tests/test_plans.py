@@ -41,3 +41,24 @@ def test_window_reaches_parquet_scan(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     assert "GreaterThanOrEqual(created_at,2025-06-01" in p and "LessThan(created_at,2025-09-01" in p
+
+
+@pytest.mark.parametrize("name", sorted(E.queries()))
+def test_no_forced_broadcast(spark, name):
+    """Broadcasts are left to Spark's size checks (static statistics, AQE runtime sizes)."""
+    analyzed = E.queries()[name](spark, SF)._jdf.queryExecution().analyzed().toString()
+    assert "strategy=broadcast" not in analyzed.lower()
+
+
+def test_settlement_join_uses_salted_key(spark):
+    """Rows that cannot match a settlement get a unique negative key, not the (hot) NULL id."""
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators import rules as R
+    from ledgerline.operators.orders import TiktokRevenueRule, order_fact
+    cat = catalog_for(spark, SF)
+    o = cat["pesanan"].select("id", "id_marketplace", "marketplace")
+    f = order_fact(cat, o, R.COGS_ORDER_LEVEL, TiktokRevenueRule(),
+                   F.col("marketplace") == R.TIKTOK)
+    joins = [line for line in _plan(f).split("\n") if "Join" in line and "order_id" in line]
+    assert joins and all("[settle_key" in line for line in joins)
