@@ -14,9 +14,6 @@ def period(c: Column) -> Column:
     return F.date_format(c, "yyyy-MM")
 
 
-def sql_period(c: str) -> str:
-    return f"strftime({c}, '%Y-%m')"
-
 
 def days_in_month(d: dt.date) -> int:
     return calendar.monthrange(d.year, d.month)[1]

@@ -25,7 +25,3 @@ def with_order_fields(orders: DataFrame) -> DataFrame:
         data["platform"].alias("platform"),
         data["ongkir"].alias("ongkir_text"),
     )
-
-
-def sql_json_field(col: str, key: str) -> str:
-    return f"json_extract_string({col}, '$.{key}')"

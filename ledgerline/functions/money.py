@@ -98,9 +98,6 @@ def sql_cents(numerator: str, denominator: int | str = 1, scale: int = DEFAULT_S
     return sql_ratio_round(numerator, denominator, 2, scale)
 
 
-def sql_net_cents(gross_sum: str) -> str:
-    return sql_cents(f"({gross_sum}) * 100", VAT_DIVISOR)
-
 
 def sql_from_cents(c: str) -> str:
     return f"(CAST({c} AS DOUBLE) / 100.0)"

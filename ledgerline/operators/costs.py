@@ -85,11 +85,6 @@ def shopee_ad_parts(cat: Catalog) -> list[DataFrame]:
     return [_ad_source(cat, t, dc, ac, keys) for t, dc, ac in SHOPEE_AD_SOURCES]
 
 
-def shopee_ad_spend_by_day(cat: Catalog) -> DataFrame:
-    """The 7 Shopee ad sources per shop and day."""
-    allp = reduce(DataFrame.unionByName, shopee_ad_parts(cat))
-    return allp.groupBy("toko", "tanggal").agg(F.sum("cost").alias("total_iklan"))
-
 
 def shopee_affiliate_rows(cat: Catalog, parts: DataFrame) -> DataFrame:
     """Shopee affiliate commission per order (every order, no status filter), keyed by
@@ -100,10 +95,6 @@ def shopee_affiliate_rows(cat: Catalog, parts: DataFrame) -> DataFrame:
                     .alias("tanggal"), F.col("commission_sum").alias("aff"))
 
 
-def shopee_affiliate_by_day(cat: Catalog, parts: DataFrame) -> DataFrame:
-    return shopee_affiliate_rows(cat, parts).groupBy("toko", "tanggal") \
-        .agg(F.sum("aff").alias("total_aff"))
-
 
 def shopee_ads_and_affiliate(cat: Catalog, parts: DataFrame) -> DataFrame:
     """Ad spend and affiliate cost per (shop, day), zero-filled.

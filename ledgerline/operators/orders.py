@@ -15,7 +15,6 @@ Scale notes
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -25,7 +24,7 @@ from ..functions.json_fields import with_order_fields
 from ..params import ReportParams
 from ..sources import Catalog
 from . import rules as R
-from .predicates import channel_valid, in_window, not_name_at, valid_status
+from .predicates import channel_valid, in_window, not_name_at
 
 
 def orders_with_fields(cat: Catalog) -> DataFrame:
@@ -160,10 +159,6 @@ def cross_posted_ids(cat: Catalog) -> DataFrame:
             .where(F.col("n_channels") == 2))
 
 
-def valid_orders_since(cat: Catalog, start: dt.date, end: dt.date | None = None) -> DataFrame:
-    p = orders_with_fields(cat)
-    return p.where(in_window(F.col("created_at"), start, end) & valid_status())
-
 
 # --- one pass over the SKU lines per report ----------------------------------------------------
 

@@ -347,16 +347,6 @@ def shop_day_shopee(cat: Catalog, params: ReportParams) -> DataFrame:
 
 # --- R7 TikTok shop x day ---------------------------------------------------------------------
 
-def tiktok_revenue_by_shop_day(cat: Catalog) -> DataFrame:
-    p = cat["pesanan"].where((F.col("marketplace") == R.TIKTOK) & valid_status())
-    o = p.select("id", "id_marketplace", F.col("toko_id").alias("toko"),
-                 F.col("created_at").cast("date").alias("tanggal"))
-    r = tiktok_order_revenue(cat, o, R.TIKTOK_FEE_FALLBACK,
-                             settlement_per_order(cat, distinct=False), 100)
-    return r.groupBy("tanggal", "toko").agg(
-        cents(F.sum("omni_num"), R.VAT_DIVISOR).alias("omni_c"),
-        cents(F.sum("fat_num"), R.VAT_DIVISOR).alias("fat_c"))
-
 
 def tiktok_fact_rows(cat: Catalog, params: ReportParams) -> DataFrame:
     """Per valid order: TikTok revenue numerators, packing and cost of goods, keyed by

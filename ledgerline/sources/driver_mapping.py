@@ -8,8 +8,6 @@ move by +30 years and of events by +17 months so that the report constants fall
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -403,7 +401,3 @@ def sql_with_views(select: str, ctes: str = "") -> str:
     if ctes.strip():
         parts.append(ctes.strip())
     return ("WITH " + ",\n".join(parts) + "\n" + select) if parts else select
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
