@@ -53,3 +53,20 @@ def test_matches_oracle(spark, con, name):
     d_cols, d_rows = res.columns, res.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
     assert _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
+
+
+def test_entry_module_loads_by_path_from_elsewhere(tmp_path):
+    """A driver may load the entry file by path from another directory."""
+    import os
+    import subprocess
+    import sys
+    here = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = ("import importlib.util; "
+            f"s = importlib.util.spec_from_file_location('e', {os.path.join(here, '__spark_entry__.py')!r}); "
+            "m = importlib.util.module_from_spec(s); s.loader.exec_module(m); "
+            "print(len(m.queries()), len(m.oracle_sql()))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
+                         text=True, timeout=120)
+    assert out.returncode == 0, out.stderr[-500:]
+    n_queries, n_sql = map(int, out.stdout.split())
+    assert n_queries == n_sql >= 40
