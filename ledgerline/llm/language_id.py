@@ -23,6 +23,9 @@ from pyspark.sql import functions as F
 
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: ends every block: with it even a block of one word is compressed, never stored as it is, so
+#: that its matches in the dictionary count
+_FILL = b" " * 64
 
 SCHEMA = ("lang_pred string, score double, margin double, rejected boolean")
 
@@ -94,7 +97,7 @@ def classify(text: str | None, encoders, model: LanguageModel) -> tuple:
         return UNKNOWN, 0.0, 0.0, True
     raw = letters(text)
     size, step = len(raw), model.block_bytes
-    blocks = [raw[i:i + step] for i in range(0, size, step)]
+    blocks = [raw[i:i + step] + _FILL for i in range(0, size, step)]
     sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for lang, c in encoders)
     best, lang = sizes[0]
     # A byte saved over the best language counts as one bit of evidence.
