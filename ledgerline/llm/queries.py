@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import cuckoo_dedup, language_id, secret_ledger
+from . import cuckoo_dedup, language_id, secret_ledger, token_shards, topk
 from .storage import ship
 
 
@@ -20,10 +20,13 @@ def _shipped(query):
 QUERIES = {q.__name__: _shipped(q) for q in (
     language_id.op1_language_id,
     secret_ledger.op2_secret_scan,
+    token_shards.op6_token_shards,
+    topk.op7_topk,
     cuckoo_dedup.op9_exact_dedup,
 )}
 
 ORACLE_SQL = {
+    "op7_topk": topk.ORACLE_SQL,
     "op2_secret_scan": secret_ledger.ORACLE_SQL,
     "op9_exact_dedup": cuckoo_dedup.ORACLE_SQL,
 }
