@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from functools import wraps
 
-from . import cuckoo_dedup, language_id, secret_ledger, token_shards, topk
+from . import (
+    cuckoo_dedup,
+    language_id,
+    length_buckets,
+    mixing,
+    secret_ledger,
+    token_shards,
+    topk,
+)
 from .storage import ship
 
 
@@ -20,12 +28,16 @@ def _shipped(query):
 QUERIES = {q.__name__: _shipped(q) for q in (
     language_id.op1_language_id,
     secret_ledger.op2_secret_scan,
+    mixing.op4_mixing,
     token_shards.op6_token_shards,
     topk.op7_topk,
+    length_buckets.op8_packing,
     cuckoo_dedup.op9_exact_dedup,
 )}
 
 ORACLE_SQL = {
+    "op4_mixing": mixing.oracle_sql(),
+    "op8_packing": length_buckets.oracle_sql(),
     "op7_topk": topk.ORACLE_SQL,
     "op2_secret_scan": secret_ledger.ORACLE_SQL,
     "op9_exact_dedup": cuckoo_dedup.ORACLE_SQL,
