@@ -5,11 +5,13 @@ from __future__ import annotations
 from functools import wraps
 
 from . import (
+    backoff_lm,
     cuckoo_dedup,
     language_id,
     length_buckets,
     mixing,
     secret_ledger,
+    token_rollup,
     token_shards,
     topk,
 )
@@ -28,11 +30,13 @@ def _shipped(query):
 QUERIES = {q.__name__: _shipped(q) for q in (
     language_id.op1_language_id,
     secret_ledger.op2_secret_scan,
+    token_rollup.op3_token_rollup,
     mixing.op4_mixing,
     token_shards.op6_token_shards,
     topk.op7_topk,
     length_buckets.op8_packing,
     cuckoo_dedup.op9_exact_dedup,
+    backoff_lm.op10_lm_score,
 )}
 
 ORACLE_SQL = {
