@@ -7,6 +7,7 @@ from functools import wraps
 from . import (
     backoff_lm,
     cuckoo_dedup,
+    jaccard_join,
     language_id,
     length_buckets,
     mixing,
@@ -32,6 +33,7 @@ QUERIES = {q.__name__: _shipped(q) for q in (
     secret_ledger.op2_secret_scan,
     token_rollup.op3_token_rollup,
     mixing.op4_mixing,
+    jaccard_join.op5_jaccard_join,
     token_shards.op6_token_shards,
     topk.op7_topk,
     length_buckets.op8_packing,
