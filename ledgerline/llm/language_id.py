@@ -20,6 +20,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -27,7 +28,8 @@ _NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: that its matches in the dictionary count
 _FILL = b" " * 64
 
-SCHEMA = ("lang_pred string, score double, margin double, rejected boolean")
+_RESULT = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType()),
+                      StructField("margin", DoubleType()), StructField("rejected", BooleanType())])
 
 
 @dataclass(frozen=True)
@@ -106,6 +108,24 @@ def classify(text: str | None, encoders, model: LanguageModel) -> tuple:
     return lang, score, margin, margin < model.min_margin
 
 
+def _judged(docs: DataFrame, model: LanguageModel, text_at: int) -> DataFrame:
+    """``docs`` by position (_0, _1, ...) and the four result columns."""
+    source = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    schema = StructType([*source.schema.fields, *_RESULT.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoders = _encoders(model)
+        for batch in batches:
+            found = [classify(t.as_py(), encoders, model) for t in batch.column(text_at)]
+            lang, score, margin, rejected = zip(*found) if found else ((), (), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64()),
+                 pa.array(margin, pa.float64()), pa.array(rejected, pa.bool_())],
+                names=[*batch.schema.names, *_RESULT.names])
+
+    return source.mapInArrow(run, schema)
+
+
 def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text",
              keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns of ``docs`` plus ``lang_pred, score, margin, rejected``, row by row.
@@ -115,24 +135,14 @@ def identify(docs: DataFrame, model: LanguageModel, *, text_col: str = "text",
     in alphabetical order (margin 0, rejected).  Repeated rows each get their own result.  Other
     columns, whatever they are called, are neither read nor returned.
     """
-    source = docs.select(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)],
-                         F.col(text_col).alias("_t"))
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema[:-1]) \
-        if keep else ""
+    out = _judged(docs.select(*keep, F.col(text_col).cast("string")), model, len(keep))
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(keep)], *_RESULT.names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoders = _encoders(model)
-        for batch in batches:
-            found = [classify(t.as_py(), encoders, model) for t in batch.column("_t")]
-            lang, score, margin, rejected = zip(*found) if found else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(lang, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(margin, pa.float64()), pa.array(rejected, pa.bool_())],
-                names=[*batch.schema.names[:-1], "lang_pred", "score", "margin", "rejected"])
 
-    out = source.mapInArrow(run, f"{kept}, {SCHEMA}" if kept else SCHEMA)
-    return out.select(*[F.col(f"_k{i}").alias(c) for i, c in enumerate(keep)],
-                      "lang_pred", "score", "margin", "rejected")
+def accepted(docs: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that are not rejected, with all their columns."""
+    out = _judged(docs, model, docs.columns.index(text_col)).where("not rejected")
+    return out.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
 
 
 def remainder(id_col: str, modulus: int) -> Column:

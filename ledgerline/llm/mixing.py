@@ -114,6 +114,37 @@ def calibrated_rate(cells: DataFrame, budget: float) -> float:
     return high
 
 
+def _rated(docs: DataFrame, source_col: str, lang_col: str, topic: Column | None,
+           tokens: Column | None, targets: dict[str, DataFrame] | None,
+           exponents: dict[str, float] | None, budget: float) -> DataFrame:
+    """``docs`` with _source, _lang, _topic, _tokens, _rate and _chance."""
+    spark = docs.sparkSession
+    named = docs.withColumns({
+        "_source": F.col(source_col).cast("string"), "_lang": F.col(lang_col).cast("string"),
+        "_topic": (topic_of(F.col("text")) if topic is None else topic).cast("string"),
+        "_tokens": (word_count(F.col("text")) if tokens is None else tokens).cast("bigint")})
+    own = [F.col(f"_{d}") for d in DIMENSIONS]
+    cells = written(spark, named.groupBy(*[c.alias(d) for c, d in zip(own, DIMENSIONS)])
+                    .agg(F.sum("_tokens").alias("tokens")), "cells").where("tokens > 0")
+    power = {"source": 0.5, "lang": 0.5, "topic": 0.8} | (exponents or {})
+    given = targets or {}
+    raked = rake(cells, {d: given[d] if d in given else tempered_targets(cells, d, power[d])
+                         for d in DIMENSIONS})
+    k = calibrated_rate(raked, budget)
+    rates = raked.select(*[F.col(d).alias(f"_of_{d}") for d in DIMENSIONS],
+                         (F.col("weight") / F.col("share")).alias("_r"))
+    on = reduce(lambda a, b: a & b, [F.col(f"_{d}").eqNullSafe(F.col(f"_of_{d}"))
+                                     for d in DIMENSIONS])
+    rate = F.coalesce("_r", F.lit(0.0))
+    return named.join(rates, on, "left").withColumn("_rate", rate) \
+        .withColumn("_chance", F.least(F.lit(1.0), F.col("_rate") * F.lit(k)))
+
+
+def _drawn(id_col: str, seed: str) -> Column:
+    mark = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+    return draw(mark) / F.lit(float(1 << 32)) < F.col("_chance")
+
+
 def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
         lang_col: str = "lang", topic: Column | None = None, tokens: Column | None = None,
         targets: dict[str, DataFrame] | None = None, exponents: dict[str, float] | None = None,
@@ -126,33 +157,26 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     sampled when its draw, a hash of id and seed, lies below.  Null source, language or topic
     are values of their own; a null or empty text has no tokens, takes its cell's probability,
     and probability 0 where its cell has no tokens at all.  Rows that repeat an id share its
-    draw.  An empty table gives no rows.
+    draw.  Columns that are not named are not read; columns whose names start with ``_`` are the
+    operator's own.  An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    text = F.col("text")
-    rows = written(spark, docs.select(
-        F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("source"),
-        F.col(lang_col).cast("string").alias("lang"),
-        (topic_of(text) if topic is None else topic).cast("string").alias("topic"),
-        (word_count(text) if tokens is None else tokens).cast("bigint").alias("n_tokens")), "rows")
-    cells = written(spark, rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")),
-                    "cells")
-    power = {"source": 0.5, "lang": 0.5, "topic": 0.8} | (exponents or {})
-    with_tokens = cells.where("tokens > 0")
-    goals = {d: (targets or {}).get(d) if (targets or {}).get(d) is not None
-             else tempered_targets(with_tokens, d, power[d]) for d in DIMENSIONS}
-    raked = rake(with_tokens, goals)
-    k = calibrated_rate(raked, budget)
-    rates = raked.select(*[F.col(d).alias(f"_{d}") for d in DIMENSIONS],
-                         (F.col("weight") / F.col("share")).alias("_rate"))
-    on = reduce(lambda a, b: a & b, [F.col(d).eqNullSafe(F.col(f"_{d}")) for d in DIMENSIONS])
-    rate = F.coalesce("_rate", F.lit(0.0))
-    chance = F.least(F.lit(1.0), rate * F.lit(k))
-    mark = F.concat(F.lit(seed + ":"), F.coalesce(F.col("_id").cast("string"), F.lit("null")))
-    return rows.join(rates, on, "left").select(
-        F.col("_id").alias(id_col), "source", "lang", "topic", "n_tokens", rate.alias("rate"),
-        chance.alias("probability"),
-        (draw(mark) / F.lit(float(1 << 32)) < chance).alias("sampled"))
+    used = list(dict.fromkeys([id_col, source_col, lang_col, "text"]))
+    narrow = docs.select(*used) if topic is None and tokens is None else docs
+    found = _rated(narrow, source_col, lang_col, topic, tokens, targets, exponents, budget)
+    return found.select(
+        F.col(id_col), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
+        F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
+        F.col("_rate").alias("rate"), F.col("_chance").alias("probability"),
+        _drawn(id_col, seed).alias("sampled"))
+
+
+def sampled(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
+            lang_col: str = "lang", seed: str = "mix", budget: float = 0.5,
+            **settings) -> DataFrame:
+    """The rows of ``docs`` that ``mix`` samples, with all their columns."""
+    found = _rated(docs, source_col, lang_col, settings.get("topic"), settings.get("tokens"),
+                   settings.get("targets"), settings.get("exponents"), budget)
+    return found.where(_drawn(id_col, seed)).select(*docs.columns)
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:
