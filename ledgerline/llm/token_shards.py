@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import struct
+import unicodedata
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -38,6 +39,8 @@ SHARD_IDS = 8 << 20
 RANGE_BYTES = 12 << 20
 #: words whose ids a worker remembers
 CACHE_WORDS = 500_000
+#: marks that may end a word, each a piece of its own
+MARKS = frozenset(".,;:!?")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -150,8 +153,9 @@ class WordEncoder:
 
     The tokenizer must drop white space and treat words apart (``word_bpe_49k.json`` does).  A
     text is cut at blanks, tabs and line ends only; what else counts as white space is left to
-    the library.  Words of ASCII letters need no normalising but lower case, so their merges run
-    directly; every other word takes the library's whole way.
+    the library.  A word of letters is one piece whose normal form is its lower case, so its
+    merges run directly, remembered for all spellings; a mark at its end is a piece of its own.
+    Every other word takes the library's whole way.
     """
 
     def __init__(self, path: str, width: int):
@@ -159,19 +163,40 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.type = f"<u{width}"
         self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.letters: dict[str, str] = {}
+
+    def _letter(self, c: str) -> str:
+        """A letter as the library's byte alphabet writes it."""
+        if c not in self.letters:
+            self.letters[c] = self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0]
+        return self.letters[c]
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self.pieces.get(piece)
+        if ids is None:
+            spelled = piece if piece.isascii() else "".join(map(self._letter, piece))
+            ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)],
+                           self.type).tobytes()
+            self.pieces[piece] = ids
+        return ids
 
     def _learn(self, words: list[str]) -> None:
         if len(self.known) + len(words) > CACHE_WORDS:
             self.known.clear()
-        merge, hard = self.tokenizer.model.tokenize, []
+            self.pieces.clear()
+        hard = []
         for w in words:
-            if w.isascii() and w.isalpha():
-                self.known[w] = np.array([t.id for t in merge(w.lower())], self.type).tobytes()
-            elif w and w[-1] in ".,;:!?" and w.isascii() and w[:-1].isalpha():
-                ids = [t.id for p in (w[:-1].lower(), w[-1]) for t in merge(p)]
-                self.known[w] = np.array(ids, self.type).tobytes()
-            else:
-                hard.append(w)
+            mark = w[-1:] if w[-1:] in MARKS else ""
+            core = w[:-1] if mark else w
+            # composed letters only; sigma's lower case depends on its place
+            if core.isalpha() and (core.isascii() or "\u03a3" not in core
+                                   and unicodedata.is_normalized("NFC", core)):
+                low = core.lower()
+                if low.isalpha():
+                    self.known[w] = self._piece(low) + (self._piece(mark) if mark else b"")
+                    continue
+            hard.append(w)
         for i in range(0, len(hard), 1000):
             some = hard[i:i + 1000]
             for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
