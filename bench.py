@@ -1,13 +1,10 @@
 """Benchmark: run the headline queries at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]``.
 
-The 30 source tables are first derived from the driver tables and stored as Parquet in a fresh
-folder under ``spark.checkpoint.dir`` -- the one-time load a deployment does not have (its
-source tables are stored).  That load is timed and reported on its own (``stage_sources_sec``),
-like a load phase before a query benchmark.  Every query is then executed to completion
-through the ``noop`` sink (no collect to the driver), once to warm up the JVM and code caches,
-then timed (best of ``$BENCH_REPEAT`` runs, default 2).  Prints one JSON line:
-``{"metric", "value", "unit", "queries", "sf", "stage_sources_sec"}``; ``value`` is the sum of
-the query times.
+Every query derives its source tables from the driver tables inside its own plan, so the times
+hold all of the work.  Each is executed to completion through the ``noop`` sink (no collect to
+the driver), once to warm up the JVM and code caches, then timed (best of ``$BENCH_REPEAT``
+runs, default 2).  Prints one JSON line: ``{"metric", "value", "unit", "queries", "sf"}``;
+``value`` is the sum of the query times.
 """
 
 from __future__ import annotations
@@ -20,8 +17,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from ledgerline.plans import registry  # noqa: E402
-from ledgerline.plans.registry import QUERIES, stage_sources  # noqa: E402
+from ledgerline.plans.registry import QUERIES  # noqa: E402
 from ledgerline.session import get_session  # noqa: E402
 
 HEADLINE = [
@@ -47,14 +43,6 @@ def main() -> None:
     spark = get_session(f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
                         extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
     times: dict[str, float] = {}
-    # The 30 source tables are derived from the driver tables once per run and stored as
-    # Parquet (a fresh folder under spark.checkpoint.dir, so the cost is always measured);
-    # the queries then read stored source tables, as a deployment does.
-    import uuid
-    registry.STAGING_SUBDIR = f"ledgerline-bench-{uuid.uuid4().hex[:12]}"
-    t = time.perf_counter()
-    stage_sources(spark, sf_dir)
-    stage_sec = round(time.perf_counter() - t, 3)
     for name in HEADLINE:
         best = None
         for _ in range(repeat + 1):          # first run warms up
@@ -65,8 +53,7 @@ def main() -> None:
         times[name] = round(best, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "headline_queries_total", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir,
-                      "stage_sources_sec": stage_sec}))
+                      "unit": "sec", "queries": times, "sf": float(m.group(1)) if m else sf_dir}))
     spark.stop()
 
 

@@ -87,9 +87,6 @@ class ReportParams:
         return replace(self, date_from=date_from, date_to=date_to)
 
     @staticmethod
-    def for_fixture(window: str = "funnel") -> "ReportParams":
+    def for_fixture() -> "ReportParams":
         """Parameters for the synthetic tables (dates there are shifted into 2025-2031)."""
-        base = ReportParams(as_of=dt.date(2026, 2, 15), codes=ShopCodes.for_fixture())
-        if window == "order_level":
-            return base.with_window(dt.date(2025, 6, 1), dt.date(2025, 8, 31))
-        return base
+        return ReportParams(as_of=dt.date(2026, 2, 15), codes=ShopCodes.for_fixture())

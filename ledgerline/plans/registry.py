@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import period
@@ -18,7 +18,8 @@ from ..operators import marketing as M
 from ..operators import rules as R
 from ..operators.orders import clean_orders, cross_posted_ids
 from ..operators.predicates import in_window, valid_status
-from ..operators.revenue import settlement_per_order, tiktok_order_revenue
+from ..operators.revenue import (settlement_by_order, settlement_per_order,
+                                  tiktok_order_revenue)
 from ..params import ReportParams
 from ..sources import Catalog
 from . import reports as RP
@@ -26,37 +27,13 @@ from . import reports as RP
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_CATALOGS: dict[tuple[str, str], Catalog] = {}
-STAGING_SUBDIR = "ledgerline-sources"      # folder under spark.checkpoint.dir
-
-
 def catalog_for(spark: SparkSession, sf_dir: str) -> Catalog:
-    """One catalog per (session, data directory).  The source tables derived from the driver
-    tables are staged once as Parquet in the session's checkpoint folder, so every query reads
-    stored source tables like a deployment does instead of re-deriving them in its plan."""
-    jsession = getattr(spark, "_jsparkSession", None)
-    if jsession is None:       # a remote (Connect) session: derive the tables inside each plan
-        return Catalog.from_driver_tables(spark, sf_dir)
-    key = (jsession.sessionUUID(), sf_dir)
-    if key not in _CATALOGS:
-        _CATALOGS[key] = Catalog.from_driver_tables(spark, sf_dir, staged=True,
-                                                    subdir=STAGING_SUBDIR)
-    return _CATALOGS[key]
-
-
-def stage_sources(spark: SparkSession, sf_dir: str, threads: int = 4) -> None:
-    """Stage all derived source tables now (otherwise each is staged on first use).  The
-    tables are independent Spark jobs, submitted from a few threads at once."""
-    from concurrent.futures import ThreadPoolExecutor
-
-    from ..sources import SCHEMAS
-    cat = catalog_for(spark, sf_dir)
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        list(pool.map(cat.table, SCHEMAS))
+    """The source tables of a data directory, derived lazily inside each query's plan."""
+    return Catalog.from_driver_tables(spark, sf_dir)
 
 
-def _ctx(spark: SparkSession, sf_dir: str, window: str = "funnel"):
-    return catalog_for(spark, sf_dir), ReportParams.for_fixture(window)
+def _ctx(spark: SparkSession, sf_dir: str):
+    return catalog_for(spark, sf_dir), ReportParams.for_fixture()
 
 
 def _money(c):
@@ -78,7 +55,7 @@ def q_rupiah_format(spark, sf_dir):
 
 
 def q_clean_orders_dedup(spark, sf_dir):
-    cat, params = _ctx(spark, sf_dir, "order_level")
+    cat, params = _ctx(spark, sf_dir)
     return clean_orders(cat, params, "order_level").select(
         "id", "tanggal", "mp", "id_marketplace", F.col("toko_id").cast("bigint").alias("toko_id"),
         "nama_toko", "gudang", F.col("harga").cast("double").alias("harga"))
@@ -118,7 +95,7 @@ def q_tiktok_revenue_order(spark, sf_dir):
     o = p.select("id", "id_marketplace", F.col("toko_id").cast("bigint").alias("toko"),
                  F.col("created_at").cast("date").alias("tanggal"))
     r = tiktok_order_revenue(cat, o, R.TIKTOK_FEE_FALLBACK,
-                             settlement_per_order(cat, distinct=False), 100)
+                             settlement_by_order(cat, distinct=False), 100)
     return r.select("id", "toko", "tanggal",
                     _money(cents(F.col("omni_num"), R.VAT_DIVISOR)).alias("total_omni"),
                     _money(cents(F.col("fat_num"), R.VAT_DIVISOR)).alias("total_fat"))
@@ -156,9 +133,9 @@ def _orders_in_r5_window(cat, params, status: bool):
 
 
 def q_cogs_order(spark, sf_dir):
-    cat, params = _ctx(spark, sf_dir, "order_level")
+    cat, params = _ctx(spark, sf_dir)
     o = _orders_in_r5_window(cat, params, status=True)
-    j = C.with_vector(cat, o, R.COGS_ORDER_LEVEL)
+    j = C.with_vector(cat, o, R.COGS_ORDER_LEVEL, selective=True)
     from ..operators.orders import cogs_numerator
     return j.select("id", _money(cents(cogs_numerator(), R.VAT_DIVISOR)).alias("total_hpp"))
 
@@ -177,9 +154,9 @@ def q_cogs_month(spark, sf_dir):
 
 
 def q_packing_order(spark, sf_dir):
-    cat, params = _ctx(spark, sf_dir, "order_level")
+    cat, params = _ctx(spark, sf_dir)
     o = _orders_in_r5_window(cat, params, status=False)
-    j = C.with_vector(cat, o, R.COGS_ORDER_LEVEL)
+    j = C.with_vector(cat, o, R.COGS_ORDER_LEVEL, selective=True)
     return j.select("id", F.col("total_qty").cast("bigint").alias("total_qty"),
                     R.tier_cost(F.col("total_qty"), R.PACKING_TIERS_ORDER_LEVEL)
                     .cast("bigint").alias("biaya_packing"))
@@ -187,7 +164,7 @@ def q_packing_order(spark, sf_dir):
 
 def q_packing_shop_day(spark, sf_dir):
     cat, _ = _ctx(spark, sf_dir)
-    r = C.packing_by_shop_day(cat, shop_test=False)
+    r = C.packing_by_shop_day(cat)
     return r.select(F.col("toko").cast("bigint").alias("toko"), "tanggal",
                     F.col("total_packing").cast("bigint").alias("total_packing"))
 
@@ -291,10 +268,9 @@ def q_key_spine_union(spark, sf_dir):
     from ..operators.revenue import shopee_parts_per_order
     cat, params = _ctx(spark, sf_dir)
     keys = ["toko", "tanggal"]
-    parts = shopee_parts_per_order(cat)
-    spine = (RP.shopee_revenue_by_shop_day(cat).select(*keys)
-             .union(C.shopee_ads_and_affiliate(cat, parts).select(*keys))
-             .union(C.packing_by_shop_day(cat, shop_test=False).select(*keys))
+    # turnover days are among the days with price parts, packing days among those with cost of
+    # goods (both read every valid order's lines); ads and affiliate keep every price part's day
+    spine = (C.shopee_ads_and_affiliate(cat, shopee_parts_per_order(cat)).select(*keys)
              .union(C.cogs_by_shop_day(cat, params).select(*keys))
              .distinct())
     return spine.select(F.col("toko").cast("bigint").alias("toko"), "tanggal")
@@ -306,17 +282,46 @@ def q_date_window_param(spark, sf_dir):
     cat["pesanan"].createOrReplaceTempView("ledgerline_pesanan")
     start, end = params.bounds()
     return spark.sql(
-        """SELECT marketplace, count(*) AS n_orders, CAST(sum(harga) AS DOUBLE) AS gross
+        f"""SELECT marketplace, count(*) AS n_orders, CAST(sum(harga) AS DOUBLE) AS gross
            FROM ledgerline_pesanan
            WHERE created_at >= :start_date AND created_at < :end_date
-             AND status NOT IN ('BARU', 'DIBATALKAN', 'GAGAL_KIRIM', 'DIKEMBALIKAN')
+             AND status NOT IN {R.sql_in(R.INVALID_STATUSES)}
            GROUP BY marketplace""",
         args={"start_date": start, "end_date": end})
 
 
-def _report(fn, window="funnel"):
+#: months of the incremental refresh query
+REFRESH_MONTHS = [(2025, 6), (2026, 2)]
+
+
+def q_shop_day_a_month(spark, sf_dir):
+    """The Shopee shop-day facts of two months, as the month refresh computes them."""
+    cat, params = _ctx(spark, sf_dir)
+    return RP.shop_day_shopee(cat, params, REFRESH_MONTHS)
+
+
+def q_order_desc_nulls_first(spark, sf_dir):
+    """The days of the TikTok shop-day report in its order: newest first, the unknown day before
+    all, with the position as a column (one row a day, so the window is small)."""
+    cat, params = _ctx(spark, sf_dir)
+    days = RP.shop_day_tiktok(cat, params).groupBy("tanggal").agg(F.count("*").alias("n_shops"))
+    at = F.row_number().over(Window.orderBy(F.col("tanggal").desc_nulls_first()))
+    return days.select("tanggal", "n_shops", at.alias("position"))
+
+
+def q_order_total_last(spark, sf_dir):
+    """The product rows of the budget matrix in its order, the total row pinned to the end."""
+    cat, params = _ctx(spark, sf_dir)
+    m = M.budget_matrix(cat, params)
+    at = F.row_number().over(Window.orderBy(F.when(F.col("is_total"), 1).otherwise(0),
+                                            F.col("PRODUK").asc_nulls_last()))
+    return m.select(F.when(F.col("is_total"), F.lit("TOTAL")).otherwise(F.col("PRODUK"))
+                    .alias("PRODUK"), at.alias("position"))
+
+
+def _report(fn):
     def q(spark, sf_dir):
-        cat, params = _ctx(spark, sf_dir, window)
+        cat, params = _ctx(spark, sf_dir)
         return fn(cat, params)
     return q
 
@@ -354,11 +359,14 @@ QUERIES: dict[str, Query] = {
     "budget_use_by_category": q_budget_use_by_category,
     "key_spine_union": q_key_spine_union,
     "date_window_param": q_date_window_param,
-    "distinct_on_first": _report(RP.order_level_numeric, "order_level"),
-    "report_order_level": _report(RP.order_level_report, "order_level"),
+    "distinct_on_first": _report(RP.order_level_numeric),
+    "report_order_level": _report(RP.order_level_report),
     "report_monthly_pnl": _report(RP.monthly_pnl),
     "report_shop_day_a": _report(RP.shop_day_shopee),
     "report_shop_day_b": _report(RP.shop_day_tiktok),
+    "shop_day_a_month": q_shop_day_a_month,
+    "order_desc_nulls_first": q_order_desc_nulls_first,
+    "order_total_last": q_order_total_last,
     "report_budget_matrix": _report(RP.budget_matrix_report),
     "report_budget_use": _report(RP.budget_use_report),
     "report_funnel": _report(RP.funnel_report),

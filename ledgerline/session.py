@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 DEFAULT_CONF = {
@@ -30,21 +27,4 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and written intermediate tables.
-
-    Uses the cluster's ``spark.checkpoint.dir`` (or a directory already registered on the
-    context); only when neither is set (local runs, tests) a directory is created.  The setting
-    is a core config that cannot be changed at runtime, so it is registered on the context.
-    """
-    sc = spark.sparkContext
-    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(d if "://" in d else os.path.abspath(d))
-    return d

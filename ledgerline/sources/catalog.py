@@ -9,7 +9,6 @@ filters into each scan.
 
 from __future__ import annotations
 
-import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,72 +46,8 @@ class Catalog:
         return Catalog(spark, load)
 
     @staticmethod
-    def from_driver_tables(spark: SparkSession, sf_dir: str, staged: bool = False,
-                           subdir: str = "ledgerline-sources") -> "Catalog":
-        """Source tables derived from the synthetic driver tables.
-
-        ``staged``: each derived table is written once as Parquet under the session's
-        ``spark.checkpoint.dir`` (keyed by a fingerprint of the driver files) and read back with
-        its fixed schema, the way a deployment reads its stored source tables.  Otherwise every
-        query re-derives the tables (joins of the driver tables) inside its own plan.
-        """
+    def from_driver_tables(spark: SparkSession, sf_dir: str) -> "Catalog":
+        """Source tables derived from the synthetic driver tables, lazily: every query derives
+        the tables that it reads inside its own plan, nothing is written or run beforehand."""
         from .driver_mapping import DriverMapping
-        mapping = DriverMapping(spark, sf_dir)
-        if not staged:
-            return Catalog(spark, mapping.table)
-        return Catalog(spark, StagedTables(spark, mapping, subdir).table)
-
-
-_LOCKS: dict[str, threading.Lock] = {}
-_LOCKS_GUARD = threading.Lock()
-
-
-def _lock_for(path: str) -> threading.Lock:
-    """One lock per staged path: tables stage concurrently, one table never twice at once."""
-    with _LOCKS_GUARD:
-        return _LOCKS.setdefault(path, threading.Lock())
-
-
-class StagedTables:
-    """Write-once Parquet copies of derived tables in the session's checkpoint folder
-    (a per-session folder, so concurrent sessions never write the same path)."""
-
-    def __init__(self, spark: SparkSession, mapping, subdir: str = "ledgerline-sources"):
-        from ..session import ensure_checkpoint_dir
-        self.spark = spark
-        self.mapping = mapping
-        root = ensure_checkpoint_dir(spark).rstrip("/")
-        self.root = f"{root}/{subdir}/{self._fingerprint(mapping.sf_dir)}"
-
-    def _fs(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
-
-    def _fingerprint(self, sf_dir: str) -> str:
-        import hashlib
-        p, fs = self._fs(sf_dir)
-        parts = sorted(f"{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}"
-                       for st in fs.listStatus(p))
-        # the definitions are part of the key: a changed mapping or schema stages afresh
-        import inspect
-        from . import driver_mapping, schemas
-        code = inspect.getsource(driver_mapping) + inspect.getsource(schemas)
-        key = sf_dir + "|" + "|".join(parts) + "|" + code
-        return hashlib.sha1(key.encode()).hexdigest()[:16]
-
-    def path(self, name: str) -> str:
-        return f"{self.root}/{name}"
-
-    def is_staged(self, name: str) -> bool:
-        p, fs = self._fs(f"{self.path(name)}/_SUCCESS")
-        return bool(fs.exists(p))
-
-    def stage(self, name: str) -> None:
-        with _lock_for(self.path(name)):   # queries may be built from several threads
-            if not self.is_staged(name):
-                self.mapping.table(name).write.mode("overwrite").parquet(self.path(name))
-
-    def table(self, name: str) -> DataFrame:
-        self.stage(name)
-        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
+        return Catalog(spark, DriverMapping(spark, sf_dir).table)
