@@ -6,16 +6,16 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import overhead_prorata, period, ratecard_prorata
 from ..params import ReportParams
 from ..sources import AD_SOURCES, Catalog
 from . import rules as R
-from .orders import (cogs_numerator, dated_surcharge_gross, orders_with_fields, sku_lines,
+from .orders import (cogs_numerator, dated_surcharge_gross, orders_with_fields,
                      sku_order_vector)
-from .predicates import channel_valid, not_name_at, valid_status
+from .predicates import channel_valid, in_months, not_name_at, valid_status
 
 TIKTOK_AD_SOURCES = AD_SOURCES[:4]
 SHOPEE_AD_SOURCES = AD_SOURCES[4:]
@@ -23,9 +23,12 @@ CREDIT_SOURCES = ("tiktok_proteksi_roas", "shopee_proteksi_roas")   # ROAS prote
 ROUNDED_SOURCES = ("shopee_iklan_toko",)                            # summed, then rounded to int
 
 
-def with_vector(cat: Catalog, orders: DataFrame, variant: R.CogsVariant) -> DataFrame:
-    """Orders (with ``id``) joined to their per-order SKU vector; orders without lines drop out."""
-    vec = sku_order_vector(cat, variant, lines=sku_lines(cat, orders))
+def with_vector(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
+                selective: bool = False) -> DataFrame:
+    """Orders (with ``id``) joined to their per-order SKU vector; orders without lines drop out.
+    ``selective``: the orders are few (a report window), so the detail table is semi-joined to
+    them first; callers over the whole history leave it off."""
+    vec = sku_order_vector(cat, variant, orders=orders if selective else None)
     return orders.join(vec, orders["id"] == vec["pesanan_id"])
 
 
@@ -38,28 +41,29 @@ def cogs_num_dated(special_shop: int) -> Column:
 
 def packing_cost(q: Column, created_at: Column, old_tiers, new_tiers) -> Column:
     """Packing tier of the order quantity; the tier table switches on the order date."""
-    if new_tiers is None:
-        return R.tier_cost(q, old_tiers)
     return F.when(created_at >= F.lit(R.PACKING_SWITCH), R.tier_cost(q, new_tiers)) \
         .otherwise(R.tier_cost(q, old_tiers))
 
 
 # --- ad spend ----------------------------------------------------------------------------------
 
+Months = list[tuple[int, int]] | None
+
+
 def _ad_rows(cat: Catalog, table: str, date_col: str, amount_col: str,
-             since: dt.date | None = None) -> DataFrame:
-    t = cat[table]
+             since: dt.date | None = None, months: Months = None) -> DataFrame:
+    t = cat[table].where(in_months(F.col(date_col), months))
     if since is not None:
         t = t.where(F.col(date_col) >= F.lit(since))
     return t.select(F.col("toko_id"), F.col(date_col).alias("d"), F.col(amount_col).alias("amt"))
 
 
 def _ad_source(cat: Catalog, table: str, date_col: str, amount_col: str, keys: list[Column],
-               since: dt.date | None = None) -> DataFrame:
+               since: dt.date | None = None, months: Months = None) -> DataFrame:
     """Rows of one ad source as ``keys + cost``: credits negated per row; a source whose sum is
     rounded to whole rupiah is aggregated (and rounded) per key first, the others stay raw and
     are summed once, after the union, by the caller's single aggregate."""
-    rows = _ad_rows(cat, table, date_col, amount_col, since)
+    rows = _ad_rows(cat, table, date_col, amount_col, since, months)
     money = "decimal(38,2)"
     if table in ROUNDED_SOURCES:
         return rows.groupBy(*keys).agg(F.round(F.sum("amt"), 0).cast(money).alias("cost"))
@@ -67,22 +71,25 @@ def _ad_source(cat: Catalog, table: str, date_col: str, amount_col: str, keys: l
     return rows.select(*keys, (F.col("amt") * sign).cast(money).alias("cost"))
 
 
-def ad_spend_by_period(cat: Catalog) -> DataFrame:
+def ad_spend_by_period(cat: Catalog, month_start: dt.date | None = None) -> DataFrame:
     """All 11 ad sources per month; credits negative, TikTok credit only from its cutoff date.
-    One union and one aggregate (map-side partial sums) instead of one aggregate per source."""
+    One union and one aggregate (map-side partial sums) instead of one aggregate per source.
+    ``month_start``: the first day of the first month that the caller can show."""
     parts = []
     for table, date_col, amount_col in AD_SOURCES:
-        since = R.TIKTOK_ROAS_CREDIT_FROM if table == "tiktok_proteksi_roas" else None
+        since = month_start
+        if table == "tiktok_proteksi_roas":
+            since = max(R.TIKTOK_ROAS_CREDIT_FROM, month_start or R.TIKTOK_ROAS_CREDIT_FROM)
         parts.append(_ad_source(cat, table, date_col, amount_col,
                                 [period(F.col("d")).alias("periode")], since))
     allp = reduce(DataFrame.unionByName, parts)
     return allp.groupBy("periode").agg(F.sum("cost").alias("total_iklan"))
 
 
-def shopee_ad_parts(cat: Catalog) -> list[DataFrame]:
+def shopee_ad_parts(cat: Catalog, months: Months = None) -> list[DataFrame]:
     """The 7 Shopee ad sources as rows ``toko, tanggal, cost`` (see ``_ad_source``)."""
     keys = [F.col("toko_id").alias("toko"), F.col("d").cast("date").alias("tanggal")]
-    return [_ad_source(cat, t, dc, ac, keys) for t, dc, ac in SHOPEE_AD_SOURCES]
+    return [_ad_source(cat, t, dc, ac, keys, months=months) for t, dc, ac in SHOPEE_AD_SOURCES]
 
 
 
@@ -129,10 +136,7 @@ def null_key_tag(tag: int, *keys: str) -> Column:
     return F.when(cond, F.lit(tag))
 
 
-TIKTOK_AD_SIDES = (("tiktok_ads_manager", "tanggal", "cost", "am"),
-                   ("tiktok_iklan_gmv_max", "tanggal", "biaya_iklan", "gm"),
-                   ("tiktok_iklan_booster", "tanggal", "biaya_iklan", "bo"),
-                   ("tiktok_proteksi_roas", "tanggal", "biaya_iklan", "tpr"))
+TIKTOK_AD_NAMES = ("am", "gm", "bo", "tpr")       # of TIKTOK_AD_SOURCES, in their order
 
 
 def tiktok_ad_rows(cat: Catalog) -> DataFrame:
@@ -142,7 +146,8 @@ def tiktok_ad_rows(cat: Catalog) -> DataFrame:
     settlements are summed per (order id, shop) first so only one row per order crosses the join.
     """
     parts = []
-    for i, (table, date_col, amount_col, name) in enumerate(TIKTOK_AD_SIDES):
+    for i, ((table, date_col, amount_col), name) in enumerate(
+            zip(TIKTOK_AD_SOURCES, TIKTOK_AD_NAMES)):
         t = cat[table].select(F.col(date_col).cast("date").alias("tanggal"),
                               F.col("toko_id"), F.col(amount_col).alias(name))
         parts.append(t.withColumn("tag", null_key_tag(10 + i, "tanggal", "toko_id")))
@@ -176,7 +181,8 @@ def tiktok_ads_by_day(cat: Catalog) -> DataFrame:
 
 # --- overhead ----------------------------------------------------------------------------------
 
-def overhead_by_period(cat: Catalog, as_of: dt.date) -> DataFrame:
+def overhead_by_period(cat: Catalog, as_of: dt.date,
+                       month_start: dt.date | None = None) -> DataFrame:
     """Monthly overhead entries linked to any shop; the running month pro-rated to ``as_of``.
 
     The source de-duplicates the entry x shop fan-out with ``MAX`` per entry; a semi join does
@@ -184,6 +190,9 @@ def overhead_by_period(cat: Catalog, as_of: dt.date) -> DataFrame:
     ``beban_den`` (exact; the pro-rating is linear so it is applied to the monthly sum).
     """
     b = cat["beban"]
+    if month_start is not None:
+        b = b.where((F.col("tahun") > month_start.year) | (
+            (F.col("tahun") == month_start.year) & (F.col("bulan") >= month_start.month)))
     bt = cat["beban_toko"]
     linked = b.join(bt, b["id"] == bt["beban_id"], "left_semi")
     num, den = overhead_prorata(as_of)
@@ -196,40 +205,40 @@ def overhead_by_period(cat: Catalog, as_of: dt.date) -> DataFrame:
         F.lit(den).alias("beban_den"))
 
 
-def overhead_allocation(cat: Catalog) -> DataFrame:
+def overhead_allocation(cat: Catalog, months: Months = None) -> DataFrame:
     """Monthly overhead per shop by its share of orders, per overhead kind (AM, CC, LIVE).
 
     share = Shopee orders of the shop / orders of all shops linked to the same import and kind,
     times the import's monthly total linked to the shop, rounded to cents.  Orders are counted
-    per (shop, year, month) *before* they meet the overhead bridge: the source joins every order
-    to every overhead row of its shop and counts distinct ids, which is the same number but a
-    fan-out of orders x overhead rows.
+    per (shop, year, month) *before* they meet the overhead bridge, once for the shop's share
+    and the import's whole; the import's whole is a sum over its linked shops' counts, in the
+    months that the import has entries for.  ``months`` limits the months that are returned;
+    every share still counts the whole month over all linked shops.
     """
-    b = cat["beban"]
-    bt = cat["beban_toko"]
-    links = b.join(bt, b["id"] == bt["beban_id"])
-    monthly = links.groupBy("import_id", "toko_id", "jenis", "tahun", "bulan") \
-        .agg(F.sum("nilai").alias("total"))
-    kinds = links.select("import_id", "jenis", "toko_id").distinct()
-
-    p = cat["pesanan"].where(valid_status())
-    counts = p.groupBy(
+    from ..functions.money import div_round_half_away
+    links = cat["beban"].join(cat["beban_toko"], F.col("id") == F.col("beban_id")) \
+        .groupBy("import_id", "toko_id", "jenis", "tahun", "bulan").agg(F.sum("nilai").alias("total"))
+    # one row an import and kind: its shops, and the months that have entries
+    wanted = F.lit(True) if months is None else F.struct("tahun", "bulan").isin(
+        *[F.struct(F.lit(y), F.lit(m)) for y, m in sorted(set(months))])
+    when = F.struct("tahun", "bulan")
+    imports = links.groupBy("import_id", "jenis").agg(
+        F.collect_set("toko_id").alias("shops"),
+        F.collect_set(F.when(wanted, when)).alias("entry_months"))
+    pairs = imports.select("import_id", "jenis", "entry_months", F.explode("shops").alias("toko_id")) \
+        .select("import_id", "jenis", "toko_id", F.explode("entry_months").alias("e")) \
+        .select("import_id", "jenis", "toko_id", "e.tahun", "e.bulan")
+    counts = cat["pesanan"].where(valid_status() & in_months(F.col("created_at"), months)).groupBy(
         "toko_id", F.year("created_at").alias("tahun"), F.month("created_at").alias("bulan")
     ).agg(F.count(F.lit(1)).alias("n_all"),
           F.sum(F.when(F.col("marketplace") == R.SHOPEE, 1).otherwise(0)).alias("n_shopee"))
-
-    per_kind = kinds.join(counts, "toko_id")
-    all_shops = per_kind.groupBy("import_id", "jenis", "tahun", "bulan") \
-        .agg(F.sum("n_all").alias("n_import"))
-    this_shop = per_kind.where(F.col("n_shopee") > 0) \
-        .select("import_id", "jenis", "toko_id", "tahun", "bulan", "n_shopee")
-    from ..functions.money import div_round_half_away
-    alloc = (this_shop.join(all_shops, ["import_id", "jenis", "tahun", "bulan"])
-             .join(monthly, ["import_id", "toko_id", "jenis", "tahun", "bulan"])
-             .where(F.col("n_import") != 0)
-             .select("toko_id", "jenis", "tahun", "bulan",
-                     div_round_half_away(F.col("n_shopee") * F.col("total") * 100,
-                                         F.col("n_import")).alias("cents")))
+    whole = Window.partitionBy("import_id", "jenis", "tahun", "bulan")
+    shares = pairs.join(counts, ["toko_id", "tahun", "bulan"]) \
+        .withColumn("n_import", F.sum("n_all").over(whole)).where("n_shopee > 0 and n_import <> 0")
+    alloc = shares.join(links, ["import_id", "toko_id", "jenis", "tahun", "bulan"]) \
+        .select("toko_id", "jenis", "tahun", "bulan",
+                div_round_half_away(F.col("n_shopee") * F.col("total") * 100,
+                                    F.col("n_import")).alias("cents"))
     aggs = [F.sum(F.when(F.col("jenis") == kind, F.col("cents"))).alias(name)
             for kind, name in R.OVERHEAD_KINDS]
     return alloc.groupBy(F.col("toko_id").alias("toko"), "tahun", "bulan").agg(*aggs)
@@ -237,9 +246,12 @@ def overhead_allocation(cat: Catalog) -> DataFrame:
 
 # --- rate card, shipping -------------------------------------------------------------------
 
-def ratecard_by_period(cat: Catalog, as_of: dt.date) -> DataFrame:
+def ratecard_by_period(cat: Catalog, as_of: dt.date,
+                       month_start: dt.date | None = None) -> DataFrame:
     """Rate card per month; the running month pro-rated by ``day(as_of - 1) / days``."""
     k = cat["kelontong"]
+    if month_start is not None:
+        k = k.where(F.col("tanggal") >= F.lit(month_start))
     num, den = ratecard_prorata(as_of)
     cur = as_of.strftime("%Y-%m")
     per = k.groupBy(period(F.col("tanggal")).alias("periode")).agg(F.sum("nominal").alias("s"))
@@ -311,15 +323,11 @@ def packing_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
         .agg(F.sum(cost).alias("total_packing"))
 
 
-def packing_by_shop_day(cat: Catalog, shop_test: bool) -> DataFrame:
-    """Daily packing per shop.  ``shop_test`` False: Shopee report (manual orders filtered by
-    customer name only); True: TikTok report (valid status only)."""
+def packing_by_shop_day(cat: Catalog) -> DataFrame:
+    """Daily packing per shop; manual orders filtered by customer name only."""
     p = orders_with_fields(cat)
-    if shop_test:
-        keep = valid_status()
-    else:
-        keep = channel_valid(F.col("marketplace"), (R.MANUAL,),
-                             not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS))
+    keep = channel_valid(F.col("marketplace"), (R.MANUAL,),
+                         not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS))
     j = with_vector(cat, p.where(keep).select("id", "toko_id", "created_at"), R.COGS_ORDER_LEVEL)
     cost = packing_cost(F.col("total_qty"), F.col("created_at"),
                         R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW)

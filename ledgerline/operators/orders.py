@@ -6,7 +6,8 @@ Scale notes
 * ``pesanan_detail_sku`` is the largest table (one row per SKU line).  Every measure that the
   reports compute per SKU line is linear in the quantity, so it is reduced to *one row per order*
   (``sku_order_vector``) by a hash aggregate with map-side partial aggregation, before the result
-  meets the order header.  Only per-order vectors cross the join shuffle.
+  meets the order header.  Lines cross the join with the detail table as numbers (quantity, cost
+  rule, fee class): the product name is read on the scan only (``classified_lines``).
 * The cross-channel de-duplication ranks copies of one marketplace order id.  Spark plans
   ``row_number() = 1`` with a partial ``WindowGroupLimit`` before the shuffle, so even the NULL
   id (all orders without a marketplace id form one group) ships at most one row per input
@@ -47,13 +48,32 @@ def sku_lines(cat: Catalog, orders: DataFrame | None = None) -> DataFrame:
         .select("pesanan_id", "nama", "qty")
 
 
+def classified_lines(cat: Catalog, fee_fallback: str | None,
+                     orders: DataFrame | None = None) -> DataFrame:
+    """SKU lines as ``pesanan_id, qty, rule, fee``: the product name decides the cost rule and
+    the fee class in a projection on the scan, so no string crosses the join's shuffle.
+
+    ``orders`` as in ``sku_lines``: only for callers whose order set is selective.
+    """
+    pd = cat["pesanan_detail"].select(F.col("id").alias("detail_id"), "pesanan_id")
+    if orders is not None:
+        ids = orders.select(F.col("id").alias("o_id"))
+        pd = pd.join(ids, pd["pesanan_id"] == ids["o_id"], "left_semi")
+    lines = cat["pesanan_detail_sku"].select(
+        "pesanan_detail_id", F.col("qty").cast("bigint").alias("qty"),
+        R.cogs_rule_index(F.col("nama")).cast("int").alias("rule"),
+        R.tiktok_fee_factor(F.col("nama"), fee_fallback).alias("fee"))
+    return lines.join(pd, lines["pesanan_detail_id"] == pd["detail_id"]) \
+        .select("pesanan_id", "qty", "rule", "fee")
+
+
 def _lookup(idx: Column, values, default) -> Column:
     """Value of rule ``idx`` (1-based; 0 = no rule) from a small literal array."""
     return F.element_at(F.array(*[F.lit(v) for v in (default, *values)]), idx + 1)
 
 
 def sku_order_vector(cat: Catalog, variant: R.CogsVariant, fee_fallback: str | None = None,
-                     lines: DataFrame | None = None) -> DataFrame:
+                     orders: DataFrame | None = None) -> DataFrame:
     """Per order: quantity, cost-of-goods parts and TikTok fee factors, from its SKU lines.
 
     Columns: ``pesanan_id, total_qty, cogs_net_num, cogs_gross, careos_qty, nutrimom_qty,
@@ -63,17 +83,15 @@ def sku_order_vector(cat: Catalog, variant: R.CogsVariant, fee_fallback: str | N
     product; with a non-negative price the per-order maximum of ``price * factor`` is
     ``price * fee_max``.
     """
-    src = sku_lines(cat) if lines is None else lines
-    idx = R.cogs_rule_index(F.col("nama"))
+    src = classified_lines(cat, fee_fallback, orders)
+    idx, qty = F.col("rule"), F.col("qty")
     units = [r[1] if variant.unit_override is None else variant.unit_override for r in R.COGS_RULES]
     is_net = [r[2] for r in R.COGS_RULES]
     fixed = [0 if (variant.dated_surcharge and r[4]) else r[3] for r in R.COGS_RULES]
-    qty = F.col("qty").cast("bigint")
     unit = _lookup(idx, units, 0)
     net = _lookup(idx, is_net, False)
     sched = _lookup(idx, [r[4] or "" for r in R.COGS_RULES], "") if variant.dated_surcharge \
         else F.lit("")
-    fee = R.tiktok_fee_factor(F.col("nama"), fee_fallback)
     return src.groupBy("pesanan_id").agg(
         F.sum("qty").alias("total_qty"),
         F.sum(F.when(net, qty * unit * 100).otherwise(0)).alias("cogs_net_num"),
@@ -81,8 +99,8 @@ def sku_order_vector(cat: Catalog, variant: R.CogsVariant, fee_fallback: str | N
         .alias("cogs_gross"),
         F.sum(F.when(sched == "careos", qty).otherwise(0)).alias("careos_qty"),
         F.sum(F.when(sched == "nutrimom", qty).otherwise(0)).alias("nutrimom_qty"),
-        F.max(fee).alias("fee_max"),
-        F.min(fee).alias("fee_min"),
+        F.max("fee").alias("fee_max"),
+        F.min("fee").alias("fee_min"),
     )
 
 
@@ -185,10 +203,9 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     SKU lines), even when its amounts are NULL.  One pass over the SKU table serves revenue, cost of goods and
     packing, and every join is one row per order, so nothing fans out.
 
-    The settlement is joined on the marketplace id.  Rows that cannot match (not eligible, or
-    no marketplace id) get a unique negative key instead of NULL, so the NULL id -- one group
-    that may hold a large share of all orders -- is spread over all partitions instead of
-    landing in one task.
+    The settlement belongs to a marketplace id.  It is looked up for the narrow rows of TikTok
+    orders that have one and joined back by order id (``revenue.settlement_by_order``), so the
+    NULL id -- one group that may hold a large share of all orders -- never meets in one task.
 
     ``prefilter``: for a report window, a cheap superset of the orders (``id, id_marketplace,
     marketplace``; a filtered scan of the order header, no shuffle).  The detail table, the price
@@ -196,10 +213,9 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     enough because the joins with ``orders`` decide; it avoids recomputing an expensive order
     set (e.g. after de-duplication) once per semi join.  Whole-history reports leave it off.
     """
-    from .revenue import settlement_per_order, tiktok_price_per_order
+    from .revenue import settlement_by_order, tiktok_price_per_order
     fee_fallback = tiktok.fee_fallback if tiktok else None
-    lines = sku_lines(cat, prefilter)
-    vec = sku_order_vector(cat, variant, fee_fallback, lines=lines)
+    vec = sku_order_vector(cat, variant, fee_fallback, orders=prefilter)
     f = orders.join(vec, orders["id"] == vec["pesanan_id"], how)
     if tiktok is None:
         return f
@@ -207,11 +223,9 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     subset = None if prefilter is None else prefilter.where(F.col("marketplace") == R.TIKTOK)
     price = tiktok_price_per_order(cat, tiktok.keep_total_amount, orders=subset)
     f = f.join(price, f["id"] == price["price_order_id"], "left")
-    settle = settlement_per_order(cat, tiktok.settlement_distinct, orders=subset)
-    can_match = elig & F.col("id_marketplace").isNotNull()
-    key = F.when(can_match, F.col("id_marketplace")).otherwise(-F.col("id") - 1)
-    f = f.withColumn("settle_key", key)
-    f = f.join(settle, (f["settle_key"] == settle["order_id"]) & can_match, "left")
+    settle = settlement_by_order(cat, tiktok.settlement_distinct, subset)
+    f = f.join(settle, f["id"] == settle["settle_id"], "left") \
+        .withColumn("settlement", F.when(elig, F.col("settlement")))
     # money numerators keep 6 decimals explicitly: left to type coercion, a COALESCE of a
     # wide decimal(38,2) and a (.., 6) operand can come out as (38, 2) and round every order
     num = "decimal(38,6)"

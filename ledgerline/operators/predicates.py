@@ -42,3 +42,16 @@ def channel_valid(marketplace: Column, manual_channels, manual_extra: Column | N
     if manual_extra is not None:
         manual_ok = manual_ok & manual_extra
     return manual_ok | (~is_manual & valid_status())
+
+
+def in_months(col: Column, months: list[tuple[int, int]] | None) -> Column:
+    """``col`` lies in one of the ``(year, month)`` months; true for all rows without months.
+    Plain comparisons with literals, so they reach the scan as pushed filters."""
+    if months is None:
+        return F.lit(True)
+    out = F.lit(False)
+    for year, month in sorted(set(months)):
+        start = dt.date(year, month, 1)
+        end = dt.date(year + month // 12, month % 12 + 1, 1)
+        out = out | ((col >= F.lit(start)) & (col < F.lit(end)))
+    return out

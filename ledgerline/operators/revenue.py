@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..sources import Catalog
 from . import rules as R
-from .orders import sku_lines, sku_order_vector
+from .orders import sku_order_vector
 
 
 def _only_for(df: DataFrame, key: str, orders: DataFrame | None, order_key: str) -> DataFrame:
@@ -31,6 +31,21 @@ def settlement_per_order(cat: Catalog, distinct: bool, orders: DataFrame | None
     return tp.groupBy("order_id").agg(agg("total_settlement_amount").alias("settlement"))
 
 
+def settlement_by_order(cat: Catalog, distinct: bool,
+                        orders: DataFrame | None = None) -> DataFrame:
+    """``settle_id, settlement``: the settled amount of every TikTok order that has one.
+
+    Two numbers of each TikTok order with a marketplace id meet the settlements; callers join
+    the result by order id.  ``orders``: a selective set of TikTok orders to look up.
+    """
+    header = cat["pesanan"].where(F.col("marketplace") == R.TIKTOK) if orders is None else orders
+    header = header.where(F.col("id_marketplace").isNotNull()) \
+        .select(F.col("id").alias("settle_id"), F.col("id_marketplace").alias("_mp"))
+    settled = settlement_per_order(cat, distinct, orders)
+    return header.join(settled, header["_mp"] == settled["order_id"]) \
+        .select("settle_id", "settlement")
+
+
 def shopee_parts_per_order(cat: Catalog, orders: DataFrame | None = None) -> DataFrame:
     """Shopee price parts reduced to one row per order before any join (parts may repeat).
     With ``orders`` (a selective set with ``id``) only their parts are read on."""
@@ -52,6 +67,7 @@ def tiktok_order_revenue(cat: Catalog, orders: DataFrame, fee_fallback: str | No
     ``orders`` must have ``id, id_marketplace``; its other columns are carried along.
     ``omni_num = coalesce(settlement * settlement_factor, max over SKUs of price * (1-fee)*100)``
     and ``fat_num = price * 100`` where price = original price - seller discount; both / 111.
+    ``settlement``: ``settlement_by_order``, or None to leave it out.
     ``settlement_factor`` 100 nets the settlement of VAT, 111 keeps it gross.
     Orders without SKU lines or price rows drop out (inner joins, as in the source).
     """
@@ -59,12 +75,12 @@ def tiktok_order_revenue(cat: Catalog, orders: DataFrame, fee_fallback: str | No
     if keep_total_amount:
         keys.append("total_amount")
     price_rows = cat["pesanan_pembentuk_harga_tiktok_shop"].select(*keys).distinct()
-    vec = sku_order_vector(cat, R.COGS_ORDER_LEVEL, fee_fallback, lines=sku_lines(cat, orders)) \
+    vec = sku_order_vector(cat, R.COGS_ORDER_LEVEL, fee_fallback) \
         .select(F.col("pesanan_id").alias("v_id"), "fee_max", "fee_min")
     j = (orders.join(price_rows, orders["id"] == price_rows["pesanan_id"])
          .join(vec, F.col("id") == F.col("v_id")))
     if settlement is not None:
-        j = j.join(settlement, j["id_marketplace"] == settlement["order_id"], "left")
+        j = j.join(settlement, j["id"] == settlement["settle_id"], "left")
     price = F.col("original_total_product_price") - F.col("seller_discount")
     best = F.when(price >= 0, price * F.col("fee_max")).otherwise(price * F.col("fee_min"))
     num = "decimal(38,6)"       # explicit: type coercion could drop decimals in the COALESCE

@@ -24,8 +24,9 @@ from ..operators import present as P
 from ..operators import rules as R
 from ..operators.orders import (TiktokRevenueRule, clean_orders, cogs_numerator, order_fact,
                                 orders_with_fields)
-from ..operators.predicates import channel_valid, in_window, not_name_at, valid_status
-from ..operators.revenue import (settlement_per_order, shopee_parts_per_order,
+from ..operators.predicates import (channel_valid, in_months, in_window, not_name_at,
+                                    valid_status)
+from ..operators.revenue import (settlement_by_order, shopee_parts_per_order,
                                  tiktok_order_revenue)
 from ..params import ReportParams
 from ..sources import Catalog
@@ -99,7 +100,7 @@ def _rupiah_ratio(num: Column, den: int = 1) -> Column:
 
 def order_level_report(cat: Catalog, params: ReportParams) -> DataFrame:
     v = order_level_values(cat, params)
-    return v.orderBy("id", "tanggal").select(
+    return v.orderBy(F.col("id").asc_nulls_last(), F.col("tanggal").asc_nulls_last()).select(
         F.col("id").alias("ID ORDER"), F.col("tanggal").alias("TANGGAL"),
         F.col("id_mp").alias("ID MP"), F.col("mp").alias("MARKETPLACE"),
         F.col("nama_cust").alias("NAMA CUSTOMER"), F.col("gudang").alias("GUDANG"),
@@ -127,7 +128,7 @@ def tiktok_orders_monthly(cat: Catalog, params: ReportParams) -> DataFrame:
                              & (F.col("created_at") >= F.lit(params.history_start)))
     o = p.select("id", "id_marketplace", "toko_id", period(F.col("created_at")).alias("periode"))
     return tiktok_order_revenue(cat, o, R.TIKTOK_FEE_FALLBACK,
-                                settlement_per_order(cat, distinct=True), 100,
+                                settlement_by_order(cat, distinct=True), 100,
                                 keep_total_amount=True)
 
 
@@ -242,10 +243,12 @@ def monthly_pnl(cat: Catalog, params: ReportParams) -> DataFrame:
                    | (F.coalesce(F.col("n_tiktok"), F.lit(0)) > 0)
                    | (F.coalesce(F.col("n_manual_groups"), F.lit(0)) > 0))
     j = j.where(has_revenue)
-    ads = C.ad_spend_by_period(cat).select(F.col("periode").alias("i_p"), "total_iklan")
-    bb = C.overhead_by_period(cat, params.as_of).select(
+    # only months from the history start can have revenue, so no cost is read before it
+    first = params.history_start.replace(day=1)
+    ads = C.ad_spend_by_period(cat, first).select(F.col("periode").alias("i_p"), "total_iklan")
+    bb = C.overhead_by_period(cat, params.as_of, first).select(
         F.col("periode").alias("b_p"), cents(F.col("beban_num"), F.col("beban_den")).alias("beban_c"))
-    rc = C.ratecard_by_period(cat, params.as_of).select(
+    rc = C.ratecard_by_period(cat, params.as_of, first).select(
         F.col("periode").alias("r_p"), cents(F.col("rc_num"), F.col("rc_den")).alias("rc_c"))
     for df, key in ((ads, "i_p"), (bb, "b_p"), (rc, "r_p")):
         j = j.join(df, j["periode"] == df[key], "left")
@@ -278,14 +281,17 @@ def shopee_revenue_by_shop_day(cat: Catalog) -> DataFrame:
         (F.sum("escrow_sum") * 100).alias("omni_n"), (F.sum("fat_sum") * 100).alias("fat_n"))
 
 
-def shopee_costs_by_shop_day(cat: Catalog, params: ReportParams) -> DataFrame:
+def shopee_costs_by_shop_day(cat: Catalog, params: ReportParams,
+                             months: C.Months = None) -> DataFrame:
     """Packing and cost of goods per (shop, day) in one pass over the SKU lines (valid orders;
     packing leaves out manual orders of warehouse / consignment customers)."""
-    p = orders_with_fields(cat).where(valid_status())
+    in_scope = valid_status() & in_months(F.col("created_at"), months)
+    p = orders_with_fields(cat).where(in_scope)
+    few = None if months is None else cat["pesanan"].where(in_scope).select("id")
     pack_ok = channel_valid(F.col("marketplace"), (R.MANUAL,),
                             not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS))
     o = p.select("id", "id_marketplace", "toko_id", "created_at", pack_ok.alias("pack_ok"))
-    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED)
+    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED, prefilter=few)
     pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
                           R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW)
     return f.groupBy(F.col("toko_id").alias("toko"),
@@ -294,7 +300,7 @@ def shopee_costs_by_shop_day(cat: Catalog, params: ReportParams) -> DataFrame:
         F.sum(C.cogs_num_dated(params.codes.funnel_shopee_shop)).alias("hpp_num"))
 
 
-def shop_day_shopee(cat: Catalog, params: ReportParams) -> DataFrame:
+def shop_day_shopee(cat: Catalog, params: ReportParams, months: C.Months = None) -> DataFrame:
     """Shopee shop-day facts for days with turnover; the three overhead columns stay NULL when a
     shop has no allocation that month, every other measure is zero-filled.
 
@@ -302,9 +308,13 @@ def shop_day_shopee(cat: Catalog, params: ReportParams) -> DataFrame:
     the price parts are read once for both turnover (Shopee, valid orders) and affiliate
     commission (every order), merged with the seven ad sources in one aggregate per (shop, day);
     turnover > 0 then drives, and the SKU-based costs and overhead are left joins.
+
+    ``months`` (pairs of year and month): only these months' days.  The bounds reach every dated
+    scan, and the SKU lines and price parts are semi-joined to the months' orders.
     """
-    parts = shopee_parts_per_order(cat)
-    p = cat["pesanan"].select("id", "toko_id", "created_at", "marketplace", "status")
+    p = cat["pesanan"].where(in_months(F.col("created_at"), months)) \
+        .select("id", "toko_id", "created_at", "marketplace", "status")
+    parts = shopee_parts_per_order(cat, orders=None if months is None else p)
     j = parts.join(p, parts["pesanan_id"] == p["id"])
     counted = (F.col("marketplace") == R.SHOPEE) & valid_status()
     dec = "decimal(38,2)"
@@ -316,15 +326,15 @@ def shop_day_shopee(cat: Catalog, params: ReportParams) -> DataFrame:
                          F.lit(None).cast(dec).alias("cost"))
     ad_rows = [a.select("toko", "tanggal", F.lit(None).cast(dec).alias("escrow"),
                         F.lit(None).cast(dec).alias("fat"), F.lit(None).cast(dec).alias("aff"),
-                        "cost") for a in C.shopee_ad_parts(cat)]
+                        "cost") for a in C.shopee_ad_parts(cat, months)]
     u = reduce(DataFrame.unionByName, [part_rows] + ad_rows)
     om = u.groupBy("toko", "tanggal").agg(
         (F.sum("escrow") * 100).alias("omni_n"), (F.sum("fat") * 100).alias("fat_n"),
         F.coalesce(F.sum("cost"), F.lit(0)).alias("total_iklan"),
         F.coalesce(F.sum("aff"), F.lit(0)).alias("total_aff"))
     om = om.where((F.col("omni_n") > 0) & F.col("toko").isNotNull() & F.col("tanggal").isNotNull())
-    costs = shopee_costs_by_shop_day(cat, params)
-    bb = C.overhead_allocation(cat)
+    costs = shopee_costs_by_shop_day(cat, params, months)
+    bb = C.overhead_allocation(cat, months)
     toko = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("nama_toko"))
     keys = ["toko", "tanggal"]
     j = (om.join(costs, keys, "left")
@@ -349,36 +359,39 @@ def shop_day_shopee(cat: Catalog, params: ReportParams) -> DataFrame:
 
 
 def tiktok_fact_rows(cat: Catalog, params: ReportParams) -> DataFrame:
-    """Per valid order: TikTok revenue numerators, packing and cost of goods, keyed by
-    (day, shop), from one pass over the SKU lines.
+    """TikTok revenue numerators, packing and cost of goods of valid orders per (day, shop), from
+    one pass over the SKU lines.
 
     The source builds the three measures separately and full-joins them on (day, shop).  With a
-    NULL day or shop its rows never join, so each measure keeps a row of its own; here such an
-    order is split into one row per measure, each with its own ``tag`` (NULL for normal keys).
+    NULL day or shop its rows never join, so each measure keeps a row of its own; here the
+    groups with a NULL key are split after the aggregate, each part with its own ``tag`` (NULL
+    for normal keys; revenue only where the group has a TikTok revenue row).
     """
     p = cat["pesanan"].where(valid_status())
     o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id")
     f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED, TiktokRevenueRule(settlement_distinct=False),
                    tiktok_eligible=F.col("marketplace") == R.TIKTOK)
     pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
-                          R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW).cast("bigint")
-    hpp = C.cogs_num_dated(params.codes.funnel_shopee_shop).cast("decimal(38,0)")
-    omni, fat = F.col("tt_omni_num").cast("decimal(38,6)"), F.col("tt_fat_num").cast("decimal(38,6)")
-    nb, nd, n4 = (F.lit(None).cast(t) for t in ("bigint", "decimal(38,0)", "decimal(38,6)"))
-
-    def part(tag, o_, f_, k_, h_):
-        return F.struct(tag.alias("tag"), o_.alias("omni_num"), f_.alias("fat_num"),
-                        k_.alias("total_packing"), h_.alias("hpp_num"))
-    null_key = F.col("created_at").isNull() | F.col("toko_id").isNull()
-    split = F.filter(F.array(
-        F.when(F.col("tt_has"), part(F.lit(1), omni, fat, nb, nd)),
-        part(F.lit(2), n4, n4, pack, nd), part(F.lit(3), n4, n4, nb, hpp)),
-        lambda x: x.isNotNull())
-    rows = F.when(null_key, split).otherwise(F.array(part(F.lit(None).cast("int"), omni, fat,
-                                                          pack, hpp)))
-    return f.select(F.col("created_at").cast("date").alias("tanggal"),
-                    F.col("toko_id").alias("toko"), F.explode(rows).alias("m")) \
-        .select("tanggal", "toko", "m.*")
+                          R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW)
+    types = {"omni_num": "decimal(38,6)", "fat_num": "decimal(38,6)", "total_packing": "bigint",
+             "hpp_num": "decimal(38,0)"}
+    sums = {"omni_num": F.sum("tt_omni_num"), "fat_num": F.sum("tt_fat_num"),
+            "total_packing": F.sum(pack),
+            "hpp_num": F.sum(C.cogs_num_dated(params.codes.funnel_shopee_shop))}
+    g = f.groupBy(F.col("created_at").cast("date").alias("tanggal"),
+                  F.col("toko_id").alias("toko")).agg(
+        F.count(F.when(F.col("tt_has"), 1)).alias("n_tt"),
+        *[c.cast(types[n]).alias(n) for n, c in sums.items()])
+
+    def part(tag, *own):
+        return F.struct(F.lit(tag).cast("int").alias("tag"), *[
+            (F.col(n) if n in own else F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+    split = F.filter(F.array(F.when(F.col("n_tt") > 0, part(1, "omni_num", "fat_num")),
+                             part(2, "total_packing"), part(3, "hpp_num")),
+                     lambda x: x.isNotNull())
+    null_key = F.col("tanggal").isNull() | F.col("toko").isNull()
+    rows = F.when(null_key, split).otherwise(F.array(part(None, *types)))
+    return g.select("tanggal", "toko", F.explode(rows).alias("m")).select("tanggal", "toko", "m.*")
 
 
 def shop_day_tiktok(cat: Catalog, params: ReportParams) -> DataFrame:
@@ -468,7 +481,7 @@ def budget_matrix_report(cat: Catalog, params: ReportParams) -> DataFrame:
         txt = P.rp(F.col(lab).cast("decimal(38,0)"))
         return F.when(tot, P.bold(txt)).otherwise(txt).alias(lab)
     produk = F.when(tot, P.bold(F.lit("TOTAL"))).otherwise(F.col("PRODUK")).alias("PRODUK")
-    return m.orderBy(F.when(tot, 1).otherwise(0), F.col("PRODUK")) \
+    return m.orderBy(F.when(tot, 1).otherwise(0), F.col("PRODUK").asc_nulls_last()) \
         .select(produk, *[cell(lab) for lab in labels])
 
 
@@ -493,9 +506,7 @@ def budget_use_report(cat: Catalog, params: ReportParams) -> DataFrame:
         return F.when(tot, P.bold(txt)).otherwise(txt)
     bar = F.when(tot, P.percent_bar(F.col("total_budget_marketing"), F.col("pct_tenths"), True)) \
         .otherwise(P.percent_bar(F.col("total_budget_marketing"), F.col("pct_tenths"), False))
-    return b.orderBy(F.when(tot, 1).otherwise(0), F.col("pengeluaran")).select(
+    return b.orderBy(F.when(tot, 1).otherwise(0), F.col("pengeluaran").asc_nulls_last()).select(
         name.alias("PENGELUARAN"), cell("shopee").alias("SHOPEE"), cell("tiktok").alias("TIKTOK"),
         cell("total").alias("TOTAL"), bar.alias("% TOTAL"))
 
-
-__all__ = [n for n in dir() if not n.startswith("_")]
