@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,42 +12,49 @@ from ..plans.reports import shop_day_shopee
 from ..sources import Catalog
 
 PARTITIONS = ("tahun", "bulan")
+Months = list[tuple[int, int]]
 
 
-def write_partitioned(df: DataFrame, path: str, partition_cols=PARTITIONS,
+def _filesystem(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def write_partitioned(df: DataFrame, path: str, months: Months | None = None,
                       spread_by: tuple[str, ...] = ("toko",)) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic partition overwrite).
+    """Replace month partitions of ``path`` by the rows of ``df``.
 
-    Rows are hash-partitioned by the partition columns and ``spread_by`` (the shop), so a
-    month is written by several tasks (no single task holds a whole month) and each task
-    writes few files.
+    ``months``: exactly these are replaced; one without rows in ``df`` is emptied, and a frame
+    with rows of another month is refused before anything is changed.  Without ``months`` the
+    months that ``df`` has are replaced.
+
+    ``df`` runs once, into a folder beside the partitions (``_refresh-...``, which readers skip):
+    from there its months are known and the partitions are overwritten by the writer's own
+    dynamic mode, without a change to the session.  Rows are spread by ``spread_by``, so several
+    tasks write a month.  A run that fails can be repeated; it has replaced a month or left it.
     """
     spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        keys = [*partition_cols, *[c for c in spread_by if c in df.columns]]
-        (df.repartition(*keys).write.mode("overwrite")
-         .partitionBy(*partition_cols).parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    staged_at = f"{path}/_refresh-{uuid.uuid4().hex[:12]}"
+    keys = [*PARTITIONS, *[c for c in spread_by if c in df.columns]]
+    df.repartition(*keys).write.parquet(staged_at)
+    staged = spark.read.parquet(staged_at)
+    found = {(r[0], r[1]) for r in staged.select(*PARTITIONS).distinct().collect()}
+    if months is not None and not found <= set(months):
+        raise ValueError(f"rows of months that are not refreshed: {sorted(found - set(months))}")
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(*PARTITIONS).parquet(path)
+    for year, month in set(months or ()) - found:
+        at, fs = _filesystem(spark, f"{path}/tahun={year}/bulan={month}")
+        fs.delete(at, True)
+    at, fs = _filesystem(spark, staged_at)
+    fs.delete(at, True)
 
 
 def refresh_shopee_daily_fact(cat: Catalog, params: ReportParams, path: str,
-                              months: list[tuple[int, int]] | None = None) -> DataFrame:
-    """Recompute the shop-day fact and replace the given ``(year, month)`` partitions (all
-    months when ``months`` is None).  Returns the DataFrame that was written."""
-    df = shop_day_shopee(cat, params)
-    if months:
-        starts = [dt.date(y, m, 1) for y, m in months]
-        cond = None
-        for s in starts:
-            e = dt.date(s.year + (s.month == 12), s.month % 12 + 1, 1)
-            c = (F.col("tanggal") >= F.lit(s)) & (F.col("tanggal") < F.lit(e))
-            cond = c if cond is None else (cond | c)
-        df = df.where(cond)
-    write_partitioned(df, path)
-    return df
+                              months: Months | None = None) -> None:
+    """Recompute the shop-day fact of the given ``(year, month)`` months and replace them (all
+    months that occur when ``months`` is None).  The months bound every dated scan."""
+    write_partitioned(shop_day_shopee(cat, params, months), path, months)
 
 
 def read_daily_fact(spark: SparkSession, path: str, year: int | None = None,
