@@ -93,7 +93,7 @@ def test_packing_switch_date(frames):
             order(2, "SHOPEE", 10, id_mp=2, ts=dt.datetime(2026, 4, 1, 0, 0))]
     cat = frames({"pesanan": rows, "pesanan_detail": [(10, 1), (20, 2)],
                   "pesanan_detail_sku": [(10, "Cessa", 3), (20, "Cessa", 3)]})
-    got = {r.tanggal: r.total_packing for r in C.packing_by_shop_day(cat, True).collect()}
+    got = {r.tanggal: r.total_packing for r in C.packing_by_shop_day(cat).collect()}
     assert got == {dt.date(2026, 3, 31): 2000, dt.date(2026, 4, 1): 1000}
 
 

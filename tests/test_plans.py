@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as E
 from ledgerline.operators.orders import clean_orders
 from ledgerline.params import ReportParams
-from ledgerline.plans.registry import catalog_for
-from ledgerline.sources import Catalog
+from ledgerline.plans import reports as RP
+from ledgerline.plans.registry import QUERIES, catalog_for
+from ledgerline.sources import AD_SOURCES, SCHEMAS, Catalog
 
 SF = "/root/testdata/sf0.001"
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas",
@@ -17,16 +17,16 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_cartesian_no_python(spark, name):
-    p = _plan(E.queries()[name](spark, SF))
+    p = _plan(QUERIES[name](spark, SF))
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     assert not any(n in p for n in PYTHON_NODES)
 
 
 def test_dedup_limits_groups_before_the_shuffle(spark):
     cat = catalog_for(spark, SF)
-    p = _plan(clean_orders(cat, ReportParams.for_fixture("order_level"), "order_level"))
+    p = _plan(clean_orders(cat, ReportParams.for_fixture(), "order_level"))
     assert "WindowGroupLimit" in p and "Partial" in p and "Final" in p
 
 
@@ -37,28 +37,107 @@ def test_window_reaches_parquet_scan(spark, tmp_path):
     real = Catalog.from_parquet(spark, str(tmp_path))
     spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
     try:
-        p = _plan(clean_orders(real, ReportParams.for_fixture("order_level"), "order_level"))
+        p = _plan(clean_orders(real, ReportParams.for_fixture(), "order_level"))
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
-    assert "GreaterThanOrEqual(created_at,2025-06-01" in p and "LessThan(created_at,2025-09-01" in p
+    assert "GreaterThanOrEqual(created_at,2025-06-01" in p and "LessThan(created_at,2026-01-01" in p
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_forced_broadcast(spark, name):
     """Broadcasts are left to Spark's size checks (static statistics, AQE runtime sizes)."""
-    analyzed = E.queries()[name](spark, SF)._jdf.queryExecution().analyzed().toString()
+    analyzed = QUERIES[name](spark, SF)._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in analyzed.lower()
 
 
-def test_settlement_join_uses_salted_key(spark):
-    """Rows that cannot match a settlement get a unique negative key, not the (hot) NULL id."""
-    from pyspark.sql import functions as F
+@pytest.fixture(scope="module")
+def stored(spark, tmp_path_factory):
+    """The source tables as Parquet, as a deployment has them: scans show what is pushed."""
+    root = tmp_path_factory.mktemp("tables")
+    derived = catalog_for(spark, SF)
+    for n in SCHEMAS:
+        derived[n].write.parquet(str(root / n))
+    return Catalog.from_parquet(spark, str(root))
 
-    from ledgerline.operators import rules as R
-    from ledgerline.operators.orders import TiktokRevenueRule, order_fact
-    cat = catalog_for(spark, SF)
-    o = cat["pesanan"].select("id", "id_marketplace", "marketplace")
-    f = order_fact(cat, o, R.COGS_ORDER_LEVEL, TiktokRevenueRule(),
-                   F.col("marketplace") == R.TIKTOK)
-    joins = [line for line in _plan(f).split("\n") if "Join" in line and "[order_id" in line]
-    assert joins and all("[settle_key" in line for line in joins)
+
+def _full_plan(spark, df) -> str:
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # the plan of large sides
+    try:
+        return df._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _scans(plan: str) -> list[str]:
+    """The details of each Parquet scan."""
+    return [part for part in plan.split("\n\n") if "Scan parquet" in part]
+
+
+def test_queries_are_lazy(spark, monkeypatch):
+    """Building a query writes nothing and makes no temporary folder."""
+    import tempfile
+
+    from pyspark.sql import DataFrame
+    monkeypatch.setattr(tempfile, "mkdtemp", lambda *a, **k: pytest.fail("temporary folder"))
+    monkeypatch.setattr(DataFrame, "write", property(lambda s: pytest.fail("write")))
+    monkeypatch.setattr(DataFrame, "collect", lambda s: pytest.fail("collect"))
+    for query in QUERIES.values():
+        query(spark, SF)
+
+
+REPORTS = {"monthly_pnl": RP.monthly_pnl, "order_level": RP.order_level_numeric,
+           "shop_day_a": RP.shop_day_shopee, "shop_day_b": RP.shop_day_tiktok}
+
+
+@pytest.mark.parametrize("name", sorted(REPORTS))
+def test_product_names_stay_on_the_scan(spark, stored, name):
+    """Only numbers of a SKU line cross the join with the detail table."""
+    df = REPORTS[name](stored, ReportParams.for_fixture())
+    exchanges = [p for p in _full_plan(spark, df).split("\n\n")
+                 if "Exchange" in p.split("\n")[0] and "pesanan_detail_id" in p]
+    assert exchanges
+    for e in exchanges:
+        given = next(line for line in e.split("\n") if line.startswith("Input"))
+        assert "nama#" not in given, given
+
+
+@pytest.mark.parametrize("name", ["monthly_pnl", "order_level", "shop_day_b"])
+def test_settlement_meets_narrow_orders(spark, stored, name):
+    """Settlements join orders that have a marketplace id, two numbers each."""
+    plan = _full_plan(spark, REPORTS[name](stored, ReportParams.for_fixture()))
+    header = [s for s in _scans(plan) if "id_marketplace" in s and "EqualTo(marketplace,TIKTOK_SHOP)"
+              in s and "IsNotNull(id_marketplace)" in s]
+    assert header or name == "order_level"
+    assert "settle_key" not in plan
+
+
+def test_monthly_report_reads_costs_from_its_first_month(spark, stored):
+    plan = _full_plan(spark, RP.monthly_pnl(stored, ReportParams.for_fixture()))
+    tables = [t for t, _, _ in AD_SOURCES] + ["kelontong"]
+    for t in tables:
+        scans = [s for s in _scans(plan) if f"/{t}]" in s]
+        assert scans and all("GreaterThanOrEqual(" in s for s in scans), t
+
+
+def test_month_refresh_bounds_every_dated_scan(spark, stored):
+    plan = _full_plan(spark, RP.shop_day_shopee(stored, ReportParams.for_fixture(), [(2025, 6)]))
+    dated = ["pesanan", *[t for t, _, _ in AD_SOURCES[4:]]]
+    for t in dated:
+        scans = [s for s in _scans(plan) if f"/{t}]" in s]
+        assert scans, t
+        for s in scans:
+            assert "2025-06-01" in s and "2025-07-01" in s, (t, s)
+
+
+def test_tiktok_days_split_after_the_aggregate(spark, stored):
+    """The split of rows without a day or shop stands above the orders' aggregate."""
+    plan = _plan(RP.shop_day_tiktok(stored, ReportParams.for_fixture()))
+    lines = plan.split("\n")
+    at = next(i for i, line in enumerate(lines) if "Generate explode" in line)
+    below = next(line for line in lines[at + 1:] if "Aggregate" in line or "Scan" in line)
+    assert "Aggregate" in below
