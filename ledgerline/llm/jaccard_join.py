@@ -472,3 +472,24 @@ def components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
 
 def op5_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return components(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=3, percent=90)
+
+
+ORACLE_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words),
+members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM members a JOIN members b USING (shingle)
+  WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, min(r.y) AS component_id
+FROM sets s JOIN reach r ON r.x = s.doc_id GROUP BY s.doc_id, s.s
+"""

@@ -44,6 +44,7 @@ QUERIES = {q.__name__: _shipped(q) for q in (
 ORACLE_SQL = {
     "op4_mixing": mixing.oracle_sql(),
     "op8_packing": length_buckets.oracle_sql(),
+    "op5_jaccard_join": jaccard_join.ORACLE_SQL,
     "op7_topk": topk.ORACLE_SQL,
     "op2_secret_scan": secret_ledger.ORACLE_SQL,
     "op9_exact_dedup": cuckoo_dedup.ORACLE_SQL,
