@@ -89,11 +89,18 @@ def set_spans(text: Column, version: str, rule_sets: dict) -> Column:
                                    for r in rule_sets[version]]))
 
 
+LEDGER = f"blob binary, rule_version string, spans {SPANS}, batch string"
+
+
 def _ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(ledger)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.option("basePath", ledger).parquet(f"{ledger}/batch=*") \
-        if fs.exists(path) and len(fs.listStatus(path)) else None
+    """The committed batches (those whose write ended); None if there is none."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(ledger)
+    fs = path.getFileSystem(conf)
+    names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
+    done = [f"{ledger}/{n}" for n in sorted(names) if n.startswith("batch=") and
+            fs.exists(jvm.org.apache.hadoop.fs.Path(f"{ledger}/{n}/_SUCCESS"))]
+    return spark.read.schema(LEDGER).option("basePath", ledger).parquet(*done) if done else None
 
 
 def scan(docs: DataFrame, ledger: str, batch: str, *, id_col: str = "doc_id",
