@@ -3,8 +3,9 @@
 Two shingle sets of sizes n and m with Jaccard similarity s or more share at least
 ``T = ceil(s (n + m) / (1 + s))`` shingles, never fewer than ``ceil(s n)``.  So of a set's
 inverted lists all but ``ceil(s n) - 1`` (the longest) have to be merged: every partner occurs in
-one of the short lists.  The order that tells short from long lists is global: first the
-shingles that are not known to be frequent, by hash, then the frequent ones by frequency.
+one of the short lists.  The order that tells short from long lists is global: shingles with few
+frequent words come first (chance hardly repeats them), and shingles that are frequent
+themselves, like those of shared passages, come last.
 
 1. Every document becomes its sorted shingle keys; equal sets form one class, and the search is
    among classes.  Keys of the short lists are the class's ``short`` array (about a tenth).
@@ -20,7 +21,7 @@ shingles that are not known to be frequent, by hash, then the frequent ones by f
 5. Chunks of one block have not met each other.  Where they hold more than one component, the
    classes outside the block's largest component meet all chunks of the block (steps 3 and 4).
 
-Links are exact; the frequent shingles are found on a sample, which only decides the order.
+Links are exact; frequent words and shingles are found on a sample, which only decides the order.
 """
 
 from __future__ import annotations
@@ -36,47 +37,57 @@ from pyspark.sql import functions as F
 
 from .components import connected_components
 from .storage import written
-from .texts import mix64, shingle_set, word_hashes
+from .texts import mix64, shingle_hashes, word_hashes
 
-#: documents of which the sample finds frequent shingles, the share of them that makes a shingle
-#: frequent, and the most that are held
+#: documents in the sample that finds frequent words and shingles, the share of them that makes
+#: a shingle frequent, and the most of each that are held
 SAMPLE_DOCS = 5000
 FREQUENT_SHARE = 0.001
-MOST_FREQUENT = 1 << 16
+FREQUENT_WORDS = 20_000
+FREQUENT_SHINGLES = 1 << 16
 #: classes and shingles that one block holds
 BLOCK_CLASSES = 1500
 BLOCK_SHINGLES = 4 << 20
 #: total length of short lists up to which they are merged by heap, beyond it by sorting
 HEAP_MERGE = 256
 
-_LIGHT = np.uint64(2)
+_HASH_BITS = 58
 _HEAVY = 1 << 62
 
 
 # --- sets ---------------------------------------------------------------------------------------
-class Frequent:
-    """Frequent shingles: their keys ascending, and each one's rank by frequency, rarest first."""
+class Order:
+    """The global order of shingles: by the number of frequent words in them, then by hash;
+    frequent shingles come last, by frequency.  Built from bounded samples, held by every task."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+    def __init__(self, words: np.ndarray, keys: np.ndarray, counts: np.ndarray):
         rank = np.empty(len(keys), dtype=np.int64)
         rank[np.lexsort((keys, counts))] = np.arange(len(keys))
         order = np.argsort(keys)
-        self.keys, self.rank = keys[order], rank[order]
+        self.words, self.keys, self.rank = np.sort(words), keys[order], rank[order]
 
 
-NONE = Frequent(np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+def _member(values: np.ndarray, ascending: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which values are among ``ascending``, and where."""
+    if not len(ascending):
+        return np.zeros(len(values), dtype=bool), np.zeros(len(values), dtype=np.int64)
+    at = np.minimum(np.searchsorted(ascending, values), len(ascending) - 1)
+    return ascending[at] == values, at
 
 
-def shingle_keys(text: bytes, k: int, frequent: Frequent) -> np.ndarray:
-    """A text's distinct shingles as ascending int64 keys, the frequent ones last."""
-    keys = (shingle_set(word_hashes(text), k) >> _LIGHT).astype(np.int64)
-    if not len(keys):
-        return keys
-    keys = keys[np.flatnonzero(np.diff(keys, prepend=-1))]
-    if len(frequent.keys):
-        at = np.minimum(np.searchsorted(frequent.keys, keys), len(frequent.keys) - 1)
-        hit = frequent.keys[at] == keys
-        keys[hit] = _HEAVY + frequent.rank[at[hit]]
+def shingle_keys(text: bytes, k: int, order: Order) -> np.ndarray:
+    """A text's distinct shingles as ascending int64 keys in the global order."""
+    words = word_hashes(text)
+    hashes = shingle_hashes(words, k)
+    if not len(hashes):
+        return np.empty(0, dtype=np.int64)
+    known = np.concatenate([[0], np.cumsum(_member(words, order.words)[0])])
+    n_known = known[len(words) - len(hashes) + 1:] - known[:len(hashes)]
+    keys = np.unique((np.minimum(n_known, 15) << _HASH_BITS)
+                     | (hashes >> np.uint64(64 - _HASH_BITS)).astype(np.int64))
+    hit, at = _member(keys, order.keys)
+    if hit.any():
+        keys[hit] = _HEAVY + order.rank[at[hit]]
         keys.sort()
     return keys
 
@@ -107,32 +118,40 @@ def _texts(batch: pa.RecordBatch, column: int) -> Iterator[bytes]:
     return (t.as_py() for t in pc.fill_null(batch.column(column), "").cast(pa.binary()))
 
 
-def frequent_shingles(docs: DataFrame, k: int) -> Frequent:
-    """Shingles that many sampled documents share (a bounded number)."""
+def sampled_order(docs: DataFrame, k: int) -> Order:
+    """The order from a sample of documents: its most frequent words, then the shingles that many
+    of its documents share (a bounded number of both)."""
     n = docs.count()
     share = min(1.0, SAMPLE_DOCS / n) if n else 1.0
     draw = F.pmod(F.xxhash64(F.lit("shingle sample"), "i"), F.lit(1 << 30)) / float(1 << 30)
+    sample = docs.where(draw < share).select("t")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for t in _texts(batch, 0):
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_keys(t, k, NONE))], names=["s"])
+    def top(values, least: int, most: int) -> pa.Table:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for t in _texts(batch, 0):
+                    yield pa.RecordBatch.from_arrays([pa.array(values(t))], names=["s"])
+
+        return sample.mapInArrow(run, "s bigint").groupBy("s").agg(F.count("*").alias("c")) \
+            .where(F.col("c") >= least).orderBy(F.desc("c"), "s").limit(most).toArrow()
 
-    least = max(4, int(FREQUENT_SHARE * min(n, SAMPLE_DOCS)))
-    found = docs.where(draw < share).select("t").mapInArrow(run, "s bigint").groupBy("s").agg(
-        F.count("*").alias("c")).where(F.col("c") >= least) \
-        .orderBy(F.desc("c"), "s").limit(MOST_FREQUENT).toArrow()
-    return Frequent(*(found.column(c).to_numpy() for c in ("s", "c")))
+    none = np.empty(0, dtype=np.int64)
+    words = top(lambda t: np.unique(word_hashes(t)).view(np.int64), 2, FREQUENT_WORDS) \
+        .column("s").to_numpy().view(np.uint64)
+    bare = Order(words, none, none)
+    found = top(lambda t: shingle_keys(t, k, bare),
+                max(4, int(FREQUENT_SHARE * min(n, SAMPLE_DOCS))), FREQUENT_SHINGLES)
+    return Order(words, found.column("s").to_numpy(), found.column("c").to_numpy())
 
 
-def set_rows(docs: DataFrame, k: int, percent: int, frequent) -> DataFrame:
+def set_rows(docs: DataFrame, k: int, percent: int, order) -> DataFrame:
     """doc_id, n, cls (128-bit digest of the set), short; an empty set has a null class."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        many = frequent.value
+        held = order.value
         for batch in batches:
             n, cls, short = [], [], []
             for t in _texts(batch, 1):
-                keys = shingle_keys(t, k, many)
+                keys = shingle_keys(t, k, held)
                 n.append(len(keys))
                 cls.append(set_digest(keys))
                 short.append(keys[:n_short(len(keys), percent)])
@@ -348,7 +367,7 @@ class _Join:
     def __init__(self, spark: SparkSession, docs: DataFrame, k: int, percent: int):
         self.spark, self.docs, self.k, self.percent = spark, docs, k, percent
         self.partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        self.frequent = spark.sparkContext.broadcast(frequent_shingles(docs, k))
+        self.order = spark.sparkContext.broadcast(sampled_order(docs, k))
 
     def together(self, rows: DataFrame, *keys: str) -> DataFrame:
         return rows.repartition(self.partitions, *keys).sortWithinPartitions(*keys)
@@ -360,12 +379,12 @@ class _Join:
         # blocks with the same members give the same group
         groups = written(self.spark, found.dropDuplicates(["grp", "cid"]), "groups")
         wanted = groups.select("cid").distinct().join(classes.select("cid", "rep", "cls"), "cid")
-        k, frequent = self.k, self.frequent
+        k, order = self.k, self.order
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            many = frequent.value
+            held = order.value
             for batch in batches:
-                keys = [shingle_keys(t, k, many) for t in _texts(batch, 2)]
+                keys = [shingle_keys(t, k, held) for t in _texts(batch, 2)]
                 # an id that repeats with another text brings another set: the class tells
                 own = [set_digest(s) == c for s, c in zip(keys, batch.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays(
@@ -382,7 +401,7 @@ class _Join:
 
     def run(self) -> DataFrame:
         spark = self.spark
-        rows = written(spark, set_rows(self.docs, self.k, self.percent, self.frequent), "rows")
+        rows = written(spark, set_rows(self.docs, self.k, self.percent, self.order), "rows")
         known = rows.where("cls is not null and doc_id is not null")
         self.repeated = not known.groupBy("doc_id").count().where("count > 1").isEmpty()
         classes = written(spark, known.groupBy("cls").agg(

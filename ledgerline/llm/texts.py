@@ -56,8 +56,8 @@ def word_hashes(text: bytes) -> np.ndarray:
         return mix64(sums)
 
 
-def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``k`` words; the whole sequence if there are fewer."""
+def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:
+    """Hashes of the runs of ``k`` words, in order; of the whole sequence if there are fewer."""
     if not len(words):
         return words
     k = min(k, len(words))
@@ -66,4 +66,4 @@ def shingle_set(words: np.ndarray, k: int) -> np.ndarray:
         h = np.full(n, np.uint64(k), dtype=np.uint64)
         for i in range(k):
             h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + words[i:i + n])
-    return np.unique(h)
+    return h
