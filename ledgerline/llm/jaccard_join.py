@@ -32,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -213,10 +213,16 @@ def _lists_of(s: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 def short_groups(n: np.ndarray, short: list[np.ndarray], labels: np.ndarray,
                  percent: int) -> Groups:
-    """Groups of classes that the merged short lists leave as possible partners."""
+    """Groups of classes that the merged short lists leave as possible partners.
+
+    ``short`` may hold 32-bit forms in which different keys are equal: then more count as shared
+    and the keys equal to the end of what both sides list do not count as seen, so the bound
+    never excludes a pair that reaches the overlap.
+    """
     groups = Groups(labels)
     keys, begin, member = inverted_lists(short)
-    last = np.array([s[-1] if len(s) < m else np.iinfo(np.int64).max for s, m in zip(short, n)])
+    last = np.array([int(s[-1]) if len(s) < m else np.iinfo(np.int64).max
+                     for s, m in zip(short, n)])
     for x in range(len(short)):
         if groups.parts == 1:
             break
@@ -226,13 +232,13 @@ def short_groups(n: np.ndarray, short: list[np.ndarray], labels: np.ndarray,
         occurs = np.concatenate([member[begin[i]:begin[i + 1]] for i in lists])
         found, shared = np.unique(occurs[occurs < x], return_counts=True)
         need = -(-percent * (n[x] + n[found]) // (100 + percent))
-        # of x's keys up to the end of what both sides list, those not shared are missing
-        seen = np.searchsorted(short[x], np.minimum(last[x], last[found]), side="right")
+        # of x's keys before the end of what both sides list, those not shared are missing
+        seen = np.searchsorted(short[x], np.minimum(last[x], last[found]), side="left")
         ok = (need <= np.minimum(n[x], n[found])) & (seen - shared <= n[x] - need)
         for y, k, t in zip(found[ok].tolist(), shared[ok].tolist(), need[ok].tolist()):
             if groups.find(x) == groups.find(y):
                 continue
-            seen_y = int(np.searchsorted(short[y], min(last[x], last[y]), side="right"))
+            seen_y = int(np.searchsorted(short[y], min(last[x], last[y]), side="left"))
             if seen_y - k <= n[y] - t:
                 groups.join(x, y)
     return groups
@@ -322,6 +328,13 @@ def _arrays(column: pa.ChunkedArray) -> list[np.ndarray]:
     return [x.values.to_numpy() for c in column.chunks for x in c]
 
 
+def brief(short: Column) -> Column:
+    """Short keys in 32 bits for the blocks, in the same order (different keys may become equal,
+    which only weakens the bound): frequent shingles' ranks, below them the others' first bits."""
+    return F.transform(short, lambda x: F.when(x >= _HEAVY, x - _HEAVY).otherwise(
+        F.shiftright(x, 31) - (1 << 31)).cast("int"))
+
+
 def _block_groups(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _runs(batches, ["head", "chunk"]):
@@ -407,21 +420,28 @@ class _Join:
         classes = written(spark, known.groupBy("cls").agg(
             F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("short").alias("short"))
             .withColumn("cid", F.monotonically_increasing_id()), "classes")
-        lists = classes.select(F.explode("short").alias("key"), "cid", "n")
+        lists = classes.select(F.explode("short").alias("key"), "cid")
         heads = lists.groupBy("key").agg(F.min("cid").alias("head"), F.count("*").alias("c")) \
             .where("c > 1").select("key", "head")
-        stars = lists.join(heads, "key").select("head", "cid", "n").distinct()
-        stars = written(spark, stars, "stars")
+        stars = written(spark, lists.join(heads, "key").select("head", "cid").distinct()
+                        .join(classes.select("cid", "n"), "cid"), "stars")
         sizes = stars.groupBy("head").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
         chunks = F.greatest(F.ceil(F.col("c") / BLOCK_CLASSES),
                             F.ceil(F.col("s") / BLOCK_SHINGLES)).cast("int")
         large = written(spark, sizes.select("head", chunks.alias("chunks")).where("chunks > 1"),
                         "large-blocks")
-        member = stars.join(large, "head", "left").select(
-            "head", F.when(F.col("chunks").isNull(), 0).otherwise(
-                F.pmod(F.xxhash64("cid"), F.col("chunks"))).cast("int").alias("chunk"), "cid",
-            "chunks")
-        with_short = member.join(classes.select("cid", "n", "short"), "cid")
+        # in a block that stays whole, a class whose neighbours by size are too small or too
+        # large for it has no partner
+        by_size = Window.partitionBy("head").orderBy("n", "cid")
+        near = (F.lag("n").over(by_size) * 100 >= F.col("n") * self.percent) | (
+            F.col("n") * 100 >= F.lead("n").over(by_size) * self.percent)
+        whole = stars.join(large, "head", "left_anti").withColumn("near", near).where("near") \
+            .select("head", F.lit(0).alias("chunk"), "cid", F.lit(None).cast("int").alias("chunks"))
+        member = stars.join(large, "head").select(
+            "head", F.pmod(F.xxhash64("cid"), F.col("chunks")).cast("int").alias("chunk"), "cid",
+            "chunks").unionByName(whole)
+        with_short = member.join(classes.select("cid", "n", brief(F.col("short")).alias("short")),
+                                 "cid")
         links = written(spark, self.links(
             with_short.select("head", "chunk", "cid", F.col("cid").alias("label"), "n", "short"),
             classes), "links")
@@ -466,7 +486,8 @@ class _Join:
                                  & (F.col("chunk") == F.col(side))).select(
             "head", F.col("name").alias("chunk"), "cid", "label")
             for some, side in ((outside, "from"), (labelled, "to")))
-        rows = left.unionByName(right).join(classes.select("cid", "n", "short"), "cid")
+        rows = left.unionByName(right).join(
+            classes.select("cid", "n", brief(F.col("short")).alias("short")), "cid")
         return written(spark, self.links(
             rows.select("head", "chunk", "cid", "label", "n", "short"), classes), "more-links")
 
