@@ -6,15 +6,15 @@ tokens is the rate at which its documents are wanted; the rates are calibrated t
 and every document is kept by its own draw against its probability.
 
 Cells and marginals are aggregated before anything else moves (a hot source is one row of each
-partition).  The cell table has one row for each combination that occurs; the sweeps run on it as
-DataFrames, each written before the next reads it.
+partition).  The cell table has one row for each combination that occurs; a sweep is a window sum
+over it for each dimension, and a few sweeps run as one job before the weights are written.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .length_buckets import draw, word_count
@@ -24,6 +24,10 @@ DIMENSIONS = ("source", "lang", "topic")
 #: sweeps over the three dimensions; raking stops before when all marginals hold to TOLERANCE
 SWEEPS = 12
 TOLERANCE = 1e-10
+#: sweeps that run as one job, before the weights are written
+SWEEPS_A_JOB = 4
+#: cells up to which the sweeps run in one task; more are dealt out by each dimension in turn
+CELLS_A_TASK = 50_000
 
 #: fixed values: shapes of text that stand for topics, first match first
 TOPICS = (
@@ -42,52 +46,50 @@ def topic_of(text: Column) -> Column:
     return out
 
 
-def tempered_targets(cells: DataFrame, dimension: str, exponent: float) -> DataFrame:
-    """Target shares of a dimension in proportion to its tokens to the power ``exponent``."""
-    raw = cells.groupBy(dimension).agg(F.sum("tokens").alias("t")) \
-        .select(dimension, F.pow(F.col("t").cast("double"), F.lit(exponent)).alias("p"))
-    total = raw.agg(F.sum("p")).first()[0]
-    return raw.select(dimension, (F.col("p") / F.lit(total or 1.0)).alias("target"))
-
-
-def rake(cells: DataFrame, targets: dict[str, DataFrame], sweeps: int = SWEEPS) -> DataFrame:
+def rake(cells: DataFrame, targets: dict[str, DataFrame | float],
+         sweeps: int = SWEEPS) -> DataFrame:
     """``cells`` (source, lang, topic, tokens) with ``share`` and the raked ``weight``.
 
-    ``targets``: for each dimension a table (dimension, target).  Targets of values without
+    ``targets``: for each dimension a table (dimension, target) with one row a value, or a
+    number: target shares in proportion to the tokens to that power.  Targets of values without
     tokens are dropped and the others scaled to 1; values without a target get weight 0.  Null
     values are values like any other.  Where the targets contradict each other the last sweep's
     weights are returned (the last dimension's marginal holds).
     """
-    spark = cells.sparkSession
-    wanted = {}
+    spark, dims = cells.sparkSession, list(targets)
+    of = {d: Window.partitionBy(d) for d in dims}
+    step = cells
     for d, t in targets.items():
-        there = t.select(F.col(d).alias("_v"), F.col("target").cast("double").alias("_t")).join(
-            cells.select(F.col(d).alias("_w")).distinct(),
-            F.col("_v").eqNullSafe(F.col("_w")), "left_semi")
-        total = there.agg(F.sum("_t")).first()[0]
-        wanted[d] = written(spark, there.withColumn("_t", F.col("_t") / F.lit(total or 1.0)),
-                            f"target-{d}")
-    total = cells.agg(F.sum("tokens")).first()[0]
-    now = written(spark, cells.withColumn("share", F.col("tokens") / F.lit(float(total or 1)))
-                  .withColumn("weight", F.col("share")), "cells")
-    for _ in range(sweeps):
-        step, off = now, []
-        for d, t in wanted.items():
-            sums = step.groupBy(F.col(d).alias("_s")).agg(F.sum("weight").alias("_m"))
-            factor = sums.join(t, F.col("_s").eqNullSafe(F.col("_v")), "left").select(
-                "_s", F.when(F.col("_m") > 0, F.coalesce("_t", F.lit(0.0)) / F.col("_m"))
-                .otherwise(0.0).alias("_f"))
-            step = step.join(factor, F.col(d).eqNullSafe(F.col("_s"))) \
-                .withColumn("weight", F.col("weight") * F.col("_f")).drop("_s", "_f")
-            off.append(d)
-        now, before = written(spark, step, "raked"), now
-        moved = now.select(*[F.col(d).alias(f"_{d}") for d in off], F.col("weight").alias("_w")) \
-            .join(before, reduce(lambda a, b: a & b,
-                                 [F.col(f"_{d}").eqNullSafe(F.col(d)) for d in off])) \
-            .agg(F.max(F.abs(F.col("_w") - F.col("weight")))).first()[0]
+        if isinstance(t, DataFrame):
+            step = step.join(t.select(F.col(d).alias("_v"), F.col("target").alias("_g")),
+                             F.col(d).eqNullSafe(F.col("_v")), "left")
+            goal = F.coalesce(F.col("_g").cast("double"), F.lit(0.0))
+        else:
+            goal = F.pow(F.sum("tokens").over(of[d]).cast("double"), F.lit(float(t)))
+        step = step.withColumn(f"_goal_{d}", goal).drop("_v", "_g") \
+            .withColumn(f"_cells_{d}", F.count("*").over(of[d]))
+    now = written(spark, step, "goals")
+    # every value's goal counts once: its cells share it
+    n_cells, total, *sums = now.agg(F.count("*"), F.sum("tokens"), *[
+        F.sum(F.col(f"_goal_{d}") / F.col(f"_cells_{d}")) for d in dims]).first()
+    now = now.withColumn("share", F.col("tokens") / F.lit(float(total or 1))) \
+        .withColumn("weight", F.col("share")) \
+        .withColumns({f"_goal_{d}": F.col(f"_goal_{d}") / F.lit(x or 1.0)
+                      for d, x in zip(dims, sums)})
+    for done in range(0, sweeps, SWEEPS_A_JOB):
+        # cells that one task holds easily need no exchange between the window sums
+        step = now.coalesce(1) if n_cells <= CELLS_A_TASK else now
+        for _ in range(min(SWEEPS_A_JOB, sweeps - done)):
+            step = step.withColumn("_was", F.col("weight"))
+            for d in dims:
+                margin = F.sum("weight").over(of[d])
+                step = step.withColumn("weight", F.when(
+                    margin > 0, F.col("weight") * F.col(f"_goal_{d}") / margin).otherwise(0.0))
+        now = written(spark, step, "raked")
+        moved = now.agg(F.max(F.abs(F.col("weight") - F.col("_was")))).first()[0]
         if (moved or 0.0) < TOLERANCE:
             break
-    return now
+    return now.select(*cells.columns, "share", "weight")
 
 
 def calibrated_rate(cells: DataFrame, budget: float) -> float:
@@ -128,8 +130,7 @@ def _rated(docs: DataFrame, source_col: str, lang_col: str, topic: Column | None
                     .agg(F.sum("_tokens").alias("tokens")), "cells").where("tokens > 0")
     power = {"source": 0.5, "lang": 0.5, "topic": 0.8} | (exponents or {})
     given = targets or {}
-    raked = rake(cells, {d: given[d] if d in given else tempered_targets(cells, d, power[d])
-                         for d in DIMENSIONS})
+    raked = rake(cells, {d: given.get(d, power[d]) for d in DIMENSIONS})
     k = calibrated_rate(raked, budget)
     rates = raked.select(*[F.col(d).alias(f"_of_{d}") for d in DIMENSIONS],
                          (F.col("weight") / F.col("share")).alias("_r"))

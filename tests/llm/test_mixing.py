@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.llm import mixing as M
@@ -17,7 +18,9 @@ def brute_rake(cells, targets, sweeps=200):
     return w
 
 
-def test_rake_reaches_all_marginals(spark):
+@pytest.mark.parametrize("in_one_task", [50_000, 0])
+def test_rake_reaches_all_marginals(spark, monkeypatch, in_one_task):
+    monkeypatch.setattr(M, "CELLS_A_TASK", in_one_task)
     cells = {("a", "x", "p"): 100, ("a", "y", "q"): 30, ("b", "x", "q"): 50, ("b", "y", "p"): 10,
              (None, "x", "p"): 5, (None, "y", "q"): 7}
     goals = ({"a": .3, "b": .5, None: .2}, {"x": .6, "y": .4}, {"p": .5, "q": .5})
