@@ -1,27 +1,32 @@
 """Language-model scores by a weighted backoff automaton over words.
 
-Tokens are lower-cased words and one end mark a document.  All words are counted over all
-training documents.  The automaton's states are the ``CONTEXTS`` most frequent tokens (the end
-mark always, it stands for the start of a text) and a root without context.  A state has an arc
-for each of these tokens that followed it in training, weighted by the discounted bigram
-estimate; every other token takes the state's failure arc, which multiplies its backoff weight,
-to the root, where the word's smoothed unigram probability is.  A text is read once from left to
-right; the state after a token is that token's, or the root.
+Tokens are lower-cased words and one end mark a document.  All words and all bigrams are counted
+over all training documents.  Every token is a state of the automaton (the end mark stands for
+the start of a text too); a state has an arc for each token that followed it in training,
+weighted by the discounted bigram estimate; every other token takes the state's failure arc,
+which multiplies its backoff weight, to the root, where the word's smoothed unigram probability
+is.  A text is read once from left to right.
 
     P(w | h) = (c(h, w) - D) / c(h)                                  if the arc exists
              = b(h) P(w),  b(h) = (1 - sum of arcs) / (1 - sum of P over arcs)   otherwise
     P(w)     = (c(w) + 1) / (N + V + 1)
 
-so the probabilities that follow a state sum to one, a single unseen word included.
-
-What a task holds is bounded: the ``HEAD`` most frequent words' counts and the automaton.  Counts
-of all other words stay in a table; tokens that are not in the head leave the pass as (document,
-word, times) rows and meet their counts in a join.  Nothing is dropped: head and join use the
-same formula, and only the way to a count differs.
+so the probabilities that follow a state sum to one, a single unseen word included.  A state
+that training never saw has no arcs and b(h) = 1.
+
+What a task holds is bounded: the ``HEAD`` most frequent words' counts and the arcs between the
+``HOT`` most frequent ones.  A token whose bigram is not among these arcs leaves as a row
+(text, h, w).  The rows meet by word: those of one bigram together, and those of a word outside
+the head all together, so that a task counts both and knows what each row's score is.  What
+differs from a bigram and word seen once (training) or never (held out) goes back to the text;
+held-out bigrams without an arc meet their state's failure weight in a join.  Nothing is dropped:
+only the way to a count differs.  A bigram outside the held arcs has a word that is not among the
+HOT most frequent, so no key has more than 1/HOT of the training tokens.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,13 +37,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .language_id import remainder
-from .storage import new_folder, written
+from .storage import written
 from .texts import word_hashes
 
 #: words whose counts every task holds (12 bytes each)
 HEAD = 200_000
-#: contexts; there are at most CONTEXTS ** 2 arcs
-CONTEXTS = 1024
+#: states of the model: every token is one, there is no cap
+CONTEXTS = sys.maxsize
+#: words whose arcs to each other every task holds (at most HOT ** 2)
+HOT = 1024
 DISCOUNT = 0.5
 #: hash of the end mark; no word has it (but with the chance of any hash collision)
 END = np.uint64(0x9D5C3A1E7F20B64D)
@@ -78,20 +85,23 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 @dataclass
 class Automaton:
-    """Head counts and arcs, sorted for lookup."""
+    """Head counts and the arcs between hot words, sorted for lookup."""
 
     total: int                   # N
     types: int                   # V
     words: np.ndarray            # hashes of the head, ascending
     counts: np.ndarray
-    context: np.ndarray          # context number of a head word, or -1
-    arcs: np.ndarray             # context * CONTEXTS + next context, ascending
+    hot: np.ndarray              # number of a hot head word, or -1
+    arcs: np.ndarray             # hot * HOT + next hot, ascending
     arc_score: np.ndarray        # log10 of the arc's probability
-    backoff: np.ndarray          # log10 of each context's failure weight
+
+    @property
+    def mass(self) -> int:
+        return self.total + self.types + 1
 
     @property
     def unit(self) -> float:
-        return float(np.log10(self.total + self.types + 1))
+        return float(np.log10(self.mass))
 
     def head(self, toks: np.ndarray) -> np.ndarray:
         """Places in the head, -1 for other words."""
@@ -100,75 +110,84 @@ class Automaton:
         at = np.minimum(np.searchsorted(self.words, toks), len(self.words) - 1)
         return np.where(self.words[at] == toks, at, -1)
 
-    def read(self, toks: np.ndarray) -> tuple[int, float, float, np.ndarray]:
-        """(known head tokens, base, score, other words) of a text's tokens.
-
-        Both sums leave the other words' own log10(count + 1) out: the join adds them.
-        """
+    def codes(self, toks: np.ndarray) -> np.ndarray:
+        """A word's place in the head, or its hash (with the chance of any hash collision)."""
         at = self.head(toks)
-        own = np.where(at >= 0, np.log10(self.counts[at] + 1.0) if len(self.words) else 0.0, 0.0)
-        own = own - self.unit
-        after = self.context[at] if len(self.words) else at
-        after = np.where(at >= 0, after, -1)
-        before = np.concatenate([[0], after[:-1]])       # context 0: the end mark, a text's start
-        step = own + np.where(before >= 0, self.backoff[np.maximum(before, 0)], 0.0)
-        both = np.flatnonzero((before >= 0) & (after >= 0))
-        if len(both) and len(self.arcs):
-            key = before[both] * CONTEXTS + after[both]
-            arc = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
-            hit = self.arcs[arc] == key
-            step[both[hit]] = self.arc_score[arc[hit]]
-        return int((at >= 0).sum()), float(own.sum()), float(step.sum()), toks[at < 0]
-
-
-def _contexts(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        return np.where(at >= 0, at, toks.view(np.int64))
+
+    def count(self, code: np.ndarray) -> np.ndarray:
+        """Counts of head words, 0 for others."""
+        if not len(self.words):
+            return np.zeros(len(code), dtype=np.int64)
+        inside = (code >= 0) & (code < len(self.words))
+        return np.where(inside, self.counts[np.where(inside, code, 0)], 0)
+
+    def numbers(self, code: np.ndarray) -> np.ndarray:
+        """Numbers of hot words, -1 for others."""
+        if not len(self.words):
+            return np.full(len(code), -1)
+        inside = (code >= 0) & (code < len(self.words))
+        return np.where(inside, self.hot[np.where(inside, code, 0)], -1)
+
+    def read(self, docs: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+        """(first token of each text, state before, token, place of the arc or -1), as codes."""
+        lengths = np.array([len(t) for t in docs])
+        first = np.cumsum(lengths) - lengths
+        word = self.codes(np.concatenate(docs))
+        before = np.concatenate([word[:1], word[:-1]])
+        before[first] = self.codes(np.array([END]))[0]
+        arc = np.full(len(word), -1)
+        if len(self.arcs):
+            of, to = self.numbers(before), self.numbers(word)
+            both = np.flatnonzero((of >= 0) & (to >= 0))
+            key = of[both] * HOT + to[both]
+            place = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
+            arc[both] = np.where(self.arcs[place] == key, place, -1)
+        return first, before, word, arc
+
+
+def _hot(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Numbers the most frequent head words; the end mark is 0, ties go to the smaller hash."""
     out = np.full(len(words), -1, dtype=np.int64)
     order = np.lexsort((words, -counts))
-    order = order[words[order] != END][:CONTEXTS - 1]
+    order = order[words[order] != END][:HOT - 1]
     out[order] = np.arange(1, len(order) + 1)
     out[words == END] = 0
     return out
 
 
 def count_arcs(texts: DataFrame, model: Automaton) -> DataFrame:
-    """(arc bigint, n): bigrams of two contexts, the start of a text as context 0."""
+    """(arc bigint, n): bigrams of two hot words, the start of a text as the end mark."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for docs in _token_chunks(batches, 0):
-            keys = []
-            for toks in docs:
-                at = model.head(toks)
-                after = np.where(at >= 0, model.context[at], -1)
-                before = np.concatenate([[0], after[:-1]])
-                both = (before >= 0) & (after >= 0)
-                keys.append(before[both] * CONTEXTS + after[both])
-            arc, n = np.unique(np.concatenate(keys), return_counts=True)
+            _, before, word, _ = model.read(docs)
+            of, to = model.numbers(before), model.numbers(word)
+            both = (of >= 0) & (to >= 0)
+            arc, n = np.unique(of[both] * HOT + to[both], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(arc), pa.array(n)], names=["arc", "n"])
 
     return texts.mapInArrow(run, "arc bigint, n bigint").groupBy("arc").agg(F.sum("n").alias("n"))
 
 
-def smoothed(model: Automaton, arcs: np.ndarray, n: np.ndarray) -> Automaton:
-    """The automaton with discounted arcs and the failure weights that make up for them."""
-    width = CONTEXTS
-    used = np.zeros(width)
-    head = model.context >= 0
-    used[model.context[head]] = model.counts[head]
+def with_arcs(model: Automaton, arcs: np.ndarray, n: np.ndarray) -> pa.Table:
+    """Gives the model its arcs; (state, arcs, mass) of the states they leave."""
+    at = np.full(HOT, 0)
+    hot = np.flatnonzero(model.hot >= 0)
+    at[model.hot[hot]] = hot
     order = np.argsort(arcs)
-    arcs, n = arcs[order].astype(np.int64), n[order].astype(float)
-    of, to = arcs // width, arcs % width
-    arc = (n - DISCOUNT) / used[of]
-    unigram = (used + 1) / (model.total + model.types + 1)
-    left = 1 - np.bincount(of, arc, width)
-    free = 1 - np.bincount(of, unigram[to], width)
-    backoff = np.log10(np.maximum(left, 1e-12) / np.maximum(free, 1e-12))
-    model.arcs, model.arc_score = arcs, np.log10(arc)
-    model.backoff = np.where(used > 0, backoff, 0.0)
-    return model
+    arcs, n = arcs[order].astype(np.int64), n[order]
+    of, to = arcs // HOT, arcs % HOT
+    model.arcs = arcs
+    model.arc_score = np.log10((n - DISCOUNT) / model.counts[at[of]])
+    states = np.unique(of)
+    mass = np.zeros(HOT, dtype=np.int64)
+    np.add.at(mass, of, model.counts[at[to]] + 1)
+    return pa.table({"state": at[states], "arcs": np.bincount(of, minlength=HOT)[states],
+                     "mass": mass[states]})
 
 
 def fit(texts: DataFrame) -> tuple[Automaton, DataFrame]:
-    """The automaton and the table of all counts (word, n) of one text column's rows."""
+    """The automaton, and (state, arcs, mass) of its arcs, from one text column's rows."""
     spark = texts.sparkSession
     counts = written(spark, count_words(texts), "word-counts")
     total, types = counts.agg(F.sum("n"), F.count("*")).first()
@@ -190,16 +209,155 @@ def fit(texts: DataFrame) -> tuple[Automaton, DataFrame]:
     n = rows.column("n").to_numpy()
     order = np.argsort(words)
     words, n = words[order], n[order]
-    model = Automaton(total, types, words, n, _contexts(words, n), np.empty(0, np.int64),
-                      np.empty(0), np.zeros(CONTEXTS))
+    model = Automaton(total, types, words, n, _hot(words, n), np.empty(0, np.int64), np.empty(0))
+    arc, n = np.empty(0, np.int64), np.empty(0, np.int64)
     if len(words):
         found = count_arcs(texts, model).toArrow()
-        model = smoothed(model, found.column("arc").to_numpy(), found.column("n").to_numpy())
-    return model, counts
+        arc, n = found.column("arc").to_numpy(), found.column("n").to_numpy()
+    return model, spark.createDataFrame(with_arcs(model, arc, n), "state bigint, arcs bigint, "
+                                        "mass bigint")
 
 
-PASS = ("rid bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-        "base double, score double, words array<bigint>, times array<int>")
+PASS = ("key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
+        "base double, score double")
+#: what the rows of bigrams give back: gains of a text (0), arcs of a state (1), misses (2)
+STEPS = "kind int, key bigint, other bigint, known bigint, base double, score double"
+
+
+def _documents(batch: pa.RecordBatch) -> Iterator[tuple[slice, list[np.ndarray]]]:
+    """Tokens of the text column 1, in pieces of about CHUNK tokens."""
+    held, n, start = [], 0, 0
+    for i, t in enumerate(pc.fill_null(batch.column(1), "").cast(pa.binary())):
+        held.append(tokens(t.as_py()))
+        n += len(held[-1])
+        if n >= CHUNK or i + 1 == batch.num_rows:
+            yield slice(start, i + 1), held
+            held, n, start = [], 0, i + 1
+
+
+def _pass(shared):
+    """Texts (key, text, doc_id, held_out) to PASS rows.
+
+    Bigrams outside the held arcs count as seen once in training texts and never in others, and
+    so do words outside the head; the state's count divides each of them where it is in the head.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            held_out = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
+            for part, docs in _documents(batch):
+                first, before, word, arc = model.read(docs)
+                lengths = np.diff(np.append(first, len(word)))
+                held = np.repeat(held_out[part], lengths)
+                c = model.count(word)
+                own = np.log10(np.where(c > 0, c + 1.0, np.where(held, 1.0, 2.0))) - model.unit
+                step = np.where(held, own, np.log10(1 - DISCOUNT)) \
+                    - np.log10(np.maximum(model.count(before), 1))
+                hit = arc >= 0
+                step[hit] = model.arc_score[arc[hit]]
+                rows = batch.slice(part.start, part.stop - part.start)
+                yield pa.RecordBatch.from_arrays(
+                    [rows.column(0), rows.column(2), rows.column(3),
+                     pa.array(lengths, pa.int64()),
+                     pa.array(np.add.reduceat((~held | (c > 0)).astype(np.int64), first)),
+                     pa.array(np.add.reduceat(own, first)),
+                     pa.array(np.add.reduceat(step, first))],
+                    names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
+    return run
+
+
+def _bigrams(shared):
+    """Texts (key, text, ...) to rows (key, h, w) of the bigrams outside the held arcs."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            keys = batch.column(0).to_numpy()
+            for part, docs in _documents(batch):
+                first, before, word, arc = model.read(docs)
+                key = np.repeat(keys[part], np.diff(np.append(first, len(word))))
+                out = arc < 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x[out]) for x in (key, before, word)], names=["key", "h", "w"])
+    return run
+
+
+def _starts(*columns: np.ndarray) -> np.ndarray:
+    """Where runs of equal rows start."""
+    new = np.ones(len(columns[0]), dtype=bool)
+    new[1:] = False
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return np.flatnonzero(new)
+
+
+def _counted(model: Automaton, key: np.ndarray, h: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    """STEPS rows of whole words' (or whole bigrams') rows, sorted by w and h.
+
+    The lowest bit of a key tells held-out texts.
+    """
+    held = (key & 1).astype(bool)
+    train = (~held).astype(np.int64)
+    runs = []
+    for start in (_starts(w, h), _starts(w)):
+        length = np.diff(np.append(start, len(w)))
+        runs.append((start, np.repeat(np.add.reduceat(train, start), length)))
+    (pair, n), (_, of_word) = runs
+    c = model.count(w)
+    other = c == 0                                   # words outside the head
+    c = np.where(other, of_word, c)
+    own = np.log10(c + 1.0)
+    hit = np.log10(np.maximum(n, 1) - DISCOUNT)
+    seen = n > 0
+    base = np.where(other, own - np.where(held, 0.0, np.log10(2.0)), 0.0)
+    score = np.where(held, np.where(seen, hit - np.where(other, 0.0, own) + model.unit,
+                                    np.where(other, own, 0.0)), hit - np.log10(1 - DISCOUNT))
+    # each occurrence of a word is the state of one next token
+    score = score - np.where(other, np.log10(np.maximum(c, 1)), 0.0)
+    known = (held & other & (c > 0)).astype(np.int64)
+    gain = np.flatnonzero((known > 0) | (base != 0) | (score != 0))
+    gain = gain[np.argsort(key[gain], kind="stable")]
+    texts = _starts(key[gain]) if len(gain) else gain
+    arcs = pair[n[pair] > 0]
+    arcs = arcs[np.argsort(h[arcs], kind="stable")]
+    states = _starts(h[arcs]) if len(arcs) else arcs
+    miss = np.flatnonzero(~seen)
+
+    def total(x, at, start):
+        return np.add.reduceat(x[at], start) if len(at) else x[:0]
+
+    none, zero = np.zeros(len(states) + len(miss)), np.zeros(len(miss), dtype=np.int64)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.repeat([0, 1, 2], [len(texts), len(states), len(miss)]), pa.int32()),
+        pa.array(np.concatenate([key[gain][texts], h[arcs][states], key[miss]])),
+        pa.array(np.concatenate([np.zeros(len(texts), dtype=np.int64),
+                                 total(c + 1, arcs, states), h[miss]])),
+        pa.array(np.concatenate([total(known, gain, texts),
+                                 total(np.ones_like(c), arcs, states), zero])),
+        pa.array(np.concatenate([total(base, gain, texts), none])),
+        pa.array(np.concatenate([total(score, gain, texts), none]))],
+        names=["kind", "key", "other", "known", "base", "score"])
+
+
+def _count_bigrams(shared):
+    """Rows (key, h, w), sorted by w and h, to STEPS rows; the last word waits for the next batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        waiting, n = [], 0
+        for batch in batches:
+            waiting.append([batch.column(i).to_numpy() for i in range(3)])
+            n += batch.num_rows
+            if n < CHUNK >> 2:
+                continue
+            key, h, w = (np.concatenate(x) for x in zip(*waiting))
+            # a head word's count is known: only its last bigram waits
+            inside = model.count(w[-1:])[0] > 0
+            last = int((_starts(w, h) if inside else _starts(w))[-1])
+            if last:
+                yield _counted(model, key[:last], h[:last], w[:last])
+            waiting, n = [[key[last:], h[last:], w[last:]]], len(w) - last
+        if n:
+            yield _counted(model, *(np.concatenate(x) for x in zip(*waiting)))
+    return run
 
 
 def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id",
@@ -215,47 +373,43 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id",
     rows = docs.select(F.col(id_col).cast("bigint").alias("i"),
                        F.col(text_col).cast("string").alias("t"),
                        (~F.coalesce(train, F.lit(True))).alias("h"))
-    model, counts = fit(rows.where("not h").select("t"))
+    model, held_arcs = fit(rows.where("not h").select("t"))
     shared = spark.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value
-        for batch in batches:
-            out = []
-            for t in pc.fill_null(batch.column(1), "").cast(pa.binary()):
-                toks = tokens(t.as_py())
-                known, base, total, other = automaton.read(toks)
-                words, times = np.unique(other, return_counts=True)
-                out.append((len(toks), known, base, total, words.view(np.int64),
-                            times.astype(np.int32)))
-            cols = list(zip(*out)) if out else [()] * 6
-            lists = [pa.ListArray.from_arrays(
-                np.concatenate([[0], np.cumsum([len(x) for x in col])]).astype(np.int32),
-                pa.array(np.concatenate(col) if col else np.empty(0, kind), kind))
-                for col, kind in ((cols[4], pa.int64()), (cols[5], pa.int32()))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(cols[0], pa.int64()),
-                 pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64()),
-                 pa.array(cols[3], pa.float64()), *lists],
-                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words",
-                       "times"])
-
-    first = written(spark, rows.select("i", "t", "h").mapInArrow(
-        run, PASS.replace("rid bigint, ", "")).withColumn("rid", F.monotonically_increasing_id()),
-        "lm-pass")
-    # one row for each (document, other word); the counts' side has a row a word
-    others = first.where(F.size("words") > 0).select(
-        "rid", F.explode(F.arrays_zip("words", "times")).alias("o")) \
-        .select("rid", F.col("o.words").alias("word"), F.col("o.times").alias("times"))
-    more = others.join(counts, "word").groupBy("rid").agg(
-        F.sum("times").alias("_known"),
-        F.sum(F.col("times") * F.log10(F.col("n") + F.lit(1.0))).alias("_gain"))
-    gain = F.coalesce("_gain", F.lit(0.0))
-    return first.drop("words", "times").join(more, "rid", "left").select(
+    # a text's key comes from its id and words: rows that repeat share it
+    key = F.xxhash64("i", F.coalesce("t", F.lit(""))).bitwiseAND(F.lit(-2)) \
+        .bitwiseOR(F.col("h").cast("bigint"))
+    keyed = rows.select(key.alias("key"), "t", "i", "h")
+    first = written(spark, keyed.mapInArrow(_pass(shared), PASS), "lm-pass")
+    in_head = lambda c: (F.col(c) >= 0) & (F.col(c) < len(model.words))
+    meet = F.when(in_head("w"), F.xxhash64("h", "w")).otherwise(F.xxhash64("w"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    steps = written(spark, keyed.mapInArrow(_bigrams(shared), "key bigint, h bigint, w bigint")
+                    .repartition(parts, meet).sortWithinPartitions("w", "h")
+                    .mapInArrow(_count_bigrams(shared), STEPS), "lm-steps")
+    # b(h) c(h) of the states: the count cancels out
+    mass = F.lit(float(model.mass))
+    states = steps.where("kind = 1").select(
+        F.col("key").alias("state"), F.col("known").alias("arcs"), F.col("other").alias("mass")) \
+        .unionByName(held_arcs).groupBy("state").agg(
+        F.sum("arcs").alias("arcs"), F.sum("mass").alias("mass")).select("state", F.log10(
+            DISCOUNT * F.col("arcs") * mass / (F.lit(model.mass) - F.col("mass"))).alias("weight"))
+    misses = steps.where("kind = 2").select("key", F.col("other").alias("state"))
+    failed = misses.where(in_head("state")).join(
+        F.broadcast(states.where(in_head("state"))), "state").unionByName(
+        misses.where(~in_head("state")).join(states.where(~in_head("state")), "state"))
+    no, none = F.lit(0).cast("bigint"), F.lit(0.0)
+    more = steps.where("kind = 0").select("key", "known", "base", "score", no.alias("texts")) \
+        .unionByName(failed.select("key", no.alias("known"), none.alias("base"),
+                                   F.col("weight").alias("score"), no.alias("texts"))) \
+        .unionByName(first.select("key", no.alias("known"), none.alias("base"),
+                                  none.alias("score"), F.lit(1).cast("bigint").alias("texts"))) \
+        .groupBy("key").agg(*[F.sum(c).alias(f"_{c}") for c in ("known", "base", "score", "texts")])
+    return first.join(more, "key").select(
         F.col("doc_id").alias(id_col), "held_out", "n_tokens",
-        (F.col("n_known") + F.coalesce("_known", F.lit(0))).cast("bigint").alias("n_known"),
+        (F.col("n_known") + F.expr("_known div _texts")).alias("n_known"),
         F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + gain).alias("base_score"), (F.col("score") + gain).alias("score"))
+        (F.col("base") + F.col("_base") / F.col("_texts")).alias("base_score"),
+        (F.col("score") + F.col("_score") / F.col("_texts")).alias("score"))
 
 
 def op10_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -105,3 +105,34 @@ def test_odd_rows(odd, nothing):
     untrained = L.score(odd, F.lit(False)).collect()
     assert {(r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in untrained} == \
         {(0, 0, 0.0, 0.0)}
+
+
+def test_every_training_bigram_is_an_arc(spark, monkeypatch):
+    """A rare pair scores by its own count, whatever the tasks hold; rows that repeat count each."""
+    rare = [f"x{i} y{i} the z{i % 7}" for i in range(3000)]
+    texts = dict(enumerate([*rare, *rare[:40], "x1 z1 the q", "q q x5 y5", None]))
+    df = spark.createDataFrame([*texts.items(), (0, rare[0])], "doc_id bigint, text string")
+    train = F.col("doc_id") % 5 != 3
+    seen = [t for i, t in texts.items() if i % 5 != 3] + [rare[0]]
+    c, follow = Counter(), Counter()
+    for t in seen:
+        c.update(toks(t))
+        follow.update(zip(["\n", *toks(t)], toks(t)))
+    n, v = sum(c.values()), len(c)
+    arcs = {}
+    for h, w in follow:
+        arcs.setdefault(h, []).append(w)
+    p = lambda w: (c[w] + 1) / (n + v + 1)
+    back = {h: L.DISCOUNT * len(a) / c[h] / (1 - sum(map(p, a))) for h, a in arcs.items()}
+    for head, hot in ((200_000, 1024), (50, 8)):
+        monkeypatch.setattr(L, "HEAD", head)
+        monkeypatch.setattr(L, "HOT", hot, raising=False)
+        got = L.score(df, train).collect()
+        assert len(got) == len(texts) + 1
+        for r in got:
+            w = toks(texts[r["doc_id"]])
+            want = sum(math.log10((follow[h, x] - L.DISCOUNT) / c[h] if follow[h, x] else
+                                  back.get(h, 1.0) * p(x)) for h, x in zip(["\n", *w], w))
+            assert math.isclose(r["score"], want, rel_tol=1e-9)
+            assert math.isclose(r["base_score"], sum(math.log10(p(x)) for x in w), rel_tol=1e-9)
+            assert r["n_known"] == sum(c[x] > 0 for x in w)
