@@ -28,11 +28,26 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component linked on five-word shingles at 0.8 stays: the first id."""
+    """One row of each component linked on five-word shingles at 0.8 stays: the first id's.
+
+    Rows are told apart by id and text, so an id that repeats with another text, or a null id,
+    is a document like any other (a null id comes last).  Rows without a shingle all stay.
+    """
     ship(spark)
-    found = written(spark, jaccard_join.components(docs, words=5, percent=80), "near-copies")
-    gone = found.where("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    keyed = docs.withColumn("_row", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))))
+    found = written(spark, jaccard_join.components(keyed, id_col="_row", words=5, percent=80),
+                    "near-copies").where("n_shingles > 0")
+    ids = keyed.select(F.col("_row").alias("_of"), "doc_id").distinct()
+    first = found.join(ids, F.col("_row") == F.col("_of")).groupBy("component_id").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("first"))
+    gone = found.join(first.select(F.col("first._row").alias("_row")), "_row", "left_anti") \
+        .select("_row").distinct()
+    left = keyed.join(gone, "_row", "left_anti")
+    again = written(spark, found.groupBy("_row").count().where("count > 1").select("_row"), "again")
+    if not again.isEmpty():
+        left = left.join(again, "_row", "left_anti").unionByName(
+            left.join(again, "_row", "left_semi").dropDuplicates(["_row"]))
+    return left.select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -62,3 +62,18 @@ def test_sql_matches(spark, sf_dir):
             cols = sorted(got.columns)
             want = con.sql(sql).project(", ".join(cols)).fetchall()
             assert sorted(map(tuple, got.select(*map(F.col, cols)).collect())) == sorted(want), name
+
+
+def test_near_copies_go_by_row(spark, sf_dir, documents):
+    """An id that repeats with another text, or a null id, loses only what a kept row stands for."""
+    a = " ".join(f"alpha{i}" for i in range(80))
+    b = " ".join(f"beta{i}" for i in range(80))
+    c = " ".join(f"gamma{i}" for i in range(80))
+    rows = [(3, a + " end"), (5, a), (5, b), (7, c), (7, c + " end"), (None, c + " more"),
+            (None, b + " more"), (None, "of its own " + " ".join(f"delta{i}" for i in range(80))),
+            (9, "ten " * 9), (9, "ten " * 9), (11, None), (11, "")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], documents.schema)
+    got = [(r["doc_id"], r["text"]) for r in P.drop_near_copies(spark, docs, sf_dir).collect()]
+    assert sorted(i for i, t in got if i is not None) == [3, 5, 7, 9, 11, 11]
+    assert (3, rows[0][1]) in got and (5, b) in got
+    assert [t for i, t in got if i is None] == [rows[7][1]]
