@@ -12,6 +12,7 @@ over it for each dimension, and a few sweeps run as one job before the weights a
 
 from __future__ import annotations
 
+import warnings
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,9 +22,14 @@ from .length_buckets import draw, word_count
 from .storage import written
 
 DIMENSIONS = ("source", "lang", "topic")
-#: sweeps over the three dimensions; raking stops before when all marginals hold to TOLERANCE
-SWEEPS = 12
+#: largest relative error of a marginal at which raking ends
 TOLERANCE = 1e-10
+#: raking also ends where the error falls by less than STALL a sweep, over the second half of at
+#: least STALL_FROM sweeps: the targets contradict each other, or only zero weights meet them
+STALL = 1e-4
+STALL_FROM = 64
+#: sweeps that the SQL unrolls
+SWEEPS = 12
 #: sweeps that run as one job, before the weights are written
 SWEEPS_A_JOB = 4
 #: cells up to which the sweeps run in one task; more are dealt out by each dimension in turn
@@ -47,14 +53,16 @@ def topic_of(text: Column) -> Column:
 
 
 def rake(cells: DataFrame, targets: dict[str, DataFrame | float],
-         sweeps: int = SWEEPS) -> DataFrame:
-    """``cells`` (source, lang, topic, tokens) with ``share`` and the raked ``weight``.
+         sweeps: int | None = None) -> DataFrame:
+    """``cells`` (source, lang, topic, tokens) with ``share``, the raked ``weight`` and ``error``.
 
     ``targets``: for each dimension a table (dimension, target) with one row a value, or a
     number: target shares in proportion to the tokens to that power.  Targets of values without
     tokens are dropped and the others scaled to 1; values without a target get weight 0.  Null
-    values are values like any other.  Where the targets contradict each other the last sweep's
-    weights are returned (the last dimension's marginal holds).
+    values are values like any other.  Sweeps go on until all marginals hold to TOLERANCE, or
+    ``sweeps`` where the caller sets a number.  Where the error does not fall any more (the
+    targets contradict each other) the last sweep's weights are returned: the last dimension's
+    marginal holds, a warning tells, and ``error`` is the largest relative error of a marginal.
     """
     spark, dims = cells.sparkSession, list(targets)
     of = {d: Window.partitionBy(d) for d in dims}
@@ -76,20 +84,41 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame | float],
         .withColumn("weight", F.col("share")) \
         .withColumns({f"_goal_{d}": F.col(f"_goal_{d}") / F.lit(x or 1.0)
                       for d, x in zip(dims, sums)})
-    for done in range(0, sweeps, SWEEPS_A_JOB):
+    done, errors = 0, []
+    while sweeps is None or done < sweeps:
+        n = SWEEPS_A_JOB if sweeps is None else min(SWEEPS_A_JOB, sweeps - done)
         # cells that one task holds easily need no exchange between the window sums
-        step = now.coalesce(1) if n_cells <= CELLS_A_TASK else now
-        for _ in range(min(SWEEPS_A_JOB, sweeps - done)):
-            step = step.withColumn("_was", F.col("weight"))
+        step = (now.coalesce(1) if n_cells <= CELLS_A_TASK else now).drop("_off")
+        for _ in range(n):
+            off = []
             for d in dims:
-                margin = F.sum("weight").over(of[d])
-                step = step.withColumn("weight", F.when(
-                    margin > 0, F.col("weight") * F.col(f"_goal_{d}") / margin).otherwise(0.0))
-        now = written(spark, step, "raked")
-        moved = now.agg(F.max(F.abs(F.col("weight") - F.col("_was")))).first()[0]
-        if (moved or 0.0) < TOLERANCE:
+                margin, goal = F.col(f"_margin_{d}"), F.col(f"_goal_{d}")
+                step = step.withColumn(f"_margin_{d}", F.sum("weight").over(of[d])) \
+                    .withColumn("weight", F.when(margin > 0, F.col("weight") * goal / margin)
+                                .otherwise(0.0))
+                off.append(F.when(goal > 0, F.abs(margin / goal - 1)).otherwise(0.0))
+        # the last sweep's factors: the marginals are as near to their goals afterwards
+        now = written(spark, step.withColumn("_off", F.greatest(*off))
+                      .drop(*[f"_margin_{d}" for d in dims]), "raked")
+        done += n
+        errors.append((done, now.agg(F.max("_off")).first()[0] or 0.0))
+        if errors[-1][1] < TOLERANCE or _stalled(errors):
             break
-    return now.select(*cells.columns, "share", "weight")
+    error = errors[-1][1] if errors else None
+    if error is not None and error >= TOLERANCE:
+        warnings.warn(f"raking ended after {done} sweeps; a marginal is off by {error:.3g} of its "
+                      "target", stacklevel=2)
+    return now.select(*cells.columns, "share", "weight", F.lit(error).cast("double").alias("error"))
+
+
+def _stalled(errors: list[tuple[int, float]]) -> bool:
+    """Whether the least error (sweeps, error) hardly fell in the second half of the sweeps."""
+    done = errors[-1][0]
+    early = [e for at, e in errors if 2 * at <= done]
+    late = [e for at, e in errors if 2 * at > done]
+    if done < STALL_FROM or not early:
+        return False
+    return min(late) > min(early) * (1 - STALL) ** (done / 2)
 
 
 def calibrated_rate(cells: DataFrame, budget: float) -> float:

@@ -62,3 +62,38 @@ def test_odd_rows(odd, nothing):
     left = M.sampled(odd)
     assert left.columns == odd.columns and left.count() == got.where("sampled").count()
     assert M.mix(nothing).count() == 0 and M.sampled(nothing).count() == 0
+
+
+def test_rake_goes_on_until_skewed_marginals_hold(spark):
+    """Source nearly determines language and one source is hot: 12 sweeps leave marginals off."""
+    cells = {(f"s{s}", f"l{v}", f"t{t}"): (100 if s == 0 else 1) * (200 if s == v else 1)
+             * (1 + (s * 7 + v * 3 + t) % 5) for s in range(20) for v in range(20)
+             for t in range(5)}
+    df = spark.createDataFrame([(*k, n) for k, n in cells.items()],
+                               "source string, lang string, topic string, tokens bigint")
+    power, goals = (.5, .5, .8), []
+    for d in range(3):
+        sums = Counter()
+        for k, n in cells.items():
+            sums[k[d]] += n
+        whole = sum(n ** power[d] for n in sums.values())
+        goals.append({v: n ** power[d] / whole for v, n in sums.items()})
+    rows = M.rake(df, dict(zip(M.DIMENSIONS, power))).collect()
+    got = {(r["source"], r["lang"], r["topic"]): r["weight"] for r in rows}
+    for d, goal in enumerate(goals):
+        for v, share in goal.items():
+            assert abs(sum(w for k, w in got.items() if k[d] == v) / share - 1) < 1e-8
+    want = brute_rake(cells, goals)
+    assert all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert max(r["error"] for r in rows) < 1e-8
+
+
+def test_contradictory_targets_are_told(spark):
+    df = spark.createDataFrame([("a", "x", "p", 5), ("b", "y", "p", 5)],
+                               "source string, lang string, topic string, tokens bigint")
+    goals = {"source": spark.createDataFrame([("a", .9), ("b", .1)], "source string, target double"),
+             "lang": spark.createDataFrame([("x", .5), ("y", .5)], "lang string, target double"),
+             "topic": 1.0}
+    with pytest.warns(UserWarning, match="marginal is off"):
+        rows = M.rake(df, goals).collect()
+    assert {r["weight"] for r in rows} == {.5} and rows[0]["error"] > 0.1
