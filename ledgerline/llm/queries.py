@@ -7,6 +7,7 @@ from functools import wraps
 from . import (
     backoff_lm,
     cuckoo_dedup,
+    divergence,
     jaccard_join,
     language_id,
     length_buckets,
@@ -39,6 +40,7 @@ QUERIES = {q.__name__: _shipped(q) for q in (
     length_buckets.op8_packing,
     cuckoo_dedup.op9_exact_dedup,
     backoff_lm.op10_lm_score,
+    divergence.op12_source_audit,
 )}
 
 ORACLE_SQL = {
@@ -48,4 +50,5 @@ ORACLE_SQL = {
     "op7_topk": topk.ORACLE_SQL,
     "op2_secret_scan": secret_ledger.ORACLE_SQL,
     "op9_exact_dedup": cuckoo_dedup.ORACLE_SQL,
+    "op12_source_audit": divergence.ORACLE_SQL,
 }
