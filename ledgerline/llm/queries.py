@@ -8,6 +8,7 @@ from . import (
     backoff_lm,
     cuckoo_dedup,
     divergence,
+    hard_negatives,
     jaccard_join,
     language_id,
     length_buckets,
@@ -40,6 +41,7 @@ QUERIES = {q.__name__: _shipped(q) for q in (
     length_buckets.op8_packing,
     cuckoo_dedup.op9_exact_dedup,
     backoff_lm.op10_lm_score,
+    hard_negatives.op11_hard_negatives,
     divergence.op12_source_audit,
 )}
 
@@ -50,5 +52,6 @@ ORACLE_SQL = {
     "op7_topk": topk.ORACLE_SQL,
     "op2_secret_scan": secret_ledger.ORACLE_SQL,
     "op9_exact_dedup": cuckoo_dedup.ORACLE_SQL,
+    "op11_hard_negatives": hard_negatives.ORACLE_SQL,
     "op12_source_audit": divergence.ORACLE_SQL,
 }
