@@ -9,6 +9,7 @@ from . import (
     cuckoo_dedup,
     divergence,
     hard_negatives,
+    html_wrappers,
     jaccard_join,
     language_id,
     length_buckets,
@@ -43,6 +44,7 @@ QUERIES = {q.__name__: _shipped(q) for q in (
     backoff_lm.op10_lm_score,
     hard_negatives.op11_hard_negatives,
     divergence.op12_source_audit,
+    html_wrappers.op13_main_text,
 )}
 
 ORACLE_SQL = {

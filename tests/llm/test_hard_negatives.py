@@ -16,10 +16,11 @@ def brute(rows, step, n_pos=5, n_neg=10):
     rows = [(i, [math.floor(256 * float(np.float32(x))) for x in v], c) for i, v, c in rows
             if i is not None and v is not None and c is not None
             and all(x is not None and math.isfinite(x) for x in v)]
-    out = set()
-    for q, a, label in rows:
-        if q % step:
+    out, done = set(), set()
+    for q, a, label in sorted(rows, key=lambda r: (r[0], r[2])):
+        if q % step or q in done:
             continue
+        done.add(q)
         scores = sorted((-sum(x * y for x, y in zip(a, b)), i, c) for i, b, c in rows
                         if len(a) == len(b))
         best = [(-s, i) for s, i, c in scores if c == label and i != q][:n_pos]
