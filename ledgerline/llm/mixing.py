@@ -28,8 +28,8 @@ TOLERANCE = 1e-10
 #: least STALL_FROM sweeps: the targets contradict each other, or only zero weights meet them
 STALL = 1e-4
 STALL_FROM = 64
-#: sweeps that the SQL unrolls
-SWEEPS = 12
+#: sweeps of the SQL, which has no way to stop at TOLERANCE
+SWEEPS = 300
 #: sweeps that run as one job, before the weights are written
 SWEEPS_A_JOB = 4
 #: cells up to which the sweeps run in one task; more are dealt out by each dimension in turn
@@ -216,29 +216,31 @@ def op4_mixing(spark, sf_dir: str) -> DataFrame:
 
 
 def oracle_sql() -> str:
-    """DuckDB SQL of ``op4_mixing``: the sweeps unrolled, the rate from the cells' order."""
-    sweeps, now = [], "w0"
-    for i in range(SWEEPS):
-        for d, t in zip(DIMENSIONS, ("ts", "tl", "tt")):
-            nxt = f"w{i}_{d}"
-            sweeps.append(f"""{nxt} AS (
-  SELECT c.source, c.lang, c.topic, c.share, c.weight * t.target / sum(c.weight) OVER (PARTITION BY c.{d}) AS weight
-  FROM {now} c JOIN {t} t ON c.{d} IS NOT DISTINCT FROM t.{d})""")
-            now = nxt
+    """DuckDB SQL of ``op4_mixing``: SWEEPS sweeps as a recursion, the rate from the cells' order."""
+    sweep = "w"
+    for d, t in zip(DIMENSIONS, ("ts", "tl", "tt")):
+        sweep = (f"(SELECT * REPLACE (weight * {t} / sum(weight) OVER (PARTITION BY {d}) AS weight) "
+                 f"FROM {sweep})")
     topic = " ".join(f"WHEN regexp_matches(t, '{p}') THEN '{n}'" for n, p in TOPICS)
     target = lambda d, x: (f"SELECT {d}, pow(sum(tokens), {x}) / sum(pow(sum(tokens), {x})) OVER () AS target "
                            f"FROM cells GROUP BY {d}")
     return f"""
-WITH r AS (
+WITH RECURSIVE r AS (
   SELECT doc_id, source, lang, CASE {topic} ELSE 'prose' END AS topic,
     len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n_tokens
   FROM (SELECT *, coalesce(text, '') AS t FROM documents)),
 cells AS MATERIALIZED (
   SELECT source, lang, topic, sum(n_tokens)::DOUBLE AS tokens FROM r GROUP BY ALL HAVING sum(n_tokens) > 0),
-ts AS MATERIALIZED ({target("source", 0.5)}), tl AS MATERIALIZED ({target("lang", 0.5)}), tt AS MATERIALIZED ({target("topic", 0.8)}),
-w0 AS (SELECT source, lang, topic, tokens / sum(tokens) OVER () AS share, tokens / sum(tokens) OVER () AS weight FROM cells),
-{",".join(sweeps)},
-g AS MATERIALIZED (SELECT *, weight / share AS rate FROM {now}),
+gs AS ({target("source", 0.5)}), gl AS ({target("lang", 0.5)}), gt AS ({target("topic", 0.8)}),
+w AS (
+  SELECT 0 AS i, c.source, c.lang, c.topic, gs.target AS ts, gl.target AS tl, gt.target AS tt,
+    tokens / sum(tokens) OVER () AS share, tokens / sum(tokens) OVER () AS weight
+  FROM cells c JOIN gs ON c.source IS NOT DISTINCT FROM gs.source
+    JOIN gl ON c.lang IS NOT DISTINCT FROM gl.lang JOIN gt ON c.topic IS NOT DISTINCT FROM gt.topic
+  UNION ALL
+  SELECT * REPLACE (i + 1 AS i) FROM {sweep} WHERE i < {SWEEPS}),
+g AS MATERIALIZED (
+  SELECT source, lang, topic, share, weight, weight / share AS rate FROM w WHERE i = {SWEEPS}),
 o AS (
   SELECT *, sum(share) OVER (ORDER BY rate DESC, source DESC, lang DESC, topic DESC ROWS UNBOUNDED PRECEDING) - share AS above,
     sum(weight) OVER (ORDER BY rate, source, lang, topic ROWS UNBOUNDED PRECEDING) AS below
