@@ -4,7 +4,6 @@ shipping.  All aggregates are exact decimals or integers; see ``functions.money`
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -50,47 +49,34 @@ def packing_cost(q: Column, created_at: Column, old_tiers, new_tiers) -> Column:
 Months = list[tuple[int, int]] | None
 
 
-def _ad_rows(cat: Catalog, table: str, date_col: str, amount_col: str,
-             since: dt.date | None = None, months: Months = None) -> DataFrame:
-    t = cat[table].where(in_months(F.col(date_col), months))
-    if since is not None:
-        t = t.where(F.col(date_col) >= F.lit(since))
-    return t.select(F.col("toko_id"), F.col(date_col).alias("d"), F.col(amount_col).alias("amt"))
-
-
-def _ad_source(cat: Catalog, table: str, date_col: str, amount_col: str, keys: list[Column],
-               since: dt.date | None = None, months: Months = None) -> DataFrame:
-    """Rows of one ad source as ``keys + cost``: credits negated per row; a source whose sum is
-    rounded to whole rupiah is aggregated (and rounded) per key first, the others stay raw and
-    are summed once, after the union, by the caller's single aggregate."""
-    rows = _ad_rows(cat, table, date_col, amount_col, since, months)
+def ad_cost() -> Column:
+    """Sum of an ad ledger's rows: credits count negative, and the sum of a source that is
+    rounded to whole rupiah is rounded before it is added."""
     money = "decimal(38,2)"
-    if table in ROUNDED_SOURCES:
-        return rows.groupBy(*keys).agg(F.round(F.sum("amt"), 0).cast(money).alias("cost"))
-    sign = -1 if table in CREDIT_SOURCES else 1
-    return rows.select(*keys, (F.col("amt") * sign).cast(money).alias("cost"))
+    rounded = F.col("source").isin(*ROUNDED_SOURCES)
+    signed = F.when(F.col("source").isin(*CREDIT_SOURCES), -F.col("amt")).otherwise(F.col("amt"))
+    exact = F.sum(F.when(~rounded, signed)).cast(money)
+    whole = F.round(F.sum(F.when(rounded, F.col("amt"))), 0).cast(money)
+    return F.when(exact.isNull() & whole.isNull(), F.lit(None)).otherwise(
+        F.coalesce(exact, F.lit(0)) + F.coalesce(whole, F.lit(0))).cast(money)
 
 
 def ad_spend_by_period(cat: Catalog, month_start: dt.date | None = None) -> DataFrame:
     """All 11 ad sources per month; credits negative, TikTok credit only from its cutoff date.
-    One union and one aggregate (map-side partial sums) instead of one aggregate per source.
+    One ledger and one aggregate (map-side partial sums) instead of one aggregate per source.
     ``month_start``: the first day of the first month that the caller can show."""
-    parts = []
-    for table, date_col, amount_col in AD_SOURCES:
-        since = month_start
-        if table == "tiktok_proteksi_roas":
-            since = max(R.TIKTOK_ROAS_CREDIT_FROM, month_start or R.TIKTOK_ROAS_CREDIT_FROM)
-        parts.append(_ad_source(cat, table, date_col, amount_col,
-                                [period(F.col("d")).alias("periode")], since))
-    allp = reduce(DataFrame.unionByName, parts)
-    return allp.groupBy("periode").agg(F.sum("cost").alias("total_iklan"))
+    ledger = cat.ad_ledger(AD_SOURCES, None if month_start is None
+                           else lambda d: d >= F.lit(month_start))
+    counted = (F.col("source") != "tiktok_proteksi_roas") | (
+        F.col("d") >= F.lit(R.TIKTOK_ROAS_CREDIT_FROM))
+    return ledger.where(counted).groupBy(period(F.col("d")).alias("periode")) \
+        .agg(ad_cost().alias("total_iklan"))
 
 
-def shopee_ad_parts(cat: Catalog, months: Months = None) -> list[DataFrame]:
-    """The 7 Shopee ad sources as rows ``toko, tanggal, cost`` (see ``_ad_source``)."""
-    keys = [F.col("toko_id").alias("toko"), F.col("d").cast("date").alias("tanggal")]
-    return [_ad_source(cat, t, dc, ac, keys, months=months) for t, dc, ac in SHOPEE_AD_SOURCES]
-
+def shopee_ads(cat: Catalog, months: Months = None) -> DataFrame:
+    """The ledger of the 7 Shopee ad sources as ``toko, tanggal, source, amt``."""
+    return cat.ad_ledger(SHOPEE_AD_SOURCES, lambda d: in_months(d, months)).select(
+        F.col("toko_id").alias("toko"), F.col("d").cast("date").alias("tanggal"), "source", "amt")
 
 
 def shopee_affiliate_rows(cat: Catalog, parts: DataFrame) -> DataFrame:
@@ -109,15 +95,11 @@ def shopee_ads_and_affiliate(cat: Catalog, parts: DataFrame) -> DataFrame:
     The source full-joins the two aggregates; here both are one union and one aggregate, with
     NULL keys kept apart per side (``null_key_tag``) as the full join does.
     """
-    ads = [a.withColumn("tag", null_key_tag(1, "toko", "tanggal"))
-           .select("toko", "tanggal", "tag", "cost", F.lit(None).cast("decimal(38,2)").alias("aff"))
-           for a in shopee_ad_parts(cat)]
-    aff = shopee_affiliate_rows(cat, parts).withColumn("tag", null_key_tag(2, "toko", "tanggal")) \
-        .select("toko", "tanggal", "tag", F.lit(None).cast("decimal(38,2)").alias("cost"),
-                F.col("aff").cast("decimal(38,2)").alias("aff"))
-    u = reduce(DataFrame.unionByName, ads + [aff])
+    ads = shopee_ads(cat).withColumn("tag", null_key_tag(1, "toko", "tanggal"))
+    aff = shopee_affiliate_rows(cat, parts).withColumn("tag", null_key_tag(2, "toko", "tanggal"))
+    u = ads.unionByName(aff, allowMissingColumns=True)
     g = u.groupBy("toko", "tanggal", "tag").agg(
-        F.coalesce(F.sum("cost"), F.lit(0)).alias("total_iklan"),
+        F.coalesce(ad_cost(), F.lit(0)).alias("total_iklan"),
         F.coalesce(F.sum("aff"), F.lit(0)).alias("total_aff"))
     return g.drop("tag")
 
@@ -139,26 +121,36 @@ def null_key_tag(tag: int, *keys: str) -> Column:
 TIKTOK_AD_NAMES = ("am", "gm", "bo", "tpr")       # of TIKTOK_AD_SOURCES, in their order
 
 
+def tiktok_ads(cat: Catalog) -> DataFrame:
+    """The ledger of the TikTok ad sources, one amount column each, keyed by (day, shop)."""
+    day, source = F.col("d").cast("date"), F.col("source")
+    names = [t for t, _, _ in TIKTOK_AD_SOURCES]
+    return cat.ad_ledger(TIKTOK_AD_SOURCES).select(
+        day.alias("tanggal"), "toko_id",
+        *[F.when(source == t, F.col("amt")).alias(n) for t, n in zip(names, TIKTOK_AD_NAMES)],
+        F.when(day.isNull() | F.col("toko_id").isNull(),
+               F.element_at(F.create_map(*[F.lit(x) for i, t in enumerate(names) for x in (t, 10 + i)]),
+                            source)).alias("tag"))
+
+
+AFFILIATE_TAG = 20
+
+
 def tiktok_ad_rows(cat: Catalog) -> DataFrame:
     """Raw rows of the TikTok ad sources and of the affiliate commission, keyed by (day, shop).
 
     The affiliate commission comes from settlements joined to orders by marketplace id; the
     settlements are summed per (order id, shop) first so only one row per order crosses the join.
     """
-    parts = []
-    for i, ((table, date_col, amount_col), name) in enumerate(
-            zip(TIKTOK_AD_SOURCES, TIKTOK_AD_NAMES)):
-        t = cat[table].select(F.col(date_col).cast("date").alias("tanggal"),
-                              F.col("toko_id"), F.col(amount_col).alias(name))
-        parts.append(t.withColumn("tag", null_key_tag(10 + i, "tanggal", "toko_id")))
     tp = cat["tiktok_pencairan"].groupBy("order_id", "toko_id").agg(
         F.sum("affiliate_commission").alias("aff_a"),
         F.sum("affiliate_shop_ads_commission").alias("aff_b"))
     p = cat["pesanan"].select("id_marketplace", "created_at")
     af = tp.join(p, tp["order_id"] == p["id_marketplace"]).select(
         F.col("created_at").cast("date").alias("tanggal"), "toko_id", "aff_a", "aff_b")
-    parts.append(af.withColumn("tag", null_key_tag(20, "tanggal", "toko_id")))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return tiktok_ads(cat).unionByName(
+        af.withColumn("tag", null_key_tag(AFFILIATE_TAG, "tanggal", "toko_id")),
+        allowMissingColumns=True)
 
 
 def tiktok_ad_measures() -> list[Column]:

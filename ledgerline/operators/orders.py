@@ -193,7 +193,8 @@ class TiktokRevenueRule:
 
 def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
                tiktok: TiktokRevenueRule | None = None, tiktok_eligible: Column | None = None,
-               how: str = "inner", prefilter: DataFrame | None = None) -> DataFrame:
+               how: str = "inner", prefilter: DataFrame | None = None,
+               settled: DataFrame | None = None) -> DataFrame:
     """Orders joined 1:1 to everything the reports compute from SKU lines and price rows.
 
     ``orders`` needs ``id, id_marketplace`` (and whatever the caller groups by).  Adds the SKU
@@ -212,6 +213,9 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     rows and the settlements are semi-joined to it before they are read on.  A superset is
     enough because the joins with ``orders`` decide; it avoids recomputing an expensive order
     set (e.g. after de-duplication) once per semi join.  Whole-history reports leave it off.
+
+    ``settled``: ``settle_id, settlement`` and what else the caller wants of an order's
+    settlements, where ``settlement_by_order`` is not enough.
     """
     from .revenue import settlement_by_order, tiktok_price_per_order
     fee_fallback = tiktok.fee_fallback if tiktok else None
@@ -223,7 +227,8 @@ def order_fact(cat: Catalog, orders: DataFrame, variant: R.CogsVariant,
     subset = None if prefilter is None else prefilter.where(F.col("marketplace") == R.TIKTOK)
     price = tiktok_price_per_order(cat, tiktok.keep_total_amount, orders=subset)
     f = f.join(price, f["id"] == price["price_order_id"], "left")
-    settle = settlement_by_order(cat, tiktok.settlement_distinct, subset)
+    settle = settlement_by_order(cat, tiktok.settlement_distinct, subset) \
+        if settled is None else settled
     f = f.join(settle, f["id"] == settle["settle_id"], "left") \
         .withColumn("settlement", F.when(elig, F.col("settlement")))
     # money numerators keep 6 decimals explicitly: left to type coercion, a COALESCE of a

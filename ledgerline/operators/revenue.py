@@ -46,6 +46,30 @@ def settlement_by_order(cat: Catalog, distinct: bool,
         .select("settle_id", "settlement")
 
 
+def settlement_with_commissions(cat: Catalog) -> DataFrame:
+    """``settle_id, settlement, commissions`` of every order whose marketplace id was settled.
+
+    One pass over the settlements serves both the settled amount of TikTok orders (plain sum) and
+    the affiliate commissions of orders of any channel, an array of ``toko_id, aff_a, aff_b`` with
+    one entry a settled shop.
+    """
+    per_shop = cat["tiktok_pencairan"].groupBy("order_id", "toko_id").agg(
+        F.sum("total_settlement_amount").alias("amount"),
+        F.sum("affiliate_commission").alias("aff_a"),
+        F.sum("affiliate_shop_ads_commission").alias("aff_b"))
+    per_order = per_shop.groupBy("order_id").agg(
+        F.sum("amount").alias("settlement"),
+        F.collect_list(F.struct("toko_id", "aff_a", "aff_b")).alias("commissions"))
+    def narrow(channel):
+        return cat["pesanan"].where(channel & F.col("id_marketplace").isNotNull()) \
+            .select(F.col("id").alias("settle_id"), F.col("id_marketplace").alias("_mp"))
+    tiktok = F.col("marketplace") == R.TIKTOK
+    header = narrow(tiktok).withColumn("_own", F.lit(True)).unionAll(
+        narrow(~tiktok | F.col("marketplace").isNull()).withColumn("_own", F.lit(False)))
+    return header.join(per_order, header["_mp"] == per_order["order_id"]).select(
+        "settle_id", F.when(F.col("_own"), F.col("settlement")).alias("settlement"), "commissions")
+
+
 def shopee_parts_per_order(cat: Catalog, orders: DataFrame | None = None) -> DataFrame:
     """Shopee price parts reduced to one row per order before any join (parts may repeat).
     With ``orders`` (a selective set with ``id``) only their parts are read on."""

@@ -11,8 +11,6 @@ R7 ``shop_day_tiktok``   TikTok shop x day facts
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,8 +24,8 @@ from ..operators.orders import (TiktokRevenueRule, clean_orders, cogs_numerator,
                                 orders_with_fields)
 from ..operators.predicates import (channel_valid, in_months, in_window, not_name_at,
                                     valid_status)
-from ..operators.revenue import (settlement_by_order, shopee_parts_per_order,
-                                 tiktok_order_revenue)
+from ..operators.revenue import (settlement_by_order, settlement_with_commissions,
+                                 shopee_parts_per_order, tiktok_order_revenue)
 from ..params import ReportParams
 from ..sources import Catalog
 
@@ -322,15 +320,11 @@ def shop_day_shopee(cat: Catalog, params: ReportParams, months: C.Months = None)
                          F.col("created_at").cast("date").alias("tanggal"),
                          F.when(counted, F.col("escrow_sum")).cast(dec).alias("escrow"),
                          F.when(counted, F.col("fat_sum")).cast(dec).alias("fat"),
-                         F.col("commission_sum").cast(dec).alias("aff"),
-                         F.lit(None).cast(dec).alias("cost"))
-    ad_rows = [a.select("toko", "tanggal", F.lit(None).cast(dec).alias("escrow"),
-                        F.lit(None).cast(dec).alias("fat"), F.lit(None).cast(dec).alias("aff"),
-                        "cost") for a in C.shopee_ad_parts(cat, months)]
-    u = reduce(DataFrame.unionByName, [part_rows] + ad_rows)
+                         F.col("commission_sum").cast(dec).alias("aff"))
+    u = part_rows.unionByName(C.shopee_ads(cat, months), allowMissingColumns=True)
     om = u.groupBy("toko", "tanggal").agg(
         (F.sum("escrow") * 100).alias("omni_n"), (F.sum("fat") * 100).alias("fat_n"),
-        F.coalesce(F.sum("cost"), F.lit(0)).alias("total_iklan"),
+        F.coalesce(C.ad_cost(), F.lit(0)).alias("total_iklan"),
         F.coalesce(F.sum("aff"), F.lit(0)).alias("total_aff"))
     om = om.where((F.col("omni_n") > 0) & F.col("toko").isNotNull() & F.col("tanggal").isNotNull())
     costs = shopee_costs_by_shop_day(cat, params, months)
@@ -358,57 +352,74 @@ def shop_day_shopee(cat: Catalog, params: ReportParams, months: C.Months = None)
 # --- R7 TikTok shop x day ---------------------------------------------------------------------
 
 
-def tiktok_fact_rows(cat: Catalog, params: ReportParams) -> DataFrame:
-    """TikTok revenue numerators, packing and cost of goods of valid orders per (day, shop), from
-    one pass over the SKU lines.
+#: tag of order measures without a day or shop, until they are split
+SPLIT_TAG = -1
+
+
+def tiktok_order_rows(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Rows per (day, shop) from the orders: revenue numerators, packing and cost of goods of each
+    valid order with SKU lines, and the affiliate commissions of each order that was settled.
 
-    The source builds the three measures separately and full-joins them on (day, shop).  With a
-    NULL day or shop its rows never join, so each measure keeps a row of its own; here the
-    groups with a NULL key are split after the aggregate, each part with its own ``tag`` (NULL
-    for normal keys; revenue only where the group has a TikTok revenue row).
+    One pass over the order header, the SKU lines and the settlements serves all of them; an
+    order gives one row of its own and one for each shop with a commission.
     """
-    p = cat["pesanan"].where(valid_status())
-    o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id")
-    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED, TiktokRevenueRule(settlement_distinct=False),
-                   tiktok_eligible=F.col("marketplace") == R.TIKTOK)
+    p = cat["pesanan"].select("id", "id_marketplace", "marketplace", "created_at", "toko_id",
+                              valid_status().alias("valid"))
+    f = order_fact(cat, p, R.COGS_PLACEHOLDER_DATED, TiktokRevenueRule(settlement_distinct=False),
+                   tiktok_eligible=(F.col("marketplace") == R.TIKTOK) & F.col("valid"), how="left",
+                   settled=settlement_with_commissions(cat))
     pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
                           R.PACKING_TIERS_DAILY_OLD, R.PACKING_TIERS_DAILY_NEW)
-    types = {"omni_num": "decimal(38,6)", "fat_num": "decimal(38,6)", "total_packing": "bigint",
-             "hpp_num": "decimal(38,0)"}
-    sums = {"omni_num": F.sum("tt_omni_num"), "fat_num": F.sum("tt_fat_num"),
-            "total_packing": F.sum(pack),
-            "hpp_num": F.sum(C.cogs_num_dated(params.codes.funnel_shopee_shop))}
-    g = f.groupBy(F.col("created_at").cast("date").alias("tanggal"),
-                  F.col("toko_id").alias("toko")).agg(
-        F.count(F.when(F.col("tt_has"), 1)).alias("n_tt"),
-        *[c.cast(types[n]).alias(n) for n, c in sums.items()])
-
-    def part(tag, *own):
-        return F.struct(F.lit(tag).cast("int").alias("tag"), *[
-            (F.col(n) if n in own else F.lit(None)).cast(t).alias(n) for n, t in types.items()])
-    split = F.filter(F.array(F.when(F.col("n_tt") > 0, part(1, "omni_num", "fat_num")),
-                             part(2, "total_packing"), part(3, "hpp_num")),
-                     lambda x: x.isNotNull())
-    null_key = F.col("tanggal").isNull() | F.col("toko").isNull()
-    rows = F.when(null_key, split).otherwise(F.array(part(None, *types)))
-    return g.select("tanggal", "toko", F.explode(rows).alias("m")).select("tanggal", "toko", "m.*")
+    day, money = F.col("created_at").cast("date"), "decimal(38,2)"
+    kinds = {"toko": "int", "tag": "int", "n_tt": "int", "omni_num": "decimal(38,6)",
+             "fat_num": "decimal(38,6)", "pack": "bigint", "hpp": "decimal(38,0)",
+             "aff_a": money, "aff_b": money}
+
+    def row(**given: Column) -> Column:
+        return F.struct(*[given.get(n, F.lit(None)).cast(t).alias(n) for n, t in kinds.items()])
+
+    def missing(toko: Column) -> Column:
+        return day.isNull() | toko.isNull()
+    counted = F.col("valid") & F.col("pesanan_id").isNotNull()
+    own = row(toko=F.col("toko_id"), tag=F.when(missing(F.col("toko_id")), F.lit(SPLIT_TAG)),
+              n_tt=F.when(F.col("tt_has"), 1).otherwise(0), omni_num=F.col("tt_omni_num"),
+              fat_num=F.col("tt_fat_num"), pack=pack,
+              hpp=C.cogs_num_dated(params.codes.funnel_shopee_shop))
+    none = F.array().cast(f"array<struct<{','.join(f'{n}:{t}' for n, t in kinds.items())}>>")
+    paid = F.transform(F.col("commissions"), lambda c: row(
+        toko=c["toko_id"], tag=F.when(missing(c["toko_id"]), F.lit(C.AFFILIATE_TAG)),
+        aff_a=c["aff_a"], aff_b=c["aff_b"]))
+    return f.select(day.alias("tanggal"), F.explode(F.concat(
+        F.when(counted, F.array(own)).otherwise(none), F.coalesce(paid, none))).alias("r")) \
+        .select("tanggal", "r.*")
 
 
 def shop_day_tiktok(cat: Catalog, params: ReportParams) -> DataFrame:
     """TikTok shop-day facts: order measures and the five ad sources merged by (day, shop).
 
     One union and one aggregate replace the source's chain of full outer joins (same rows: every
-    side is one row per key, and NULL keys stay apart through ``tag``).
+    side is one row per key, and NULL keys stay apart through ``tag``).  The source joins revenue,
+    packing and cost of goods as well, so with a NULL day or shop each of the three keeps a row of
+    its own; such groups are split after the aggregate.
     """
-    facts = tiktok_fact_rows(cat, params)
-    ads = C.tiktok_ad_rows(cat).withColumnRenamed("toko_id", "toko")
-    u = facts.unionByName(ads, allowMissingColumns=True)
+    u = tiktok_order_rows(cat, params).unionByName(
+        C.tiktok_ads(cat).withColumnRenamed("toko_id", "toko"), allowMissingColumns=True)
+    sums = {"omni_c": cents(F.sum("omni_num"), R.VAT_DIVISOR),
+            "fat_c": cents(F.sum("fat_num"), R.VAT_DIVISOR),
+            "total_packing": F.sum("pack"), "hpp_num": F.sum("hpp")}
     g = u.groupBy("tanggal", "toko", "tag").agg(
-        cents(F.sum("omni_num"), R.VAT_DIVISOR).alias("omni_c"),
-        cents(F.sum("fat_num"), R.VAT_DIVISOR).alias("fat_c"),
-        F.sum("total_packing").alias("total_packing"),
-        F.sum("hpp_num").alias("hpp_num"),
+        F.sum("n_tt").alias("n_tt"), *[c.alias(n) for n, c in sums.items()],
         *C.tiktok_ad_measures())
+    types = dict(g.dtypes)
+
+    def part(*own):
+        return F.struct(*[(F.col(n) if n in own else F.lit(None)).cast(types[n]).alias(n)
+                          for n in sums])
+    split = F.filter(F.array(F.when(F.col("n_tt") > 0, part("omni_c", "fat_c")),
+                             part("total_packing"), part("hpp_num")), lambda x: x.isNotNull())
+    rows = F.when(F.col("tag") == SPLIT_TAG, split).otherwise(F.array(part(*sums)))
+    g = g.select(*[c for c in g.columns if c not in sums], F.explode(rows).alias("m")) \
+        .select("*", "m.*")
     rc = C.ratecard_daily(cat).select(F.col("toko").alias("r_toko"), F.col("bulan").alias("r_bulan"),
                                       cents(F.col("total_bulanan"), F.col("days")).alias("rc_c"))
     j = g.join(rc, (F.col("toko") == F.col("r_toko"))

@@ -9,17 +9,26 @@ filters into each scan.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .schemas import SCHEMAS
+from .schemas import AD_SOURCES, SCHEMAS
+
+AdSource = tuple[str, str, str]
+Keep = Callable[[Column], Column]
 
 
 class Catalog:
-    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame]):
+    """``ad_ledger``: how a catalog whose ad tables share one base reads them in one scan."""
+
+    def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame],
+                 ad_ledger: Callable[[Sequence[AdSource], Keep], DataFrame] | None = None):
         self.spark = spark
         self._loader = loader
+        self._ad_ledger = ad_ledger
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -31,6 +40,23 @@ class Catalog:
 
     __getitem__ = table
 
+    def ad_ledger(self, sources: Sequence[AdSource] = AD_SOURCES,
+                  keep: Keep | None = None) -> DataFrame:
+        """``source, toko_id, d, amt``: the rows of several ad tables as one tagged relation.
+
+        Reports aggregate it once, with the source as a condition, instead of once a table.
+        ``keep`` gives a condition on a date column; it is applied to each table's own column, so
+        that it reaches the scan.  ``d`` is a timestamp (midnight where the table has days).
+        """
+        keep = keep or (lambda d: F.lit(True))
+        if self._ad_ledger is not None:
+            return self._ad_ledger(sources, keep)
+        return reduce(DataFrame.unionAll, [
+            self[table].where(keep(F.col(day))).select(
+                F.lit(table).alias("source"), "toko_id",
+                F.col(day).cast("timestamp_ntz").alias("d"), F.col(amount).alias("amt"))
+            for table, day, amount in sources])
+
     @staticmethod
     def from_parquet(spark: SparkSession, root: str) -> "Catalog":
         """One Parquet dataset per table under ``root/<table>``, read with the fixed schema."""
@@ -50,4 +76,5 @@ class Catalog:
         """Source tables derived from the synthetic driver tables, lazily: every query derives
         the tables that it reads inside its own plan, nothing is written or run beforehand."""
         from .driver_mapping import DriverMapping
-        return Catalog(spark, DriverMapping(spark, sf_dir).table)
+        mapping = DriverMapping(spark, sf_dir)
+        return Catalog(spark, mapping.table, mapping.ad_ledger)

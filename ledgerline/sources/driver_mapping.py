@@ -181,6 +181,22 @@ class DriverMapping:
             F.col("c_nationkey").cast("int").alias("toko_id"),
             _money(F.col("l_quantity")).alias(amount_col))
 
+    def ad_ledger(self, sources, keep) -> DataFrame:
+        """``Catalog.ad_ledger`` over the lines that hold all ad tables: the part decides the
+        source, so one scan of the lines serves any number of them."""
+        index = {t: i for i, (t, _, _) in enumerate(AD_SOURCES)}
+        wanted = [(index[t], t) for t, _, _ in sources]
+        exact = [t for _, t in wanted if t in ("tiktok_proteksi_roas", "shopee_proteksi_roas")]
+        tag, ts = F.col("l_partkey") % 11, self._shifted()
+        return self._lines_orders_customer().where(tag.isin(*[i for i, _ in wanted])).select(
+            _case(tag, wanted, None).alias("source"),
+            F.col("c_nationkey").cast("int").alias("toko_id"),
+            ts.cast("timestamp_ntz").alias("at"),
+            _money(F.col("l_quantity")).alias("amt")) \
+            .select("source", "toko_id", F.when(F.col("source").isin(*exact), F.col("at"))
+                    .otherwise(F.col("at").cast("date").cast("timestamp_ntz")).alias("d"), "amt") \
+            .where(keep(F.col("d")))
+
     # --- overhead, rate card, marketing ------------------------------------------------------
     def _beban(self) -> DataFrame:
         s = F.col("s_suppkey")

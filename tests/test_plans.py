@@ -141,3 +141,20 @@ def test_tiktok_days_split_after_the_aggregate(spark, stored):
     at = next(i for i, line in enumerate(lines) if "Generate explode" in line)
     below = next(line for line in lines[at + 1:] if "Aggregate" in line or "Scan" in line)
     assert "Aggregate" in below
+
+
+def _reads(spark, name: str) -> dict[str, int]:
+    """Scans of each driver table in a query's plan for large sides."""
+    import re
+    from collections import Counter
+    plan = _full_plan(spark, QUERIES[name](spark, SF))
+    return Counter(re.findall(rf"{SF}/(\w+)\.parquet\]", "\n".join(_scans(plan))))
+
+
+@pytest.mark.parametrize("name, lines", [
+    ("ad_spend_union_month", 1), ("ad_spend_fullouter_day", 2), ("affiliate_shop_day", 2),
+    ("report_monthly_pnl", 5), ("report_shop_day_a", 4), ("report_shop_day_b", 4)])
+def test_ad_sources_are_one_scan(spark, name, lines):
+    """All ad sources of a report come from one ledger; the rest of its line reads are the detail
+    table, the SKU lines, the price parts and the settlements."""
+    assert _reads(spark, name)["lineitem"] <= lines
