@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.dataset as ds
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,6 +40,8 @@ SHARD_IDS = 8 << 20
 RANGE_BYTES = 12 << 20
 #: words whose ids a worker remembers
 CACHE_WORDS = 500_000
+#: ids of neighbouring documents that one read of a payload takes
+RUN_IDS = 2 << 20
 #: marks that may end a word, each a piece of its own
 MARKS = frozenset(".,;:!?")
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -162,7 +165,7 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.type = f"<u{width}"
-        self.known: dict[str, bytes] = {}
+        self.known = _Known(self)
         self.pieces: dict[str, bytes] = {}
         self.letters: dict[str, str] = {}
 
@@ -181,36 +184,40 @@ class WordEncoder:
             self.pieces[piece] = ids
         return ids
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.known) + len(words) > CACHE_WORDS:
+    def learn(self, w: str) -> bytes:
+        """The ids of a word that is not remembered yet."""
+        if len(self.known) >= CACHE_WORDS:
             self.known.clear()
             self.pieces.clear()
-        hard = []
-        for w in words:
-            mark = w[-1:] if w[-1:] in MARKS else ""
-            core = w[:-1] if mark else w
-            # composed letters only; sigma's lower case depends on its place
-            if core.isalpha() and (core.isascii() or "\u03a3" not in core
-                                   and unicodedata.is_normalized("NFC", core)):
-                low = core.lower()
-                if low.isalpha():
-                    self.known[w] = self._piece(low) + (self._piece(mark) if mark else b"")
-                    continue
-            hard.append(w)
-        for i in range(0, len(hard), 1000):
-            some = hard[i:i + 1000]
-            for w, e in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[w] = np.array(e.ids, self.type).tobytes()
+        mark = w[-1:] if w[-1:] in MARKS else ""
+        core = w[:-1] if mark else w
+        ids = None
+        # composed letters only; sigma's lower case depends on its place
+        if core.isalpha() and (core.isascii() or "\u03a3" not in core
+                               and unicodedata.is_normalized("NFC", core)):
+            low = core.lower()
+            if low.isalpha():
+                ids = self._piece(low) + (self._piece(mark) if mark else b"")
+        if ids is None:
+            ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids,
+                           self.type).tobytes()
+        self.known[w] = ids
+        return ids
 
     def encode(self, text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = [w for w in set(words) if w not in self.known]
-        if new:
-            # a full memory is emptied, so all words of this text are needed again
-            room = len(self.known) + len(new) <= CACHE_WORDS
-            self._learn(new if room else list(set(words)))
-        known = self.known
-        return b"".join([known[w] for w in words])
+        return b"".join(map(self.known.__getitem__, words))
+
+
+class _Known(dict):
+    """Words and their ids; a word that is missing is learnt."""
+
+    def __init__(self, encoder: WordEncoder):
+        super().__init__()
+        self.encoder = encoder
+
+    def __missing__(self, w: str) -> bytes:
+        return self.encoder.learn(w)
 
 
 def _encoder(path: str, width: int) -> WordEncoder:
@@ -222,6 +229,13 @@ def _encoder(path: str, width: int) -> WordEncoder:
 
 
 # --- writing ------------------------------------------------------------------------------------
+def _uri(folder: str) -> str:
+    """A folder as a URI: a bare path or Hadoop's ``file:/x`` is a local file's."""
+    if "://" in folder:
+        return folder
+    return "file://" + folder.removeprefix("file:")
+
+
 def _filesystem(folder: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(folder)
 
@@ -290,7 +304,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int =
     size = source.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     ranges = max(1, -(-size // RANGE_BYTES))
     end = np.array([end_id], f"<u{width}").tobytes()
-    scheme = folder if "://" in folder else "file://" + folder
+    scheme = _uri(folder)
     fs, path = _filesystem(scheme)
     fs.create_dir(f"{path}/shards", recursive=True)
 
@@ -313,7 +327,11 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, *, end_id: int =
     dealt = source.repartitionByRange(ranges, "i", F.xxhash64("t")) \
         .sortWithinPartitions("i", F.xxhash64("t"))
     dealt.mapInArrow(run, KEYS).write.mode("overwrite").parquet(f"{folder}/keys")
-    return spark.read.parquet(f"{folder}/keys")
+    keys = spark.read.parquet(f"{folder}/keys")
+    # a row each shard; sorted, so that the reader's statistics find an id's shard
+    keys.groupBy("part", "seq").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")) \
+        .sort("first").write.mode("overwrite").parquet(f"{folder}/manifest")
+    return keys
 
 
 # --- reading ------------------------------------------------------------------------------------
@@ -326,7 +344,7 @@ def _shard(folder: str, part: int, seq: int) -> tuple[Index, pafs.FileSystem, st
 
 def shard_starts(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     """(part, seq, shard_start): ids in all shards before, from the shards' own index files."""
-    scheme = (folder if "://" in folder else "file://" + folder) + "/shards"
+    scheme = _uri(folder) + "/shards"
 
     def sizes(batches):
         for batch in batches:
@@ -347,13 +365,34 @@ def shard_starts(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame
         "part", "seq", (F.col("before") + F.col("inside")).alias("shard_start"))
 
 
+def _checksums(data, width: int, at: np.ndarray, n: np.ndarray) -> list[int]:
+    """CRC-32 of documents' ids in 32 bits; neighbours in the payload are read as one run."""
+    crc = [0] * len(at)
+    order = np.argsort(at, kind="stable")
+    first = 0
+    while first < len(order):
+        start = end = int(at[order[first]])
+        last = first
+        while last < len(order) and int(at[order[last]]) == end and (
+                last == first or end + int(n[order[last]]) - start <= RUN_IDS):
+            end += int(n[order[last]])
+            last += 1
+        wide = memoryview(np.frombuffer(data.read_at((end - start) * width, start * width),
+                                        f"<u{width}").astype("<u4")).cast("B")
+        for j in order[first:last].tolist():
+            x = 4 * (int(at[j]) - start)
+            crc[j] = zlib.crc32(wide[x:x + 4 * int(n[j])])
+        first = last
+    return crc
+
+
 def read_documents(spark: SparkSession, folder: str, keys: DataFrame) -> DataFrame:
     """Look every key up in its shard's index and read its ids from the payload.
 
     Returns doc_id, ordinal, start, n_tokens, ids_crc32 (unsigned, over the ids as little-endian
     32-bit integers).  A key that the index does not know raises.
     """
-    scheme = (folder if "://" in folder else "file://" + folder) + "/shards"
+    scheme = _uri(folder) + "/shards"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, index, data = None, None, None
@@ -372,11 +411,7 @@ def read_documents(spark: SparkSession, folder: str, keys: DataFrame) -> DataFra
                 at, n = index.find(ids[a:b], ordinals[a:b])
                 if (at < 0).any():
                     raise KeyError(f"document {ids[a:b][at < 0][0]} is not in shard {held}")
-                crc = []
-                for o, k in zip(at.tolist(), n.tolist()):
-                    raw = data.read_at(k * index.width, o * index.width)
-                    crc.append(zlib.crc32(np.frombuffer(raw, f"<u{index.width}")
-                                          .astype("<u4").tobytes()))
+                crc = _checksums(data, index.width, at, n)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[a:b]), pa.array(ordinals[a:b], pa.int32()),
                      pa.array(part[a:b], pa.int32()), pa.array(seq[a:b], pa.int32()),
@@ -393,7 +428,7 @@ def read_documents(spark: SparkSession, folder: str, keys: DataFrame) -> DataFra
 
 def get_ids(folder: str, part: int, seq: int, doc_id: int, ordinal: int = 0) -> np.ndarray | None:
     """One document's ids by key, or None if the shard does not hold it."""
-    scheme = (folder if "://" in folder else "file://" + folder) + "/shards"
+    scheme = _uri(folder) + "/shards"
     index, fs, name = _shard(scheme, part, seq)
     at, n = index.find(np.array([doc_id]), np.array([ordinal]))
     if at[0] < 0:
@@ -403,6 +438,22 @@ def get_ids(folder: str, part: int, seq: int, doc_id: int, ordinal: int = 0) ->
     return np.frombuffer(raw, f"<u{index.width}")
 
 
+def lookup(folder: str, doc_id: int) -> list[np.ndarray]:
+    """The ids of every row with this id, by id alone: the manifest names the shards whose range
+    holds it (usually one), their indexes give the place.  An unknown id gives an empty list."""
+    fs, path = _filesystem(_uri(folder) + "/manifest")
+    shards = ds.dataset(path, filesystem=fs, format="parquet").to_table(
+        filter=(ds.field("first") <= doc_id) & (ds.field("last") >= doc_id)).sort_by(
+        [("part", "ascending"), ("seq", "ascending")])
+    out = []
+    for part, seq in zip(shards.column("part").to_pylist(), shards.column("seq").to_pylist()):
+        ordinal = 0
+        while (ids := get_ids(folder, part, seq, doc_id, ordinal)) is not None:
+            out.append(ids)
+            ordinal += 1
+    return out
+
+
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)

@@ -92,3 +92,29 @@ def test_odd_rows(spark, odd, nothing, tokenizer):
     folder = new_folder(spark, "shards")
     keys = T.write_shards(nothing, folder, T.tokenizer_path())
     assert T.read_documents(spark, folder, keys).count() == 0
+
+
+def test_lookup_by_id_alone(spark, documents, tmp_path, monkeypatch):
+    """Every document's ids by its id; rows that share an id all come, an unknown id none."""
+    monkeypatch.setattr(T, "RANGE_BYTES", 50_000)
+    monkeypatch.setattr(T, "RUN_IDS", 3000)
+    folder = f"file:{tmp_path}/shards"                      # as Hadoop writes it
+    twice = documents.where("doc_id = 17")
+    keys = T.write_shards(documents.unionByName(twice), folder, T.tokenizer_path())
+    assert keys.select("part").distinct().count() > 3
+    found = {r["doc_id"]: r for r in T.read_documents(spark, folder, keys).collect()}
+    for i in (0, 17, 63, 199):
+        rows = T.lookup(folder, i)
+        assert len(rows) == (2 if i == 17 else 1)
+        for ids in rows:
+            assert len(ids) == found[i]["n_tokens"]
+            assert zlib.crc32(ids.astype("<u4").tobytes()) == found[i]["ids_crc32"]
+    assert T.lookup(folder, 10 ** 9) == []
+
+
+def test_memory_of_words_is_bounded(monkeypatch):
+    monkeypatch.setattr(T, "CACHE_WORDS", 5)
+    e = T.WordEncoder(T.tokenizer_path(), 2)
+    text = "alpha beta Gamma, delta x1 " * 3 + "one two three four five six seven, alpha"
+    want = e.tokenizer.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(e.encode(text), "<u2").tolist() == want and len(e.known) <= 6
