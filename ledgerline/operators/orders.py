@@ -26,6 +26,7 @@ from ..params import ReportParams
 from ..sources import Catalog
 from . import rules as R
 from .predicates import channel_valid, in_window, not_name_at
+from .products import with_codes
 
 
 def orders_with_fields(cat: Catalog) -> DataFrame:
@@ -39,30 +40,39 @@ def sku_lines(cat: Catalog, orders: DataFrame | None = None) -> DataFrame:
     those orders, so a selective report window shrinks the build side early (AQE can then
     broadcast it instead of shuffling the SKU table).
     """
-    pd = cat["pesanan_detail"].select(F.col("id").alias("detail_id"), "pesanan_id")
-    if orders is not None:
-        ids = orders.select(F.col("id").alias("o_id"))
-        pd = pd.join(ids, pd["pesanan_id"] == ids["o_id"], "left_semi")
+    if cat.order_lines is not None:
+        return _of_orders(cat.order_lines.select("pesanan_id", "nama", "qty"), orders)
+    pd = _of_orders(_details(cat), orders)
     pds = cat["pesanan_detail_sku"]
     return pds.join(pd, pds["pesanan_detail_id"] == pd["detail_id"]) \
         .select("pesanan_id", "nama", "qty")
 
 
+def _details(cat: Catalog) -> DataFrame:
+    return cat["pesanan_detail"].select(F.col("id").alias("detail_id"), "pesanan_id")
+
+
+def _of_orders(rows: DataFrame, orders: DataFrame | None) -> DataFrame:
+    if orders is None:
+        return rows
+    ids = orders.select(F.col("id").alias("o_id"))
+    return rows.join(ids, rows["pesanan_id"] == ids["o_id"], "left_semi")
+
+
 def classified_lines(cat: Catalog, fee_fallback: str | None,
                      orders: DataFrame | None = None) -> DataFrame:
-    """SKU lines as ``pesanan_id, qty, rule, fee``: the product name decides the cost rule and
-    the fee class in a projection on the scan, so no string crosses the join's shuffle.
+    """SKU lines as ``pesanan_id, qty, rule, fee``: the product name becomes the cost rule and the
+    fee class on the scan, so no string crosses the join's shuffle.
 
     ``orders`` as in ``sku_lines``: only for callers whose order set is selective.
     """
-    pd = cat["pesanan_detail"].select(F.col("id").alias("detail_id"), "pesanan_id")
-    if orders is not None:
-        ids = orders.select(F.col("id").alias("o_id"))
-        pd = pd.join(ids, pd["pesanan_id"] == ids["o_id"], "left_semi")
-    lines = cat["pesanan_detail_sku"].select(
-        "pesanan_detail_id", F.col("qty").cast("bigint").alias("qty"),
-        R.cogs_rule_index(F.col("nama")).cast("int").alias("rule"),
-        R.tiktok_fee_factor(F.col("nama"), fee_fallback).alias("fee"))
+    qty = F.col("qty").cast("bigint").alias("qty")
+    if cat.order_lines is not None:
+        lines = _of_orders(cat.order_lines.select("pesanan_id", "nama", qty), orders)
+        return with_codes(cat, lines, fee_fallback)
+    lines = with_codes(cat, cat["pesanan_detail_sku"].select("pesanan_detail_id", "nama", qty),
+                       fee_fallback)
+    pd = _of_orders(_details(cat), orders)
     return lines.join(pd, lines["pesanan_detail_id"] == pd["detail_id"]) \
         .select("pesanan_id", "qty", "rule", "fee")
 

@@ -22,13 +22,26 @@ Keep = Callable[[Column], Column]
 
 
 class Catalog:
-    """``ad_ledger``: how a catalog whose ad tables share one base reads them in one scan."""
+    """The source tables, and what a catalog knows beyond them:
+
+    ``ad_ledger``: how ad tables that share one base are read in one scan.
+    ``order_lines``: SKU lines stored with their order id (``pesanan_id, nama, qty``), so that no
+    report joins them with the detail table again.
+    ``product_names``: a small relation that has every product name of the SKU lines.
+    ``products``: a stored product dictionary (``operators.products``), which may lack new names.
+    """
 
     def __init__(self, spark: SparkSession, loader: Callable[[str], DataFrame],
-                 ad_ledger: Callable[[Sequence[AdSource], Keep], DataFrame] | None = None):
+                 ad_ledger: Callable[[Sequence[AdSource], Keep], DataFrame] | None = None,
+                 order_lines: DataFrame | None = None,
+                 product_names: Callable[[], DataFrame] | None = None,
+                 products: DataFrame | None = None):
         self.spark = spark
         self._loader = loader
         self._ad_ledger = ad_ledger
+        self.order_lines = order_lines
+        self.product_names = product_names
+        self.products = products
         self._cache: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -58,9 +71,18 @@ class Catalog:
             for table, day, amount in sources])
 
     @staticmethod
-    def from_parquet(spark: SparkSession, root: str) -> "Catalog":
-        """One Parquet dataset per table under ``root/<table>``, read with the fixed schema."""
-        return Catalog(spark, lambda n: spark.read.schema(SCHEMAS[n]).parquet(f"{root}/{n}"))
+    def from_parquet(spark: SparkSession, root: str, products: str | None = None) -> "Catalog":
+        """One Parquet dataset per table under ``root/<table>``, read with the fixed schema.
+        ``products``: path of a stored product dictionary."""
+        return Catalog(spark, lambda n: spark.read.schema(SCHEMAS[n]).parquet(f"{root}/{n}"),
+                       products=None if products is None else spark.read.parquet(products))
+
+    @staticmethod
+    def from_database(spark: SparkSession, database: str) -> "Catalog":
+        """Tables that ``sources.bucketed.store`` wrote."""
+        from .bucketed import ORDER_LINES
+        return Catalog(spark, lambda n: spark.table(f"{database}.{n}"),
+                       order_lines=spark.table(f"{database}.{ORDER_LINES}"))
 
     @staticmethod
     def from_frames(spark: SparkSession, frames: dict[str, DataFrame]) -> "Catalog":
@@ -77,4 +99,5 @@ class Catalog:
         the tables that it reads inside its own plan, nothing is written or run beforehand."""
         from .driver_mapping import DriverMapping
         mapping = DriverMapping(spark, sf_dir)
-        return Catalog(spark, mapping.table, mapping.ad_ledger)
+        return Catalog(spark, mapping.table, mapping.ad_ledger,
+                       product_names=mapping.product_names)

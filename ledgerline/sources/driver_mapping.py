@@ -113,14 +113,21 @@ class DriverMapping:
         return li.select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("id"),
                          F.col("l_orderkey").alias("pesanan_id")).distinct()
 
-    def _pesanan_detail_sku(self) -> DataFrame:
-        li, p = self.raw("lineitem"), self.raw("part")
+    @staticmethod
+    def _product_name() -> Column:
         w1 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(1))
         w2 = F.split_part(F.col("p_name"), F.lit(" "), F.lit(2))
-        nama = F.concat(_case(w1, BRANDS, "Cessa"), F.lit(" "), _case(w2, SIZES, w2))
+        return F.concat(_case(w1, BRANDS, "Cessa"), F.lit(" "), _case(w2, SIZES, w2))
+
+    def product_names(self) -> DataFrame:
+        """``Catalog.product_names``: the parts have every name of the lines."""
+        return self.raw("part").select(self._product_name().alias("nama"))
+
+    def _pesanan_detail_sku(self) -> DataFrame:
+        li, p = self.raw("lineitem"), self.raw("part")
         return li.join(p, li["l_partkey"] == p["p_partkey"]).select(
             (F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("pesanan_detail_id"),
-            nama.alias("nama"),
+            self._product_name().alias("nama"),
             F.col("l_quantity").cast("int").alias("qty"))
 
     def _toko(self) -> DataFrame:
