@@ -5,7 +5,8 @@ over all training documents.  Every token is a state of the automaton (the end m
 the start of a text too); a state has an arc for each token that followed it in training,
 weighted by the discounted bigram estimate; every other token takes the state's failure arc,
 which multiplies its backoff weight, to the root, where the word's smoothed unigram probability
-is.  A text is read once from left to right.
+is.  A text is read once from left to right: the token before is the state that is carried, and
+log-probabilities accumulate.
 
     P(w | h) = (c(h, w) - D) / c(h)                                  if the arc exists
              = b(h) P(w),  b(h) = (1 - sum of arcs) / (1 - sum of P over arcs)   otherwise
@@ -14,349 +15,256 @@ is.  A text is read once from left to right.
 so the probabilities that follow a state sum to one, a single unseen word included.  A state
 that training never saw has no arcs and b(h) = 1.
 
-What a task holds is bounded: the ``HEAD`` most frequent words' counts and the arcs between the
-``HOT`` most frequent ones.  A token whose bigram is not among these arcs leaves as a row
-(text, h, w).  The rows meet by word: those of one bigram together, and those of a word outside
-the head all together, so that a task counts both and knows what each row's score is.  What
-differs from a bigram and word seen once (training) or never (held out) goes back to the text;
-held-out bigrams without an arc meet their state's failure weight in a join.  Nothing is dropped:
-only the way to a count differs.  A bigram outside the held arcs has a word that is not among the
-HOT most frequent, so no key has more than 1/HOT of the training tokens.
+The automaton grows with the corpus, so no task holds it.  Documents are cut into chunks of a
+bounded number of tokens, kept as codes of the chunk's own words.  A chunk asks for its slice of
+the automaton, and only for distinct things: its words (counts, failure weights) by joins, its
+pairs of words in blobs.  Pairs are dealt into ranges by their state; a range gets from each chunk
+one blob of distinct pairs with their training counts, adds them up, and sends back a blob of the
+totals.  A frequent state's pairs are split by the next word, so no range holds more than a
+bounded share of one state; its arcs are added up afterwards.  With the slice a chunk reads its
+texts.  No row is made for an occurrence of a word, and nothing is capped.
 """
 
 from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .language_id import remainder
 from .storage import written
-from .texts import word_hashes
+from .texts import mix64, word_hashes
 
-#: words whose counts every task holds (12 bytes each)
-HEAD = 200_000
 #: states of the model: every token is one, there is no cap
 CONTEXTS = sys.maxsize
-#: words whose arcs to each other every task holds (at most HOT ** 2)
-HOT = 1024
+#: training occurrences of a state up to which its pairs meet in one range; so many more make one
+#: more share of them
+HEAD = 200_000
 DISCOUNT = 0.5
 #: hash of the end mark; no word has it (but with the chance of any hash collision)
 END = np.uint64(0x9D5C3A1E7F20B64D)
-#: tokens that are counted together before they are passed on
+#: tokens of a chunk (at least one document), and of the text that a range of pairs stands for
 CHUNK = 1 << 21
+RANGE = 1 << 21
+_MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
 def tokens(text: bytes) -> np.ndarray:
     return np.append(word_hashes(text), END)
 
 
-def _token_chunks(batches, column: int) -> Iterator[list[np.ndarray]]:
-    """Documents' tokens, in lists of about CHUNK tokens."""
-    held, n = [], 0
-    for batch in batches:
-        for t in pc.fill_null(batch.column(column), "").cast(pa.binary()):
-            held.append(tokens(t.as_py()))
-            n += len(held[-1])
-            if n >= CHUNK:
-                yield held
-                held, n = [], 0
-    if held:
-        yield held
-
-
-def count_words(texts: DataFrame) -> DataFrame:
-    """(word bigint, n) over the one text column."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs in _token_chunks(batches, 0):
-            words, n = np.unique(np.concatenate(docs), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(n)],
-                                             names=["word", "n"])
-
-    return texts.mapInArrow(run, "word bigint, n bigint").groupBy("word") \
-        .agg(F.sum("n").alias("n"))
-
-
-@dataclass
-class Automaton:
-    """Head counts and the arcs between hot words, sorted for lookup."""
-
-    total: int                   # N
-    types: int                   # V
-    words: np.ndarray            # hashes of the head, ascending
-    counts: np.ndarray
-    hot: np.ndarray              # number of a hot head word, or -1
-    arcs: np.ndarray             # hot * HOT + next hot, ascending
-    arc_score: np.ndarray        # log10 of the arc's probability
-
-    @property
-    def mass(self) -> int:
-        return self.total + self.types + 1
-
-    @property
-    def unit(self) -> float:
-        return float(np.log10(self.mass))
-
-    def head(self, toks: np.ndarray) -> np.ndarray:
-        """Places in the head, -1 for other words."""
-        if not len(self.words):
-            return np.full(len(toks), -1)
-        at = np.minimum(np.searchsorted(self.words, toks), len(self.words) - 1)
-        return np.where(self.words[at] == toks, at, -1)
-
-    def codes(self, toks: np.ndarray) -> np.ndarray:
-        """A word's place in the head, or its hash (with the chance of any hash collision)."""
-        at = self.head(toks)
-        return np.where(at >= 0, at, toks.view(np.int64))
-
-    def count(self, code: np.ndarray) -> np.ndarray:
-        """Counts of head words, 0 for others."""
-        if not len(self.words):
-            return np.zeros(len(code), dtype=np.int64)
-        inside = (code >= 0) & (code < len(self.words))
-        return np.where(inside, self.counts[np.where(inside, code, 0)], 0)
-
-    def numbers(self, code: np.ndarray) -> np.ndarray:
-        """Numbers of hot words, -1 for others."""
-        if not len(self.words):
-            return np.full(len(code), -1)
-        inside = (code >= 0) & (code < len(self.words))
-        return np.where(inside, self.hot[np.where(inside, code, 0)], -1)
-
-    def read(self, docs: list[np.ndarray]) -> tuple[np.ndarray, ...]:
-        """(first token of each text, state before, token, place of the arc or -1), as codes."""
-        lengths = np.array([len(t) for t in docs])
-        first = np.cumsum(lengths) - lengths
-        word = self.codes(np.concatenate(docs))
-        before = np.concatenate([word[:1], word[:-1]])
-        before[first] = self.codes(np.array([END]))[0]
-        arc = np.full(len(word), -1)
-        if len(self.arcs):
-            of, to = self.numbers(before), self.numbers(word)
-            both = np.flatnonzero((of >= 0) & (to >= 0))
-            key = of[both] * HOT + to[both]
-            place = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
-            arc[both] = np.where(self.arcs[place] == key, place, -1)
-        return first, before, word, arc
-
-
-def _hot(words: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Numbers the most frequent head words; the end mark is 0, ties go to the smaller hash."""
-    out = np.full(len(words), -1, dtype=np.int64)
-    order = np.lexsort((words, -counts))
-    order = order[words[order] != END][:HOT - 1]
-    out[order] = np.arange(1, len(order) + 1)
-    out[words == END] = 0
+# -- blobs ----------------------------------------------------------------------------------
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as one compressed blob: bytes of equal rank lie together, so that
+    small numbers take little more than their information."""
+    out = [np.array([len(columns), *map(len, columns)], "<i8").tobytes()]
+    for c in columns:
+        out.append(np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).tobytes())
+    return zstandard.compress(b"".join(out), 1)
+
+
+def unpack(blob: bytes) -> list[np.ndarray]:
+    raw = zstandard.decompress(blob)
+    n = int(np.frombuffer(raw, "<i8", 1)[0])
+    at, out = 8 * (n + 1), []
+    for size in np.frombuffer(raw, "<i8", n, 8).tolist():
+        planes = np.frombuffer(raw, np.uint8, 8 * size, at).reshape(8, size)
+        out.append(np.ascontiguousarray(planes.T).view("<i8").reshape(size))
+        at += 8 * size
     return out
 
 
-def count_arcs(texts: DataFrame, model: Automaton) -> DataFrame:
-    """(arc bigint, n): bigrams of two hot words, the start of a text as the end mark."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs in _token_chunks(batches, 0):
-            _, before, word, _ = model.read(docs)
-            of, to = model.numbers(before), model.numbers(word)
-            both = (of >= 0) & (to >= 0)
-            arc, n = np.unique(of[both] * HOT + to[both], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(arc), pa.array(n)], names=["arc", "n"])
-
-    return texts.mapInArrow(run, "arc bigint, n bigint").groupBy("arc").agg(F.sum("n").alias("n"))
-
-
-def with_arcs(model: Automaton, arcs: np.ndarray, n: np.ndarray) -> pa.Table:
-    """Gives the model its arcs; (state, arcs, mass) of the states they leave."""
-    at = np.full(HOT, 0)
-    hot = np.flatnonzero(model.hot >= 0)
-    at[model.hot[hot]] = hot
-    order = np.argsort(arcs)
-    arcs, n = arcs[order].astype(np.int64), n[order]
-    of, to = arcs // HOT, arcs % HOT
-    model.arcs = arcs
-    model.arc_score = np.log10((n - DISCOUNT) / model.counts[at[of]])
-    states = np.unique(of)
-    mass = np.zeros(HOT, dtype=np.int64)
-    np.add.at(mass, of, model.counts[at[to]] + 1)
-    return pa.table({"state": at[states], "arcs": np.bincount(of, minlength=HOT)[states],
-                     "mass": mass[states]})
-
-
-def fit(texts: DataFrame) -> tuple[Automaton, DataFrame]:
-    """The automaton, and (state, arcs, mass) of its arcs, from one text column's rows."""
-    spark = texts.sparkSession
-    counts = written(spark, count_words(texts), "word-counts")
-    total, types = counts.agg(F.sum("n"), F.count("*")).first()
-    total = total or 0
-    # the head: whole classes of counts (sixteen an octave), from the top while they fit
-    grade = F.floor(16 * F.log2(F.col("n").cast("double")))
-    least, held = None, 0
-    for r in counts.groupBy(grade.alias("g")).agg(F.count("*").alias("k")) \
-            .orderBy(F.desc("g")).collect():
-        held += r["k"]
-        if held > HEAD:
-            break
-        least = r["g"]
-    top = counts.where(grade >= (least if least is not None else 1 << 20))
-    if total and top.where(F.col("word") == int(END.view(np.int64))).isEmpty():
-        top = top.union(counts.where(F.col("word") == int(END.view(np.int64))))
-    rows = top.toArrow()
-    words = rows.column("word").to_numpy().view(np.uint64)
-    n = rows.column("n").to_numpy()
-    order = np.argsort(words)
-    words, n = words[order], n[order]
-    model = Automaton(total, types, words, n, _hot(words, n), np.empty(0, np.int64), np.empty(0))
-    arc, n = np.empty(0, np.int64), np.empty(0, np.int64)
-    if len(words):
-        found = count_arcs(texts, model).toArrow()
-        arc, n = found.column("arc").to_numpy(), found.column("n").to_numpy()
-    return model, spark.createDataFrame(with_arcs(model, arc, n), "state bigint, arcs bigint, "
-                                        "mass bigint")
-
-
-PASS = ("key bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, "
-        "base double, score double")
-#: what the rows of bigrams give back: gains of a text (0), arcs of a state (1), misses (2)
-STEPS = "kind int, key bigint, other bigint, known bigint, base double, score double"
-
-
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[slice, list[np.ndarray]]]:
-    """Tokens of the text column 1, in pieces of about CHUNK tokens."""
-    held, n, start = [], 0, 0
-    for i, t in enumerate(pc.fill_null(batch.column(1), "").cast(pa.binary())):
-        held.append(tokens(t.as_py()))
-        n += len(held[-1])
-        if n >= CHUNK or i + 1 == batch.num_rows:
-            yield slice(start, i + 1), held
-            held, n, start = [], 0, i + 1
-
-
-def _pass(shared):
-    """Texts (key, text, doc_id, held_out) to PASS rows.
-
-    Bigrams outside the held arcs count as seen once in training texts and never in others, and
-    so do words outside the head; the state's count divides each of them where it is in the head.
-    """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        for batch in batches:
-            held_out = batch.column(3).to_numpy(zero_copy_only=False).astype(bool)
-            for part, docs in _documents(batch):
-                first, before, word, arc = model.read(docs)
-                lengths = np.diff(np.append(first, len(word)))
-                held = np.repeat(held_out[part], lengths)
-                c = model.count(word)
-                own = np.log10(np.where(c > 0, c + 1.0, np.where(held, 1.0, 2.0))) - model.unit
-                step = np.where(held, own, np.log10(1 - DISCOUNT)) \
-                    - np.log10(np.maximum(model.count(before), 1))
-                hit = arc >= 0
-                step[hit] = model.arc_score[arc[hit]]
-                rows = batch.slice(part.start, part.stop - part.start)
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column(0), rows.column(2), rows.column(3),
-                     pa.array(lengths, pa.int64()),
-                     pa.array(np.add.reduceat((~held | (c > 0)).astype(np.int64), first)),
-                     pa.array(np.add.reduceat(own, first)),
-                     pa.array(np.add.reduceat(step, first))],
-                    names=["key", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
-    return run
+# -- chunks ---------------------------------------------------------------------------------
+
+CHUNKS = ("chunk bigint, ids array<bigint>, held array<boolean>, lengths array<bigint>, "
+          "words array<bigint>, n array<bigint>, codes binary")
+
+
+def _chunk(number: int, ids: list, held: list, docs: list[np.ndarray]) -> pa.RecordBatch:
+    lengths = np.array([len(t) for t in docs], dtype=np.int64)
+    words, code, n = np.unique(np.concatenate(docs), return_inverse=True, return_counts=True)
+    train = np.repeat(~np.array(held, dtype=bool), lengths)
+    order = np.argsort(-n, kind="stable")                # small codes for frequent words
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    code = place[code]
+    return pa.RecordBatch.from_arrays([
+        pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
+        pa.array([held], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int64())),
+        pa.array([words[order].view(np.int64)], pa.list_(pa.int64())),
+        pa.array([np.bincount(code[train], minlength=len(words))], pa.list_(pa.int64())),
+        pa.array([pack(code)], pa.binary())],
+        names=["chunk", "ids", "held", "lengths", "words", "n", "codes"])
 
 
-def _bigrams(shared):
-    """Texts (key, text, ...) to rows (key, h, w) of the bigrams outside the held arcs."""
+def _chunks(limit: int):
+    """Rows (id, text, held out) to chunks of ``limit`` tokens."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        number = TaskContext.get().partitionId() << 32
+        ids, held, docs, n = [], [], [], 0
         for batch in batches:
-            keys = batch.column(0).to_numpy()
-            for part, docs in _documents(batch):
-                first, before, word, arc = model.read(docs)
-                key = np.repeat(keys[part], np.diff(np.append(first, len(word))))
-                out = arc < 0
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x[out]) for x in (key, before, word)], names=["key", "h", "w"])
+            texts = batch.column(1).cast(pa.binary())
+            for i, t, h in zip(batch.column(0), texts, batch.column(2)):
+                ids.append(i.as_py())
+                held.append(h.as_py())
+                docs.append(tokens(t.as_py()))
+                n += len(docs[-1])
+                if n >= limit:
+                    yield _chunk(number, ids, held, docs)
+                    number += 1
+                    ids, held, docs, n = [], [], [], 0
+        if ids:
+            yield _chunk(number, ids, held, docs)
     return run
 
 
-def _starts(*columns: np.ndarray) -> np.ndarray:
-    """Where runs of equal rows start."""
-    new = np.ones(len(columns[0]), dtype=bool)
-    new[1:] = False
-    for c in columns:
-        new[1:] |= c[1:] != c[:-1]
-    return np.flatnonzero(new)
+class Slice:
+    """A chunk with what it knows of the automaton: ``counts`` of its words (0: unseen)."""
+
+    def __init__(self, row: dict):
+        self.chunk = row["chunk"]
+        self.words = np.array(row["words"], dtype=np.int64)
+        self.code, = unpack(row["codes"])
+        self.lengths = np.array(row["lengths"], dtype=np.int64)
+        self.held = np.array(row["held"], dtype=bool)
+        self.first = np.cumsum(self.lengths) - self.lengths
+        self.before = np.concatenate([self.code[:1], self.code[:-1]])
+        self.before[self.first] = int(np.flatnonzero(self.words == END.view(np.int64))[0])
+        self._sorted = np.argsort(self.words)
+        self.counts, = self.given(row["known"], "n")
+
+    def given(self, rows: list[dict] | None, *names: str) -> list[np.ndarray]:
+        """Columns of rows (word, ...) by the chunk's own codes, 0 where there is no row."""
+        out = [np.zeros(len(self.words), dtype=np.int64) for _ in names]
+        if rows:
+            word = np.array([r["word"] for r in rows], dtype=np.int64)
+            at = self._sorted[np.searchsorted(self.words, word, sorter=self._sorted)]
+            for column, name in zip(out, names):
+                column[at] = [r[name] for r in rows]
+        return out
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(state, word, training count) of the distinct pairs, and each token's pair."""
+        size = len(self.words)
+        key, pair = np.unique(self.before * size + self.code, return_inverse=True)
+        train = np.repeat(~self.held, self.lengths)
+        return key // size, key % size, np.bincount(pair[train], minlength=len(key)), pair
+
+    def dealt(self, h: np.ndarray, w: np.ndarray, ranges: int,
+              head: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the pairs that may be arcs, in order of their range, and their ranges."""
+        some = np.flatnonzero((self.counts[h] > 0) & (self.counts[w] > 0))
+        h, w = h[some], w[some]
+        shares = (1 + self.counts[h] // head).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            share = mix64(self.words[w].view(np.uint64) * _MULTIPLIER) % shares
+            at = mix64(self.words[h].view(np.uint64) * _MULTIPLIER + share) % np.uint64(ranges)
+        order = np.argsort(at, kind="stable")
+        return some[order], at[order].astype(np.int64)
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
-def _counted(model: Automaton, key: np.ndarray, h: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
-    """STEPS rows of whole words' (or whole bigrams') rows, sorted by w and h.
+# -- counting pairs -------------------------------------------------------------------------
 
-    The lowest bit of a key tells held-out texts.
-    """
-    held = (key & 1).astype(bool)
-    train = (~held).astype(np.int64)
-    runs = []
-    for start in (_starts(w, h), _starts(w)):
-        length = np.diff(np.append(start, len(w)))
-        runs.append((start, np.repeat(np.add.reduceat(train, start), length)))
-    (pair, n), (_, of_word) = runs
-    c = model.count(w)
-    other = c == 0                                   # words outside the head
-    c = np.where(other, of_word, c)
-    own = np.log10(c + 1.0)
-    hit = np.log10(np.maximum(n, 1) - DISCOUNT)
-    seen = n > 0
-    base = np.where(other, own - np.where(held, 0.0, np.log10(2.0)), 0.0)
-    score = np.where(held, np.where(seen, hit - np.where(other, 0.0, own) + model.unit,
-                                    np.where(other, own, 0.0)), hit - np.log10(1 - DISCOUNT))
-    # each occurrence of a word is the state of one next token
-    score = score - np.where(other, np.log10(np.maximum(c, 1)), 0.0)
-    known = (held & other & (c > 0)).astype(np.int64)
-    gain = np.flatnonzero((known > 0) | (base != 0) | (score != 0))
-    gain = gain[np.argsort(key[gain], kind="stable")]
-    texts = _starts(key[gain]) if len(gain) else gain
-    arcs = pair[n[pair] > 0]
-    arcs = arcs[np.argsort(h[arcs], kind="stable")]
-    states = _starts(h[arcs]) if len(arcs) else arcs
-    miss = np.flatnonzero(~seen)
-
-    def total(x, at, start):
-        return np.add.reduceat(x[at], start) if len(at) else x[:0]
-
-    none, zero = np.zeros(len(states) + len(miss)), np.zeros(len(miss), dtype=np.int64)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.repeat([0, 1, 2], [len(texts), len(states), len(miss)]), pa.int32()),
-        pa.array(np.concatenate([key[gain][texts], h[arcs][states], key[miss]])),
-        pa.array(np.concatenate([np.zeros(len(texts), dtype=np.int64),
-                                 total(c + 1, arcs, states), h[miss]])),
-        pa.array(np.concatenate([total(known, gain, texts),
-                                 total(np.ones_like(c), arcs, states), zero])),
-        pa.array(np.concatenate([total(base, gain, texts), none])),
-        pa.array(np.concatenate([total(score, gain, texts), none]))],
-        names=["kind", "key", "other", "known", "base", "score"])
-
-
-def _count_bigrams(shared):
-    """Rows (key, h, w), sorted by w and h, to STEPS rows; the last word waits for the next batch."""
+SENT = "range int, chunk bigint, blob binary"
+COUNTED = "kind int, key bigint, range int, blob binary, arcs bigint, mass bigint"
+
+
+def _send(ranges: int, head: int):
+    """Chunks with their words' counts to one blob of distinct pairs for each range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        waiting, n = [], 0
-        for batch in batches:
-            waiting.append([batch.column(i).to_numpy() for i in range(3)])
-            n += batch.num_rows
-            if n < CHUNK >> 2:
-                continue
-            key, h, w = (np.concatenate(x) for x in zip(*waiting))
-            # a head word's count is known: only its last bigram waits
-            inside = model.count(w[-1:])[0] > 0
-            last = int((_starts(w, h) if inside else _starts(w))[-1])
-            if last:
-                yield _counted(model, key[:last], h[:last], w[:last])
-            waiting, n = [[key[last:], h[last:], w[last:]]], len(w) - last
-        if n:
-            yield _counted(model, *(np.concatenate(x) for x in zip(*waiting)))
+        for row in _rows(batches):
+            s = Slice(row)
+            h, w, n, _ = s.pairs()
+            some, at = s.dealt(h, w, ranges, head)
+            cut = np.flatnonzero(np.diff(at, prepend=-1))
+            out: tuple[list, list] = ([], [])
+            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(at)]):
+                part = some[a:b]
+                states, runs = np.unique(h[part], return_counts=True)
+                out[0].append(int(at[a]))
+                out[1].append(pack(s.words[states], runs, s.words[w[part]], n[part],
+                                   s.counts[w[part]]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.int32()), pa.array([s.chunk] * len(out[0]), pa.int64()),
+                 pa.array(out[1], pa.binary())], names=["range", "chunk", "blob"])
+    return run
+
+
+def _sum(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    return np.add.reduceat(values, starts) if len(values) else values
+
+
+def _count(table: pa.Table) -> pa.Table:
+    """All blobs of a range: totals back to each chunk (kind 0), arcs of the states (kind 1)."""
+    chunks = table.column("chunk").to_pylist()
+    sent = [unpack(b.as_py()) for b in table.column("blob")]
+    h = np.concatenate([np.repeat(s[0], s[1]) for s in sent])
+    w, n, count = (np.concatenate([s[i] for s in sent]) for i in (2, 3, 4))
+    order = np.lexsort((w, h))
+    new = np.ones(len(h), dtype=bool)
+    new[1:] = (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)
+    starts = np.flatnonzero(new)
+    total = _sum(n[order], starts)
+    back = np.empty(len(h), dtype=np.int64)
+    back[order] = total[np.cumsum(new) - 1]
+    arcs = order[starts][total > 0]                      # in order of their states
+    state = np.flatnonzero(np.diff(h[arcs], prepend=~h[arcs[:1]])) if len(arcs) else arcs
+    ends = np.cumsum([len(s[2]) for s in sent])
+    blobs = [pack(x) for x in np.split(back, ends[:-1])]
+    k, at = len(state), table.column("range")[0].as_py()
+    return pa.table([
+        pa.array([0] * len(chunks) + [1] * k, pa.int32()),
+        pa.array(np.concatenate([np.array(chunks, dtype=np.int64), h[arcs][state]])),
+        pa.array([at] * (len(chunks) + k), pa.int32()),
+        pa.array(blobs + [None] * k, pa.binary()),
+        pa.array([0] * len(chunks) + np.diff(np.append(state, len(arcs))).tolist(), pa.int64()),
+        pa.array([0] * len(chunks) + _sum(count[arcs] + 1, state).tolist(), pa.int64())],
+        names=["kind", "key", "range", "blob", "arcs", "mass"])
+
+
+# -- reading texts --------------------------------------------------------------------------
+
+SCORES = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, "
+          "score double")
+
+
+def _read(ranges: int, head: int, mass: int):
+    """Chunks with their slices to SCORES: the texts are read from left to right."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            s = Slice(row)
+            h, w, _, pair = s.pairs()
+            some, _ = s.dealt(h, w, ranges, head)
+            blobs = sorted(row["totals"] or [], key=lambda r: r["range"])
+            n = np.zeros(len(h), dtype=np.int64)
+            if blobs:
+                n[some] = np.concatenate([unpack(b["blob"])[0] for b in blobs])
+            arcs, arc_mass = s.given(row["known"], "arcs", "mass")
+            own = np.log10(s.counts + 1.0) - np.log10(float(mass))
+            with np.errstate(divide="ignore", invalid="ignore"):
+                fail = np.log10(DISCOUNT * arcs / s.counts) - np.log10(1.0 - arc_mass / mass)
+                fail = np.where(arcs > 0, fail, 0.0)
+                arc = np.log10(n - DISCOUNT) - np.log10(s.counts[h])
+            step = np.where(n > 0, arc, fail[h] + own[w])[pair]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["ids"], pa.int64()), pa.array(s.held), pa.array(s.lengths),
+                 pa.array(np.add.reduceat((s.counts > 0).astype(np.int64)[s.code], s.first)),
+                 pa.array(np.add.reduceat(own[s.code], s.first)),
+                 pa.array(np.add.reduceat(step, s.first))],
+                names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score"])
     return run
 
 
@@ -367,49 +275,47 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id",
     Learns from the rows where ``train`` is true; ``held_out`` is its opposite (a null condition
     trains).  A null text is an empty one: its only token is the end mark.  Rows that repeat get
     equal scores each and count each in training.  Without training documents every token is
-    unseen and has probability 1.  Other columns are not read.
+    unseen and has probability 1.  Other columns are not read.  An empty table gives no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("bigint").alias("i"),
-                       F.col(text_col).cast("string").alias("t"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"),
                        (~F.coalesce(train, F.lit(True))).alias("h"))
-    model, held_arcs = fit(rows.where("not h").select("t"))
-    shared = spark.sparkContext.broadcast(model)
-    # a text's key comes from its id and words: rows that repeat share it
-    key = F.xxhash64("i", F.coalesce("t", F.lit(""))).bitwiseAND(F.lit(-2)) \
-        .bitwiseOR(F.col("h").cast("bigint"))
-    keyed = rows.select(key.alias("key"), "t", "i", "h")
-    first = written(spark, keyed.mapInArrow(_pass(shared), PASS), "lm-pass")
-    in_head = lambda c: (F.col(c) >= 0) & (F.col(c) < len(model.words))
-    meet = F.when(in_head("w"), F.xxhash64("h", "w")).otherwise(F.xxhash64("w"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    steps = written(spark, keyed.mapInArrow(_bigrams(shared), "key bigint, h bigint, w bigint")
-                    .repartition(parts, meet).sortWithinPartitions("w", "h")
-                    .mapInArrow(_count_bigrams(shared), STEPS), "lm-steps")
-    # b(h) c(h) of the states: the count cancels out
-    mass = F.lit(float(model.mass))
-    states = steps.where("kind = 1").select(
-        F.col("key").alias("state"), F.col("known").alias("arcs"), F.col("other").alias("mass")) \
-        .unionByName(held_arcs).groupBy("state").agg(
-        F.sum("arcs").alias("arcs"), F.sum("mass").alias("mass")).select("state", F.log10(
-            DISCOUNT * F.col("arcs") * mass / (F.lit(model.mass) - F.col("mass"))).alias("weight"))
-    misses = steps.where("kind = 2").select("key", F.col("other").alias("state"))
-    failed = misses.where(in_head("state")).join(
-        F.broadcast(states.where(in_head("state"))), "state").unionByName(
-        misses.where(~in_head("state")).join(states.where(~in_head("state")), "state"))
-    no, none = F.lit(0).cast("bigint"), F.lit(0.0)
-    more = steps.where("kind = 0").select("key", "known", "base", "score", no.alias("texts")) \
-        .unionByName(failed.select("key", no.alias("known"), none.alias("base"),
-                                   F.col("weight").alias("score"), no.alias("texts"))) \
-        .unionByName(first.select("key", no.alias("known"), none.alias("base"),
-                                  none.alias("score"), F.lit(1).cast("bigint").alias("texts"))) \
-        .groupBy("key").agg(*[F.sum(c).alias(f"_{c}") for c in ("known", "base", "score", "texts")])
-    return first.join(more, "key").select(
-        F.col("doc_id").alias(id_col), "held_out", "n_tokens",
-        (F.col("n_known") + F.expr("_known div _texts")).alias("n_known"),
-        F.lit(model.total).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.col("_base") / F.col("_texts")).alias("base_score"),
-        (F.col("score") + F.col("_score") / F.col("_texts")).alias("score"))
+    chunks = written(spark, rows.mapInArrow(_chunks(CHUNK), CHUNKS), "lm-chunks")
+    words = chunks.select("chunk", F.explode(F.arrays_zip("words", "n")).alias("w")) \
+        .select("chunk", F.col("w.words").alias("word"), F.col("w.n").alias("n"))
+    counts = written(spark, words.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")),
+                     "lm-words")
+    total, types = counts.agg(F.sum("n"), F.count("*")).first()
+    total = total or 0
+    size = chunks.select(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)").alias("n")) \
+        .agg(F.sum("n")).first()[0] or 0
+    ranges = max(1, -(-size // RANGE))
+
+    def slices(table: DataFrame, name: str, *columns: str) -> DataFrame:
+        """Rows (word, ...) as a list for each chunk that has the word."""
+        return words.select("chunk", "word").join(table, "word").groupBy("chunk").agg(
+            F.collect_list(F.struct("word", *columns)).alias(name))
+
+    known = chunks.join(slices(counts, "known", "n"), "chunk", "left")
+    sent = known.select("chunk", "held", "lengths", "words", "codes", "known") \
+        .mapInArrow(_send(ranges, HEAD), SENT)
+    counted = written(spark, sent.groupBy("range").applyInArrow(_count, COUNTED), "lm-counted")
+    states = counted.where("kind = 1").groupBy(F.col("key").alias("word")).agg(
+        F.sum("arcs").alias("arcs"), F.sum("mass").alias("mass"))
+    totals = counted.where("kind = 0").groupBy(F.col("key").alias("chunk")).agg(
+        F.collect_list(F.struct("range", "blob")).alias("totals"))
+    # one lookup for the reading: a word's count, and its arcs as a state
+    both = counts.join(states, "word", "left").select(
+        "word", "n", F.coalesce("arcs", F.lit(0).cast("bigint")).alias("arcs"),
+        F.coalesce("mass", F.lit(0).cast("bigint")).alias("mass"))
+    full = chunks.join(slices(both, "known", "n", "arcs", "mass"), "chunk", "left") \
+        .join(totals, "chunk", "left")
+    scored = full.select("chunk", "ids", "held", "lengths", "words", "codes", "known",
+                         "totals").mapInArrow(_read(ranges, HEAD, total + types + 1), SCORES)
+    return scored.select(
+        F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known",
+        F.lit(total).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
 def op10_lm_score(spark, sf_dir: str) -> DataFrame:

@@ -136,3 +136,24 @@ def test_every_training_bigram_is_an_arc(spark, monkeypatch):
             assert math.isclose(r["score"], want, rel_tol=1e-9)
             assert math.isclose(r["base_score"], sum(math.log10(p(x)) for x in w), rel_tol=1e-9)
             assert r["n_known"] == sum(c[x] > 0 for x in w)
+
+
+def test_chunks_and_ranges_do_not_change_scores(spark, documents, monkeypatch):
+    """Many chunks, many ranges, states split over ranges: the same scores."""
+    train = L.remainder("doc_id", 7) != 2
+    want = {r["doc_id"]: r for r in L.score(documents, train).collect()}
+    for name, v in (("CHUNK", 5000), ("RANGE", 9000), ("HEAD", 40)):
+        monkeypatch.setattr(L, name, v)
+    got = L.score(documents, train).collect()
+    assert len(got) == len(want)
+    for r in got:
+        w = want[r["doc_id"]]
+        assert (r["n_known"], r["n_tokens"]) == (w["n_known"], w["n_tokens"])
+        assert math.isclose(r["base_score"], w["base_score"], rel_tol=1e-12)
+        assert math.isclose(r["score"], w["score"], rel_tol=1e-12)
+
+
+def test_blobs():
+    columns = [np.array([], dtype=np.int64), np.array([-1, 2 ** 62, 0]), np.arange(70000)]
+    for a, b in zip(columns, L.unpack(L.pack(*columns))):
+        assert a.tolist() == b.tolist()
