@@ -46,33 +46,35 @@ def terms_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_LETTERS).split(b" ") if text else []
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count(limit: int):
     """Rows (lang, source, text) to partial (lang, source, term, n, docs)."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
-
-    def out() -> pa.RecordBatch:
-        cols: tuple[list, ...] = ([], [], [], [], [])
-        for (lang, source), (n, docs) in held.items():
-            cols[0].extend([lang] * len(n))
-            cols[1].extend([source] * len(n))
-            cols[2].extend(t.decode("utf-8") for t in n)
-            cols[3].extend(n.values())
-            cols[4].extend(docs[t] for t in n)
-        held.clear()
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, t) for c, t in zip(cols, (pa.string(),) * 3 + (pa.int64(),) * 2)],
-            names=["lang", "source", "term", "n", "docs"])
-
-    for batch in batches:
-        for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
-            found = Counter(terms_of(text))
-            found.pop(b"", None)
-            n, docs = held.setdefault((lang, source), (Counter(), Counter()))
-            n.update(found)
-            docs.update(found.keys())
-        if sum(len(n) for n, _ in held.values()) > HELD:
-            yield out()
-    yield out()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+
+        def out() -> pa.RecordBatch:
+            cols: tuple[list, ...] = ([], [], [], [], [])
+            for (lang, source), (n, docs) in held.items():
+                cols[0].extend([lang] * len(n))
+                cols[1].extend([source] * len(n))
+                cols[2].extend(t.decode("utf-8") for t in n)
+                cols[3].extend(n.values())
+                cols[4].extend(docs[t] for t in n)
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(cols, (pa.string(),) * 3 + (pa.int64(),) * 2)],
+                names=["lang", "source", "term", "n", "docs"])
+
+        for batch in batches:
+            for lang, source, text in zip(*(c.to_pylist() for c in batch.columns)):
+                found = Counter(terms_of(text))
+                found.pop(b"", None)
+                n, docs = held.setdefault((lang, source), (Counter(), Counter()))
+                n.update(found)
+                docs.update(found.keys())
+            if sum(len(n) for n, _ in held.values()) > limit:
+                yield out()
+        yield out()
+    return run
 
 
 def vocabulary(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
@@ -80,7 +82,7 @@ def vocabulary(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
 
     Takes rows (lang, source, text) without nulls.
     """
-    partial = docs.mapInArrow(_count, "lang string, source string, term string, n bigint, "
+    partial = docs.mapInArrow(_count(HELD), "lang string, source string, term string, n bigint, "
                               "docs bigint")
     return partial.groupBy("lang", "term", "source").agg(
         F.sum("n").alias("n"), F.sum("docs").alias("docs")).groupBy("lang", "term").agg(
@@ -98,43 +100,45 @@ RUNS = "lang string, length bigint, columns array<struct<source:string,starts:ar
        "counts:array<bigint>>>"
 
 
-def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _encode(size: int):
     """Sorted entries (lang, counts, times) to run-length columns, a row each segment.
 
     Groups without an occurrence in the segment are left out: their one run is zero.
     """
-    kind = pa.list_(pa.struct([("source", pa.string()), ("starts", pa.list_(pa.int64())),
-                               ("counts", pa.list_(pa.int64()))]))
-    lang, entries, times = None, [], []
-
-    def out() -> pa.RecordBatch:
-        at: dict[str, list[tuple[int, int]]] = {}
-        for i, counts in enumerate(entries):
-            for c in counts:
-                at.setdefault(c["source"], []).append((i, c["n"]))
-        lengths = np.array(times, dtype=np.int64)
-        columns = []
-        for source, cells in sorted(at.items()):
-            values = np.zeros(len(entries), dtype=np.int64)
-            place, n = zip(*cells)
-            values[list(place)] = n
-            starts, values = _runs(values, lengths)
-            columns.append({"source": source, "starts": starts.tolist(),
-                            "counts": values.tolist()})
-        return pa.RecordBatch.from_arrays(
-            [pa.array([lang], pa.string()), pa.array([int(lengths.sum())], pa.int64()),
-             pa.array([columns], kind)], names=["lang", "length", "columns"])
-
-    for batch in batches:
-        for l, counts, n in zip(*(c.to_pylist() for c in batch.columns)):
-            if entries and (l != lang or len(entries) == SEGMENT):
-                yield out()
-                entries, times = [], []
-            lang = l
-            entries.append(counts)
-            times.append(n)
-    if entries:
-        yield out()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("source", pa.string()), ("starts", pa.list_(pa.int64())),
+                                   ("counts", pa.list_(pa.int64()))]))
+        lang, entries, times = None, [], []
+
+        def out() -> pa.RecordBatch:
+            at: dict[str, list[tuple[int, int]]] = {}
+            for i, counts in enumerate(entries):
+                for c in counts:
+                    at.setdefault(c["source"], []).append((i, c["n"]))
+            lengths = np.array(times, dtype=np.int64)
+            columns = []
+            for source, cells in sorted(at.items()):
+                values = np.zeros(len(entries), dtype=np.int64)
+                place, n = zip(*cells)
+                values[list(place)] = n
+                starts, values = _runs(values, lengths)
+                columns.append({"source": source, "starts": starts.tolist(),
+                                "counts": values.tolist()})
+            return pa.RecordBatch.from_arrays(
+                [pa.array([lang], pa.string()), pa.array([int(lengths.sum())], pa.int64()),
+                 pa.array([columns], kind)], names=["lang", "length", "columns"])
+
+        for batch in batches:
+            for l, counts, n in zip(*(c.to_pylist() for c in batch.columns)):
+                if entries and (l != lang or len(entries) == size):
+                    yield out()
+                    entries, times = [], []
+                lang = l
+                entries.append(counts)
+                times.append(n)
+        if entries:
+            yield out()
+    return run
 
 
 def share(count: np.ndarray, n: int, v: int) -> np.ndarray:
@@ -219,7 +223,7 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     entries = kept.groupBy("lang", "counts").agg(F.count("*").alias("times")) \
         .repartitionByRange("lang", "counts").sortWithinPartitions("lang", "counts") \
         .select("lang", "counts", "times")
-    segments = written(spark, entries.mapInArrow(_encode, RUNS), "audit-runs")
+    segments = written(spark, entries.mapInArrow(_encode(SEGMENT), RUNS), "audit-runs")
     sums = segments.join(langs.select("lang", "groups", "terms"), "lang") \
         .mapInArrow(_intersect, "lang string, a string, b string, value bigint") \
         .groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
