@@ -17,12 +17,13 @@ that training never saw has no arcs and b(h) = 1.
 
 The automaton grows with the corpus, so no task holds it.  Documents are cut into chunks of a
 bounded number of tokens, kept as codes of the chunk's own words.  A chunk asks for its slice of
-the automaton, and only for distinct things: its words (counts, failure weights) by joins, its
-pairs of words in blobs.  Pairs are dealt into ranges by their state; a range gets from each chunk
-one blob of distinct pairs with their training counts, adds them up, and sends back a blob of the
-totals.  A frequent state's pairs are split by the next word, so no range holds more than a
-bounded share of one state; its arcs are added up afterwards.  With the slice a chunk reads its
-texts.  No row is made for an occurrence of a word, and nothing is capped.
+the automaton, and only for distinct things: first its words, then its pairs of words.  Both are
+dealt into ranges by hash; a range gets from each chunk one blob with training counts, adds them
+up, and sends a blob of the totals back.  Pairs are dealt by their state, so a range also knows
+the state's arcs and with them its failure weight.  A frequent state's pairs are split by the next
+word, so no range holds more than a bounded share of one state; its arcs are added up afterwards
+and joined to the chunks that have it.  With its slice a chunk reads its texts.  No row is made
+for an occurrence of a word, and nothing is capped.
 """
 
 from __future__ import annotations
@@ -84,7 +85,7 @@ def unpack(blob: bytes) -> list[np.ndarray]:
 # -- chunks ---------------------------------------------------------------------------------
 
 CHUNKS = ("chunk bigint, ids array<bigint>, held array<boolean>, lengths array<bigint>, "
-          "words array<bigint>, n array<bigint>, codes binary")
+          "words binary, codes binary")
 
 
 def _chunk(number: int, ids: list, held: list, docs: list[np.ndarray]) -> pa.RecordBatch:
@@ -98,10 +99,10 @@ def _chunk(number: int, ids: list, held: list, docs: list[np.ndarray]) -> pa.Rec
     return pa.RecordBatch.from_arrays([
         pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
         pa.array([held], pa.list_(pa.bool_())), pa.array([lengths], pa.list_(pa.int64())),
-        pa.array([words[order].view(np.int64)], pa.list_(pa.int64())),
-        pa.array([np.bincount(code[train], minlength=len(words))], pa.list_(pa.int64())),
+        pa.array([pack(words[order].view(np.int64), np.bincount(code[train], minlength=len(words)))],
+                 pa.binary()),
         pa.array([pack(code)], pa.binary())],
-        names=["chunk", "ids", "held", "lengths", "words", "n", "codes"])
+        names=["chunk", "ids", "held", "lengths", "words", "codes"])
 
 
 def _chunks(limit: int):
@@ -125,30 +126,40 @@ def _chunks(limit: int):
     return run
 
 
+def _hashed(words: np.ndarray, ranges: int, share=np.uint64(0)) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return (mix64(words.view(np.uint64) * _MULTIPLIER + share)
+                % np.uint64(ranges)).astype(np.int64)
+
+
+def _dealt(at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(range, places) of things whose ranges are ``at``, ranges ascending, places too."""
+    order = np.argsort(at, kind="stable")
+    cut = np.flatnonzero(np.diff(at[order], prepend=-1))
+    for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(at)]):
+        yield int(at[order[a]]), order[a:b]
+
+
+def _blobs(rows: list[dict] | None) -> dict[int, list[np.ndarray]]:
+    return {r["range"]: unpack(r["blob"]) for r in rows or []}
+
+
 class Slice:
     """A chunk with what it knows of the automaton: ``counts`` of its words (0: unseen)."""
 
-    def __init__(self, row: dict):
-        self.chunk = row["chunk"]
-        self.words = np.array(row["words"], dtype=np.int64)
+    def __init__(self, row: dict, ranges: int, head: int):
+        self.chunk, self.ranges, self.head = row["chunk"], ranges, head
+        self.words, _ = unpack(row["words"])
         self.code, = unpack(row["codes"])
         self.lengths = np.array(row["lengths"], dtype=np.int64)
         self.held = np.array(row["held"], dtype=bool)
         self.first = np.cumsum(self.lengths) - self.lengths
         self.before = np.concatenate([self.code[:1], self.code[:-1]])
         self.before[self.first] = int(np.flatnonzero(self.words == END.view(np.int64))[0])
-        self._sorted = np.argsort(self.words)
-        self.counts, = self.given(row["known"], "n")
-
-    def given(self, rows: list[dict] | None, *names: str) -> list[np.ndarray]:
-        """Columns of rows (word, ...) by the chunk's own codes, 0 where there is no row."""
-        out = [np.zeros(len(self.words), dtype=np.int64) for _ in names]
-        if rows:
-            word = np.array([r["word"] for r in rows], dtype=np.int64)
-            at = self._sorted[np.searchsorted(self.words, word, sorter=self._sorted)]
-            for column, name in zip(out, names):
-                column[at] = [r[name] for r in rows]
-        return out
+        self.counts = np.zeros(len(self.words), dtype=np.int64)
+        totals = _blobs(row["known"])
+        for at, places in _dealt(_hashed(self.words, ranges)):
+            self.counts[places], = totals[at]
 
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(state, word, training count) of the distinct pairs, and each token's pair."""
@@ -157,17 +168,19 @@ class Slice:
         train = np.repeat(~self.held, self.lengths)
         return key // size, key % size, np.bincount(pair[train], minlength=len(key)), pair
 
-    def dealt(self, h: np.ndarray, w: np.ndarray, ranges: int,
-              head: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the pairs that may be arcs, in order of their range, and their ranges."""
-        some = np.flatnonzero((self.counts[h] > 0) & (self.counts[w] > 0))
+    def split(self, h: np.ndarray) -> np.ndarray:
+        """Whether a state's pairs are split over ranges."""
+        return self.counts[h] >= self.head
+
+    def dealt(self, h: np.ndarray, w: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(range, places) of the pairs whose state has arcs, sorted by state within a range."""
+        some = np.flatnonzero(self.counts[h] > 0)
         h, w = h[some], w[some]
-        shares = (1 + self.counts[h] // head).astype(np.uint64)
+        shares = (1 + self.counts[h] // self.head).astype(np.uint64)
         with np.errstate(over="ignore"):
             share = mix64(self.words[w].view(np.uint64) * _MULTIPLIER) % shares
-            at = mix64(self.words[h].view(np.uint64) * _MULTIPLIER + share) % np.uint64(ranges)
-        order = np.argsort(at, kind="stable")
-        return some[order], at[order].astype(np.int64)
+        for at, places in _dealt(_hashed(self.words[h], self.ranges, share)):
+            yield at, some[places]
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -176,63 +189,94 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield batch.slice(i, 1).to_pylist()[0]
 
 
-# -- counting pairs -------------------------------------------------------------------------
+# -- counting -------------------------------------------------------------------------------
 
 SENT = "range int, chunk bigint, blob binary"
-COUNTED = "kind int, key bigint, range int, blob binary, arcs bigint, mass bigint"
+#: kind 0: a blob for a chunk; 1: sums of a range, or of a split state (key); 2: a chunk (key)
+#: that has a split state (a)
+COUNTED = "kind int, key bigint, range int, blob binary, a bigint, b bigint"
 
 
-def _send(ranges: int, head: int):
-    """Chunks with their words' counts to one blob of distinct pairs for each range."""
+def _sent(chunk: int, parts: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([p[0] for p in parts], pa.int32()), pa.array([chunk] * len(parts), pa.int64()),
+         pa.array([p[1] for p in parts], pa.binary())], names=["range", "chunk", "blob"])
+
+
+def _counted(at: int, rows: list[tuple]) -> pa.Table:
+    kind, key, blob, a, b = zip(*rows)
+    return pa.table([pa.array(kind, pa.int32()), pa.array(key, pa.int64()),
+                     pa.array([at] * len(rows), pa.int32()), pa.array(blob, pa.binary()),
+                     pa.array(a, pa.int64()), pa.array(b, pa.int64())],
+                    names=["kind", "key", "range", "blob", "a", "b"])
+
+
+def _group(table: pa.Table) -> tuple[int, list[int], list[list[np.ndarray]]]:
+    return (table.column("range")[0].as_py(), table.column("chunk").to_pylist(),
+            [unpack(b.as_py()) for b in table.column("blob")])
+
+
+def _send_words(ranges: int):
+    """Chunks (chunk, words) to one blob (words, training counts) for each range."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            s = Slice(row)
-            h, w, n, _ = s.pairs()
-            some, at = s.dealt(h, w, ranges, head)
-            cut = np.flatnonzero(np.diff(at, prepend=-1))
-            out: tuple[list, list] = ([], [])
-            for a, b in zip(cut.tolist(), [*cut[1:].tolist(), len(at)]):
-                part = some[a:b]
-                states, runs = np.unique(h[part], return_counts=True)
-                out[0].append(int(at[a]))
-                out[1].append(pack(s.words[states], runs, s.words[w[part]], n[part],
-                                   s.counts[w[part]]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int32()), pa.array([s.chunk] * len(out[0]), pa.int64()),
-                 pa.array(out[1], pa.binary())], names=["range", "chunk", "blob"])
+            words, n = unpack(row["words"])
+            yield _sent(row["chunk"], [(at, pack(words[p], n[p]))
+                                       for at, p in _dealt(_hashed(words, ranges))])
     return run
 
 
-def _sum(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    return np.add.reduceat(values, starts) if len(values) else values
+def _count_words(table: pa.Table) -> pa.Table:
+    at, chunks, sent = _group(table)
+    words, back = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
+    total = np.zeros(len(words), dtype=np.int64)
+    np.add.at(total, back, np.concatenate([s[1] for s in sent]))
+    blobs = np.split(total[back], np.cumsum([len(s[0]) for s in sent])[:-1])
+    return _counted(at, [(0, c, pack(x), None, None) for c, x in zip(chunks, blobs)]
+                    + [(1, None, None, int(total.sum()), int((total > 0).sum()))])
+
+
+def _send_pairs(ranges: int, head: int):
+    """Chunks with their words' counts to one blob of distinct pairs for each range."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row in _rows(batches):
+            s = Slice(row, ranges, head)
+            h, w, n, _ = s.pairs()
+            parts = []
+            for at, p in s.dealt(h, w):
+                states, runs = np.unique(h[p], return_counts=True)
+                parts.append((at, pack(s.words[states], runs, s.split(states), s.words[w[p]], n[p],
+                                       s.counts[w[p]])))
+            yield _sent(s.chunk, parts)
+    return run
 
 
-def _count(table: pa.Table) -> pa.Table:
-    """All blobs of a range: totals back to each chunk (kind 0), arcs of the states (kind 1)."""
-    chunks = table.column("chunk").to_pylist()
-    sent = [unpack(b.as_py()) for b in table.column("blob")]
-    h = np.concatenate([np.repeat(s[0], s[1]) for s in sent])
-    w, n, count = (np.concatenate([s[i] for s in sent]) for i in (2, 3, 4))
+def _count_pairs(table: pa.Table) -> pa.Table:
+    """Totals of the pairs, arcs and mass of their states, to each chunk that sent them."""
+    at, chunks, sent = _group(table)
+    states, back = np.unique(np.concatenate([s[0] for s in sent]), return_inverse=True)
+    h = np.repeat(back, np.concatenate([s[1] for s in sent]))
+    split = np.zeros(len(states), dtype=bool)
+    split[back] = np.concatenate([s[2] for s in sent]).astype(bool)
+    w, n, count = (np.concatenate([s[i] for s in sent]) for i in (3, 4, 5))
     order = np.lexsort((w, h))
     new = np.ones(len(h), dtype=bool)
     new[1:] = (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)
     starts = np.flatnonzero(new)
-    total = _sum(n[order], starts)
-    back = np.empty(len(h), dtype=np.int64)
-    back[order] = total[np.cumsum(new) - 1]
-    arcs = order[starts][total > 0]                      # in order of their states
-    state = np.flatnonzero(np.diff(h[arcs], prepend=~h[arcs[:1]])) if len(arcs) else arcs
-    ends = np.cumsum([len(s[2]) for s in sent])
-    blobs = [pack(x) for x in np.split(back, ends[:-1])]
-    k, at = len(state), table.column("range")[0].as_py()
-    return pa.table([
-        pa.array([0] * len(chunks) + [1] * k, pa.int32()),
-        pa.array(np.concatenate([np.array(chunks, dtype=np.int64), h[arcs][state]])),
-        pa.array([at] * (len(chunks) + k), pa.int32()),
-        pa.array(blobs + [None] * k, pa.binary()),
-        pa.array([0] * len(chunks) + np.diff(np.append(state, len(arcs))).tolist(), pa.int64()),
-        pa.array([0] * len(chunks) + _sum(count[arcs] + 1, state).tolist(), pa.int64())],
-        names=["kind", "key", "range", "blob", "arcs", "mass"])
+    total = np.add.reduceat(n[order], starts)
+    of_pair = np.empty(len(h), dtype=np.int64)
+    of_pair[order] = total[np.cumsum(new) - 1]
+    seen = order[starts][total > 0]
+    arcs = np.bincount(h[seen], minlength=len(states))
+    mass = np.zeros(len(states), dtype=np.int64)
+    np.add.at(mass, h[seen], count[seen] + 1)
+    rows = []
+    of_state = np.split(back, np.cumsum([len(s[0]) for s in sent])[:-1])
+    for c, x, own in zip(chunks, np.split(of_pair, np.cumsum([len(s[3]) for s in sent])[:-1]), of_state):
+        rows.append((0, c, pack(x, arcs[own], mass[own]), None, None))
+        rows += [(2, c, None, int(states[j]), None) for j in own[split[own]]]
+    rows += [(1, int(states[j]), None, int(arcs[j]), int(mass[j])) for j in np.flatnonzero(split)]
+    return _counted(at, rows)
 
 
 # -- reading texts --------------------------------------------------------------------------
@@ -245,14 +289,21 @@ def _read(ranges: int, head: int, mass: int):
     """Chunks with their slices to SCORES: the texts are read from left to right."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
-            s = Slice(row)
+            s = Slice(row, ranges, head)
             h, w, _, pair = s.pairs()
-            some, _ = s.dealt(h, w, ranges, head)
-            blobs = sorted(row["totals"] or [], key=lambda r: r["range"])
             n = np.zeros(len(h), dtype=np.int64)
-            if blobs:
-                n[some] = np.concatenate([unpack(b["blob"])[0] for b in blobs])
-            arcs, arc_mass = s.given(row["known"], "arcs", "mass")
+            arcs, arc_mass = np.zeros((2, len(s.words)), dtype=np.int64)
+            totals = _blobs(row["totals"])
+            for at, p in s.dealt(h, w):
+                n[p], of_state, mass_of_state = totals.pop(at)
+                states = np.unique(h[p])
+                arcs[states], arc_mass[states] = of_state, mass_of_state
+            if row["split"]:
+                word = np.array([x["word"] for x in row["split"]], dtype=np.int64)
+                by = np.argsort(s.words)
+                own = by[np.searchsorted(s.words, word, sorter=by)]
+                arcs[own] = [x["arcs"] for x in row["split"]]
+                arc_mass[own] = [x["mass"] for x in row["split"]]
             own = np.log10(s.counts + 1.0) - np.log10(float(mass))
             with np.errstate(divide="ignore", invalid="ignore"):
                 fail = np.log10(DISCOUNT * arcs / s.counts) - np.log10(1.0 - arc_mass / mass)
@@ -282,37 +333,29 @@ def score(docs: DataFrame, train: Column, *, id_col: str = "doc_id",
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("t"),
                        (~F.coalesce(train, F.lit(True))).alias("h"))
     chunks = written(spark, rows.mapInArrow(_chunks(CHUNK), CHUNKS), "lm-chunks")
-    words = chunks.select("chunk", F.explode(F.arrays_zip("words", "n")).alias("w")) \
-        .select("chunk", F.col("w.words").alias("word"), F.col("w.n").alias("n"))
-    counts = written(spark, words.where("n > 0").groupBy("word").agg(F.sum("n").alias("n")),
-                     "lm-words")
-    total, types = counts.agg(F.sum("n"), F.count("*")).first()
-    total = total or 0
     size = chunks.select(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)").alias("n")) \
         .agg(F.sum("n")).first()[0] or 0
     ranges = max(1, -(-size // RANGE))
 
-    def slices(table: DataFrame, name: str, *columns: str) -> DataFrame:
-        """Rows (word, ...) as a list for each chunk that has the word."""
-        return words.select("chunk", "word").join(table, "word").groupBy("chunk").agg(
-            F.collect_list(F.struct("word", *columns)).alias(name))
-
-    known = chunks.join(slices(counts, "known", "n"), "chunk", "left")
-    sent = known.select("chunk", "held", "lengths", "words", "codes", "known") \
-        .mapInArrow(_send(ranges, HEAD), SENT)
-    counted = written(spark, sent.groupBy("range").applyInArrow(_count, COUNTED), "lm-counted")
-    states = counted.where("kind = 1").groupBy(F.col("key").alias("word")).agg(
-        F.sum("arcs").alias("arcs"), F.sum("mass").alias("mass"))
-    totals = counted.where("kind = 0").groupBy(F.col("key").alias("chunk")).agg(
-        F.collect_list(F.struct("range", "blob")).alias("totals"))
-    # one lookup for the reading: a word's count, and its arcs as a state
-    both = counts.join(states, "word", "left").select(
-        "word", "n", F.coalesce("arcs", F.lit(0).cast("bigint")).alias("arcs"),
-        F.coalesce("mass", F.lit(0).cast("bigint")).alias("mass"))
-    full = chunks.join(slices(both, "known", "n", "arcs", "mass"), "chunk", "left") \
-        .join(totals, "chunk", "left")
-    scored = full.select("chunk", "ids", "held", "lengths", "words", "codes", "known",
-                         "totals").mapInArrow(_read(ranges, HEAD, total + types + 1), SCORES)
+    def replies(counted: DataFrame, name: str) -> DataFrame:
+        return counted.where("kind = 0").groupBy(F.col("key").alias("chunk")).agg(
+            F.collect_list(F.struct("range", "blob")).alias(name))
+
+    words = written(spark, chunks.select("chunk", "words").mapInArrow(_send_words(ranges), SENT)
+                    .groupBy("range").applyInArrow(_count_words, COUNTED), "lm-words")
+    total, types = words.where("kind = 1").agg(F.sum("a"), F.sum("b")).first()
+    total, types = total or 0, types or 0
+    known = chunks.join(replies(words, "known"), "chunk")
+    pairs = written(spark, known.mapInArrow(_send_pairs(ranges, HEAD), SENT)
+                    .groupBy("range").applyInArrow(_count_pairs, COUNTED), "lm-pairs")
+    # states that are split: their sums, to the chunks that have them
+    sums = pairs.where("kind = 1").groupBy(F.col("key").alias("word")).agg(
+        F.sum("a").alias("arcs"), F.sum("b").alias("mass"))
+    split = pairs.where("kind = 2").select(F.col("key").alias("chunk"), F.col("a").alias("word")) \
+        .distinct().join(sums, "word").groupBy("chunk").agg(
+            F.collect_list(F.struct("word", "arcs", "mass")).alias("split"))
+    scored = known.join(replies(pairs, "totals"), "chunk", "left").join(split, "chunk", "left") \
+        .mapInArrow(_read(ranges, HEAD, total + types + 1), SCORES)
     return scored.select(
         F.col("doc_id").alias(id_col), "held_out", "n_tokens", "n_known",
         F.lit(total).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score")
