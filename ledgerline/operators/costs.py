@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import overhead_prorata, period, ratecard_prorata
+from ..functions.json_fields import amount
 from ..params import ReportParams
 from ..sources import AD_SOURCES, Catalog
 from . import rules as R
@@ -262,15 +263,15 @@ def ratecard_daily(cat: Catalog) -> DataFrame:
     return per.select("toko", "bulan", "total_bulanan", days.alias("days"))
 
 
-def shipping_value(ongkir_text: Column) -> Column:
-    return ongkir_text.cast("decimal(18,2)")
+def shipping_value(ongkir_text: Column, params: ReportParams) -> Column:
+    return amount(ongkir_text, params.strict_json)
 
 
 def shipping_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
     p = orders_with_fields(cat)
     p = p.where((F.col("created_at") >= F.lit(params.history_start)) & valid_status())
     return p.groupBy(period(F.col("created_at")).alias("periode")) \
-        .agg(F.sum(shipping_value(F.col("ongkir_text"))).alias("total_ongkir"))
+        .agg(F.sum(shipping_value(F.col("ongkir_text"), params)).alias("total_ongkir"))
 
 
 # --- cost of goods and packing per grain ----------------------------------------------------------

@@ -66,6 +66,9 @@ class ReportParams:
     budget_from: dt.date = dt.date(2025, 6, 1)
     budget_to: dt.date = dt.date(2025, 12, 30)
     codes: ShopCodes = field(default_factory=ShopCodes)
+    # a JSON number that cannot be read ends the report (the source's cast does); else it is NULL
+    # and ``functions.json_fields.rejected_fields`` lists it
+    strict_json: bool = False
 
     def bounds(self) -> tuple[dt.date, dt.date]:
         """Half-open ``[from, to + 1 day)``: keeps timestamps of the last day."""

@@ -12,10 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import period
+from ..functions.json_fields import amount, rejected_fields, with_order_fields
 from ..functions.money import cents, from_cents
 from ..operators import costs as C
 from ..operators import marketing as M
 from ..operators import rules as R
+from ..operators.ordering import with_position
 from ..operators.orders import clean_orders, cross_posted_ids
 from ..operators.predicates import in_window, valid_status
 from ..operators.revenue import (settlement_by_order, settlement_per_order,
@@ -302,11 +304,33 @@ def q_shop_day_a_month(spark, sf_dir):
 
 def q_order_desc_nulls_first(spark, sf_dir):
     """The days of the TikTok shop-day report in its order: newest first, the unknown day before
-    all, with the position as a column (one row a day, so the window is small)."""
+    all, with the position as a column (ranked month by month)."""
     cat, params = _ctx(spark, sf_dir)
     days = RP.shop_day_tiktok(cat, params).groupBy("tanggal").agg(F.count("*").alias("n_shops"))
-    at = F.row_number().over(Window.orderBy(F.col("tanggal").desc_nulls_first()))
-    return days.select("tanggal", "n_shops", at.alias("position"))
+    return with_position(days, [F.col("tanggal").desc_nulls_first()], F.trunc("tanggal", "month"),
+                         lambda c: c.desc_nulls_first())
+
+
+def q_order_asc_nulls_last(spark, sf_dir):
+    """The rows of the order-level report in its order, with the position as a column."""
+    cat, params = _ctx(spark, sf_dir)
+    return RP.order_level_positions(cat, params)
+
+
+def q_json_quality_month(spark, sf_dir):
+    """Orders per month by the state of their JSON fields: how many lack a name, a type or a
+    platform, give a shipping cost, and have a field that cannot be read."""
+    cat, _ = _ctx(spark, sf_dir)
+    bad = rejected_fields(cat["pesanan"]).groupBy(F.col("id").alias("bad_id")).agg(
+        F.count("*").alias("n_bad"))
+    o = with_order_fields(cat["pesanan"])
+    missing = lambda c: F.sum(F.when(F.col(c).isNull(), 1).otherwise(0))
+    return o.join(bad, o["id"] == bad["bad_id"], "left").groupBy(
+        period(F.col("created_at")).alias("periode")).agg(
+        F.count("*").alias("n_orders"), missing("cust_nama").alias("no_name"),
+        missing("cust_tipe").alias("no_type"), missing("platform").alias("no_platform"),
+        F.count(amount(F.col("ongkir_text"))).alias("with_shipping"),
+        F.coalesce(F.sum("n_bad"), F.lit(0)).cast("bigint").alias("unreadable"))
 
 
 def q_order_total_last(spark, sf_dir):
@@ -366,7 +390,9 @@ QUERIES: dict[str, Query] = {
     "report_shop_day_b": _report(RP.shop_day_tiktok),
     "shop_day_a_month": q_shop_day_a_month,
     "order_desc_nulls_first": q_order_desc_nulls_first,
+    "order_asc_nulls_last": q_order_asc_nulls_last,
     "order_total_last": q_order_total_last,
+    "json_quality_month": q_json_quality_month,
     "report_budget_matrix": _report(RP.budget_matrix_report),
     "report_budget_use": _report(RP.budget_use_report),
     "report_funnel": _report(RP.funnel_report),

@@ -20,6 +20,7 @@ from ..operators import costs as C
 from ..operators import marketing as M
 from ..operators import present as P
 from ..operators import rules as R
+from ..operators.ordering import with_position, write_sorted
 from ..operators.orders import (TiktokRevenueRule, clean_orders, cogs_numerator, order_fact,
                                 orders_with_fields)
 from ..operators.predicates import (channel_valid, in_months, in_window, not_name_at,
@@ -80,7 +81,7 @@ def order_level_values(cat: Catalog, params: ReportParams) -> DataFrame:
         omni.alias("omni_num"), cogs_numerator().alias("hpp_num"),
         F.when(F.col("total_qty").isNotNull(),   # no SKU line: no packing row (NULL)
                R.tier_cost(F.col("total_qty"), R.PACKING_TIERS_ORDER_LEVEL)).alias("packing"),
-        C.shipping_value(F.col("ongkir_text")).alias("ongkir"))
+        C.shipping_value(F.col("ongkir_text"), params).alias("ongkir"))
 
 
 def order_level_numeric(cat: Catalog, params: ReportParams) -> DataFrame:
@@ -92,6 +93,27 @@ def order_level_numeric(cat: Catalog, params: ReportParams) -> DataFrame:
                     F.col("ongkir").cast("double").alias("ongkir"))
 
 
+#: order ids that share a range where positions are counted
+POSITION_RANGE = 1 << 16
+
+
+def order_level_positions(cat: Catalog, params: ReportParams) -> DataFrame:
+    """``id, tanggal, position`` of the order-level rows in the report's order.
+
+    Positions follow from the surviving orders alone (the report adds one row to each), so
+    nothing but two numbers of an order is counted and ranked.
+    """
+    pb = clean_orders(cat, params, "order_level").select("id", "tanggal")
+    return with_position(pb, [F.col("id").asc_nulls_last(), F.col("tanggal").asc_nulls_last()],
+                         F.floor(F.col("id") / POSITION_RANGE), lambda c: c.asc_nulls_last())
+
+
+def write_order_level(cat: Catalog, params: ReportParams, path: str) -> None:
+    """The order-level report as sorted files (``operators.ordering.read_sorted`` numbers them)."""
+    write_sorted(order_level_numeric(cat, params), path,
+                 [F.col("id").asc_nulls_last(), F.col("tanggal").asc_nulls_last()])
+
+
 def _rupiah_ratio(num: Column, den: int = 1) -> Column:
     return F.translate(F.format_number(ratio_round(num, den, 0), 0), ",", ".")
 
@@ -189,7 +211,7 @@ def monthly_order_measures(cat: Catalog, params: ReportParams) -> DataFrame:
                  & ~F.col("platform").isin(*R.MANUAL_PLATFORMS)
                  & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE, at_riva))
     o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id", "harga",
-                 F.col("cust_tipe").alias("tipe"), C.shipping_value(F.col("ongkir_text")).alias("ongkir"),
+                 F.col("cust_tipe").alias("tipe"), C.shipping_value(F.col("ongkir_text"), params).alias("ongkir"),
                  cogs_ok.alias("cogs_ok"), pack_ok.alias("pack_ok"), manual_ok.alias("manual_ok"))
     f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED,
                    TiktokRevenueRule(settlement_distinct=True, keep_total_amount=True),
