@@ -142,13 +142,11 @@ def dedup_priority(marketplace: Column, harga: Column) -> Column:
             .when((marketplace == R.MANUAL) & (harga > 0), 2).otherwise(3))
 
 
-def clean_orders(cat: Catalog, params: ReportParams, variant: str = "order_level") -> DataFrame:
-    """Valid orders of the window, one survivor per marketplace order id.
+def dedup_candidates(cat: Catalog, params: ReportParams, variant: str = "order_level") -> DataFrame:
+    """Valid orders of the window, all copies.
 
     ``variant='order_level'``: window ``[from, to]``, only MANUAL gets the manual extras.
     ``variant='monthly'``: everything since ``history_start``, KIRIMINAJA treated like MANUAL.
-    The survivor is the copy with the best priority; ties go to the lowest order id (the source
-    leaves them arbitrary).  The NULL marketplace id is one group with one survivor.
     """
     codes = params.codes
     p = orders_with_fields(cat)
@@ -165,9 +163,18 @@ def clean_orders(cat: Catalog, params: ReportParams, variant: str = "order_level
             & channel_valid(F.col("marketplace"), manual,
                             not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS, at_warehouse))
             & ~F.col("toko_id").isin(*codes.test_shops))
-    rows = (p.where(keep)
+    return (p.where(keep)
             .join(g, p["gudang_id"] == g["g_id"])
             .join(t, p["toko_id"] == t["t_id"]))
+
+
+def clean_orders(cat: Catalog, params: ReportParams, variant: str = "order_level") -> DataFrame:
+    """The candidates (``dedup_candidates``), one survivor per marketplace order id.
+
+    The survivor is the copy with the best priority; ties go to the lowest order id (the source
+    leaves them arbitrary).  The NULL marketplace id is one group with one survivor.
+    """
+    rows = dedup_candidates(cat, params, variant)
     w = Window.partitionBy("id_marketplace").orderBy(
         dedup_priority(F.col("marketplace"), F.col("harga")), F.col("id"))
     return (rows.withColumn("urutan", F.row_number().over(w))

@@ -18,12 +18,14 @@ from ..operators import costs as C
 from ..operators import marketing as M
 from ..operators import rules as R
 from ..operators.ordering import with_position
-from ..operators.orders import clean_orders, cross_posted_ids
+from ..operators.orders import (clean_orders, cross_posted_ids, dedup_candidates,
+                                dedup_priority)
 from ..operators.predicates import in_window, valid_status
 from ..operators.revenue import (settlement_by_order, settlement_per_order,
                                   tiktok_order_revenue)
 from ..params import ReportParams
 from ..sources import Catalog
+from ..streaming import maintained as MT
 from . import reports as RP
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +120,32 @@ def _settlement(distinct):
     return q
 
 
+def q_settlement_sum_maintained(spark, sf_dir):
+    """``SUM(DISTINCT)`` of the settlements from signed batches: the shops' rows come in two
+    batches, the second with all rows of the first once more, which a third takes out again."""
+    cat, _ = _ctx(spark, sf_dir)
+    paid = cat["tiktok_pencairan"].select("order_id", "total_settlement_amount", "toko_id")
+    first = F.coalesce(F.col("toko_id") < 12, F.lit(False))
+    one, two = paid.where(first).drop("toko_id"), paid.where(~first).drop("toko_id")
+    batches = MT.signed(one).unionByName(MT.signed(two.unionByName(one))).unionByName(MT.signed(None, one))
+    return MT.distinct_sums(MT.merged(batches), ["order_id"], "total_settlement_amount", "s").select(
+        "order_id", F.col("s").cast("double").alias("total_settlement_amount"))
+
+
+def q_clean_orders_maintained(spark, sf_dir):
+    """The de-duplicated orders of the monthly report from signed batches of candidates: first
+    every copy as if it had no price yet, then an update to what it is."""
+    cat, params = _ctx(spark, sf_dir)
+    now = dedup_candidates(cat, params, "monthly").select(
+        "id", F.col("created_at").cast("date").alias("tanggal"), F.col("marketplace").alias("mp"),
+        "id_marketplace", F.col("toko_id").cast("bigint").alias("toko_id"),
+        dedup_priority(F.col("marketplace"), F.col("harga")).alias("turn"))
+    early = now.withColumn("turn", F.lit(3))
+    state = MT.merged(MT.signed(early).unionByName(MT.signed(now, early)))
+    kept = MT.survivors(state, "id_marketplace", [F.col("turn"), F.col("id")])
+    return kept.select("id", "tanggal", "mp", "id_marketplace", "toko_id")
+
+
 def q_manual_revenue_endorse_zero(spark, sf_dir):
     cat, params = _ctx(spark, sf_dir)
     m = RP.manual_revenue_by_period(cat, params)
@@ -361,6 +389,8 @@ QUERIES: dict[str, Query] = {
     "tiktok_revenue_month": q_tiktok_revenue_month,
     "settlement_sum_distinct": _settlement(True),
     "settlement_sum": _settlement(False),
+    "settlement_sum_maintained": q_settlement_sum_maintained,
+    "clean_orders_maintained": q_clean_orders_maintained,
     "manual_revenue_endorse_zero": q_manual_revenue_endorse_zero,
     "cogs_order": q_cogs_order,
     "cogs_shop_day": q_cogs_shop_day,
