@@ -53,6 +53,8 @@ END = np.uint64(0x9D5C3A1E7F20B64D)
 #: tokens of a chunk (at least one document), and of the text that a range of pairs stands for
 CHUNK = 1 << 21
 RANGE = 1 << 21
+#: bits of a next word's hash that travel: they tell the at most HEAD words of one share apart
+SHORT = np.int64((1 << 48) - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -245,8 +247,9 @@ def _send_pairs(ranges: int, head: int):
             parts = []
             for at, p in s.dealt(h, w):
                 states, runs = np.unique(h[p], return_counts=True)
-                parts.append((at, pack(s.words[states], runs, s.split(states), s.words[w[p]], n[p],
-                                       s.counts[w[p]])))
+                nexts, place = np.unique(w[p], return_inverse=True)
+                parts.append((at, pack(s.words[states], runs, s.split(states),
+                                       s.words[nexts] & SHORT, s.counts[nexts], place, n[p])))
             yield _sent(s.chunk, parts)
     return run
 
@@ -258,7 +261,8 @@ def _count_pairs(table: pa.Table) -> pa.Table:
     h = np.repeat(back, np.concatenate([s[1] for s in sent]))
     split = np.zeros(len(states), dtype=bool)
     split[back] = np.concatenate([s[2] for s in sent]).astype(bool)
-    w, n, count = (np.concatenate([s[i] for s in sent]) for i in (3, 4, 5))
+    w, count = (np.concatenate([s[i][s[5]] for s in sent]) for i in (3, 4))
+    n = np.concatenate([s[6] for s in sent])
     order = np.lexsort((w, h))
     new = np.ones(len(h), dtype=bool)
     new[1:] = (np.diff(h[order]) != 0) | (np.diff(w[order]) != 0)
@@ -272,7 +276,7 @@ def _count_pairs(table: pa.Table) -> pa.Table:
     np.add.at(mass, h[seen], count[seen] + 1)
     rows = []
     of_state = np.split(back, np.cumsum([len(s[0]) for s in sent])[:-1])
-    for c, x, own in zip(chunks, np.split(of_pair, np.cumsum([len(s[3]) for s in sent])[:-1]), of_state):
+    for c, x, own in zip(chunks, np.split(of_pair, np.cumsum([len(s[6]) for s in sent])[:-1]), of_state):
         rows.append((0, c, pack(x, arcs[own], mass[own]), None, None))
         rows += [(2, c, None, int(states[j]), None) for j in own[split[own]]]
     rows += [(1, int(states[j]), None, int(arcs[j]), int(mass[j])) for j in np.flatnonzero(split)]
