@@ -11,9 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a folder is made only where none is set (tests)."""
+    """``spark.checkpoint.dir`` of the session.  Where none is set, a folder is made for a session
+    that is one process (tests); hosts of a cluster would each see a folder of their own."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all hosts share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

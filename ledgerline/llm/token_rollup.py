@@ -105,7 +105,9 @@ class TokenRollup:
 
         ``inserts`` and ``revisions`` are documents, ``deletes`` has their ids.  A revision
         replaces all of a document's entries, its source, language and tokenizer versions too;
-        one of an unknown document inserts it.  A delete of an unknown document does nothing.  An
+        one of an unknown document inserts it, and one of a document that the same batch deletes
+        stays.  Two revisions of one document in a batch have no order: they are refused
+        (ValueError) before anything is written.  A delete of an unknown document does nothing.  An
         insert counts as it is, also for an id on record (repeated rows count each).  Ids that
         are null can be inserted, not deleted or revised.  Null source or language form groups
         of their own.  Empty tables, or none at all, commit an empty batch.
@@ -113,6 +115,11 @@ class TokenRollup:
         if batch in self.committed():
             return False
         id_col = columns.get("id_col", "doc_id")
+        if revisions is not None:
+            twice = revisions.where(F.col(id_col).isNotNull()).groupBy(id_col).count() \
+                .where("count > 1").select(id_col).head(1)
+            if twice:
+                raise ValueError(f"document {twice[0][0]} is revised more than once in batch {batch}")
         parts = [counted(d, self.versions, **columns) for d in (inserts, revisions)
                  if d is not None]
         changed = [d.select(F.col(id_col).cast("bigint").alias("_gone"))

@@ -43,10 +43,10 @@ RESULT = "query_id bigint, vec_id bigint, score bigint"
 
 def integer_vectors(vectors: DataFrame, *, id_col: str, vector_col: str,
                     scale: int = 256) -> DataFrame:
-    """vec_id, dim, floor(scale * x) as int64 bytes, squared length.
+    """vec_id, dim, floor(scale * x) as bytes of float64 (whole numbers of any size), squared
+    length.
 
-    Rows with a null id, a null vector, a null or non-finite component take no part; neither do
-    components that a 32-bit integer cannot hold after scaling (a ValueError tells).
+    Rows with a null id, a null vector, a null or non-finite component take no part.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,12 +58,9 @@ def integer_vectors(vectors: DataFrame, *, id_col: str, vector_col: str,
                 if not np.isfinite(x).all():
                     continue
                 x = np.floor(scale * x)
-                if len(x) and np.abs(x).max() >= 1 << 31:
-                    raise ValueError(f"vector {i}: a component is too large to be scored exactly")
-                n = x.astype(np.int64)
                 ids.append(i)
-                dims.append(len(n))
-                raws.append(n.tobytes())
+                dims.append(len(x))
+                raws.append(x.tobytes())
                 norms.append(float(x @ x))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(dims, pa.int32()),
@@ -77,26 +74,25 @@ def integer_vectors(vectors: DataFrame, *, id_col: str, vector_col: str,
 
 def _matrix(raw: pa.ChunkedArray, dim: int) -> np.ndarray:
     data = b"".join(raw.to_pylist())
-    return np.frombuffer(data, np.int64).reshape(len(raw), dim)
+    return np.frombuffer(data, np.float64).reshape(len(raw), dim)
 
 
 def _products(q: np.ndarray, p: np.ndarray) -> np.ndarray:
-    """Exact integer products; by floating point only while every sum stays exact."""
+    """Exact products of whole numbers, by the narrowest arithmetic in which every sum is exact;
+    Python's integers beyond 64 bits."""
     most = float(np.abs(q).max(initial=0)) * float(np.abs(p).max(initial=0)) * max(q.shape[-1], 1)
     if most < 1 << 53:
         return (q.astype(np.float64) @ p.astype(np.float64).T).astype(np.int64)
-    if most < 1 << 62:
-        return q @ p.T
-    exact = q.astype(object) @ p.astype(object).T
-    if exact.size and max(abs(int(exact.max())), abs(int(exact.min()))) >= 1 << 63:
-        raise ValueError("a score exceeds 64 bits")
-    return exact.astype(np.int64)
+    if most < 1 << 62 and max(np.abs(q).max(), np.abs(p).max()) < 1 << 62:
+        return q.astype(np.int64) @ p.astype(np.int64).T
+    whole = np.frompyfunc(int, 1, 1)
+    return whole(q).astype(object) @ whole(p).astype(object).T
 
 
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Places of the k best, ties to the smaller id; ids ascend."""
-    if len(scores) <= k:
-        return np.argsort(-scores, kind="stable")
+    if len(scores) <= k or scores.dtype == object:
+        return np.argsort(-scores, kind="stable")[:k]
     least = np.partition(scores, len(scores) - k)[len(scores) - k]
     over = np.flatnonzero(scores > least)
     tied = np.flatnonzero(scores == least)[:k - len(over)]
@@ -125,6 +121,8 @@ def search_block(query_ids, queries, bounds, ids, vectors, k) -> tuple[list, lis
             ok &= scores >= bounds[j]
         scores, those = scores[ok], those[ok]
         for x in _best(scores, those, k):
+            if abs(int(scores[x])) >= 1 << 63:
+                raise ValueError(f"query {query_ids[j]}: a score is too large for 64 bits")
             out[0].append(int(query_ids[j]))
             out[1].append(int(those[x]))
             out[2].append(int(scores[x]))
@@ -182,7 +180,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, *, id_col: str = "ve
 
     ``is_query`` is a condition on ``vec_id``.  Ties go to the smaller id.  Vectors that are null
     or hold null or non-finite components take no part, as query or candidate; vectors are
-    compared with those of the same dimension only.  Rows that share the query's id are not its
+    compared with those of the same dimension only.  A score beyond 64 bits among the results
+    ends the job.  Rows that share the query's id are not its
     candidates; a query id that repeats is searched once (its smallest vector); repeated
     candidate rows count each.  Other columns are not read.  An empty table gives no rows.
     """

@@ -60,3 +60,17 @@ def test_odd_rows(spark, odd, nothing):
     left = as_dict(r.totals())
     assert {k: v for k, v in left.items() if k[2] == "words-1"} == \
         {(None, None, "words-1"): (1, 9)}                       # the null id stays
+
+
+def test_repeated_and_deleted_revisions(spark):
+    import pytest
+    make = lambda *rows: spark.createDataFrame(
+        list(rows), "doc_id bigint, text string, lang string, source string")
+    r = T.TokenRollup(spark, new_folder(spark, "rollup"), ("words-1",))
+    r.commit("1", inserts=make((1, "a b", "en", "x"), (2, "a", "en", "x")))
+    one = (1, "a b c d", "en", "x")
+    with pytest.raises(ValueError, match="document 1 is revised more than once"):
+        r.commit("2", revisions=make(one, one))
+    assert r.committed() == ["1"] and as_dict(r.totals()) == {("x", "en", "words-1"): (2, 3)}
+    r.commit("2", deletes=make(one), revisions=make(one, (None, "q", "en", "x")))
+    assert as_dict(r.totals()) == {("x", "en", "words-1"): (3, 6)}

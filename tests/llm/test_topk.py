@@ -76,3 +76,10 @@ def test_repeated_rows(spark):
     df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
     got = sorted(result(T.top_k(df, F.col("vec_id") == 0)))
     assert got == [(0, 1, 1, 131072), (0, 2, 1, 131072), (0, 3, 2, 98304)]
+
+
+def test_components_beyond_32_bits_stay(spark):
+    """One very long vector is scored like any other; the other queries keep their results."""
+    rows = [(0, [1.0, 2.0]), (50, [3.0, -1.0]), (1, [2e7, 1.0]), (2, [0.5, 0.5]), (3, [-3e7, 9e6])]
+    df = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    assert result(T.top_k(df, F.col("vec_id") % 50 == 0)) == brute(rows, 5, 50)
