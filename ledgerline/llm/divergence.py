@@ -219,9 +219,11 @@ def audit(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     of = langs.select("lang", "lang_tokens", "terms", F.explode("groups").alias("g")) \
         .select("lang", "lang_tokens", "terms", "g.source", "g.tokens")
 
-    # equal vectors are one entry; entries in vector order make the segments
+    # equal vectors are one entry; entries in vector order make the segments.  Ranges go by the
+    # first count and a hash, so that the sample which cuts them holds no whole vectors
     entries = kept.groupBy("lang", "counts").agg(F.count("*").alias("times")) \
-        .repartitionByRange("lang", "counts").sortWithinPartitions("lang", "counts") \
+        .repartitionByRange("lang", F.col("counts")[0], F.xxhash64("counts")) \
+        .sortWithinPartitions("lang", "counts") \
         .select("lang", "counts", "times")
     segments = written(spark, entries.mapInArrow(_encode(SEGMENT), RUNS), "audit-runs")
     sums = segments.join(langs.select("lang", "groups", "terms"), "lang") \
