@@ -52,7 +52,7 @@ DISCOUNT = 0.5
 END = np.uint64(0x9D5C3A1E7F20B64D)
 #: tokens of a chunk (at least one document), and of the text that a range of pairs stands for
 CHUNK = 1 << 21
-RANGE = 1 << 21
+RANGE = 1 << 20
 #: bits of a next word's hash that travel: they tell the at most HEAD words of one share apart
 SHORT = np.int64((1 << 48) - 1)
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
