@@ -371,6 +371,16 @@ def q_order_total_last(spark, sf_dir):
                     .alias("PRODUK"), at.alias("position"))
 
 
+def q_order_category_total_last(spark, sf_dir):
+    """The spend categories of the budget-use report in its order, the total row pinned to the
+    end (a fixed list of categories, so the window is small)."""
+    cat, params = _ctx(spark, sf_dir)
+    b = M.budget_use(cat, params)
+    at = F.row_number().over(Window.orderBy(F.when(F.col("is_total"), 1).otherwise(0),
+                                            F.col("pengeluaran").asc_nulls_last()))
+    return b.select("pengeluaran", at.alias("position"))
+
+
 def _report(fn):
     def q(spark, sf_dir):
         cat, params = _ctx(spark, sf_dir)
@@ -422,6 +432,7 @@ QUERIES: dict[str, Query] = {
     "order_desc_nulls_first": q_order_desc_nulls_first,
     "order_asc_nulls_last": q_order_asc_nulls_last,
     "order_total_last": q_order_total_last,
+    "order_category_total_last": q_order_category_total_last,
     "json_quality_month": q_json_quality_month,
     "report_budget_matrix": _report(RP.budget_matrix_report),
     "report_budget_use": _report(RP.budget_use_report),
