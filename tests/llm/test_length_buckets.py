@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 from itertools import combinations
 
@@ -38,11 +39,57 @@ def test_batches(spark, documents, texts, sf_dir):
     assert len({(r["bucket"], r["cell"], r["batch"], r["place"]) for r in rows}) == len(rows)
 
 
-def test_large_lengths_are_binned(spark):
-    df = spark.range(1, 200000, 37).select(F.col("id").alias("n"))
-    rows = df.select("n", B.binned(F.col("n")).alias("b")).collect()
-    for r in rows:
-        assert r["b"] == r["n"] if r["n"] <= B.EXACT else r["n"] <= r["b"] <= r["n"] * 1.001 + 1
+def plain_boundaries(histogram, n_buckets):
+    """Every cut of every layer tried; the earliest of equally good ones."""
+    lengths = sorted(histogram)
+    n = len(lengths)
+    cost = lambda i, j: sum((lengths[j - 1] - x) * histogram[x] for x in lengths[i:j])
+    best, back = [0] + [cost(0, j) for j in range(1, n + 1)], []
+    for used in range(2, min(n_buckets, n) + 1):
+        found = {j: min((best[i] + cost(i, j), i) for i in range(used - 1, j))
+                 for j in range(used, n + 1)}
+        best = [found[j][0] if j in found else best[j] for j in range(n + 1)]
+        back.append({j: i for j, (_, i) in found.items()})
+    ends, j = [], n
+    for cut in reversed(back):
+        ends.append(j)
+        j = cut[j]
+    return [lengths[e - 1] for e in reversed([*ends, j])]
+
+
+def test_boundaries_equal_the_plain_programme_with_ties():
+    rng = random.Random(3)
+    for _ in range(150):
+        top, most = rng.choice(((12, 2), (40, 5), (100_000, 50), (10 ** 12, 10 ** 9)))
+        histogram = {rng.randrange(top): rng.randint(1, most) for _ in range(rng.randint(1, 30))}
+        for k in (1, 2, 5, 8):
+            assert B.optimal_boundaries(histogram, k) == plain_boundaries(histogram, k)
+
+
+def test_boundaries_of_many_long_lengths():
+    ends = B.optimal_boundaries({x: 1 for x in range(1, 100_001)}, 8)
+    assert ends == [12500 * i for i in range(1, 9)]
+
+
+def test_long_lengths_keep_their_own_bins(spark):
+    df = spark.createDataFrame([(i, 3_000_001 + i // 3) for i in range(24)],
+                               "doc_id bigint, n_tokens bigint")
+    assert {r["padding"] for r in B.pack(df, n_buckets=8).collect()} == {0}
+
+
+def test_hot_ids_are_split_over_cells(spark, monkeypatch):
+    monkeypatch.setattr(B, "CELL_ROWS", 50)
+    monkeypatch.setattr(B, "CELL_BATCHES", 2)
+    ids = [None] * 1000 + [7] * 1000 + list(range(100, 1100))
+    df = spark.createDataFrame([(i, 4000) for i in ids], "doc_id bigint, n_tokens bigint") \
+        .repartition(8)
+    rows = B.pack(df, n_buckets=2, budget=16000).collect()
+    assert Counter(r["doc_id"] for r in rows) == Counter(ids)
+    cells = Counter((r["bucket"], r["cell"]) for r in rows)
+    assert max(cells.values()) <= 2 * 50 and len(cells) >= 60
+    batches = Counter((r["bucket"], r["cell"], r["batch"]) for r in rows)
+    assert max(batches.values()) == 4
+    assert len({(r["bucket"], r["cell"], r["batch"], r["place"]) for r in rows}) == len(rows)
 
 
 def test_cells_bound_a_bucket(spark, monkeypatch):
