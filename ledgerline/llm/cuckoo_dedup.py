@@ -22,10 +22,10 @@ from collections.abc import Iterator
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .storage import new_folder, written
+from .storage import as_named, by_place, new_folder, written
 from .texts import SPACE
 
 SLOTS = 4
@@ -315,36 +315,42 @@ def dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; one of rows that repeat."""
+    """The rows of ``docs`` that stay, with all their columns; one of rows that repeat.
+
+    Other columns, whatever they are called, pass through.
+    """
     spark = docs.sparkSession
-    found = written(spark, dedup(docs, id_col=id_col, text_col=text_col), "dedup")
-    gone = found.where("not kept").select(F.col(id_col).alias("_gone"),
+    found = written(spark, dedup(docs, id_col=id_col, text_col=text_col), "dedup").withColumnRenamed(
+        id_col, "doc_id")
+    at = [f"_{docs.columns.index(c)}" for c in (id_col, text_col)]
+    return as_named(_kept_rows(by_place(docs), found, *at), docs)
+
+
+def _kept_rows(rows: DataFrame, found: DataFrame, id_at: str, text_at: str) -> DataFrame:
+    """The rows (by position) that ``found`` (``dedup``) keeps."""
+    gone = found.where("not kept").select(F.col("doc_id").alias("_gone"),
                                           F.col("text_sha256").alias("_sha")).distinct()
-    digest = F.sha2(F.translate(F.coalesce(text_col, F.lit("")), SPACE.decode(), ""), 256)
-    repeats = found.where("kept and keep_rows > 1").select(F.col(id_col).alias("_again")).distinct()
-    if gone.join(found.where("kept"), F.col("_gone").eqNullSafe(F.col(id_col)),
+    digest = F.sha2(F.translate(F.coalesce(text_at, F.lit("")), SPACE.decode(), ""), 256)
+    repeats = found.where("kept and keep_rows > 1").select(F.col("doc_id").alias("_again")).distinct()
+    if gone.join(found.where("kept"), F.col("_gone").eqNullSafe(F.col("doc_id")),
                  "left_semi").isEmpty():
         # no id is both kept and dropped: ids alone decide
-        left = docs.join(gone.select("_gone").distinct(),
-                         F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+        left = rows.join(gone.select("_gone").distinct(),
+                         F.col(id_at).eqNullSafe(F.col("_gone")), "left_anti")
     else:
-        left = docs.join(found.where("kept").select(
-            F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).distinct(),
-            F.col(id_col).eqNullSafe(F.col("_id")) & (digest == F.col("_sha")), "left_semi")
+        left = rows.join(found.where("kept").select(
+            F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_sha")).distinct(),
+            F.col(id_at).eqNullSafe(F.col("_id")) & (digest == F.col("_sha")), "left_semi")
     if repeats.isEmpty():
         return left
-    again = F.col(id_col).eqNullSafe(F.col("_again"))
+    again = F.col(id_at).eqNullSafe(F.col("_again"))
     once = left.join(repeats, again, "left_anti")
     some = left.join(repeats, again, "left_semi")
-    first = F.row_number().over(_window(id_col, digest, text_col))
+    first = F.row_number().over(Window.partitionBy(F.col(id_at), digest)
+                                .orderBy(F.length(text_at).desc_nulls_last()))
     return once.unionByName(some.withColumn("_n", first).where("_n = 1").drop("_n"))
 
 
-def _window(id_col, digest, text_col):
-    from pyspark.sql import Window
-    return Window.partitionBy(F.col(id_col), digest).orderBy(F.length(text_col).desc_nulls_last())
-
-
 def op9_exact_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return dedup(docs).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .length_buckets import draw, word_count
-from .storage import written
+from .storage import as_named, by_place, written
 
 DIMENSIONS = ("source", "lang", "topic")
 #: largest relative error of a marginal at which raking ends
@@ -145,15 +145,16 @@ def calibrated_rate(cells: DataFrame, budget: float) -> float:
     return high
 
 
-def _rated(docs: DataFrame, source_col: str, lang_col: str, topic: Column | None,
-           tokens: Column | None, targets: dict[str, DataFrame] | None,
+def _rated(docs: DataFrame, id_col: str, source_col: str, lang_col: str,
+           topic: Column | None, tokens: Column | None, targets: dict[str, DataFrame] | None,
            exponents: dict[str, float] | None, budget: float) -> DataFrame:
-    """``docs`` with _source, _lang, _topic, _tokens, _rate and _chance."""
+    """``docs`` by position, with _id, _source, _lang, _topic, _tokens, _rate and _chance."""
     spark = docs.sparkSession
-    named = docs.withColumns({
-        "_source": F.col(source_col).cast("string"), "_lang": F.col(lang_col).cast("string"),
-        "_topic": (topic_of(F.col("text")) if topic is None else topic).cast("string"),
-        "_tokens": (word_count(F.col("text")) if tokens is None else tokens).cast("bigint")})
+    named = by_place(
+        docs, F.col(id_col).alias("_id"), F.col(source_col).cast("string").alias("_source"),
+        F.col(lang_col).cast("string").alias("_lang"),
+        (topic_of(F.col("text")) if topic is None else topic).cast("string").alias("_topic"),
+        (word_count(F.col("text")) if tokens is None else tokens).cast("bigint").alias("_tokens"))
     own = [F.col(f"_{d}") for d in DIMENSIONS]
     cells = written(spark, named.groupBy(*[c.alias(d) for c, d in zip(own, DIMENSIONS)])
                     .agg(F.sum("_tokens").alias("tokens")), "cells").where("tokens > 0")
@@ -170,8 +171,8 @@ def _rated(docs: DataFrame, source_col: str, lang_col: str, topic: Column | None
         .withColumn("_chance", F.least(F.lit(1.0), F.col("_rate") * F.lit(k)))
 
 
-def _drawn(id_col: str, seed: str) -> Column:
-    mark = F.concat(F.lit(seed + ":"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")))
+def _drawn(seed: str) -> Column:
+    mark = F.concat(F.lit(seed + ":"), F.coalesce(F.col("_id").cast("string"), F.lit("null")))
     return draw(mark) / F.lit(float(1 << 32)) < F.col("_chance")
 
 
@@ -187,26 +188,26 @@ def mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
     sampled when its draw, a hash of id and seed, lies below.  Null source, language or topic
     are values of their own; a null or empty text has no tokens, takes its cell's probability,
     and probability 0 where its cell has no tokens at all.  Rows that repeat an id share its
-    draw.  Columns that are not named are not read; columns whose names start with ``_`` are the
-    operator's own.  An empty table gives no rows.
+    draw.  Columns that are not named, whatever they are called, are not read.  An empty table
+    gives no rows.
     """
     used = list(dict.fromkeys([id_col, source_col, lang_col, "text"]))
     narrow = docs.select(*used) if topic is None and tokens is None else docs
-    found = _rated(narrow, source_col, lang_col, topic, tokens, targets, exponents, budget)
+    found = _rated(narrow, id_col, source_col, lang_col, topic, tokens, targets, exponents, budget)
     return found.select(
-        F.col(id_col), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
+        F.col("_id").alias(id_col), F.col("_source").alias("source"), F.col("_lang").alias("lang"),
         F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
         F.col("_rate").alias("rate"), F.col("_chance").alias("probability"),
-        _drawn(id_col, seed).alias("sampled"))
+        _drawn(seed).alias("sampled"))
 
 
 def sampled(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source",
             lang_col: str = "lang", seed: str = "mix", budget: float = 0.5,
             **settings) -> DataFrame:
-    """The rows of ``docs`` that ``mix`` samples, with all their columns."""
-    found = _rated(docs, source_col, lang_col, settings.get("topic"), settings.get("tokens"),
-                   settings.get("targets"), settings.get("exponents"), budget)
-    return found.where(_drawn(id_col, seed)).select(*docs.columns)
+    """The rows of ``docs`` that ``mix`` samples, with all their columns, whatever their names."""
+    found = _rated(docs, id_col, source_col, lang_col, settings.get("topic"),
+                   settings.get("tokens"), settings.get("targets"), settings.get("exponents"), budget)
+    return as_named(found.where(_drawn(seed)), docs)
 
 
 def op4_mixing(spark, sf_dir: str) -> DataFrame:

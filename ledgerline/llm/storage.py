@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -40,6 +40,21 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def by_place(docs: DataFrame, *columns: Column) -> DataFrame:
+    """``docs`` with its columns named by position (_0, _1, ...), and ``columns`` after them.
+
+    ``columns`` are (aliased) expressions over the names of ``docs``.  An operator that passes
+    whole rows on works on these names, so no name of the caller's can meet one of its own.
+    """
+    own = docs.select(*columns).columns
+    return docs.select("*", *columns).toDF(*[f"_{i}" for i in range(len(docs.columns))], *own)
+
+
+def as_named(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The rows of ``found`` (from ``by_place``) with the columns of ``docs`` alone."""
+    return found.select(*[f"_{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
+
+
 _SHIPPED: set[str] = set()
 
 

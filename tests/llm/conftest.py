@@ -52,7 +52,9 @@ def odd(spark):
     ]
     df = spark.createDataFrame(rows, DOCS)
     clash = ["n", "cls", "cid", "blob", "spans", "digest", "score", "bucket", "batch", "rid",
-             "label", "kept", "word", "i", "t", "start", "topic", "share", "weight"]
+             "label", "kept", "word", "i", "t", "start", "topic", "share", "weight", "_gone", "_sha",
+             "_again", "_id", "_doc_id", "_text", "_n", "_row", "_of", "_source", "_of_source",
+             "_topic", "_tokens", "_r", "_rate", "_chance", "_lang", "_0", "_1", "_7"]
     from pyspark.sql import functions as F
     return df.select("*", *[F.lit("x").alias(c) for c in clash])
 
