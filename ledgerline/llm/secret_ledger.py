@@ -92,24 +92,66 @@ def set_spans(text: Column, version: str, rule_sets: dict) -> Column:
 LEDGER = f"blob binary, rule_version string, spans {SPANS}, batch string"
 
 
-def _ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
-    """The committed batches (those whose write ended); None if there is none."""
+def _committed(spark: SparkSession, folder: str) -> list[str]:
+    """The batches under ``folder`` whose write ended."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(ledger)
+    path = jvm.org.apache.hadoop.fs.Path(folder)
     fs = path.getFileSystem(conf)
     names = [s.getPath().getName() for s in fs.listStatus(path)] if fs.exists(path) else []
-    done = [f"{ledger}/{n}" for n in sorted(names) if n.startswith("batch=") and
-            fs.exists(jvm.org.apache.hadoop.fs.Path(f"{ledger}/{n}/_SUCCESS"))]
-    return spark.read.schema(LEDGER).option("basePath", ledger).parquet(*done) if done else None
+    return [n.removeprefix("batch=") for n in sorted(names) if n.startswith("batch=") and
+            fs.exists(jvm.org.apache.hadoop.fs.Path(f"{folder}/{n}/_SUCCESS"))]
+
+
+def _read(spark: SparkSession, folder: str, batches: list[str], schema=None) -> DataFrame | None:
+    """The rows of these batches with their ``batch`` as text; None if there is none."""
+    if not batches:
+        return None
+    at = [f"{folder}/batch={b}" for b in batches]
+    schema = schema or spark.read.parquet(at[0]).schema.add("batch", "string")
+    return spark.read.schema(schema).option("basePath", folder).parquet(*at)
+
+
+def _ledger(spark: SparkSession, ledger: str) -> DataFrame | None:
+    return _read(spark, ledger, _committed(spark, ledger), LEDGER)
+
+
+def _pending(chosen: DataFrame, ledger: str, batch: str, rule_sets: dict) -> DataFrame:
+    """``chosen`` (blob and more) with ``todo``: the rule versions that blobs were not scanned with."""
+    every = F.array(*[F.lit(v) for v in rule_sets])
+    known = _ledger(chosen.sparkSession, ledger)
+    if known is None:
+        return chosen.withColumn("todo", every)
+    seen = known.where(F.col("batch") != batch).groupBy("blob") \
+        .agg(F.collect_set("rule_version").alias("done"))
+    return chosen.join(seen, "blob", "left").withColumn(
+        "todo", F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))) \
+        .drop("done").where(F.size("todo") > 0)
+
+
+def _add(work: DataFrame, ledger: str, batch: str, rule_sets: dict) -> DataFrame:
+    """Scan ``work`` (blob, _text, todo) and commit it as ``batch``; the ledger of these rules."""
+    found = F.array(*[F.struct(
+        F.lit(v).alias("rule_version"),
+        F.when(F.array_contains("todo", v), set_spans(F.col("_text"), v, rule_sets)).alias("spans"))
+        for v in rule_sets])
+    rows = work.select("blob", F.explode(found).alias("f")).select(
+        "blob", "f.rule_version", "f.spans").where("spans is not null")
+    # a path that repeats with the same text was scanned as often; one row of each pair stays
+    rows.dropDuplicates(["blob", "rule_version"]).write.mode("overwrite") \
+        .parquet(f"{ledger}/batch={batch}")
+    return _ledger(work.sparkSession, ledger).where(F.col("rule_version").isin(*rule_sets)) \
+        .select("blob", "rule_version", "spans")
 
 
 def scan(docs: DataFrame, ledger: str, batch: str, *, id_col: str = "doc_id",
-         text_col: str = "text", rule_sets: dict | None = None) -> DataFrame:
+         text_col: str = "text", rule_sets: dict | None = None,
+         keep_texts: bool = False) -> DataFrame:
     """Bring the ledger up to date with ``docs`` and return (blob, rule_version, spans) of it.
 
     ``ledger`` is a folder; this run writes ``batch=<batch>`` into it and replaces what an
     earlier attempt of the same batch left there, so it can be run again.  The paths (id, blob)
-    of this run go to ``ledger-paths`` beside it.
+    of this run go to ``ledger-paths`` beside it.  With ``keep_texts`` (from the first batch on)
+    the text of each new blob goes to ``ledger-blobs`` once, for ``rescan``.
     """
     spark = docs.sparkSession
     rule_sets = rule_sets or RULE_SETS
@@ -122,35 +164,45 @@ def scan(docs: DataFrame, ledger: str, batch: str, *, id_col: str = "doc_id",
     # one path for each blob; a null id is a path like any other
     chosen = paths.groupBy("blob").agg(F.min(F.struct(F.col("_id").isNull().alias("z"), "_id"))
                                        .alias("m")).select("blob", F.col("m._id").alias("_at"))
-    every = F.array(*[F.lit(v) for v in rule_sets])
-    known = _ledger(spark, ledger)
-    if known is None:
-        pending = chosen.withColumn("todo", every)
-    else:
-        known = known.where(F.col("batch") != batch)
-        seen = known.groupBy("blob").agg(F.collect_set("rule_version").alias("done"))
-        pending = chosen.join(seen, "blob", "left").select(
-            "blob", "_at", F.array_except(every, F.coalesce("done", F.array().cast("array<string>")))
-            .alias("todo")).where(F.size("todo") > 0)
-    work = source.join(pending, F.col("_id").eqNullSafe(F.col("_at"))
+    work = source.join(_pending(chosen, ledger, batch, rule_sets),
+                       F.col("_id").eqNullSafe(F.col("_at"))
                        & (blob_of(F.col("_text")) == F.col("blob")))
-    text = F.col("_text")
-    found = F.array(*[F.struct(
-        F.lit(v).alias("rule_version"),
-        F.when(F.array_contains("todo", v), set_spans(text, v, rule_sets)).alias("spans"))
-        for v in rule_sets])
-    rows = work.select("blob", F.explode(found).alias("f")).select(
-        "blob", "f.rule_version", "f.spans").where("spans is not null")
-    # a path that repeats with the same text was scanned as often; one row of each pair stays
-    rows.dropDuplicates(["blob", "rule_version"]).write.mode("overwrite") \
-        .parquet(f"{ledger}/batch={batch}")
-    return _ledger(spark, ledger).where(F.col("rule_version").isin(*rule_sets)) \
-        .select("blob", "rule_version", "spans")
+    if keep_texts:
+        texts_at = f"{ledger}-blobs"
+        kept = _read(spark, texts_at, [b for b in _committed(spark, texts_at) if b != batch])
+        new = work if kept is None else work.join(kept.select("blob"), "blob", "left_anti")
+        new.select("blob", "_text").dropDuplicates(["blob"]).write.mode("overwrite") \
+            .parquet(f"{texts_at}/batch={batch}")
+    return _add(work, ledger, batch, rule_sets)
+
+
+def rescan(spark: SparkSession, ledger: str, batch: str, rule_sets: dict | None = None) -> DataFrame:
+    """Scan every kept blob with the rule versions it has not met, as one batch of the ledger.
+
+    Reaches blobs that no current document holds any more.  Returns what ``scan`` returns; a
+    ledger without kept texts is an error, as its old blobs could not be scanned.
+    """
+    rule_sets = rule_sets or RULE_SETS
+    kept = _read(spark, f"{ledger}-blobs", _committed(spark, f"{ledger}-blobs"))
+    if kept is None:
+        raise ValueError("the ledger keeps no texts: scan with keep_texts=True")
+    todo = _pending(kept.select("blob"), ledger, batch, rule_sets)
+    return _add(kept.select("blob", "_text").join(todo, "blob"), ledger, batch, rule_sets)
+
+
+def _on_paths(paths: DataFrame, known: DataFrame, id_col: str, *more: str) -> DataFrame:
+    hits = known.where(F.size("spans") > 0).groupBy("blob") \
+        .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    return paths.join(hits, "blob", "left").select(
+        F.col("_id").alias(id_col), *more, "blob",
+        F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
 
 
 def findings(docs: DataFrame, ledger: str, batch: str, *, id_col: str = "doc_id",
-             text_col: str = "text", rule_sets: dict | None = None) -> DataFrame:
-    """Scan what is new and return id, blob and the spans (start, ord, kind, end) of every path.
+             text_col: str = "text", rule_sets: dict | None = None,
+             keep_texts: bool = False) -> DataFrame:
+    """Scan what is new and return id, blob and the spans (start, ord, kind, end) of every path
+    of ``docs``; ``history`` gives those of all batches.
 
     A null text counts as empty: its blob is that of the empty text, it has no spans.  Rows that
     repeat come back as often as they came.  Spans count code points, their end is exclusive.
@@ -158,14 +210,28 @@ def findings(docs: DataFrame, ledger: str, batch: str, *, id_col: str = "doc_id"
     batch.  Of paths that share a blob none is rescanned; the join splits a blob that a large
     part of all paths holds (no aggregate stands above it).
     """
-    spark = docs.sparkSession
-    hits = scan(docs, ledger, batch, id_col=id_col, text_col=text_col, rule_sets=rule_sets) \
-        .where(F.size("spans") > 0).groupBy("blob") \
-        .agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
-    paths = spark.read.parquet(f"{ledger}-paths/batch={batch}")
-    return paths.join(hits, "blob", "left").select(
-        F.col("_id").alias(id_col), "blob",
-        F.coalesce("spans", F.array().cast(SPANS)).alias("spans"))
+    known = scan(docs, ledger, batch, id_col=id_col, text_col=text_col, rule_sets=rule_sets,
+                 keep_texts=keep_texts)
+    return _on_paths(docs.sparkSession.read.parquet(f"{ledger}-paths/batch={batch}"), known, id_col)
+
+
+def history(spark: SparkSession, ledger: str, *, id_col: str = "doc_id",
+            rule_sets: dict | None = None) -> DataFrame:
+    """id, version, blob and spans of every path of every committed batch.
+
+    ``version`` is the batch that brought this text of the path, so a path that changed has one
+    row for each of its versions, and one whose text stayed has one for each batch it came in.
+    Batches whose scan did not end are left out.  Findings of every rule version of
+    ``rule_sets`` reach all of them, whichever batch scanned the blob.  A ledger without a
+    committed batch is an error.
+    """
+    scanned = set(_committed(spark, ledger))
+    paths = _read(spark, f"{ledger}-paths",
+                  [b for b in _committed(spark, f"{ledger}-paths") if b in scanned])
+    if paths is None:
+        raise ValueError("the ledger has no committed batch")
+    known = _ledger(spark, ledger).where(F.col("rule_version").isin(*(rule_sets or RULE_SETS)))
+    return _on_paths(paths.withColumnRenamed("batch", "version"), known, id_col, "version")
 
 
 def joined(spans: Column) -> Column:

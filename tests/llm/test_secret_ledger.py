@@ -59,6 +59,32 @@ def test_ledger_scans_each_pair_once(spark):
     assert spark.read.parquet(ledger).count() == 6
 
 
+def test_history_over_increments_and_new_rules(spark):
+    """Batches hold increments only; all versions of all paths meet all rules."""
+    ledger, schema = new_folder(spark, "ledger"), "doc_id bigint, text string"
+    old = {"base-1": S.BASE}
+    key = "-----BEGIN PRIVATE KEY-----"
+    for batch, rows in (("01", [(1, key), (2, "password=abcdef"), (None, None)]),
+                        ("02", [(1, "password=abcdef"), (3, "token=ghijkl")])):
+        S.findings(spark.createDataFrame(rows, schema), ledger, batch, rule_sets=old,
+                   keep_texts=True).collect()
+    assert spark.read.parquet(f"{ledger}-blobs").count() == 4       # each blob's text once
+    assert spark.read.parquet(f"{ledger}/batch=02").count() == 1    # the other was scanned before
+
+    def every():
+        return {(r["doc_id"], r["version"]): [f"{x['kind']}:{x['start']}:{x['end']}" for x in r["spans"]]
+                for r in S.history(spark, ledger).collect()}
+    base_only = {(1, "01"): [], (2, "01"): ["assign:0:15"], (None, "01"): [],
+                 (1, "02"): ["assign:0:15"], (3, "02"): ["assign:0:12"]}
+    assert every() == base_only
+    assert S.rescan(spark, ledger, "rules").count() == 8
+    # document 1 does not hold the key any more, its first version still tells
+    assert every() == base_only | {(1, "01"): ["private_key:0:27"]}
+    assert spark.read.parquet(f"{ledger}/batch=rules").count() == 4
+    S.rescan(spark, ledger, "again")
+    assert spark.read.parquet(f"{ledger}/batch=again").count() == 0
+
+
 def test_odd_rows(spark, odd, nothing):
     got = S.findings(odd, new_folder(spark, "t"), "b")
     assert got.columns == ["doc_id", "blob", "spans"] and got.count() == odd.count()
