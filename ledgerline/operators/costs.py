@@ -267,32 +267,8 @@ def shipping_value(ongkir_text: Column, params: ReportParams) -> Column:
     return amount(ongkir_text, params.strict_json)
 
 
-def shipping_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
-    p = orders_with_fields(cat)
-    p = p.where((F.col("created_at") >= F.lit(params.history_start)) & valid_status())
-    return p.groupBy(period(F.col("created_at")).alias("periode")) \
-        .agg(F.sum(shipping_value(F.col("ongkir_text"), params)).alias("total_ongkir"))
-
-
 # --- cost of goods and packing per grain ----------------------------------------------------------
 
-def cogs_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
-    codes = params.codes
-    p = orders_with_fields(cat)
-    at_wh = F.col("toko_id") == F.lit(codes.warehouse_shop)
-    excluded_day = (F.col("created_at").cast("date") == F.lit(R.EXCLUDED_MANUAL_DAY)) & \
-        F.upper(F.col("platform")).isin(*R.MANUAL_PLATFORMS)
-    keep = (~F.col("toko_id").isin(*codes.test_shops)
-            & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS, at_wh)
-            & valid_status()
-            & (F.col("created_at") >= F.lit(params.history_start))
-            & ~excluded_day)
-    o = p.where(keep).select("id", "toko_id", "created_at")
-    j = with_vector(cat, o, R.COGS_PLACEHOLDER_DATED)
-    return j.groupBy(period(F.col("created_at")).alias("periode")) \
-        .agg(F.sum(cogs_num_dated(codes.funnel_shopee_shop)).alias("hpp_num"))
-
-
 def cogs_by_shop_day(cat: Catalog, params: ReportParams) -> DataFrame:
     o = cat["pesanan"].where(valid_status()).select("id", "toko_id", "created_at")
     j = with_vector(cat, o, R.COGS_PLACEHOLDER_DATED)
@@ -301,21 +277,6 @@ def cogs_by_shop_day(cat: Catalog, params: ReportParams) -> DataFrame:
         .agg(F.sum(cogs_num_dated(params.codes.funnel_shopee_shop)).alias("hpp_num"))
 
 
-def packing_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
-    p = orders_with_fields(cat)
-    t = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("t_nama"))
-    p = p.join(t, p["toko_id"] == t["t_id"])
-    at_riva = F.col("t_nama") == F.lit(params.codes.warehouse_shop_name)
-    keep = (F.col("created_at") >= F.lit(params.history_start)) & channel_valid(
-        F.col("marketplace"), (R.MANUAL,),
-        not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS, at_riva))
-    j = with_vector(cat, p.where(keep).select("id", "created_at"), R.COGS_ORDER_LEVEL)
-    cost = packing_cost(F.col("total_qty"), F.col("created_at"),
-                        R.PACKING_TIERS_MONTHLY_OLD, R.PACKING_TIERS_MONTHLY_NEW)
-    return j.groupBy(period(F.col("created_at")).alias("periode")) \
-        .agg(F.sum(cost).alias("total_packing"))
-
-
 def packing_by_shop_day(cat: Catalog) -> DataFrame:
     """Daily packing per shop; manual orders filtered by customer name only."""
     p = orders_with_fields(cat)

@@ -179,7 +179,7 @@ def q_cogs_shop_day(spark, sf_dir):
 
 def q_cogs_month(spark, sf_dir):
     cat, params = _ctx(spark, sf_dir)
-    r = C.cogs_by_period(cat, params)
+    r = RP.cogs_by_period(cat, params)
     return r.select("periode", _money(cents(F.col("hpp_num"), R.VAT_DIVISOR)).alias("total_hpp"))
 
 
@@ -201,7 +201,7 @@ def q_packing_shop_day(spark, sf_dir):
 
 def q_packing_month(spark, sf_dir):
     cat, params = _ctx(spark, sf_dir)
-    r = C.packing_by_period(cat, params)
+    r = RP.packing_by_period(cat, params)
     return r.select("periode", F.col("total_packing").cast("bigint").alias("total_packing"))
 
 
@@ -260,7 +260,7 @@ def q_ratecard_daily(spark, sf_dir):
 
 def q_shipping_json_month(spark, sf_dir):
     cat, params = _ctx(spark, sf_dir)
-    r = C.shipping_by_period(cat, params)
+    r = RP.shipping_by_period(cat, params)
     return r.select("periode", F.col("total_ongkir").cast("double").alias("total_ongkir"))
 
 

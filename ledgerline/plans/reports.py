@@ -25,8 +25,7 @@ from ..operators.orders import (TiktokRevenueRule, clean_orders, cogs_numerator,
                                 orders_with_fields)
 from ..operators.predicates import (channel_valid, in_months, in_window, not_name_at,
                                     valid_status)
-from ..operators.revenue import (settlement_by_order, settlement_with_commissions,
-                                 shopee_parts_per_order, tiktok_order_revenue)
+from ..operators.revenue import settlement_with_commissions, shopee_parts_per_order
 from ..params import ReportParams
 from ..sources import Catalog
 
@@ -143,54 +142,12 @@ def shopee_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
         cents(F.sum("fat_sum") * 100, R.VAT_DIVISOR).alias("fat_c"))
 
 
-def tiktok_orders_monthly(cat: Catalog, params: ReportParams) -> DataFrame:
-    p = cat["pesanan"].where((F.col("marketplace") == R.TIKTOK) & valid_status()
-                             & (F.col("created_at") >= F.lit(params.history_start)))
-    o = p.select("id", "id_marketplace", "toko_id", period(F.col("created_at")).alias("periode"))
-    return tiktok_order_revenue(cat, o, R.TIKTOK_FEE_FALLBACK,
-                                settlement_by_order(cat, distinct=True), 100,
-                                keep_total_amount=True)
+MONTHLY_TIKTOK = TiktokRevenueRule(settlement_distinct=True, keep_total_amount=True)
 
 
-def tiktok_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
-    r = tiktok_orders_monthly(cat, params)
-    return r.groupBy("periode").agg(cents(F.sum("omni_num"), R.VAT_DIVISOR).alias("omni_c"),
-                                    cents(F.sum("fat_num"), R.VAT_DIVISOR).alias("fat_c"))
-
-
-def manual_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
-    """Manual and KIRIMINAJA orders per customer type and month; ENDORSE customers count 0."""
-    codes = params.codes
-    p = orders_with_fields(cat)
-    t = cat["toko"].select(F.col("id").alias("t_id"), F.col("nama").alias("t_nama"))
-    u = cat["users_omni"].select(F.col("id").alias("u_id"), "name")
-    at_riva = F.col("t_nama") == F.lit(codes.warehouse_shop_name)
-    j = (p.where(F.col("marketplace").isin(R.MANUAL, R.KIRIMINAJA)
-                 & (F.col("created_at") >= F.lit(params.history_start))
-                 & ~F.col("platform").isin(*R.MANUAL_PLATFORMS) & valid_status())
-         .join(t, F.col("toko_id") == F.col("t_id"))
-         .join(u, F.col("atur_by") == F.col("u_id"))
-         .where(~F.col("name").isin(*codes.denied_users)
-                & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE, at_riva)))
-    g = j.groupBy(F.col("cust_tipe").alias("tipe"), period(F.col("created_at")).alias("periode")) \
-        .agg(F.sum("harga").alias("s"))
-    endorse = F.col("tipe") == R.ENDORSE
-    return g.select("tipe", "periode",
-                    F.when(endorse, F.lit(0)).otherwise(F.col("s") * 100).alias("omni_n"),
-                    F.when(endorse, F.lit(0)).otherwise(cents(F.col("s") * 100, R.VAT_DIVISOR))
-                    .alias("fat_c"))
-
-
-def monthly_order_measures(cat: Catalog, params: ReportParams) -> DataFrame:
-    """Everything the monthly report takes from valid orders since the history start, in one
-    pass over the order header and one over the SKU lines: TikTok revenue, manual revenue (per
-    customer type, ENDORSE counting 0), cost of goods, packing and shipping.
-
-    Each measure keeps the order filter of its source query as a flag.  Orders without SKU
-    lines stay in (shipping and manual revenue do not need lines).  The first aggregate is per
-    (month, customer type) because manual revenue is rounded per type; the second sums the
-    types of a month, carrying exact numerators for the month-level rounding.
-    """
+def monthly_orders(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Valid orders since the history start, each with one flag per measure of the monthly report
+    (``cogs_ok, pack_ok, manual_ok``): the order filter of the measure's source query."""
     codes = params.codes
     p = orders_with_fields(cat).where(
         (F.col("created_at") >= F.lit(params.history_start)) & valid_status())
@@ -210,28 +167,84 @@ def monthly_order_measures(cat: Catalog, params: ReportParams) -> DataFrame:
                  & F.col("u_id").isNotNull() & ~F.col("user_name").isin(*codes.denied_users)
                  & ~F.col("platform").isin(*R.MANUAL_PLATFORMS)
                  & not_name_at(F.col("cust_nama"), R.WAREHOUSE_NAME_KEYWORDS_LOOSE, at_riva))
-    o = p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id", "harga",
-                 F.col("cust_tipe").alias("tipe"), C.shipping_value(F.col("ongkir_text"), params).alias("ongkir"),
-                 cogs_ok.alias("cogs_ok"), pack_ok.alias("pack_ok"), manual_ok.alias("manual_ok"))
-    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED,
-                   TiktokRevenueRule(settlement_distinct=True, keep_total_amount=True),
+    return p.select("id", "id_marketplace", "marketplace", "created_at", "toko_id", "harga",
+                    F.col("cust_tipe").alias("tipe"), C.shipping_value(F.col("ongkir_text"), params).alias("ongkir"),
+                    cogs_ok.alias("cogs_ok"), pack_ok.alias("pack_ok"), manual_ok.alias("manual_ok"))
+
+
+def _monthly_packing():
+    return C.packing_cost(F.col("total_qty"), F.col("created_at"),
+                          R.PACKING_TIERS_MONTHLY_OLD, R.PACKING_TIERS_MONTHLY_NEW)
+
+
+def _manual_value(harga):
+    """Numerator and net cents of a customer type's manual revenue; ENDORSE counts 0."""
+    endorse = F.col("tipe") == R.ENDORSE
+    return (F.when(endorse, F.lit(0)).otherwise(harga * 100),
+            F.when(endorse, F.lit(0)).otherwise(cents(harga * 100, R.VAT_DIVISOR)))
+
+
+def tiktok_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
+    """The TikTok revenue of ``monthly_order_measures`` alone."""
+    o = monthly_orders(cat, params).where(F.col("marketplace") == R.TIKTOK)
+    f = order_fact(cat, o, R.COGS_PLACEHOLDER_DATED, MONTHLY_TIKTOK).where("tt_has")
+    return f.groupBy(period(F.col("created_at")).alias("periode")).agg(
+        cents(F.sum("tt_omni_num"), R.VAT_DIVISOR).alias("omni_c"),
+        cents(F.sum("tt_fat_num"), R.VAT_DIVISOR).alias("fat_c"))
+
+
+def manual_revenue_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Manual and KIRIMINAJA orders per customer type and month; ENDORSE customers count 0."""
+    o = monthly_orders(cat, params).where("manual_ok")
+    g = o.groupBy("tipe", period(F.col("created_at")).alias("periode")).agg(F.sum("harga").alias("s"))
+    omni, fat = _manual_value(F.col("s"))
+    return g.select("tipe", "periode", omni.alias("omni_n"), fat.alias("fat_c"))
+
+
+def cogs_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
+    """The cost of goods of ``monthly_order_measures`` alone."""
+    f = order_fact(cat, monthly_orders(cat, params).where("cogs_ok"), R.COGS_PLACEHOLDER_DATED)
+    return f.groupBy(period(F.col("created_at")).alias("periode")) \
+        .agg(F.sum(C.cogs_num_dated(params.codes.funnel_shopee_shop)).alias("hpp_num"))
+
+
+def packing_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
+    """The packing cost of ``monthly_order_measures`` alone."""
+    f = order_fact(cat, monthly_orders(cat, params).where("pack_ok"), R.COGS_PLACEHOLDER_DATED)
+    return f.groupBy(period(F.col("created_at")).alias("periode")) \
+        .agg(F.sum(_monthly_packing()).alias("total_packing"))
+
+
+def shipping_by_period(cat: Catalog, params: ReportParams) -> DataFrame:
+    """The shipping cost of ``monthly_order_measures`` alone."""
+    return monthly_orders(cat, params).groupBy(period(F.col("created_at")).alias("periode")) \
+        .agg(F.sum("ongkir").alias("total_ongkir"))
+
+
+def monthly_order_measures(cat: Catalog, params: ReportParams) -> DataFrame:
+    """Everything the monthly report takes from valid orders since the history start, in one
+    pass over the order header and one over the SKU lines: TikTok revenue, manual revenue (per
+    customer type, ENDORSE counting 0), cost of goods, packing and shipping.
+
+    Each measure keeps the order filter of its source query as a flag.  Orders without SKU
+    lines stay in (shipping and manual revenue do not need lines).  The first aggregate is per
+    (month, customer type) because manual revenue is rounded per type; the second sums the
+    types of a month, carrying exact numerators for the month-level rounding.
+    """
+    f = order_fact(cat, monthly_orders(cat, params), R.COGS_PLACEHOLDER_DATED, MONTHLY_TIKTOK,
                    tiktok_eligible=F.col("marketplace") == R.TIKTOK, how="left")
     has_lines = F.col("pesanan_id").isNotNull()
-    pack = C.packing_cost(F.col("total_qty"), F.col("created_at"),
-                          R.PACKING_TIERS_MONTHLY_OLD, R.PACKING_TIERS_MONTHLY_NEW)
     by_type = f.groupBy(period(F.col("created_at")).alias("periode"), "tipe").agg(
         F.count(F.when(F.col("tt_has"), 1)).alias("n_tiktok"),
         F.sum("tt_omni_num").alias("tt_omni_num"), F.sum("tt_fat_num").alias("tt_fat_num"),
-        F.sum(F.when(F.col("cogs_ok") & has_lines, C.cogs_num_dated(codes.funnel_shopee_shop)))
-        .alias("hpp_num"),
-        F.sum(F.when(F.col("pack_ok") & has_lines, pack)).alias("total_packing"),
+        F.sum(F.when(F.col("cogs_ok") & has_lines,
+                     C.cogs_num_dated(params.codes.funnel_shopee_shop))).alias("hpp_num"),
+        F.sum(F.when(F.col("pack_ok") & has_lines, _monthly_packing())).alias("total_packing"),
         F.count(F.when(F.col("manual_ok"), 1)).alias("n_manual"),
         F.sum(F.when(F.col("manual_ok"), F.col("harga"))).alias("manual_harga"),
         F.sum("ongkir").alias("total_ongkir"))
-    endorse = F.col("tipe") == R.ENDORSE
     has_manual = F.col("n_manual") > 0
-    manual_omni = F.when(endorse, F.lit(0)).otherwise(F.col("manual_harga") * 100)
-    manual_fat = F.when(endorse, F.lit(0)).otherwise(cents(F.col("manual_harga") * 100, R.VAT_DIVISOR))
+    manual_omni, manual_fat = _manual_value(F.col("manual_harga"))
     return by_type.groupBy("periode").agg(
         F.sum("n_tiktok").alias("n_tiktok"),
         cents(F.sum("tt_omni_num"), R.VAT_DIVISOR).alias("tt_omni_c"),
