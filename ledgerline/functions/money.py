@@ -9,6 +9,8 @@ summed after a division.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -37,11 +39,12 @@ def ratio_round(numerator: Column, denominator, places: int = 2,
                 scale: int = DEFAULT_SCALE) -> Column:
     """``round(numerator / denominator, places)`` as an integer count of ``10^-places`` units.
 
-    Both operands are exact decimals with at most ``scale`` decimals (or integers).
+    Both operands are exact decimals with at most ``scale`` decimals (or integers).  The factors
+    are decimals: a bigint times a bigint factor overflows from 9.2e12 on.
     """
     k = 10 ** scale
-    den = denominator * k if isinstance(denominator, int) else denominator * F.lit(k)
-    return div_round_half_away(_dec0(numerator * F.lit(10 ** places * k)), den)
+    den = denominator * k if isinstance(denominator, int) else denominator * F.lit(Decimal(k))
+    return div_round_half_away(_dec0(numerator * F.lit(Decimal(10 ** places * k))), den)
 
 
 def cents(numerator: Column, denominator=1, scale: int = DEFAULT_SCALE) -> Column:

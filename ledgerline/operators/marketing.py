@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,7 +72,7 @@ def funnel_totals(cat: Catalog, params: ReportParams) -> DataFrame:
 
 def _pct(num: Column, den: Column) -> Column:
     """``round(num / nullif(den, 0) * 100, 2)`` in hundredths (bigint)."""
-    return F.when(den != 0, ratio_round(num * 100, den, 2))
+    return F.when(den != 0, ratio_round(num * F.lit(Decimal(100)), den, 2))
 
 
 def order_counts(cat: Catalog, params: ReportParams) -> DataFrame:

@@ -142,6 +142,19 @@ def test_funnel_null_propagation(frames):
     assert (t.am_awareness, t.am_interest, t.am_desire) == (0, 0, 0)       # empty group gives 0
 
 
+def large_funnel(frames):
+    d = dt.date(2025, 6, 2)
+    return frames({"sheet2_kol_ig": [(d, 10 ** 9, 8 * 10 ** 10, 10 ** 10, 0, 5 * 10 ** 8)],
+                   "sheet2_internal": [(d, 10 ** 17, 3 * 10 ** 17, 0, 0, 7, 0, 0, 0, 0)]})
+
+
+def test_funnel_ratios_of_large_totals(frames):
+    f = RP.funnel_numeric(large_funnel(frames), PARAMS).collect()[0]
+    assert (f.kol_interest, f.kol_interest_pct, f.kol_desire_pct) == (9 * 10 ** 10, 900000, 5000)
+    assert (f.internal_interest_pct, f.internal_desire_pct) == (30000, 0)
+    assert f.am_interest_pct is None and f.action_pct == 0
+
+
 def test_budget_without_previous_month_orders(frames):
     cat = frames({"marketing": [("AM", D("1000"), "SHOPEE", dt.date(2025, 6, 5)),
                                 ("LAINNYA", D("5"), "SHOPEE", dt.date(2025, 6, 5))]})

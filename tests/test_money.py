@@ -42,6 +42,16 @@ def test_sql_twins_match(spark):
         assert tuple(row) == d, v
 
 
+def test_ratio_of_large_bigints(spark):
+    """The factors of the ratio do not overflow a bigint (sums over large tables)."""
+    df = spark.createDataFrame([(95776470092, 1050994260), (4 * 10 ** 18, 3 * 10 ** 17)],
+                               "n BIGINT, d BIGINT")
+    got = [r[0] for r in df.select(ratio_round(F.col("n"), F.col("d"), 2)).collect()]
+    assert got == [9113, 1333]
+    got = [r[0] for r in df.select(ratio_round(F.col("n"), 7, 0)).collect()]
+    assert got == [13682352870, 571428571428571429]
+
+
 def test_rupiah_text(spark):
     df = spark.createDataFrame([(Decimal("2.5"),), (Decimal("1234567.5"),), (Decimal("-1234.4"),)],
                                "x DECIMAL(18,2)")
