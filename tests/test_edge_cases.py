@@ -155,6 +155,12 @@ def test_funnel_ratios_of_large_totals(frames):
     assert f.am_interest_pct is None and f.action_pct == 0
 
 
+def test_funnel_report_of_large_totals(frames):
+    whole, pct = (r.asDict() for r in RP.funnel_report(large_funnel(frames), PARAMS).collect())
+    assert ">90000000000<" in whole["KOL I"] and ">500000000<" in whole["KOL D"]
+    assert ">9000.00%<" in pct["KOL I"] and ">300.00%<" in pct["INTERNAL I"]
+
+
 def test_budget_without_previous_month_orders(frames):
     cat = frames({"marketing": [("AM", D("1000"), "SHOPEE", dt.date(2025, 6, 5)),
                                 ("LAINNYA", D("5"), "SHOPEE", dt.date(2025, 6, 5))]})
