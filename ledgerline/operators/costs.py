@@ -80,24 +80,26 @@ def shopee_ads(cat: Catalog, months: Months = None) -> DataFrame:
         F.col("toko_id").alias("toko"), F.col("d").cast("date").alias("tanggal"), "source", "amt")
 
 
-def shopee_affiliate_rows(cat: Catalog, parts: DataFrame) -> DataFrame:
-    """Shopee affiliate commission per order (every order, no status filter), keyed by
-    (shop, order day); ``parts`` is the per-order price-part aggregate."""
+def shopee_affiliate_rows(cat: Catalog) -> DataFrame:
+    """Shopee affiliate commission (every order, no status filter), one row a price part, keyed
+    by (shop, order day).  The parts are not summed per order first: the caller sums them per
+    day anyhow, and a sum per order would hold every order of a task a second time."""
     p = cat["pesanan"].select("id", "toko_id", "created_at")
+    parts = cat["pesanan_pembentuk_harga_shopee"].select("pesanan_id", "order_ams_commission_fee")
     j = parts.join(p, parts["pesanan_id"] == p["id"])
-    return j.select(F.col("toko_id").alias("toko"), F.col("created_at").cast("date")
-                    .alias("tanggal"), F.col("commission_sum").alias("aff"))
+    return j.select(F.col("toko_id").alias("toko"),
+                    F.col("created_at").cast("date").alias("tanggal"),
+                    F.col("order_ams_commission_fee").cast("decimal(28,2)").alias("aff"))
 
 
-
-def shopee_ads_and_affiliate(cat: Catalog, parts: DataFrame) -> DataFrame:
+def shopee_ads_and_affiliate(cat: Catalog) -> DataFrame:
     """Ad spend and affiliate cost per (shop, day), zero-filled.
 
     The source full-joins the two aggregates; here both are one union and one aggregate, with
     NULL keys kept apart per side (``null_key_tag``) as the full join does.
     """
     ads = shopee_ads(cat).withColumn("tag", null_key_tag(1, "toko", "tanggal"))
-    aff = shopee_affiliate_rows(cat, parts).withColumn("tag", null_key_tag(2, "toko", "tanggal"))
+    aff = shopee_affiliate_rows(cat).withColumn("tag", null_key_tag(2, "toko", "tanggal"))
     u = ads.unionByName(aff, allowMissingColumns=True)
     g = u.groupBy("toko", "tanggal", "tag").agg(
         F.coalesce(ad_cost(), F.lit(0)).alias("total_iklan"),

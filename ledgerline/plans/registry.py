@@ -220,9 +220,8 @@ def q_ad_spend_fullouter_day(spark, sf_dir):
 
 
 def q_affiliate_shop_day(spark, sf_dir):
-    from ..operators.revenue import shopee_parts_per_order
     cat, _ = _ctx(spark, sf_dir)
-    r = C.shopee_ads_and_affiliate(cat, shopee_parts_per_order(cat))
+    r = C.shopee_ads_and_affiliate(cat)
     return r.select(F.col("toko").cast("bigint").alias("toko"), "tanggal",
                     F.col("total_iklan").cast("double").alias("total_iklan"),
                     F.col("total_aff").cast("double").alias("total_aff"))
@@ -295,12 +294,11 @@ def q_budget_use_by_category(spark, sf_dir):
 
 def q_key_spine_union(spark, sf_dir):
     """Every (shop, day) with Shopee turnover, ad spend, affiliate cost, packing or cost of goods."""
-    from ..operators.revenue import shopee_parts_per_order
     cat, params = _ctx(spark, sf_dir)
     keys = ["toko", "tanggal"]
     # turnover days are among the days with price parts, packing days among those with cost of
     # goods (both read every valid order's lines); ads and affiliate keep every price part's day
-    spine = (C.shopee_ads_and_affiliate(cat, shopee_parts_per_order(cat)).select(*keys)
+    spine = (C.shopee_ads_and_affiliate(cat).select(*keys)
              .union(C.cogs_by_shop_day(cat, params).select(*keys))
              .distinct())
     return spine.select(F.col("toko").cast("bigint").alias("toko"), "tanggal")

@@ -142,6 +142,22 @@ def test_funnel_null_propagation(frames):
     assert (t.am_awareness, t.am_interest, t.am_desire) == (0, 0, 0)       # empty group gives 0
 
 
+def test_affiliate_with_repeated_and_null_rows(frames):
+    part = lambda id_, fee: (id_, None, None, None, None if fee is None else D(fee))
+    cat = frames({
+        "pesanan": [order(1, "SHOPEE", 10), order(1, "SHOPEE", 10), order(2, "MANUAL", 10, toko=2),
+                    order(3, "SHOPEE", 10, toko=None), order(4, "SHOPEE", 10, toko=4),
+                    order(None, "SHOPEE", 10, toko=5)],
+        "pesanan_pembentuk_harga_shopee": [part(1, "1.50"), part(1, "2.00"), part(1, None),
+                                           part(2, None), part(3, "4"), part(None, "9"),
+                                           part(99, "9")],
+        "shopee_iklan": [(TS.date(), 1, D("5")), (TS.date(), None, D("6"))]})
+    got = sorted((r.toko or 0, r.tanggal, r.total_iklan, r.total_aff)
+                 for r in C.shopee_ads_and_affiliate(cat).collect())
+    day = TS.date()
+    assert got == [(0, day, 0, 4), (0, day, 6, 0), (1, day, 5, 7), (2, day, 0, 0)]
+
+
 def large_funnel(frames):
     d = dt.date(2025, 6, 2)
     return frames({"sheet2_kol_ig": [(d, 10 ** 9, 8 * 10 ** 10, 10 ** 10, 0, 5 * 10 ** 8)],

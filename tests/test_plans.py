@@ -158,3 +158,9 @@ def test_ad_sources_are_one_scan(spark, name, lines):
     """All ad sources of a report come from one ledger; the rest of its line reads are the detail
     table, the SKU lines, the price parts and the settlements."""
     assert _reads(spark, name)["lineitem"] <= lines
+
+
+def test_affiliate_holds_no_sum_per_order(spark):
+    """The commissions go from the joins straight into the one sum per shop and day."""
+    plan = _plan(QUERIES["affiliate_shop_day"](spark, SF))
+    assert plan.count("HashAggregate") == 2 and "keys=[pesanan_id" not in plan
