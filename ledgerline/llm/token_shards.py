@@ -20,7 +20,7 @@ import struct
 import unicodedata
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,8 +38,8 @@ MAGIC = b"LLTOKIX1"
 SHARD_IDS = 8 << 20
 #: UTF-8 bytes of text that one range of ids is planned for
 RANGE_BYTES = 12 << 20
-#: words whose ids a worker remembers
-CACHE_WORDS = 500_000
+#: words whose ids a worker remembers; a dict of that many just fills its table
+CACHE_WORDS = 690_000
 #: ids of neighbouring documents that one read of a payload takes
 RUN_IDS = 2 << 20
 #: marks that may end a word, each a piece of its own
@@ -164,10 +164,11 @@ class WordEncoder:
     def __init__(self, path: str, width: int):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.type = f"<u{width}"
-        self.known = _Known(self)
-        self.pieces: dict[str, bytes] = {}
+        self.code = {2: "H", 4: "I"}[width]
+        self.known = _Known(self.learn)
+        self.pieces = _Known(self._merge)
         self.letters: dict[str, str] = {}
+        self._tokenize = self.tokenizer.model.tokenize
 
     def _letter(self, c: str) -> str:
         """A letter as the library's byte alphabet writes it."""
@@ -175,32 +176,40 @@ class WordEncoder:
             self.letters[c] = self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0]
         return self.letters[c]
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self.pieces.get(piece)
-        if ids is None:
-            spelled = piece if piece.isascii() else "".join(map(self._letter, piece))
-            ids = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)],
-                           self.type).tobytes()
-            self.pieces[piece] = ids
+    def _merge(self, piece: str) -> bytes:
+        """The ids of a piece in its normal form."""
+        spelled = piece if piece.isascii() else "".join(map(self._letter, piece))
+        ids = self.pieces[piece] = self._pack([t.id for t in self._tokenize(spelled)])
         return ids
 
+    def _pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
     def learn(self, w: str) -> bytes:
         """The ids of a word that is not remembered yet."""
         if len(self.known) >= CACHE_WORDS:
             self.known.clear()
             self.pieces.clear()
-        mark = w[-1:] if w[-1:] in MARKS else ""
-        core = w[:-1] if mark else w
-        ids = None
-        # composed letters only; sigma's lower case depends on its place
-        if core.isalpha() and (core.isascii() or "\u03a3" not in core
-                               and unicodedata.is_normalized("NFC", core)):
-            low = core.lower()
-            if low.isalpha():
-                ids = self._piece(low) + (self._piece(mark) if mark else b"")
-        if ids is None:
-            ids = np.array(self.tokenizer.encode(w, add_special_tokens=False).ids,
-                           self.type).tobytes()
+        mark = w[-1:]
+        if mark in MARKS:
+            core = w[:-1]
+        else:
+            core, mark = w, ""
+        low = None
+        if core.isalpha():
+            if core.isascii():
+                low = core.lower()
+            # composed letters only; sigma's lower case depends on its place
+            elif "\u03a3" not in core and unicodedata.is_normalized("NFC", core):
+                low = core.lower()
+                if not low.isalpha():
+                    low = None
+        if low is None:
+            ids = self._pack(self.tokenizer.encode(w, add_special_tokens=False).ids)
+        else:
+            ids = self.pieces[low]
+            if mark:
+                ids += self.pieces[mark]
         self.known[w] = ids
         return ids
 
@@ -210,14 +219,14 @@ class WordEncoder:
 
 
 class _Known(dict):
-    """Words and their ids; a word that is missing is learnt."""
+    """Words or pieces and their ids; one that is missing is learnt."""
 
-    def __init__(self, encoder: WordEncoder):
+    def __init__(self, learn: Callable[[str], bytes]):
         super().__init__()
-        self.encoder = encoder
+        self.learn = learn
 
     def __missing__(self, w: str) -> bytes:
-        return self.encoder.learn(w)
+        return self.learn(w)
 
 
 def _encoder(path: str, width: int) -> WordEncoder:

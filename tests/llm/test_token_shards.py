@@ -49,6 +49,19 @@ def test_small_memory_gives_the_same_ids(monkeypatch, tokenizer):
         assert got == tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_known_pieces_need_no_library(monkeypatch, tokenizer):
+    """A new spelling of a known piece costs two lookups: no array is built, nothing is merged."""
+    encoder = T.WordEncoder(T.tokenizer_path(), 2)
+    encoder.encode("hello, world.")
+    monkeypatch.setattr(encoder, "_tokenize", None)
+    monkeypatch.setattr(encoder, "tokenizer", None)
+    monkeypatch.setattr(T, "np", None)
+    raw = encoder.encode("Hello HELLO. World, wOrld")
+    want = tokenizer.encode("Hello HELLO. World, wOrld", add_special_tokens=False).ids
+    assert np.frombuffer(raw, "<u2").tolist() == want
+    assert encoder.learn("World") is encoder.pieces["world"]
+
+
 def check(rows, texts, tokenizer):
     start = 0
     assert len(rows) == len(texts)
