@@ -16,6 +16,7 @@ from .orders import orders_with_fields, sku_lines
 from .predicates import in_window, not_name_at, valid_status
 
 DESIRE = "decimal(38,4)"
+COUNT = "decimal(20,0)"     # holds any bigint
 
 
 # --- funnel --------------------------------------------------------------------------------------
@@ -60,8 +61,13 @@ FUNNEL_STAGES = ("awareness", "interest", "desire")
 
 def funnel_totals(cat: Catalog, params: ReportParams) -> DataFrame:
     """One row: ``<group>_<stage>`` for groups kol, am, internal and stages awareness,
-    interest, desire; an empty group gives 0."""
+    interest, desire; an empty group gives 0.
+
+    Counts are summed as decimals (the source's sum of bigints is numeric): a total may pass
+    the bigint range.
+    """
     s = funnel_stages(cat, params)
+    s = s.withColumns({n: F.col(n).cast(COUNT) for n in ("awareness", "interest")})
     aggs = []
     for grp, p in FUNNEL_GROUPS:
         for stage in FUNNEL_STAGES:

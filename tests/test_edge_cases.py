@@ -177,6 +177,17 @@ def test_funnel_report_of_large_totals(frames):
     assert ">9000.00%<" in pct["KOL I"] and ">300.00%<" in pct["INTERNAL I"]
 
 
+def test_funnel_report_of_totals_beyond_bigint(frames):
+    d = dt.date(2025, 6, 2)
+    cat = frames({"sheet2_kol_ig": [(d, 9 * 10 ** 18, 8 * 10 ** 18, 0, 0, 1)] * 2})
+    f = RP.funnel_numeric(cat, PARAMS).collect()[0]
+    assert (f.kol_awareness, f.kol_interest) == (18 * 10 ** 18, 16 * 10 ** 18)
+    whole, pct = (r.asDict() for r in RP.funnel_report(cat, PARAMS).collect())
+    assert ">18000000000000000000<" in whole["KOL A"] and ">2<" in whole["KOL D"]
+    assert ">16000000000000000000<" in whole["KOL I"] and ">0<" in whole["AM I"]
+    assert ">88.89%<" in pct["KOL I"] and ">0.00%<" in pct["KOL D"] and pct["AM I"] is None
+
+
 def test_budget_without_previous_month_orders(frames):
     cat = frames({"marketing": [("AM", D("1000"), "SHOPEE", dt.date(2025, 6, 5)),
                                 ("LAINNYA", D("5"), "SHOPEE", dt.date(2025, 6, 5))]})
